@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from equigauge.plans.enforce import AuditRun, enforce
+from equigauge.session import settle, shared_folder
 
 
 def feature_stages(numeric: Sequence[str], categorical: Sequence[str] = (), drop_first: bool = True) -> list:
@@ -59,10 +60,17 @@ class AuditedModel:
         about_data = [c for c in self.controls if not c.about_predictions]
         self.data_audit = enforce(train, about_data, target=self.target, positive=self.positive, phase="pre", **roles)
         weights = {"weightCol": self.weight} if self.weight else {}
+        # Every stage and every iteration reads the training rows, so what they need is stored once.
+        used = [self.target, *self.numeric, *self.categorical, *weights.values()]
+        train = settle(train.select(*dict.fromkeys(used)))
         classifier = LogisticRegression(
             featuresCol="features", labelCol=self.target, predictionCol="prediction", maxIter=100, **weights
         )
-        self.model = Pipeline(stages=[*feature_stages(self.numeric, self.categorical), classifier]).fit(train)
+        fitted = Pipeline(stages=[*feature_stages(self.numeric, self.categorical), classifier]).fit(train)
+        # The stored form leaves out the training summary, which holds the session and cannot be sent to tasks.
+        path = shared_folder(train.sparkSession, "model")
+        fitted.save(path)
+        self.model = PipelineModel.load(path)
         return self
 
     def predict(self, rows: DataFrame) -> DataFrame:
