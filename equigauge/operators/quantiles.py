@@ -17,6 +17,8 @@ from equigauge.session import attach
 
 ACCURACY = 20_000
 MARGIN = 8.0 / ACCURACY
+#: Up to this many values a margin can be less than a rank, and the bracket is the whole range.
+FEW = 10_000
 
 
 def exact_quantiles(
@@ -50,8 +52,9 @@ def exact_quantiles(
 
     steps = []
     for i, p in enumerate(probs):
-        lo = F.col("least") if p - MARGIN <= 0 else F.least(F.col("lo")[i], F.col("most"))
-        hi = F.col("most") if p + MARGIN >= 1 else F.col("hi")[i]
+        few = F.col("n") <= FEW
+        lo = F.col("least") if p - MARGIN <= 0 else F.when(few, F.col("least")).otherwise(F.col("lo")[i])
+        hi = F.col("most") if p + MARGIN >= 1 else F.when(few, F.col("most")).otherwise(F.col("hi")[i])
         # Values below a bracket fold into one row at -inf, those above it do not matter.
         steps.append(F.when(F.col("v") <= hi, F.struct(
             F.lit(i).alias("i"), F.when(F.col("v") >= lo, F.col("v")).otherwise(F.lit(-math.inf)).alias("v")
