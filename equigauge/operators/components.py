@@ -1,8 +1,8 @@
 """Counts from which the fairness and performance metrics follow.
 
 A *lens* names the columns that play target, prediction and dimension. Whatever the number of lenses, the source is
-read once: rows are first counted per distinct combination of all the columns involved, and the lenses are laid over
-those counts. The result has one row per lens, group and class label, with
+read once, when the counts are built: rows are first counted per distinct combination of all the columns involved, and
+the lenses are laid over those counts. The result has one row per lens, group and class label, with
 
 * `n_true`: rows whose target is the label,
 * `n_pred`: rows whose prediction is the label,
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from equigauge.functions.clean import group_key, label_text
 from equigauge.functions.ratios import harmonic, ratio
+from equigauge.session import small_or_none
 
 
 @dataclass(frozen=True)
@@ -47,6 +48,11 @@ def class_counts(df: DataFrame, lenses: Sequence[Lens], weight: str | None = Non
     types = dict(df.select(*needed).dtypes)
     counted = F.count(F.lit(1)) if weight is None else F.sum(weight)
     distinct = df.groupBy(*needed).agg(counted.alias("n"))
+    # The usual case: few combinations. Kept as local rows in one partition, they need no further shuffle and the
+    # table is not read again, however many results are drawn from the counts.
+    small = small_or_none(distinct)
+    if small is not None:
+        distinct = small.coalesce(1)
 
     entries: list[Column] = []
     for lens in lenses:

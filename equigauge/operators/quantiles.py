@@ -34,52 +34,54 @@ def exact_quantiles(
     for key in keys:
         values = values.filter(F.col(key).isNotNull())
 
-    low = F.array(*[F.lit(max(p - MARGIN, 0.0)) for p in probs])
-    high = F.array(*[F.lit(min(p + MARGIN, 1.0)) for p in probs])
+    k = len(probs)
+    around = [max(p - MARGIN, 0.0) for p in probs] + [min(p + MARGIN, 1.0) for p in probs]
     brackets = values.groupBy(*keys).agg(
-        F.percentile_approx("v", low, ACCURACY).alias("lo"), F.percentile_approx("v", high, ACCURACY).alias("hi"),
+        F.percentile_approx("v", F.array(*[F.lit(p) for p in around]), ACCURACY).alias("ends"),
         F.count(F.lit(1)).alias("n"), F.min("v").alias("least"), F.max("v").alias("most"),
     ).filter(F.col("n") > 0)
+    few = F.col("n") <= FEW
+    limits = []
+    for i, p in enumerate(probs):
+        lo = F.col("least") if p - MARGIN <= 0 else F.when(few, F.col("least")).otherwise(F.col("ends")[i])
+        hi = F.col("most") if p + MARGIN >= 1 else F.when(few, F.col("most")).otherwise(F.col("ends")[k + i])
+        limits += [lo.alias(f"lo{i}"), hi.alias(f"hi{i}")]
+    brackets = brackets.select(*keys, "n", *limits)
+    fields = ["n", *[f"{end}{i}" for i in range(k) for end in ("lo", "hi")]]
 
     if keys:
         placed = attach(values, brackets, keys)
     else:
-        one = F.col("b")
-        row = brackets.select(F.struct(*brackets.columns).alias("b"))
-        placed = values.withColumn("b", row.scalar()).select(
-            "v", *[one[c].alias(c) for c in ("lo", "hi", "n", "least", "most")]
-        )
-
-    steps = []
-    for i, p in enumerate(probs):
-        few = F.col("n") <= FEW
-        lo = F.col("least") if p - MARGIN <= 0 else F.when(few, F.col("least")).otherwise(F.col("lo")[i])
-        hi = F.col("most") if p + MARGIN >= 1 else F.when(few, F.col("most")).otherwise(F.col("hi")[i])
-        # Values below a bracket fold into one row at -inf, those above it do not matter.
-        steps.append(F.when(F.col("v") <= hi, F.struct(
-            F.lit(i).alias("i"), F.when(F.col("v") >= lo, F.col("v")).otherwise(F.lit(-math.inf)).alias("v")
-        )))
-    inside = (
-        placed.select(*keys, "n", F.explode(F.array_compact(F.array(*steps))).alias("s"))
-        .groupBy(*keys, "n", "s.i", "s.v").agg(F.count(F.lit(1)).alias("c"))
-    )
-    running = F.sum("c").over(
-        Window.partitionBy(*keys, "i").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    pos = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("i") + 1) * (F.col("n") - 1)
-    ranked = inside.withColumn("upto", running).withColumn("pos", pos)
-    pairs = ranked.groupBy(*keys, "n", "i").agg(
-        F.min(F.when(F.col("upto") > F.floor("pos"), F.col("v"))).alias("a"),
-        F.min(F.when(F.col("upto") > F.ceil("pos"), F.col("v"))).alias("b"),
-        F.max(F.col("pos") - F.floor("pos")).alias("frac"),
-    )
-    missed = F.col("a").isNull() | F.col("b").isNull() | (F.col("a") == F.lit(-math.inf))
-    at = F.when(missed, F.raise_error(F.lit("a quantile bracket missed its order statistic")).cast("double")).otherwise(
-        F.col("a") + (F.col("b") - F.col("a")) * F.col("frac")
-    )
-    return pairs.withColumn("at", at).groupBy(*keys, "n").agg(
-        *[F.max(F.when(F.col("i") == i, F.col("at"))).alias(f"{name}_{i}") for i in range(len(probs))]
+        row = brackets.select(F.struct(*fields).alias("b"))
+        placed = values.withColumn("b", row.scalar()).select("v", *[F.col("b")[c].alias(c) for c in fields])
+
+    # A value inside a bracket stays; all others fold into the end of the last bracket below them, marked as a gap.
+    inside = F.lit(False)
+    below = F.lit(-math.inf)
+    for i in range(k):
+        inside = inside | F.col("v").between(F.col(f"lo{i}"), F.col(f"hi{i}"))
+        below = F.greatest(below, F.when(F.col(f"hi{i}") < F.col("v"), F.col(f"hi{i}")))
+    kept = placed.select(*keys, "n", F.when(inside, F.col("v")).otherwise(below).alias("at"), (~inside).alias("gap"))
+    counted = kept.groupBy(*keys, "n", "at", "gap").agg(F.count(F.lit(1)).alias("c"))
+    upto = F.sum("c").over(
+        Window.partitionBy(*keys).orderBy("at", "gap").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    ranked = counted.withColumn("upto", upto)
+    found = []
+    for i, p in enumerate(probs):
+        pos = F.lit(float(p)) * (F.col("n") - 1)
+        for side, rank in (("a", F.floor(pos)), ("b", F.ceil(pos))):
+            found.append(F.min(F.when(F.col("upto") > rank, F.struct("upto", "at", "gap"))).alias(f"{side}{i}"))
+    one = ranked.groupBy(*keys, "n").agg(*found)
+
+    def at(i: int, p: float) -> Column:
+        a, b = F.col(f"a{i}"), F.col(f"b{i}")
+        pos = F.lit(float(p)) * (F.col("n") - 1)
+        missed = F.coalesce(a["gap"] | b["gap"], F.lit(True))
+        stop = F.raise_error(F.lit("a quantile bracket missed its order statistic")).cast("double")
+        return F.when(missed, stop).otherwise(a["at"] + (b["at"] - a["at"]) * (pos - F.floor(pos)))
+
+    return one.select(*keys, "n", *[at(i, p).alias(f"{name}_{i}") for i, p in enumerate(probs)])
 
 
 def five_numbers(df: DataFrame, group: str, value: str) -> DataFrame:
