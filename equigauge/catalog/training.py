@@ -56,10 +56,10 @@ def reweigh_rows(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(reweigh.reweighed(decisions(spark, folder).select("row_key", "lang", "target"), "lang", "target"))
 
 
-@registered(f"""WITH {A} SELECT lang, round((SELECT avg(target) FROM a), 6) AS weighted_rate FROM a GROUP BY lang
-HAVING count(DISTINCT target) = (SELECT count(DISTINCT target) FROM a)""")
+@registered(f"""WITH {A}, {_WEIGHTS} SELECT a.lang, round(sum(wt.weight * a.target) / sum(wt.weight), 6) AS weighted_rate
+FROM a JOIN wt ON wt.lang = a.lang AND wt.target = a.target GROUP BY a.lang""")
 def reweighed_rates(spark: SparkSession, folder: str) -> DataFrame:
-    """After reweighing every group that has all labels shows the overall rate."""
+    """Weighted rates after reweighing: every group that has all labels shows the overall rate."""
     rows = reweigh.reweighed(decisions(spark, folder), "lang", "target")
     return rounded(reweigh.weighted_rates(rows, "lang", "target", "weight"))
 

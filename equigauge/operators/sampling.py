@@ -6,14 +6,17 @@ which a split falls, and only that slot has to be sorted.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from equigauge.session import attach
+from equigauge.session import attach, settle, small_or_none
+
+#: Hash digits by which a split is narrowed at a time, and the rows of a slot that one task may rank.
+DIGITS = 3
+SLOT_ROWS = 1_000_000
 
 # Sample sizes by scale; None is the whole table.
 SCALES = {"POC": 2_000, "MEDIUM": 10_000, "FULL": None}
@@ -50,44 +53,67 @@ def exact_split(df: DataFrame, key: str, train: float = 0.8, strata: Sequence[st
     Rows follow the order of their key hash. The key must be unique. Rows with an unknown stratum have no part.
     """
     share = Fraction(train).limit_denominator(10_000)
-    digits = 3
-    hashed = df.withColumn("_h", key_hash(key)).withColumn("_slot", F.substring("_h", 1, digits))
-    names = [f"_s{i}" for i in range(len(strata))]
-    for name, column in zip(names, strata):
-        hashed = hashed.withColumn(name, F.col(column))
-    by = names or ["_all"]
-    if not names:
-        hashed = hashed.withColumn("_all", F.lit(0))
-    known = hashed.filter(" and ".join(f"{c} is not null" for c in by))
-
-    # At most 16^digits rows per stratum.
-    sizes = known.groupBy(*by, "_slot").agg(F.count(F.lit(1)).alias("_n"))
-    stratum = Window.partitionBy(*by)
-    earlier = stratum.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
-    wanted = F.floor((F.sum("_n").over(stratum) * share.numerator + (share.denominator - 1)) / share.denominator)
-    placed = sizes.select(
-        *by, "_slot", "_n", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"), wanted.alias("_want")
-    )
-    # The slot in which the split falls, and how many of its rows still belong to training.
-    cut = placed.filter((F.col("_before") <= F.col("_want")) & (F.col("_want") < F.col("_before") + F.col("_n"))).select(
-        *by, F.col("_slot").alias("_cut"), (F.col("_want") - F.col("_before")).alias("_take")
-    )
-    # Without a slot that holds the split, every row is for training.
-    joined = attach(hashed, cut, by, "left")
-    inside = joined.filter(F.col("_slot") == F.col("_cut"))
-    rank = F.row_number().over(Window.partitionBy(*by).orderBy("_h", key))
-    edge = inside.withColumn("_rank", rank).withColumn(
-        "part", F.when(F.col("_rank") <= F.col("_take"), "train").otherwise("test")
-    )
-    unknown = F.lit(False)
+    by = [f"_s{i}" for i in range(len(strata))]
+    hashed = df.withColumns({"_h": key_hash(key), **{name: F.col(c) for name, c in zip(by, strata)}})
+    cut = _first_cut(hashed.na.drop(subset=by) if by else hashed, by, share)
+    while (cut.agg(F.max("_n")).first()[0] or 0) > SLOT_ROWS:
+        cut = _finer_cut(hashed, by, cut)
+
+    # The last training row of each stratum; the table itself is then only compared with it.
+    rows = _with_cut(hashed.select(*by, "_h", F.col(key).alias("_k")), by, cut)
+    rank = F.row_number().over(Window.partitionBy(*by, "_cut").orderBy("_h", "_k"))
+    at_cut = rows.filter(F.col("_h").startswith(F.col("_cut"))).withColumn("_rank", rank)
+    last = at_cut.groupBy(*by, "_cut").agg(F.max(F.when(F.col("_rank") == F.col("_take"), F.struct("_h", "_k"))).alias("_l"))
+    # With none to take from the slot, training ends before it; a prefix sorts before all its extensions.
+    ends = last.select(*by, F.coalesce("_l._h", "_cut").alias("_end_h"), F.col("_l._k").alias("_end_k"))
+    if by:
+        placed = attach(hashed, ends, by, "left")
+    else:
+        one = ends.first()
+        placed = hashed.withColumns({
+            "_end_h": F.lit(one["_end_h"] if one else None).cast("string"),
+            "_end_k": F.lit(one["_end_k"] if one else None).cast(df.schema[key].dataType),
+        })
+    upto = (F.col("_h") < F.col("_end_h")) | ((F.col("_h") == F.col("_end_h")) & (F.col(key) <= F.col("_end_k")))
+    # Where no slot holds the split, every row is for training.
+    part = F.when(F.col("_end_h").isNull() | F.coalesce(upto, F.lit(False)), "train").otherwise("test")
     for c in by:
-        unknown = unknown | F.col(c).isNull()
-    rest = joined.filter(F.coalesce(F.col("_slot") != F.col("_cut"), F.lit(True))).withColumn(
-        "part", F.when(unknown, F.lit(None)).when(F.col("_cut").isNull() | (F.col("_slot") < F.col("_cut")), "train").otherwise("test")
-    )
-    return rest.select(*df.columns, "part").unionByName(edge.select(*df.columns, "part"))
-
-
-def slots_for(rows: int, target: int = 100_000) -> int:
-    """Hash digits that bring a slot down to about `target` rows."""
-    return max(1, math.ceil(math.log(max(rows / target, 1), 16)))
+        part = F.when(F.col(c).isNotNull(), part)
+    return placed.select(*df.columns, part.alias("part"))
+
+
+def _first_cut(hashed: DataFrame, by: list[str], share: Fraction) -> DataFrame:
+    """Per stratum the slot in which the split falls, its rows, and how many of them belong to training."""
+    # At most 16^DIGITS rows per stratum.
+    sizes = hashed.groupBy(*by, F.substring("_h", 1, DIGITS).alias("_cut")).agg(F.count(F.lit(1)).alias("_n"))
+    total = F.sum("_n").over(Window.partitionBy(*by))
+    wanted = F.floor((total * share.numerator + (share.denominator - 1)) / share.denominator)
+    return _pick(sizes.withColumn("_want", wanted), by)
+
+
+def _finer_cut(hashed: DataFrame, by: list[str], cut: DataFrame) -> DataFrame:
+    """The same inside the slots found so far, by the next digits of the hash."""
+    inside = _with_cut(hashed.select(*by, "_h"), by, cut).filter(F.col("_h").startswith(F.col("_cut")))
+    finer = F.substring("_h", F.lit(1), F.length("_cut") + DIGITS)
+    sizes = inside.groupBy(*by, finer.alias("_finer")).agg(F.count(F.lit(1)).alias("_n"), F.max("_take").alias("_want"))
+    return _pick(sizes.withColumnRenamed("_finer", "_cut"), by)
+
+
+def _pick(sizes: DataFrame, by: list[str]) -> DataFrame:
+    earlier = Window.partitionBy(*by).orderBy("_cut").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+    placed = sizes.withColumn("_before", before)
+    held = (F.col("_before") <= F.col("_want")) & (F.col("_want") < F.col("_before") + F.col("_n"))
+    chosen = placed.filter(held).select(*by, "_cut", (F.col("_want") - F.col("_before")).alias("_take"), "_n")
+    small = small_or_none(chosen)
+    return settle(chosen) if small is None else small
+
+
+def _with_cut(rows: DataFrame, by: list[str], cut: DataFrame) -> DataFrame:
+    cut = cut.drop("_n")
+    if by:
+        return attach(rows, cut, by, "left")
+    one = cut.first()
+    return rows.withColumns({
+        "_cut": F.lit(one["_cut"] if one else None).cast("string"), "_take": F.lit(one["_take"] if one else None).cast("bigint")
+    })

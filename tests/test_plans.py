@@ -59,3 +59,10 @@ def test_fixed_sample_sorts_per_task(spark, small):
 
 def test_hash_split_moves_nothing(spark, small):
     assert "Exchange" not in plan(sampling.hash_split(table(spark, small, "orders"), "o_orderkey"))
+
+
+def test_exact_split_only_compares(spark, small):
+    rows = table(spark, small, "orders").select("o_orderkey", "o_orderpriority")
+    for strata in ([], ["o_orderpriority"]):
+        text = plan(sampling.exact_split(rows, "o_orderkey", 0.8, strata))
+        assert "Window" not in text and "Exchange hashpartitioning" not in text and text.count("FileScan") == 1

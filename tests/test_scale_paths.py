@@ -110,6 +110,16 @@ def test_split_without_lookup_broadcast(spark, monkeypatch):
     assert {tuple(r) for r in sampling.exact_split(df, "id", 0.8, ["g"]).collect()} == want
 
 
+def test_split_narrows_until_a_slot_is_small(spark, monkeypatch):
+    df = spark.range(3000).select("id", (F.col("id") % 2).alias("g"))
+    for strata in ([], ["g"]):
+        want = {tuple(r) for r in sampling.exact_split(df, "id", 0.7, strata).collect()}
+        monkeypatch.setattr(sampling, "DIGITS", 1)
+        monkeypatch.setattr(sampling, "SLOT_ROWS", 3)
+        assert {tuple(r) for r in sampling.exact_split(df, "id", 0.7, strata).collect()} == want
+        monkeypatch.undo()
+
+
 def series_rows(seed=1):
     random.seed(seed)
     rows = [("hot", random.choice([0.0, 1.5, 1.5, round(random.uniform(0, 900), 1)])) for _ in range(1500)]
