@@ -50,23 +50,24 @@ def l_diversity(df: DataFrame, quasi_identifiers: Sequence[str], sensitive: str)
 def group_distances(df: DataFrame, quasi_identifiers: Sequence[str], sensitive: str, ordered: bool = False) -> DataFrame:
     """Earth mover's distance between each group's sensitive values and the whole table's."""
     keys = list(quasi_identifiers)
-    cell = cells(df.filter(F.col(sensitive).isNotNull()), keys, sensitive)
-    return _ordered(cell, keys) if ordered else _unordered(cell, keys)
+    known = df.select(*keys, F.col(sensitive).alias("s")).na.drop(subset=[*keys, "s"])
+    # Both sums combine well before their shuffle; only the cells themselves can be many, and they are built once.
+    sizes = known.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_group"))
+    whole = known.groupBy("s").agg(F.count(F.lit(1)).alias("n_value"))
+    cell = attach(cells(known, keys, "s"), sizes, keys)
+    return _ordered(cell, whole, keys) if ordered else _unordered(cell, whole, keys)
 
 
-def _unordered(cell: DataFrame, keys: list[str]) -> DataFrame:
+def _unordered(cell: DataFrame, whole: DataFrame, keys: list[str]) -> DataFrame:
     """Half the absolute differences. Values a group lacks add up to one minus the table share of those it has."""
-    whole = cell.groupBy("s").agg(F.sum("n").alias("n_value"))
-    total = cell.agg(F.sum("n")).scalar()
-    sizes = cell.groupBy(*keys).agg(F.sum("n").alias("n_group"))
-    share, base = ratio("n", "n_group"), ratio("n_value", total)
-    joined = attach(attach(cell, whole, ["s"]), sizes, keys)
-    return joined.groupBy(*keys).agg(
+    total = whole.agg(F.sum("n_value").alias("n")).first()["n"] or 0
+    share, base = ratio("n", "n_group"), ratio("n_value", F.lit(total))
+    return attach(cell, whole, ["s"]).groupBy(*keys).agg(
         F.max("n_group").alias("n"), (0.5 * (1.0 + F.sum(F.abs(share - base) - base))).alias("distance")
     )
 
 
-def _ordered(cell: DataFrame, keys: list[str]) -> DataFrame:
+def _ordered(cell: DataFrame, whole: DataFrame, keys: list[str]) -> DataFrame:
     """Mean absolute gap between the cumulative shares, over the m - 1 steps of the ordered value domain.
 
     A group's cumulative share only changes at the values it has. Between two of them it is a constant c, and the sum
@@ -74,15 +75,12 @@ def _ordered(cell: DataFrame, keys: list[str]) -> DataFrame:
     positions up to t, the last one with Q <= c, contribute c - Q and the rest Q - c. So each stored cell needs one
     lookup of t by c and no missing cell is ever materialised. The sensitive column must be numeric.
     """
-    cell = settle(cell)
     own = Window.partitionBy(*keys).orderBy("i")
     upto = own.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    sizes = cell.groupBy(*keys).agg(F.sum("n").alias("n_group"))
-    whole = cell.groupBy("s").agg(F.sum("n").alias("n_value"))
     few = small_or_none(whole, FEW_VALUES)
     steps = settle(_value_steps(whole)) if few is None else _few_steps(few)
     m, end = steps.agg(F.max("i"), F.max("through")).first()
-    placed = attach(attach(cell, steps.select("s", "i", "before"), ["s"]), sizes, keys)
+    placed = attach(cell, steps.select("s", "i", "before"), ["s"])
     runs = placed.select(
         *keys, "n_group", "i", "before",
         ratio(F.sum("n").over(upto), "n_group").alias("c"),

@@ -73,11 +73,8 @@ def _pieces(rows: DataFrame, at: str, pieces: int) -> DataFrame:
     """Cut the scale of `at` into pieces of about equal row counts, so one long series does not sit in one task."""
     probs = F.array(*[F.lit(k / pieces) for k in range(1, pieces)])
     bounds = rows.agg(F.percentile_approx(F.col(at).cast("double"), probs, 2_000).alias("b")).first()["b"] or []
-    bounds = sorted(set(bounds))
-    if not bounds:
-        return rows.withColumn("_piece", F.lit(0))
-    limits = F.array(*[F.lit(b) for b in bounds])
-    return rows.withColumn("_piece", F.size(F.filter(limits, lambda b: b < F.col(at).cast("double"))))
+    v = F.col(at).cast("double")
+    return rows.withColumn("_piece", sum(((v > b).cast("int") for b in sorted(set(bounds))), F.lit(0)))
 
 
 def gaps(rows: DataFrame, series: str, at: str, pieces: int = 16) -> DataFrame:

@@ -58,8 +58,8 @@ def small_or_none(lookup: DataFrame, limit: int = LOOKUP_ROWS) -> DataFrame | No
 
     At most `limit + 1` rows ever reach the driver.
     """
-    rows = lookup.limit(limit + 1).collect()
-    if len(rows) > limit:
+    rows = lookup.limit(limit + 1).toArrow()
+    if rows.num_rows > limit:
         return None
     return lookup.sparkSession.createDataFrame(rows, lookup.schema)
 
