@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from equigauge.catalog.frames import A, C, customers, decisions, rounded, table
 from equigauge.operators import reweigh, sampling
+from equigauge.operators.frames import one_hot
 from equigauge.operators.modelling import AuditedModel
 from equigauge.sources.policies import Control
 
@@ -98,6 +99,12 @@ def impute_median(spark: SparkSession, folder: str) -> DataFrame:
     return reweigh.median_filled(rows, ["c_acctbal"])
 
 
+@registered("""SELECT o_orderkey, CAST(o_orderstatus = 'O' AS INTEGER) AS o_orderstatus_O, CAST(o_orderstatus = 'P' AS INTEGER) AS o_orderstatus_P FROM orders""")
+def one_hot_status(spark: SparkSession, folder: str) -> DataFrame:
+    """Dummy columns without the first level."""
+    return one_hot(table(spark, folder, "orders").select("o_orderkey", "o_orderstatus"), ["o_orderstatus"], drop_first=True)
+
+
 MODEL_CONTROLS = (
     Control("credit-imbalance", "class_imbalance", "gt", 0.2, target_role="target"),
     Control("fairness", "demographic_parity_diff", "<", 0.10, dimension="segment"),

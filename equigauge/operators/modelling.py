@@ -14,10 +14,12 @@ from equigauge.plans.enforce import AuditRun, enforce
 from equigauge.session import settle, shared_folder
 
 
-def feature_stages(numeric: Sequence[str], categorical: Sequence[str] = (), drop_first: bool = True) -> list:
+def feature_stages(numeric: Sequence[str], categorical: Sequence[str] = (), drop_first: bool = False) -> list:
     """Median imputation and scaling of numbers, one-hot columns for categories.
 
-    Indexing in descending order makes the alphabetically first level the dropped last one.
+    With `drop_first` the alphabetically first level has no column and a level unseen in training is an error: indexing
+    in descending order makes the first level the last one, which the encoder drops. Otherwise every level has a column
+    and unseen levels share one more.
     """
     filled = [f"{c}__filled" for c in numeric]
     stages: list = []
@@ -33,7 +35,10 @@ def feature_stages(numeric: Sequence[str], categorical: Sequence[str] = (), drop
         indexed = [f"{c}__index" for c in categorical]
         coded = [f"{c}__code" for c in categorical]
         stages += [
-            StringIndexer(inputCols=list(categorical), outputCols=indexed, stringOrderType="alphabetDesc", handleInvalid="keep"),
+            StringIndexer(
+                inputCols=list(categorical), outputCols=indexed, stringOrderType="alphabetDesc",
+                handleInvalid="error" if drop_first else "keep",
+            ),
             OneHotEncoder(inputCols=indexed, outputCols=coded, dropLast=drop_first),
         ]
         parts += coded
