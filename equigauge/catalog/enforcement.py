@@ -13,7 +13,7 @@ from equigauge.catalog.volumes import COHORT_SQL, cohort_rows
 from equigauge.operators.frames import combine
 from equigauge.plans import provenance, report
 from equigauge.plans.enforce import enforce, enforce_metrics
-from equigauge.sources.policies import Control
+from equigauge.sources.policies import Control, raw_texts, resolve
 
 QUERIES, ORACLES = {}, {}
 
@@ -88,9 +88,9 @@ SELECT policy_id, requirement_id, control_id, metric_key, round(v, 6) AS actual_
   v IS NOT NULL AS evaluated FROM m""")
 def enforce_policy_files(spark: SparkSession, folder: str) -> DataFrame:
     """Two policy documents of different shape on one table; a control without its column is not evaluated."""
-    run = enforce(
-        decisions(spark, folder), f"{POLICIES}/*.yaml", target="target", prediction="prediction", language="lang"
-    )
+    texts = {p.name.split(".")[0]: p.read_text() for p in sorted(POLICIES.glob("*.yaml"))}
+    policy = resolve(raw_texts(spark, texts))
+    run = enforce(decisions(spark, folder), policy, target="target", prediction="prediction", language="lang")
     return rounded(run.results.select(
         "policy_id", "requirement_id", "control_id", "metric_key", "actual_value", "operator", "threshold", "severity",
         "passed", "evaluated",
