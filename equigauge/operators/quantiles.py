@@ -13,12 +13,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from equigauge.functions.clean import finite
-from equigauge.session import attach
+from equigauge.operators.running import running_total
+from equigauge.session import attach, settle
 
 ACCURACY = 20_000
 MARGIN = 8.0 / ACCURACY
 #: Up to this many values a margin can be less than a rank, and the bracket is the whole range.
 FEW = 10_000
+#: Beyond this many values the kept ones are ranked in pieces.
+MANY = 100_000_000
 
 
 def exact_quantiles(
@@ -49,11 +52,14 @@ def exact_quantiles(
     brackets = brackets.select(*keys, "n", *limits)
     fields = ["n", *[f"{end}{i}" for i in range(k) for end in ("lo", "hi")]]
 
+    rows = 0
     if keys:
         placed = attach(values, brackets, keys)
     else:
-        row = brackets.select(F.struct(*fields).alias("b"))
-        placed = values.withColumn("b", row.scalar()).select("v", *[F.col("b")[c].alias(c) for c in fields])
+        one = brackets.select(*fields).first()
+        rows = one["n"] if one else 0
+        types = dict(brackets.dtypes)
+        placed = values.select("v", *[F.lit(one[c] if one else None).cast(types[c]).alias(c) for c in fields])
 
     # A value inside a bracket stays; all others fold into the end of the last bracket below them, marked as a gap.
     inside = F.lit(False)
@@ -63,10 +69,13 @@ def exact_quantiles(
         below = F.greatest(below, F.when(F.col(f"hi{i}") < F.col("v"), F.col(f"hi{i}")))
     kept = placed.select(*keys, "n", F.when(inside, F.col("v")).otherwise(below).alias("at"), (~inside).alias("gap"))
     counted = kept.groupBy(*keys, "n", "at", "gap").agg(F.count(F.lit(1)).alias("c"))
-    upto = F.sum("c").over(
-        Window.partitionBy(*keys).orderBy("at", "gap").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    ranked = counted.withColumn("upto", upto)
+    if rows > MANY:
+        ranked = _ranked_in_pieces(counted)
+    else:
+        upto = F.sum("c").over(
+            Window.partitionBy(*keys).orderBy("at", "gap").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        )
+        ranked = counted.withColumn("upto", upto)
     found = []
     for i, p in enumerate(probs):
         pos = F.lit(float(p)) * (F.col("n") - 1)
@@ -84,6 +93,17 @@ def exact_quantiles(
     return one.select(*keys, "n", *[at(i, p).alias(f"{name}_{i}") for i, p in enumerate(probs)])
 
 
+def _ranked_in_pieces(counted: DataFrame) -> DataFrame:
+    """Running counts over many kept values, split over tasks. At one position the gap comes after the value."""
+    at_value = F.sum(F.when(~F.col("gap"), F.col("c")).otherwise(0)).alias("own")
+    pairs = settle(counted.groupBy("n", "at").agg(F.sum("c").alias("c"), at_value))
+    total = running_total(pairs, "at", {"through": "c"})
+    after_gap = F.struct(F.col("through").alias("upto"), F.lit(True).alias("gap"))
+    after_own = F.struct((F.col("through") - F.col("c") + F.col("own")).alias("upto"), F.lit(False).alias("gap"))
+    steps = F.array_compact(F.array(F.when(F.col("own") > 0, after_own), F.when(F.col("own") < F.col("c"), after_gap)))
+    return total.select("n", "at", F.inline(steps))
+
+
 def five_numbers(df: DataFrame, group: str, value: str) -> DataFrame:
     """Minimum, quartiles and maximum per group, with the box-plot whiskers at 1.5 times the quartile range."""
     quartiles = exact_quantiles(df, value, [0.0, 0.25, 0.5, 0.75, 1.0], [group])

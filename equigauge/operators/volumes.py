@@ -69,15 +69,38 @@ def spine_mask(predicted_class: Column | str, classes: Sequence[int] | Column |
     return c.isin(*classes).cast("int") if classes else c.isin(*SPINE_CLASSES).cast("int")
 
 
-def _pieces(rows: DataFrame, at: str, pieces: int) -> DataFrame:
-    """Cut the scale of `at` into pieces of about equal row counts, so one long series does not sit in one task."""
-    probs = F.array(*[F.lit(k / pieces) for k in range(1, pieces)])
-    bounds = rows.agg(F.percentile_approx(F.col(at).cast("double"), probs, 2_000).alias("b")).first()["b"] or []
-    v = F.col(at).cast("double")
-    return rows.withColumn("_piece", sum(((v > b).cast("int") for b in sorted(set(bounds))), F.lit(0)))
+#: Rows one piece of a scale should hold, the most pieces, and how many bounds are compared at a time.
+PIECE_ROWS = 1_000_000
+MOST_PIECES = 1024
+STEP = 32
+
 
+def _pieces(rows: DataFrame, at: str, pieces: int | None) -> DataFrame:
+    """Cut the scale of `at` into pieces of about equal row counts, so one long series does not sit in one task.
 
-def gaps(rows: DataFrame, series: str, at: str, pieces: int = 16) -> DataFrame:
+    Without a given number there are as many pieces as the row count asks for.
+    """
+    v = F.col(at).cast("double")
+    probs = [k / MOST_PIECES for k in range(1, MOST_PIECES)]
+    seen = rows.agg(
+        F.percentile_approx(v, F.array(*[F.lit(p) for p in probs]), 10_000).alias("b"), F.count(F.lit(1)).alias("n")
+    ).first()
+    wanted = pieces or min(max(-(-seen["n"] // PIECE_ROWS), 1), MOST_PIECES)
+    every = seen["b"] or []
+    bounds = sorted({every[k * MOST_PIECES // wanted - 1] for k in range(1, wanted)}) if every else []
+    if len(bounds) <= STEP:
+        return rows.withColumn("_piece", sum(((v > b).cast("int") for b in bounds), F.lit(0)))
+    # Two rounds of comparisons: first with every STEP-th bound, then with the bounds in between.
+    coarse = bounds[STEP - 1::STEP]
+    fine = [bounds[k * STEP:(k + 1) * STEP - 1] for k in range(len(coarse) + 1)]
+    cell = F.col("_cell")
+    columns = [F.array(*[F.lit(f[j] if j < len(f) else None).cast("double") for f in fine]) for j in range(STEP - 1)]
+    inner = sum((F.coalesce((v > F.element_at(c, cell + 1)).cast("int"), F.lit(0)) for c in columns), F.lit(0))
+    placed = rows.withColumn("_cell", sum(((v > b).cast("int") for b in coarse), F.lit(0)))
+    return placed.withColumn("_piece", cell * STEP + inner).drop("_cell")
+
+
+def gaps(rows: DataFrame, series: str, at: str, pieces: int | None = None) -> DataFrame:
     """Distinct positions of each series with their multiplicity and the gap to the previous position.
 
     Equal positions are counted before the shuffle. The gap at the start of a piece comes from the largest position
@@ -94,7 +117,7 @@ def gaps(rows: DataFrame, series: str, at: str, pieces: int = 16) -> DataFrame:
     return joined.select(series, at, "multiplicity", (F.col(at) - previous).alias("gap"))
 
 
-def spacing_stats(rows: DataFrame, series: str, at: str, pieces: int = 16) -> DataFrame:
+def spacing_stats(rows: DataFrame, series: str, at: str, pieces: int | None = None) -> DataFrame:
     """Mean, population deviation, least and largest gap per series, and flags for uneven or repeated positions.
 
     A position that occurs c times adds c - 1 gaps of 0.
@@ -126,7 +149,7 @@ def mean_step(rows: DataFrame, series: str, at: str, thickness: str | None = Non
     return one.select(series, "n", F.when((step == 0) | step.isNull(), F.lit(1.0)).otherwise(step).alias("step"))
 
 
-def slice_index(rows: DataFrame, series: str, at: str, tie: str, pieces: int = 16) -> DataFrame:
+def slice_index(rows: DataFrame, series: str, at: str, tie: str, pieces: int | None = None) -> DataFrame:
     """Zero-based rank of each row in its series by position (unreadable counts as 0), ties by `tie`.
 
     Ranked within pieces of the scale and shifted by the rows of the series in earlier pieces.

@@ -23,6 +23,16 @@ def test_quantiles_match_linear_interpolation(spark, n):
     np.testing.assert_allclose([row[f"q_{i}"] for i in range(len(probs))], np.quantile(xs, probs), rtol=1e-12, atol=1e-12)
 
 
+def test_quantiles_ranked_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "MANY", 10)
+    rng = np.random.default_rng(4)
+    xs = np.where(rng.random(30_000) < 0.3, 5.0, rng.normal(0, 9, 30_000))
+    df = spark.createDataFrame([(float(x),) for x in xs], "v double")
+    probs = [0.0, 0.2, 0.5, 0.77, 1.0]
+    row = quantiles.exact_quantiles(df, "v", probs).first()
+    np.testing.assert_allclose([row[f"q_{i}"] for i in range(5)], np.quantile(xs, probs), rtol=1e-12, atol=1e-12)
+
+
 def test_quantiles_per_group_with_a_hot_group(spark, monkeypatch):
     rng = np.random.default_rng(3)
     rows = [("hot" if i % 3 else f"g{i % 40}", float(round(x, 3))) for i, x in enumerate(rng.exponential(9, 24_000))]
@@ -126,7 +136,7 @@ def series_rows(seed=1):
     return rows + [(random.choice("abc"), round(random.uniform(0, 50), 1)) for _ in range(200)] + [("single", 4.0)]
 
 
-@pytest.mark.parametrize("pieces", [1, 16])
+@pytest.mark.parametrize("pieces", [None, 16, 300])
 def test_spacing_of_a_hot_series_with_ties(spark, pieces):
     rows = series_rows()
     df = spark.createDataFrame(rows, "s string, z double").repartition(6)
@@ -139,10 +149,11 @@ def test_spacing_of_a_hot_series_with_ties(spark, pieces):
         assert got[s]["uneven"] == bool(d.std() > 0.1) and got[s]["repeated"] == bool(d.min() < 0.01)
 
 
-def test_slice_index_of_a_hot_series(spark):
+@pytest.mark.parametrize("pieces", [None, 7, 200])
+def test_slice_index_of_a_hot_series(spark, pieces):
     rows = [(s, z if i % 9 else None, i) for i, (s, z) in enumerate(series_rows(2))]
     df = spark.createDataFrame(rows, "s string, z double, i int").repartition(6)
-    got = {r["i"]: r["slice"] for r in volumes.slice_index(df, "s", "z", "i").collect()}
+    got = {r["i"]: r["slice"] for r in volumes.slice_index(df, "s", "z", "i", pieces).collect()}
     for s in {r[0] for r in rows}:
         order = sorted(((z or 0.0), i) for k, z, i in rows if k == s)
         assert [got[i] for _, i in order] == list(range(len(order)))
