@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from equigauge.functions.literals import doubles
 from equigauge.functions.ratios import ratio
 from equigauge.operators.running import last_at_most, running_total
 from equigauge.session import attach, settle, small_or_none
@@ -98,8 +99,7 @@ def _ordered(cell: DataFrame, whole: DataFrame, keys: list[str]) -> DataFrame:
         run = attach(runs, found, ["c"])
     else:
         table = steps.orderBy("i").collect()
-        shares = F.array(*[F.lit(r["q"]) for r in table])
-        sums = F.array(F.lit(0.0), *[F.lit(r["through"]) for r in table])
+        shares, sums = doubles(r["q"] for r in table), doubles([0.0, *[r["through"] for r in table]])
         run = runs.withColumn("t", F.size(F.filter(shares, lambda q: q <= F.col("c"))))
         run = run.withColumn("t_through", F.element_at(sums, F.col("t") + 1))
     t = F.least(F.greatest(F.col("t"), F.col("i") - 1), F.col("last"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from equigauge.functions.literals import doubles
+
 PIECES = 256
 
 
@@ -14,7 +16,7 @@ def running_total(df: DataFrame, order: str, values: dict[str, str], pieces: int
     The scale is cut into pieces by a sketch. Each piece is summed by itself and shifted by the total of the pieces
     before it; only those totals, at most `pieces` rows, meet in one task.
     """
-    probs = F.array(*[F.lit(k / pieces) for k in range(1, pieces)])
+    probs = doubles(k / pieces for k in range(1, pieces))
     bounds = df.agg(F.percentile_approx(F.col(order).cast("double"), probs, 10_000).alias("b")).scalar()
     placed = df.withColumn("_bounds", bounds).withColumn(
         "_piece", F.size(F.filter("_bounds", lambda b: b < F.col(order).cast("double")))

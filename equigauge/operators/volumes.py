@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from equigauge.functions.literals import doubles
 from equigauge.functions.ratios import ratio
 from equigauge.session import attach
 
@@ -83,7 +84,7 @@ def _pieces(rows: DataFrame, at: str, pieces: int | None) -> DataFrame:
     v = F.col(at).cast("double")
     probs = [k / MOST_PIECES for k in range(1, MOST_PIECES)]
     seen = rows.agg(
-        F.percentile_approx(v, F.array(*[F.lit(p) for p in probs]), 10_000).alias("b"), F.count(F.lit(1)).alias("n")
+        F.percentile_approx(v, doubles(probs), 10_000).alias("b"), F.count(F.lit(1)).alias("n")
     ).first()
     wanted = pieces or min(max(-(-seen["n"] // PIECE_ROWS), 1), MOST_PIECES)
     every = seen["b"] or []
@@ -94,7 +95,7 @@ def _pieces(rows: DataFrame, at: str, pieces: int | None) -> DataFrame:
     coarse = bounds[STEP - 1::STEP]
     fine = [bounds[k * STEP:(k + 1) * STEP - 1] for k in range(len(coarse) + 1)]
     cell = F.col("_cell")
-    columns = [F.array(*[F.lit(f[j] if j < len(f) else None).cast("double") for f in fine]) for j in range(STEP - 1)]
+    columns = [doubles(f[j] if j < len(f) else None for f in fine) for j in range(STEP - 1)]
     inner = sum((F.coalesce((v > F.element_at(c, cell + 1)).cast("int"), F.lit(0)) for c in columns), F.lit(0))
     placed = rows.withColumn("_cell", sum(((v > b).cast("int") for b in coarse), F.lit(0)))
     return placed.withColumn("_piece", cell * STEP + inner).drop("_cell")
