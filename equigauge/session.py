@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -32,18 +36,47 @@ def build_session(app: str = "equigauge", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+_folders: list[tuple[SparkSession, str]] = []
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh path under the folder the cluster names in `spark.checkpoint.dir`.
+    """A fresh path under the folder the cluster names in `spark.checkpoint.dir`, else under the warehouse.
+
+    Both are storage that every executor reaches. `release` removes what the process has made; it runs at exit too.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/work"
+    path = f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    _folders.append((spark, path))
+    return path
+
+
+def release() -> None:
+    """Remove the folders made so far. Frames that still read from them are then of no use."""
+    while _folders:
+        spark, path = _folders.pop()
+        with contextlib.suppress(Exception):  # the session may have ended before
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+atexit.register(release)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once per application.
 
-    Only where that setting is empty and the master is local does it fall back to a temporary folder.
+    Only the archive is built in the driver's temporary folder; Spark's file server hands it to the executors.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        base = tempfile.mkdtemp(prefix="equigauge-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        here = os.path.dirname(os.path.abspath(__file__))
+        folder = tempfile.mkdtemp(prefix="equigauge-")
+        context.addPyFile(shutil.make_archive(f"{folder}/equigauge", "zip", os.path.dirname(here), os.path.basename(here)))
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        _shipped.add(context.applicationId)
 
 
 def settle(df: DataFrame) -> DataFrame:

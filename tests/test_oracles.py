@@ -4,9 +4,9 @@ import pytest
 from compare import difference, duck
 from conftest import SMALL
 
-import __spark_entry__ as entry_points
+from equigauge import catalog
 
-QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, ORACLES = catalog.queries(), catalog.oracles()
 
 
 @pytest.fixture(scope="module")
