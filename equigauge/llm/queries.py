@@ -10,6 +10,7 @@ from equigauge.llm.exact_dedup import exact_dedup
 from equigauge.llm.mixing import mix
 from equigauge.llm.packing import pack
 from equigauge.llm.pii import pii_report
+from equigauge.llm.suffix_dedup import remove_repeats
 from equigauge.llm.token_counts import count_tokens
 from equigauge.session import ship_package
 
@@ -28,6 +29,7 @@ def _over(table: str, operator: Callable[[DataFrame], DataFrame]) -> Callable[[S
 
 QUERIES = {
     "op1_pii": _over("documents", pii_report),
+    "op2_suffix_dedup": _over("documents", lambda docs: remove_repeats(docs, texts=False)),
     "op3_token_counts": _over("documents", lambda docs: count_tokens(docs, tokenizer_path("byte_bpe_50k.json"))),
     "op5_mixing": _over("documents", mix),
     "op6_exact_dedup": _over("documents", exact_dedup),
