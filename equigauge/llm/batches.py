@@ -53,7 +53,7 @@ def repeated_keys(batches: DataFrame, keys_of: Keys, buckets: int) -> DataFrame:
     n = np.uint64(buckets)
 
     def send(batch: pd.DataFrame) -> pd.DataFrame:
-        keys, counts = keys_of(in_order(batch))
+        keys, counts = keys_of(batch)
         bucket = (keys % n).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         rest = ((keys // n) & np.uint64(0xFFFFFFFF)).astype("<u4")[order]

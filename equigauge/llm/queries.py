@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from equigauge.llm.exact_dedup import exact_dedup
 from equigauge.llm.mixing import mix
+from equigauge.llm.ngram_join import jaccard_groups
 from equigauge.llm.packing import pack
 from equigauge.llm.pii import pii_report
 from equigauge.llm.suffix_dedup import remove_repeats
@@ -34,6 +35,7 @@ QUERIES = {
     "op5_mixing": _over("documents", mix),
     "op6_exact_dedup": _over("documents", exact_dedup),
     "op9_packing": _over("documents", lambda docs: pack(docs, tokenizer_path("word_bpe_49k.json"))),
+    "op10_ngram_join": _over("documents", jaccard_groups),
 }
 
 _IP_PART = "0*(25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
