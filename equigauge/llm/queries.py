@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from equigauge.llm.embedding_dedup import near_duplicates
 from equigauge.llm.exact_dedup import exact_dedup
 from equigauge.llm.mixing import mix
 from equigauge.llm.ngram_join import jaccard_groups
@@ -13,6 +14,8 @@ from equigauge.llm.packing import pack
 from equigauge.llm.pii import pii_report
 from equigauge.llm.suffix_dedup import remove_repeats
 from equigauge.llm.token_counts import count_tokens
+from equigauge.llm.toxicity import score_toxicity
+from equigauge.llm.warc import archive_round_trip
 from equigauge.session import ship_package
 
 
@@ -28,12 +31,19 @@ def _over(table: str, operator: Callable[[DataFrame], DataFrame]) -> Callable[[S
     return query
 
 
+def _toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return _over("documents", lambda docs: score_toxicity(docs, spark.read.parquet(f"{folder}/labels.parquet")))(spark, folder)
+
+
 QUERIES = {
     "op1_pii": _over("documents", pii_report),
     "op2_suffix_dedup": _over("documents", lambda docs: remove_repeats(docs, texts=False)),
     "op3_token_counts": _over("documents", lambda docs: count_tokens(docs, tokenizer_path("byte_bpe_50k.json"))),
+    "op4_toxicity": _toxicity,
     "op5_mixing": _over("documents", mix),
     "op6_exact_dedup": _over("documents", exact_dedup),
+    "op7_embedding_dedup": _over("embeddings", near_duplicates),
+    "op8_warc": _over("pages", archive_round_trip),
     "op9_packing": _over("documents", lambda docs: pack(docs, tokenizer_path("word_bpe_49k.json"))),
     "op10_ngram_join": _over("documents", jaccard_groups),
 }
