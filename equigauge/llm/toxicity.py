@@ -1,7 +1,7 @@
 """Toxicity from document labels by multiple-instance learning.
 
 A document is a bag of sentences. A sentence's probability is logistic in the weights of its words and of their first
-letters; a document is toxic if any sentence is, so its score is the noisy-or of them. Document labels alone train it: the
+letters; weights are evidence for toxicity only, never below zero, and shrink unless the labels hold them up; a document is toxic if any sentence is, so its score is the noisy-or of them. Document labels alone train it: the
 gradient reaches the sentences that carry the label, and the same probabilities later point to the offending ones.
 """
 
@@ -25,7 +25,7 @@ from equigauge.llm.text import whole
 TRAIN_ROWS, FEATURES, LEAST_DOCUMENTS = 8_192, 65_536, 5
 #: Lengths of the word starts that are features beside the word.
 STARTS = (4, 5)
-ROUNDS, RATE, DECAY, FIRST_BIAS = 120, 0.15, 1e-5, -6.0
+ROUNDS, RATE, SHRINK, FIRST_BIAS = 60, 0.3, 0.01, -11.0
 THRESHOLD, SENTENCE_THRESHOLD = 0.3, 0.3
 CACHED = 400_000
 #: Code points of text scored at once.
@@ -90,10 +90,10 @@ def fit(texts: list[str], toxic: np.ndarray) -> dict[str, float]:
         pull = np.where(toxic > 0, -1.0 / np.expm1(np.maximum(-clean, 1e-9)), 1.0)
         slope = pull[owners] / (1.0 + np.exp(-z)) / len(texts)
         to_word = np.bincount(words, weights=slope[sentences], minlength=len(vocabulary))
-        step = np.append(np.bincount(of_feature, weights=to_word[of_word], minlength=len(features)) + DECAY * weight, slope.sum())
+        step = np.append(np.bincount(of_feature, weights=to_word[of_word], minlength=len(features)), slope.sum())
         mean, square = 0.9 * mean + 0.1 * step, 0.99 * square + 0.01 * step**2
         move = RATE * (mean / (1 - 0.9**turn)) / (np.sqrt(square / (1 - 0.99**turn)) + 1e-8)
-        weight, bias = weight - move[:-1], bias - move[-1]
+        weight, bias = np.maximum(weight - move[:-1] - SHRINK, 0.0), bias - move[-1]
     return {"": float(bias), **{f: float(w) for f, w in zip(features, weight) if abs(w) > 1e-4}}
 
 
