@@ -87,8 +87,8 @@ def fit(texts: list[str], toxic: np.ndarray) -> dict[str, float]:
         by_word = np.bincount(of_word, weights=weight[of_feature], minlength=len(vocabulary))
         z = bias + np.bincount(sentences, weights=by_word[words], minlength=len(owners))
         clean = _none_toxic(z, owners, len(texts))
-        pull = np.where(toxic > 0, -1.0 / np.expm1(np.maximum(-clean, 1e-9)), 1.0)
-        slope = pull[owners] / (1.0 + np.exp(-z)) / len(texts)
+        pull = np.where(toxic > 0, -1.0 / np.expm1(np.clip(-clean, 1e-9, 700.0)), 1.0)
+        slope = pull[owners] * np.exp(-np.logaddexp(0.0, -z)) / len(texts)
         to_word = np.bincount(words, weights=slope[sentences], minlength=len(vocabulary))
         step = np.append(np.bincount(of_feature, weights=to_word[of_word], minlength=len(features)), slope.sum())
         mean, square = 0.9 * mean + 0.1 * step, 0.99 * square + 0.01 * step**2
@@ -143,7 +143,7 @@ def scored(texts: list[str], words: WordScores, bias: float) -> tuple[np.ndarray
         found = []
         for m in _sentence.finditer(texts[k]):
             logit = bias + sum(words[t] for t in _tokens(m[0].lower()))
-            if 1.0 / (1.0 + np.exp(-logit)) >= SENTENCE_THRESHOLD:
+            if np.exp(-np.logaddexp(0.0, -logit)) >= SENTENCE_THRESHOLD:
                 found.append(f"{m.start()}:{m.end()}")
         places[k] = ",".join(found)
     return scores, places
