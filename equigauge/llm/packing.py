@@ -23,10 +23,11 @@ from equigauge.session import settle
 #: The id that ends every document.
 END = 1
 #: Entries a worker keeps of whitespace-separated chunks and of lower-case words.
-CHUNKS, WORDS = 200_000, 300_000
+CHUNKS, WORDS = 300_000, 500_000
 #: Documents of one output batch.
 BATCH = 512
 _plain = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)")
+_latin = re.compile(r"[a-zß-öø-ÿ]+")
 
 
 class ChunkIds(dict):
@@ -37,10 +38,17 @@ class ChunkIds(dict):
     """
 
     def __init__(self, tokenizer):
+        from tokenizers.pre_tokenizers import ByteLevel
         super().__init__()
         self.tokenizer, self.words = tokenizer, {}
+        self.merge = tokenizer.model.tokenize
+        written = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.letters = {c: written(chr(c))[0][0] for c in range(0xC0, 0x100)}
 
     def encoded(self, text: str) -> bytes:
+        """A word of small Latin letters is one pre-token in normal form, so the merges alone give its ids."""
+        if _latin.fullmatch(text):
+            return np.array([t.id for t in self.merge(text.translate(self.letters))], "<u2").tobytes()
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
 
     def word(self, text: str) -> bytes:
