@@ -68,6 +68,8 @@ def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
     Words are runs of bytes other than blank and tab to carriage return, A-Z in lower case. A text with fewer words is one
     shingle, one without words is empty.
     """
+    if not texts:
+        return []
     data = _FOLD[np.frombuffer(b" ".join([*texts, b""]), np.uint8)]
     ends_of_text = np.cumsum([len(t) + 1 for t in texts])
     space = _SPACE[data]
@@ -90,7 +92,7 @@ def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
     hashes, owners = hashes[order], owners[order]
     new = np.concatenate([[True], (hashes[1:] != hashes[:-1]) | (owners[1:] != owners[:-1])]) if len(hashes) else np.zeros(0, bool)
     hashes, owners = hashes[new], owners[new]
-    out = np.split(hashes, np.searchsorted(owners, np.arange(1, len(texts)))) if texts else []
+    out = np.split(hashes, np.searchsorted(owners, np.arange(1, len(texts))))
     for k in np.flatnonzero((count > 0) & (count < width)):
         total = np.uint64(0)
         for w in words[first[k]:first[k + 1]]:
