@@ -34,7 +34,9 @@ BUCKET_ROWS = 16_384
 BLOCK_ROWS = 4_096
 #: Documents sampled to find shingles so common that they go last in the order, and how many of those are sent out.
 SAMPLE_ROWS, COMMON = 4_096, 65_536
-FANOUT, PAIRS = 8, 8_192
+FANOUT, PAIRS = 8, 4_096
+#: Cells of the table in which pairs are compared exactly.
+TABLE = 1 << 25
 WORD_BITS = 64
 
 _random = np.random.Generator(np.random.PCG64(20_240_229))
@@ -139,9 +141,28 @@ class Similarity:
         """Whether size a is not too small for size b."""
         return a * self.share.denominator >= b * self.share.numerator
 
-    def holds(self, a: np.ndarray, b: np.ndarray) -> bool:
-        both = len(np.intersect1d(a, b, assume_unique=True))
-        return both * self.share.denominator >= (len(a) + len(b) - both) * self.share.numerator
+    def hold(self, sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Which pairs of places in `sets` are similar, exactly.
+
+        The sets of the pairs become rows of bits over the hashes that more than one of them has; pairs whose sets would
+        need more than `TABLE` bits are halved.
+        """
+        places, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+        sizes = np.array([len(sets[k]) for k in places], np.int64)
+        _, column, times = np.unique(np.concatenate([sets[k] for k in places]), return_inverse=True, return_counts=True)
+        shared = times > 1
+        width = int(shared.sum())
+        if len(places) * width > TABLE and len(a) > 1:
+            half = len(a) // 2
+            return np.concatenate([self.hold(sets, a[:half], b[:half]), self.hold(sets, a[half:], b[half:])])
+        number = np.cumsum(shared) - 1
+        common = shared[column]
+        table = np.zeros((len(places), -(-max(width, 1) // WORD_BITS) * WORD_BITS), np.uint8)
+        table[np.repeat(np.arange(len(places)), sizes)[common], number[column[common]]] = 1
+        bits = np.packbits(table, axis=1, bitorder="little").view("<u8")
+        x, y = at[:len(a)], at[len(a):]
+        both = np.bitwise_count(bits[x] & bits[y]).sum(axis=1, dtype=np.int64)
+        return both * self.share.denominator >= (sizes[x] + sizes[y] - both) * self.share.numerator
 
 
 class SignatureTree:
@@ -172,7 +193,7 @@ class SignatureTree:
         out[k] = shared + np.minimum(excess[x[k]], excess[y[k]]) >= like.least_overlap(low[x[k]] + low[y[k]])
         return out
 
-    def link(self, like: Similarity, same: Callable[[int, int], bool] | None = None) -> list[tuple[int, int]]:
+    def link(self, like: Similarity, same: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None) -> list[tuple[int, int]]:
         """A spanning forest, as pairs of places, of the possible pairs, or of those for which `same` holds too."""
         n = len(self.order)
         label, forest = np.arange(n), []
@@ -189,8 +210,11 @@ class SignatureTree:
             fits = self.possible(level, x, y, like)
             x, y = x[fits], y[fits]
             if level == 0:
+                if same is not None and len(x):
+                    true = same(self.order[x], self.order[y])
+                    x, y = x[true], y[true]
                 for a, b in zip(x.tolist(), y.tolist()):
-                    if label[a] != label[b] and (same is None or same(self.order[a], self.order[b])):
+                    if label[a] != label[b]:
                         label[label == label[b]] = label[a]
                         forest.append((int(self.order[a]), int(self.order[b])))
             elif len(x):
@@ -321,7 +345,7 @@ def _true_links(width: int, like: Similarity):
             sets += shingle_sets(part, width)
         ids = block["id"].to_numpy(np.int64)
         tree = SignatureTree(np.array([len(s) for s in sets], np.int64), [bitmap(s) for s in sets])
-        found = tree.link(like, lambda a, b: like.holds(sets[a], sets[b]))
+        found = tree.link(like, lambda a, b: like.hold(sets, a, b))
         return pd.DataFrame([(ids[a], ids[b]) for a, b in found], columns=["u", "v"], dtype=np.int64)
     return run
 
