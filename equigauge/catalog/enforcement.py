@@ -169,7 +169,7 @@ def run_delta(spark: SparkSession, folder: str) -> DataFrame:
     rows = decisions(spark, folder)
     before = enforce(rows, INLINE[:2], target="target", prediction="prediction").results
     after = enforce(_fair(rows), INLINE[:2], target="target", prediction="prediction").results
-    return rounded(report.compare_runs(before, after))
+    return rounded(report.compare_runs(before, after).drop("policy_id"))
 
 
 @registered(f"""WITH {A}, cl AS (SELECT target, count(*) AS n FROM a GROUP BY 1)
@@ -183,15 +183,49 @@ def audits_combined(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(combine(pre, post, phases=["pre", "post"]).select("phase", "control_id", "actual_value"))
 
 
-_HASHED = "sum(CAST('0x' || substr(md5(coalesce(CAST({0} AS VARCHAR), '\\N') || '|' || coalesce({1}, '\\N') || '|' || coalesce({2}, '\\N')), 1, 15) AS BIGINT))"
+def _hashed(*columns: str) -> str:
+    cells = " || ".join(
+        f"coalesce('{c}=' || length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '{c}!')" for c in columns)
+    return f"sha256(CAST(sum(CAST('0x' || substr(md5({cells}), 1, 15) AS BIGINT)) AS VARCHAR))"
 
 
-@registered(f"""SELECT count(*) AS n_rows, sha256(CAST({_HASHED.format('doc_id', 'lang', 'source')} AS VARCHAR)) AS data_hash FROM documents""")
+@registered(f"""SELECT count(*) AS n_rows, {_hashed('doc_id', 'lang', 'source')} AS data_hash FROM documents""")
 def fingerprint(spark: SparkSession, folder: str) -> DataFrame:
     return provenance.fingerprint(table(spark, folder, "documents"), ["doc_id", "lang", "source"])
 
 
-@registered(f"""SELECT 'run-1' AS run_id, count(*) AS n_rows, sha256(CAST({_HASHED.format('o_orderkey', 'o_orderstatus', 'o_orderpriority')} AS VARCHAR)) AS data_hash, 'None' AS mitigation FROM orders""")
+@registered(f"""SELECT 'run-1' AS run_id, count(*) AS n_rows, {_hashed('o_orderkey', 'o_orderstatus', 'o_orderpriority')} AS data_hash, 'None' AS mitigation FROM orders""")
 def run_record(spark: SparkSession, folder: str) -> DataFrame:
     keys = ["o_orderkey", "o_orderstatus", "o_orderpriority"]
     return provenance.run_record(table(spark, folder, "orders"), "run-1", columns=keys).drop("timestamp")
+
+
+GAPS = """
+catalog:
+  control-implementations:
+    - implemented-requirements:
+        - {uuid: lost, control-id: G.1, links: [{href: "#nowhere"}]}
+        - {uuid: unknown, control-id: G.2, props: [{name: metric_key, value: no_such_metric}, {name: operator, value: "<"}, {name: threshold, value: "1"}]}
+        - {uuid: missing, control-id: G.3, props: [{name: metric_key, value: disparate_impact}, {name: "input:dimension", value: no_such_column}, {name: operator, value: gt}, {name: threshold, value: "0.8"}]}
+        - {uuid: kept, control-id: G.4, props: [{name: metric_key, value: accuracy_score}, {name: operator, value: ">="}, {name: threshold, value: "0.4"}]}
+"""
+
+
+@registered(f"""WITH {A}, v AS (SELECT avg(CASE WHEN target = prediction THEN 1.0 ELSE 0.0 END) AS v FROM a)
+SELECT requirement_id, requirement_id = 'kept' AS evaluated, requirement_id = 'kept' AND v >= 0.4 AS passed,
+  CASE WHEN requirement_id = 'kept' THEN round(v, 6) END AS actual_value
+FROM v, (VALUES ('lost'), ('unknown'), ('missing'), ('kept')) t(requirement_id)""")
+def policy_gaps(spark: SparkSession, folder: str) -> DataFrame:
+    """Controls with a link to nowhere, an unknown metric and a missing column stay in the audit, not evaluated."""
+    policy = resolve(raw_texts(spark, {"gaps": GAPS}))
+    run = enforce(decisions(spark, folder), policy, target="target", prediction="prediction")
+    return rounded(run.results.select("requirement_id", "evaluated", "passed", "actual_value"))
+
+
+@registered("""SELECT CAST(o_custkey AS VARCHAR) AS grp, count(*) AS n, round(avg(CASE WHEN o_orderpriority = '1-URGENT' THEN 1.0 ELSE 0.0 END), 6) AS positive_rate
+FROM orders WHERE o_custkey IS NOT NULL GROUP BY o_custkey""")
+def group_rates_all(spark: SparkSession, folder: str) -> DataFrame:
+    """The rates of all groups of a group-rate control, here one per customer."""
+    rows = table(spark, folder, "orders").select("o_custkey", (F.col("o_orderpriority") == "1-URGENT").cast("int").alias("urgent"))
+    control = Control("urgent", "group_min_positive_rate", "gt", 0.0, dimension="o_custkey")
+    return rounded(enforce(rows, [control], target="urgent").least_rates.select("grp", "n", "positive_rate"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from equigauge.catalog.frames import A, C, customers, decisions, rounded, table
+from equigauge.catalog.frames import A, customers, decisions, rounded, table
 from equigauge.operators import reweigh, sampling
 from equigauge.operators.frames import one_hot
 from equigauge.operators.modelling import AuditedModel

@@ -82,11 +82,6 @@ def argmax_index(scores: Column | str) -> Column:
     return (F.array_position(_col(scores), F.array_max(_col(scores))) - 1).cast("int")
 
 
-def in_classes(c: Column | str, classes: Iterable[int]) -> Column:
-    """1 where the class index belongs to the set."""
-    return _col(c).isin(*classes).cast("int")
-
-
 def finite(c: Column | str) -> Column:
     """NaN becomes NULL, so that averages skip it."""
     return F.when(~F.isnan(_col(c)), _col(c))

@@ -1,8 +1,8 @@
 """Counts from which the fairness and performance metrics follow.
 
 A *lens* names the columns that play target, prediction and dimension. Whatever the number of lenses, the source is
-read once, when the counts are built: rows are first counted per distinct combination of all the columns involved, and
-the lenses are laid over those counts. The result has one row per lens, group and class label, with
+read once: every row is laid under all lenses, and one aggregate counts, so each lens has only its own groups and labels
+to combine before the shuffle. The result has one row per lens, group and class label, with
 
 * `n_true`: rows whose target is the label,
 * `n_pred`: rows whose prediction is the label,
@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from equigauge.functions.clean import group_key, label_text
 from equigauge.functions.ratios import harmonic, ratio
-from equigauge.session import small_or_none
 
 
 @dataclass(frozen=True)
@@ -46,13 +45,8 @@ def class_counts(df: DataFrame, lenses: Sequence[Lens], weight: str | None = Non
     """
     needed = list(dict.fromkeys(c for lens in lenses for c in lens.columns))
     types = dict(df.select(*needed).dtypes)
-    counted = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    distinct = df.groupBy(*needed).agg(counted.alias("n"))
-    # The usual case: few combinations. Kept as local rows in one partition, they need no further shuffle and the
-    # table is not read again, however many results are drawn from the counts.
-    small = small_or_none(distinct)
-    if small is not None:
-        distinct = small.coalesce(1)
+    one = F.lit(1).cast("bigint") if weight is None else F.col(weight).cast("bigint")
+    weighed = df.select(*needed, one.alias("_n"))
 
     entries: list[Column] = []
     for lens in lenses:
@@ -60,14 +54,14 @@ def class_counts(df: DataFrame, lenses: Sequence[Lens], weight: str | None = Non
         grp = group_key(*[label_text(d, types[d]) for d in lens.dimension]) if lens.dimension else F.lit("")
         zero = F.lit(0).cast("bigint")
         if lens.prediction is None:
-            entries.append(_entry(lens, grp, y, F.col("n"), zero, zero, y.isNotNull()))
+            entries.append(_entry(lens, grp, y, F.col("_n"), zero, zero, y.isNotNull()))
             continue
         p = label_text(lens.prediction, types[lens.prediction])
         known = y.isNotNull() & p.isNotNull()
-        entries.append(_entry(lens, grp, y, F.col("n"), zero, F.when(y == p, F.col("n")).otherwise(zero), known))
-        entries.append(_entry(lens, grp, p, zero, F.col("n"), zero, known))
+        entries.append(_entry(lens, grp, y, F.col("_n"), zero, F.when(y == p, F.col("_n")).otherwise(zero), known))
+        entries.append(_entry(lens, grp, p, zero, F.col("_n"), zero, known))
 
-    laid = distinct.select(F.inline(F.array(*entries)))
+    laid = weighed.select(F.inline(F.array(*entries)))
     counts = (
         laid.filter(F.col("grp").isNotNull() & F.col("label").isNotNull())
         .groupBy("lens", "positive", "has_prediction", "grp", "label")

@@ -8,8 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from equigauge.session import small_or_none
-
 
 def rename_by_position(df: DataFrame, names: Sequence[str], prefix: str = "Attribute") -> DataFrame:
     """Give the generic columns their real names, only when their number matches."""
@@ -86,23 +84,27 @@ def combine(*results: DataFrame, phases: Sequence[str] | None = None) -> DataFra
     return out
 
 
-def one_hot(df: DataFrame, columns: Sequence[str], drop_first: bool = False, limit: int = 1000) -> DataFrame:
+def one_hot(
+    df: DataFrame, columns: Sequence[str], drop_first: bool = False, levels: Mapping[str, Sequence[str]] | None = None,
+) -> DataFrame:
     """A 0/1 column `name_level` per level in place of each text column; missing and unseen values have none set.
 
-    The levels of all columns come from one pass. More than `limit` of them is an error: wide categories belong in the
-    sparse encoder of the model pipeline.
+    `levels` names the levels per column; without it those of all columns come from one pass. As every level becomes a
+    column of the plan, wide categories belong in the sparse encoder of the model pipeline.
     """
+    named = {c: list(levels[c]) for c in columns} if levels is not None else _levels(df, columns)
+    coded = [
+        F.coalesce((F.col(c).cast("string") == F.lit(level)).cast("int"), F.lit(0)).alias(f"{c}_{level}")
+        for c in columns for level in named[c][1 if drop_first else 0:]
+    ]
+    return df.select(*[c for c in df.columns if c not in columns], *coded)
+
+
+def _levels(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
     long = df.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("level")) for c in columns
     ]))).filter(F.col("level").isNotNull()).distinct()
-    found = small_or_none(long, limit)
-    if found is None:
-        raise ValueError(f"the columns have more than {limit} levels; use the sparse encoder")
     levels: dict[str, list[str]] = {c: [] for c in columns}
-    for name, level in sorted(tuple(r) for r in found.collect()):
+    for name, level in sorted(tuple(r) for r in long.collect()):
         levels[name].append(level)
-    coded = [
-        F.coalesce((F.col(c).cast("string") == F.lit(level)).cast("int"), F.lit(0)).alias(f"{c}_{level}")
-        for c in columns for level in levels[c][1 if drop_first else 0:]
-    ]
-    return df.select(*[c for c in df.columns if c not in columns], *coded)
+    return levels

@@ -17,6 +17,8 @@ from equigauge.session import attach, settle, small_or_none
 #: Hash digits by which a split is narrowed at a time, and the rows of a slot that one task may rank.
 DIGITS = 3
 SLOT_ROWS = 1_000_000
+#: Digits of the whole hash; a slot of that length holds one key.
+HASH_DIGITS = 32
 
 # Sample sizes by scale; None is the whole table.
 SCALES = {"POC": 2_000, "MEDIUM": 10_000, "FULL": None}
@@ -50,20 +52,26 @@ def hash_split(df: DataFrame, key: str, train: float = 0.8) -> DataFrame:
 def exact_split(df: DataFrame, key: str, train: float = 0.8, strata: Sequence[str] = ()) -> DataFrame:
     """`part` so that exactly ceil(train * n) rows of the table, or of each stratum, are for training.
 
-    Rows follow the order of their key hash. The key must be unique. Rows with an unknown stratum have no part.
+    Rows follow the order of their key hash. Rows of one key stay together, so a repeated key at the border may raise the
+    share by its repeats. Rows with an unknown key or stratum have no part and do not count.
     """
     share = Fraction(train).limit_denominator(10_000)
     by = [f"_s{i}" for i in range(len(strata))]
     hashed = df.withColumns({"_h": key_hash(key), **{name: F.col(c) for name, c in zip(by, strata)}})
-    cut = _first_cut(hashed.na.drop(subset=by) if by else hashed, by, share)
-    while (cut.agg(F.max("_n")).first()[0] or 0) > SLOT_ROWS:
-        cut = _finer_cut(hashed, by, cut)
-
-    # The last training row of each stratum; the table itself is then only compared with it.
-    rows = _with_cut(hashed.select(*by, "_h", F.col(key).alias("_k")), by, cut)
-    rank = F.row_number().over(Window.partitionBy(*by, "_cut").orderBy("_h", "_k"))
-    at_cut = rows.filter(F.col("_h").startswith(F.col("_cut"))).withColumn("_rank", rank)
-    last = at_cut.groupBy(*by, "_cut").agg(F.max(F.when(F.col("_rank") == F.col("_take"), F.struct("_h", "_k"))).alias("_l"))
+    cut = _first_cut(hashed.na.drop(subset=["_h", *by]), by, share)
+    while True:
+        most = cut.agg(F.max("_n"), F.max(F.length("_cut"))).first()
+        if (most[0] or 0) <= SLOT_ROWS or most[1] >= HASH_DIGITS:
+            break
+        cut = _finer_cut(hashed.na.drop(subset=["_h", *by]), by, cut)
+
+    # The last training key of each stratum; the table itself is then only compared with it. Keys are counted first, so
+    # the repeats of a key cost one row per task.
+    rows = _with_cut(hashed.na.drop(subset=["_h"]).select(*by, "_h", F.col(key).alias("_k")), by, cut)
+    keys = rows.filter(F.col("_h").startswith(F.col("_cut"))).groupBy(*by, "_cut", "_take", "_h", "_k").agg(F.count(F.lit(1)).alias("_c"))
+    before = Window.partitionBy(*by, "_cut").orderBy("_h", "_k").rowsBetween(Window.unboundedPreceding, -1)
+    at_cut = keys.withColumn("_before", F.coalesce(F.sum("_c").over(before), F.lit(0)))
+    last = at_cut.groupBy(*by, "_cut").agg(F.max(F.when(F.col("_before") < F.col("_take"), F.struct("_h", "_k"))).alias("_l"))
     # With none to take from the slot, training ends before it; a prefix sorts before all its extensions.
     ends = last.select(*by, F.coalesce("_l._h", "_cut").alias("_end_h"), F.col("_l._k").alias("_end_k"))
     if by:
@@ -77,7 +85,7 @@ def exact_split(df: DataFrame, key: str, train: float = 0.8, strata: Sequence[st
     upto = (F.col("_h") < F.col("_end_h")) | ((F.col("_h") == F.col("_end_h")) & (F.col(key) <= F.col("_end_k")))
     # Where no slot holds the split, every row is for training.
     part = F.when(F.col("_end_h").isNull() | F.coalesce(upto, F.lit(False)), "train").otherwise("test")
-    for c in by:
+    for c in ["_h", *by]:
         part = F.when(F.col(c).isNotNull(), part)
     return placed.select(*df.columns, part.alias("part"))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -127,11 +127,15 @@ def spacing_stats(rows: DataFrame, series: str, at: str, pieces: int | None = No
     repeats = F.col("multiplicity") - 1
     sums = per_position.groupBy(series).agg(
         F.sum("multiplicity").alias("n"), F.min(at).alias("first_at"), F.max(at).alias("last_at"),
-        F.sum(F.col("gap").cast("double") * F.col("gap").cast("double")).alias("_squares"),
+        F.count("gap").alias("_gaps"), F.avg(F.col("gap").cast("double")).alias("_center"), F.var_pop(F.col("gap").cast("double")).alias("_spread"),
         F.min("gap").alias("_least"), F.max("gap").alias("_most"), F.max(repeats).alias("_repeats"),
     ).filter(F.col("n") > 1)
     mean = (F.col("last_at") - F.col("first_at")).cast("double") / (F.col("n") - 1)
-    spread = F.sqrt(F.greatest(F.coalesce("_squares", F.lit(0.0)) / (F.col("n") - 1) - mean * mean, F.lit(0.0)))
+    # The gaps of 0 between repeats join the others in closed form, each part about the common mean.
+    off = F.col("_center") - mean
+    among = F.col("_gaps") * F.coalesce(F.col("_spread") + off * off, F.lit(0.0))
+    zeros = F.col("n") - 1 - F.col("_gaps")
+    spread = F.sqrt((among + zeros * mean * mean) / (F.col("n") - 1))
     least = F.when(F.col("_repeats") > 0, F.lit(0).cast("double")).otherwise(F.col("_least").cast("double"))
     return sums.select(
         series, "n", mean.alias("mean_gap"), spread.alias("std_gap"), least.alias("min_gap"),
@@ -242,8 +246,3 @@ def normalized(voxels: DataFrame, patient: str, value: str, low: float = -1.0, h
     span = F.col("_hi") - F.col("_lo")
     scaled = F.when(span == 0, z * low).otherwise((z - F.col("_lo")) / span * (high - low) + low)
     return attach(voxels, ends, [patient]).select(*voxels.columns, scaled.alias("normalized"))
-
-
-def resolve_values(mapping: Mapping[str, int], names: Sequence[str]) -> list[int]:
-    """Class indices of level names, distinct and sorted."""
-    return sorted({mapping[n] for n in names if n in mapping})

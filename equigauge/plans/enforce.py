@@ -1,13 +1,14 @@
 """Judging a table, or precomputed metrics, by the controls of a policy.
 
 Controls are sorted by what they need. All count-based metrics share one pass over the table, all single aggregates
-share another; privacy measures and group-rate checks run one grouping per distinct set of keys.
+share another; each privacy measure and each group-rate check has a grouping of its own.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,8 +22,6 @@ from equigauge.operators.privacy import data_minimization, k_anonymity, l_divers
 from equigauge.operators.quality import _filled, group_positive_rates, smallest_positive_rate
 from equigauge.sources.policies import Control, as_controls, load_controls
 
-GROUPS_IN_ROW = 1000
-
 _VALUES = "idx int, value double, n_rows bigint, groups map<string,double>"
 
 
@@ -67,11 +66,16 @@ class Binding:
 
 @dataclass
 class AuditRun:
-    """Results of an audit; `rates` has the confusion rates of every group that took part, one row each."""
+    """Results of an audit.
+
+    `rates` has the confusion rates of every group that took part, one row each. `least_rates` has the positive rates of
+    every group of the group-rate controls: requirement_id, grp, n, positive_rate.
+    """
 
     results: DataFrame
     rates: DataFrame | None
     controls: list[Control]
+    least_rates: DataFrame | None = None
 
 
 FrameMetric = Callable[[Control, Binding], DataFrame]
@@ -156,15 +160,13 @@ def _minimal(control: Control, bound: Binding) -> DataFrame:
 
 @frame_metric("group_min_positive_rate")
 def _least_rate(control: Control, bound: Binding) -> DataFrame:
+    return smallest_positive_rate(_control_rates(control, bound)).select(*_row(F.col("value"), F.col("n_rows")))
+
+
+def _control_rates(control: Control, bound: Binding) -> DataFrame:
     target = bound.require(control.target_role or "target", "target")
     dimension = bound.require(control.dimension, "dimension")
-    rates = group_positive_rates(bound.df, target, dimension, control.bucket_method, control.buckets)
-    few = rates.orderBy("grp").limit(GROUPS_IN_ROW + 1).agg(
-        F.when(F.count(F.lit(1)) <= GROUPS_IN_ROW, F.map_from_entries(F.collect_list(F.struct("grp", "positive_rate"))))
-    )
-    return smallest_positive_rate(rates).select(
-        "value", F.col("n_rows").cast("bigint").alias("n_rows"), few.scalar().alias("groups")
-    )
+    return group_positive_rates(bound.df, target, dimension, control.bucket_method, control.buckets)
 
 
 def task_of(key: str) -> tuple[Metric | None, str | None]:
@@ -227,10 +229,16 @@ def enforce(
     scalars: list[tuple[int, Column]] = []
     frames: list[DataFrame] = []
     problems: dict[int, str] = {}
+    least: list[DataFrame] = []
     for i, control in enumerate(controls):
         try:
+            if not control.metric_key:
+                raise LookupError(without_metric(control))
             if control.metric_key in FRAME_METRICS:
                 one = FRAME_METRICS[control.metric_key](control, bound)
+                if control.metric_key == "group_min_positive_rate":
+                    least.append(_control_rates(control, bound).select(
+                        F.lit(control.key).alias("requirement_id"), "grp", "n", "positive_rate"))
                 frames.append(one.select(F.lit(i).alias("idx"), "value", "n_rows", "groups"))
             elif control.metric_key in SCALAR_METRICS:
                 scalars.append((i, SCALAR_METRICS[control.metric_key](control, bound)))
@@ -267,7 +275,11 @@ def enforce(
     for frame in frames:
         values = values.unionByName(frame)
     table = control_rows(spark, controls, problems)
-    return AuditRun(judge(table.join(values, "idx", "left"), phase), rates, controls)
+    return AuditRun(judge(table.join(values, "idx", "left"), phase), rates, controls, reduce(DataFrame.unionByName, least) if least else None)
+
+
+def without_metric(control: Control) -> str:
+    return "; ".join(control.warnings) or "no metric is named"
 
 
 def to_controls(spark: SparkSession, policy: object) -> list[Control]:
@@ -295,8 +307,12 @@ def control_rows(spark: SparkSession, controls: Sequence[Control], problems: dic
 
 
 def judge(rows: DataFrame, phase: str | None) -> DataFrame:
-    """Results from controls with their values. The group-rate check passes on equality although it reports `gt`."""
+    """Results from controls with their values.
+
+    The group-rate check passes on equality although it reports `gt`, and its threshold is 0 where none is given.
+    """
     special = F.col("metric_key") == "group_min_positive_rate"
+    rows = rows.withColumn("threshold", F.when(special, F.coalesce("threshold", F.lit(0.0))).otherwise(F.col("threshold")))
     operator = F.when(special, F.lit("gte")).otherwise(F.col("operator"))
     shown = F.when(special, F.lit("gt")).otherwise(F.col("operator"))
     holds = compare(F.col("value"), operator, F.col("threshold"))
@@ -311,22 +327,32 @@ def judge(rows: DataFrame, phase: str | None) -> DataFrame:
 
 
 def enforce_metrics(metrics: DataFrame, policy: object, *, strict: bool = False, phase: str | None = None) -> DataFrame:
-    """Evaluate a policy on precomputed (metric_key, value) rows."""
+    """Evaluate a policy on precomputed (metric_key, value) rows, by dimension too where they have one.
+
+    A control without a value, or whose value is given more than once, is not evaluated; strict mode raises.
+    """
     spark = metrics.sparkSession
     controls = to_controls(spark, policy)
-    wanted = {c.metric_key for c in controls}
-    values = metrics.filter(F.col("metric_key").isin(*wanted)).select(
-        "metric_key", F.col("value").cast("double").alias("value"), F.lit(None).cast("map<string,double>").alias("groups")
-    )
+    by = F.col("dimension") if "dimension" in metrics.columns else F.lit(None).cast("string")
+    given = metrics.filter(F.col("metric_key").isin(*{c.metric_key for c in controls})).groupBy(
+        F.col("metric_key").alias("key"), by.cast("string").alias("by")).agg(
+        F.count(F.lit(1)).alias("times"), F.max(F.col("value").cast("double")).alias("value"))
+    problems = {i: without_metric(c) for i, c in enumerate(controls) if not c.metric_key}
+    rows = control_rows(spark, controls, problems)
+    same = (F.col("metric_key") == F.col("key")) & (F.col("dimension").eqNullSafe(F.col("by")) if "dimension" in metrics.columns else F.lit(True))
+    twice = F.when(F.col("times") > 1, F.lit("the metric is given more than once"))
+    joined = rows.join(given, same, "left").withColumns({
+        "problem": F.coalesce("problem", twice), "groups": F.lit(None).cast("map<string,double>")})
+    results = judge(joined, phase)
     if strict:
-        known = {r[0] for r in values.filter(F.col("value").isNotNull()).select("metric_key").distinct().collect()}
-        if wanted - known:
-            raise NotEvaluable(f"no value for {', '.join(sorted(wanted - known))}")
-    return judge(control_rows(spark, controls, {}).join(values, "metric_key", "left"), phase)
+        open_ = [r[0] for r in results.filter(~F.col("evaluated")).select("requirement_id").collect()]
+        if open_:
+            raise NotEvaluable(f"no single value for {', '.join(sorted(open_))}")
+    return results
 
 
 def gate(results: DataFrame) -> None:
-    """Raise on a failed control; stops at the first few it finds."""
-    failed = results.filter(~F.col("passed")).select("control_id", "message").limit(20).collect()
+    """Raise if a control failed, and name all that did; results have one row per control."""
+    failed = results.filter(~F.col("passed")).select("control_id", "message").collect()
     if failed:
-        raise PolicyViolation("; ".join(f"{r['control_id']}: {r['message']}" for r in failed))
+        raise PolicyViolation(f"{len(failed)} failed: " + "; ".join(f"{r['control_id']}: {r['message']}" for r in failed))

@@ -9,8 +9,16 @@ from pyspark.sql import functions as F
 
 
 def row_hash(columns: Sequence[str]) -> Column:
-    """First 60 bits of the row's md5 as a number; missing values have their own mark."""
-    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in columns])
+    """First 60 bits of the row's md5 as a number.
+
+    Each cell is written with its column's name and its length, or a mark for a missing value that no text can have, so
+    different rows are written differently.
+    """
+    def cell(c: str) -> Column:
+        value = F.col(c).cast("string")
+        return F.coalesce(F.concat(F.lit(f"{c}="), F.length(value), F.lit(":"), value), F.lit(f"{c}!"))
+
+    text = F.concat(*map(cell, columns))
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("decimal(38,0)")
 
 

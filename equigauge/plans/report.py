@@ -69,15 +69,15 @@ def findings(results: DataFrame) -> DataFrame:
 
 
 def compare_runs(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Two runs side by side per requirement, with the change of the value."""
+    """Two runs side by side per policy and requirement, with the change of the value."""
 
     def side(df: DataFrame, name: str) -> DataFrame:
         return df.select(
-            "requirement_id", "metric_key",
+            "policy_id", "requirement_id", "metric_key",
             F.col("actual_value").alias(f"{name}_value"), F.col("passed").alias(f"{name}_passed"),
         )
 
-    joined = side(before, "before").join(side(after, "after"), ["requirement_id", "metric_key"], "full_outer")
+    joined = side(before, "before").join(side(after, "after"), ["policy_id", "requirement_id", "metric_key"], "full_outer")
     return joined.withColumn("delta", F.col("after_value") - F.col("before_value"))
 
 

@@ -24,11 +24,13 @@ _RAW = (
 
 
 def raw_policies(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """One row per requirement, control or inventory item of all documents under the paths; one job for a folder."""
+    """One row per requirement, control or inventory item of all documents under the paths; one job for a folder.
+
+    A policy's id is the path of its document without the extension, so documents of one name stay apart.
+    """
     texts = spark.read.text(paths if isinstance(paths, str) else list(paths), wholetext=True)
-    named = texts.select(
-        "value", F.regexp_extract(F.input_file_name(), r"([^/]+?)(?:\.oscal)?\.ya?ml$", 1).alias("policy_id")
-    )
+    path = F.regexp_replace(F.input_file_name(), "^file:/+", "/")
+    named = texts.select("value", F.regexp_replace(path, r"(?:\.oscal)?\.ya?ml$", "").alias("policy_id"))
     return named.mapInPandas(documents.parse_batches, _RAW)
 
 
@@ -85,7 +87,9 @@ def controls_from_props(rows: DataFrame) -> DataFrame:
         prop("age_buckets", "buckets").try_cast("int").alias("buckets"),
         "props", "warnings",
     )
-    return typed.filter(F.col("metric_key").isNotNull()).to(schemas.CONTROLS)
+    # A control whose link leads nowhere must not vanish: it stays, without a metric, and cannot be evaluated.
+    dangling = F.exists(F.coalesce("warnings", F.array().cast("array<string>")), lambda w: w.startswith("unresolved_link:"))
+    return typed.filter(F.col("metric_key").isNotNull() | dangling).to(schemas.CONTROLS)
 
 
 def read_policies(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -138,7 +142,7 @@ def as_controls(table: DataFrame) -> list[Control]:
         props = r["props"] or {}
         required = props.get("input:required_columns") or props.get("required_columns") or ""
         out.append(Control(
-            control_id=r["control_id"] or r["requirement_id"], metric_key=r["metric_key"], operator=r["operator"],
+            control_id=r["control_id"] or r["requirement_id"], metric_key=r["metric_key"] or "", operator=r["operator"],
             threshold=r["threshold"], requirement_id=r["requirement_id"] or "", policy_id=r["policy_id"] or "inline",
             title=r["title"], description=r["description"] or r["title"], severity=r["severity"], article=r["article"],
             target_role=r["target_role"], prediction_role=r["prediction_role"], dimension=r["dimension"],

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from equigauge import schemas
 from equigauge.functions.clean import finite
 
 
@@ -64,8 +65,9 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*.dcm", id_patt
         spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(folder)
         .select("path", "length")
     )
-    below = F.regexp_replace("path", F.lit(r"^file:/+"), F.lit("/"))
-    inner = F.substring_index(below, folder.rstrip("/").rsplit("/", 1)[-1], -1)
+    local = F.regexp_replace("path", F.lit(r"^file:/+"), F.lit("/"))
+    root = re.sub(r"^file:/+", "/", folder.rstrip("/")) + "/"
+    inner = F.when(local.startswith(root), F.substring(local, len(root) + 1, 2**31 - 1)).otherwise(local)
     return files.select(
         F.regexp_extract("path", id_pattern, 1).alias("owner"), "path", "length",
         F.upper(inner).contains("SEG").alias("is_segmentation"),
@@ -74,7 +76,9 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*.dcm", id_patt
 
 def split_listing(files: DataFrame) -> DataFrame:
     """Scans and segmentations per owner. Long form: one row per file with its rank in path order."""
-    return files.withColumn("kind", F.when(F.col("is_segmentation"), "seg").otherwise("ct")).drop("is_segmentation")
+    kind = F.when(F.col("is_segmentation"), "seg").otherwise("ct")
+    rank = F.row_number().over(Window.partitionBy("owner", "kind").orderBy("path"))
+    return files.withColumn("kind", kind).withColumn("rank", rank).drop("is_segmentation")
 
 
 _METRIC = (
@@ -85,12 +89,9 @@ _METRIC = (
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:
     """Stored results in list form (`[{...}]`) or object form (`{"metrics": [{...}]}`) as flat rows."""
-    text = spark.read.text(path, wholetext=True).select(F.trim("value").alias("value"))
+    text = spark.read.text(path, wholetext=True).select(F.regexp_replace("value", r"^\s+|\s+$", "").alias("value"))
     as_list = F.from_json("value", f"array<{_METRIC}>")
     as_object = F.from_json("value", f"struct<metrics: array<{_METRIC}>>")["metrics"]
     items = F.when(F.col("value").startswith("["), as_list).otherwise(as_object)
-    return text.select(F.inline(items))
-
-
-def read_cohort(spark: SparkSession, path: str) -> DataFrame:
-    return conform(read_table(spark, path), schemas.COHORT)
+    unread = F.raise_error(F.concat(F.lit("no results in: "), F.left("value", F.lit(60)))).cast(f"array<{_METRIC}>")
+    return text.filter("value <> ''").select(F.inline(F.coalesce(items, unread)))

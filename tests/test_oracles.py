@@ -38,4 +38,6 @@ def test_training_is_audited(spark):
 
 
 def test_entry(spark):
-    assert entry_points.entry(spark).count() == 7
+    import __spark_entry__
+
+    assert __spark_entry__.entry(spark).count() == 7

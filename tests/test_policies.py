@@ -123,7 +123,7 @@ def folder(tmp_path):
 
 
 def test_all_shapes_in_one_scan(spark, folder):
-    rows = {(r["policy_id"], r["requirement_id"]): r for r in read_policies(spark, str(folder)).collect()}
+    rows = {(r["policy_id"].rsplit("/", 1)[-1], r["requirement_id"]): r for r in read_policies(spark, str(folder)).collect()}
     assert sorted(k[0] for k in rows) == ["s1", "s2", "s2", "s3", "s4", "s5", "s5", "s5", "s6"]
     assert rows[("s1", "r1")]["quasi_identifiers"] == ["age", "gender"]
     assert len({k for k in rows if k[0] == "s2"}) == 2
@@ -167,7 +167,7 @@ def test_strict_mode_and_gate(spark, folder, table):
     results = enforce(table, path, target="y", age="Attribute13").results
     by_id = {r["requirement_id"]: r for r in results.collect()}
     assert by_id["inner-1"]["evaluated"] and not by_id["dangling"]["evaluated"] and not by_id["dangling"]["passed"]
-    with pytest.raises(PolicyViolation):
+    with pytest.raises(PolicyViolation, match=f"{results.filter('NOT passed').count()} failed"):
         gate(results)
     gate(results.filter("passed"))
 
@@ -189,10 +189,59 @@ def test_group_rate_control_carries_its_groups(spark, table):
         Control("a", "group_min_positive_rate", "gt", 0.25, dimension="age", bucket_method="quantiles", buckets=3),
         Control("x", "group_min_positive_rate", "gt", 0.25, dimension="absent"),
     ]
-    got = {r["control_id"]: r for r in enforce(table, controls, target="y", gender="Attribute9", age="Attribute13").results.collect()}
-    assert set(got["g"]["groups"]) == {"m", "f"} and got["g"]["actual_value"] == 0.5
+    run = enforce(table, controls, target="y", gender="Attribute9", age="Attribute13")
+    got = {r["control_id"]: r for r in run.results.collect()}
+    rates = {(r["requirement_id"], r["grp"]) for r in run.least_rates.collect()}
+    assert {g for k, g in rates if k == "g"} == {"m", "f"} and len({g for k, g in rates if k == "a"}) == 3
+    assert got["g"]["actual_value"] == 0.5
     assert got["g"]["passed"] and got["g"]["operator"] == "gt"
-    assert len(got["a"]["groups"]) == 3 and not got["x"]["passed"] and "absent" in got["x"]["message"]
+    assert not got["x"]["passed"] and "absent" in got["x"]["message"]
+
+
+def test_a_group_rate_without_threshold_is_held_to_zero(spark, table):
+    control = Control("g", "group_min_positive_rate", "gt", None, dimension="Attribute9")
+    row = enforce(table, [control], target="y").results.first()
+    assert row["passed"] and row["evaluated"] and row["threshold"] == 0.0
+
+
+DANGLING = """
+catalog:
+  control-implementations:
+    - implemented-requirements:
+        - {uuid: lost, control-id: L.1, links: [{href: "#nowhere"}]}
+        - {uuid: odd, control-id: L.2, props: [{name: metric_key, value: no_such_metric}, {name: operator, value: "<"}, {name: threshold, value: "1"}]}
+"""
+
+
+def test_a_control_never_vanishes(spark, tmp_path, table):
+    (tmp_path / "gaps.oscal.yaml").write_text(DANGLING)
+    got = {r["requirement_id"]: r for r in enforce(table, str(tmp_path), target="y").results.collect()}
+    assert set(got) == {"lost", "odd"} and not any(r["evaluated"] or r["passed"] for r in got.values())
+    assert got["lost"]["message"] == "unresolved_link:#nowhere"
+    for kept in ("lost", "odd"):
+        controls = [c for c in load_controls(spark, str(tmp_path)) if c.key == kept]
+        with pytest.raises(NotEvaluable):
+            enforce(table, controls, target="y", strict=True)
+    metrics = spark.createDataFrame([("a", 1.0)], "metric_key string, value double")
+    assert enforce_metrics(metrics, str(tmp_path)).filter("NOT evaluated AND NOT passed").count() == 2
+
+
+def test_policies_of_one_name_stay_apart(spark, tmp_path):
+    for k, limit in enumerate(("0.1", "0.9")):
+        place = tmp_path / f"p{k}" / "data_policy.oscal.yaml"
+        place.parent.mkdir()
+        place.write_text(S5.replace('value: "5"', f'value: "{limit}"'))
+    rows = read_policies(spark, [str(tmp_path / "p0"), str(tmp_path / "p1")]).filter("requirement_id = 'inner-1'").collect()
+    assert sorted((r["policy_id"].split("/")[-2], r["threshold"]) for r in rows) == [("p0", 0.1), ("p1", 0.9)]
+
+
+def test_metrics_are_judged_by_dimension(spark):
+    metrics = spark.createDataFrame([("k", "race", 0.1), ("k", "sex", 0.9), ("k", None, 0.5), ("t", None, 1.0), ("t", None, 2.0)], "metric_key string, dimension string, value double")
+    controls = [Control("r", "k", "<", 0.3, dimension="race"), Control("s", "k", "<", 0.3, dimension="sex"), Control("n", "k", "<", 0.3),
+                Control("a", "k", "<", 0.3, dimension="age"), Control("t", "t", "<", 9.0)]
+    got = {r["control_id"]: (r["actual_value"], r["passed"], r["evaluated"]) for r in enforce_metrics(metrics, controls).collect()}
+    assert got["r"] == (0.1, True, True) and got["s"] == (0.9, False, True) and got["n"] == (0.5, False, True)
+    assert got["a"] == (None, False, False) and not got["t"][1] and not got["t"][2]
 
 
 def test_two_controls_of_one_metric_stay_apart(spark, table):

@@ -8,7 +8,7 @@ from equigauge import schemas
 from equigauge.operators import frames
 from equigauge.plans import report
 from equigauge.plans.enforce import enforce
-from equigauge.plans.provenance import run_record
+from equigauge.plans.provenance import fingerprint, run_record
 from equigauge.sources import sinks, tables
 from equigauge.sources.policies import Control
 
@@ -29,12 +29,14 @@ def test_fallback_table_has_the_same_schema(spark, tmp_path):
 
 
 def test_file_listing(spark, tmp_path):
-    for path in ("p1/CT-1/b.dcm", "p1/CT-1/a.dcm", "p1/SEG-1/s.dcm", "p2/CT/x.dcm", "p2/note.txt"):
+    for path in ("p1/CT-1/b.dcm", "p1/CT-1/a.dcm", "p1/SEG-1/s.dcm", "p2/CT/x.dcm", "p2/note.txt", "p3/SEGroot/t.dcm", "p4/SEG_root/u.dcm"):
         file = tmp_path / "root" / path
         file.parent.mkdir(parents=True, exist_ok=True)
         file.write_text("x")
     files = tables.split_listing(tables.list_files(spark, str(tmp_path / "root"), id_pattern=r"([^/]+)/[^/]+/[^/]+$"))
-    assert sorted((r["owner"], r["kind"]) for r in files.collect()) == [("p1", "ct"), ("p1", "ct"), ("p1", "seg"), ("p2", "ct")]
+    assert sorted((r["owner"], r["kind"]) for r in files.collect()) == [
+        ("p1", "ct"), ("p1", "ct"), ("p1", "seg"), ("p2", "ct"), ("p3", "seg"), ("p4", "seg")]
+    assert [r["path"][-5:] for r in files.filter("owner = 'p1' AND kind = 'ct'").orderBy("rank").collect()] == ["a.dcm", "b.dcm"]
     assert "content" not in files._jdf.queryExecution().executedPlan().toString()
     from equigauge.operators.volumes import first_file
 
@@ -45,11 +47,23 @@ def test_file_listing(spark, tmp_path):
 @pytest.mark.parametrize("wrap", [lambda x: x, lambda x: {"metrics": x}])
 def test_results_in_both_forms(spark, tmp_path, wrap):
     items = [{"control_id": "c", "metric_key": "m", "actual_value": 0.5, "passed": True}, {"control_id": "d", "passed": False}]
-    (tmp_path / "r.json").write_text(json.dumps(wrap(items), indent=2))
+    (tmp_path / "r.json").write_text("\n\t " + json.dumps(wrap(items), indent=2) + "\r\n")
     got = tables.read_results(spark, str(tmp_path / "r.json"))
     assert [(r["control_id"], r["passed"]) for r in got.orderBy("control_id").collect()] == [("c", True), ("d", False)]
 
 
+def test_results_of_another_form_are_an_error(spark, tmp_path):
+    (tmp_path / "r.json").write_text("not json")
+    with pytest.raises(Exception, match="no results in"):
+        tables.read_results(spark, str(tmp_path / "r.json")).collect()
+
+
+def test_different_rows_have_different_hashes(spark):
+    tell = lambda *row: fingerprint(spark.createDataFrame([row], "a string, b string")).first()["data_hash"]
+    cases = [("a|b", "c"), ("a", "b|c"), ("\\N", None), (None, "\\N"), ("1:x", ""), ("1", ":x"), (None, None), ("", "")]
+    assert len({tell(*c) for c in cases}) == len(cases)
+
+
 def test_a_rerun_replaces_its_own_rows(spark, tmp_path):
     path = str(tmp_path / "results")
     one = spark.createDataFrame([("p1", 0.9)], "PatientID string, Dice double")
@@ -71,9 +85,9 @@ def results(spark):
 
 
 def test_report_file(spark, tmp_path, results):
-    sinks.write_report(report.report_rows(results), str(tmp_path / "r"), ["# Report", "| Control | Result | Value | Threshold |", "|---|---|---|---|"])
+    sinks.write_report(report.report_rows(results), str(tmp_path / "r"), ["# Findings", "| id | ok | value | limit |", "|---|---|---|---|"])
     lines = [x for f in sorted((tmp_path / "r").glob("part-*")) for x in f.read_text().splitlines()]
-    assert lines == ["# Report", "| Control | Result | Value | Threshold |", "|---|---|---|---|",
+    assert lines == ["# Findings", "| id | ok | value | limit |", "|---|---|---|---|",
                      "| acc | ✅ | 0.750 | 0.5 |", "| dp | ❌ | 0.500 | 0.1 |"]
     section = report.report_sections(results).orderBy("requirement_id").first()["section"]
     assert section.splitlines()[0] == "### ✅ acc" and "- **Result**: 0.7500 >= 0.5000" in section
