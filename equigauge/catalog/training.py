@@ -123,3 +123,14 @@ def train_score_audit(spark: SparkSession, folder: str) -> DataFrame:
     ).fit(train)
     model.predict(rows.filter("part = 'test'"))
     return model.last_audit.results.drop("groups")
+
+
+@registered(f"""WITH {A}, p AS (SELECT *, CAST('0x' || substr(md5(CAST(row_key AS VARCHAR)), 1, 4) AS INTEGER) < 52429 AS training, 1 + (row_key % 7) * 0.1 + n_chars * 1e-5 AS w FROM a),
+r AS (SELECT source, sum(w * target) / sum(w) AS rate FROM p WHERE training GROUP BY source)
+SELECT p.row_key, p.source, p.target, CAST(r.rate > 0.5 AS INTEGER) AS prediction FROM p JOIN r ON p.source = r.source WHERE NOT p.training""")
+def score_by_source(spark: SparkSession, folder: str) -> DataFrame:
+    """A weighted logistic regression on one category gives every row the class of its category's weighted rate."""
+    weight = 1 + (F.col("row_key") % 7) * 0.1 + F.col("n_chars") * 1e-5
+    rows = sampling.hash_split(decisions(spark, folder).select("row_key", "source", "target", weight.alias("weight")), "row_key")
+    model = AuditedModel(MODEL_CONTROLS[2:], {}, "target", [], ["source"], weight="weight").fit(rows.filter("part = 'train'"))
+    return model.predict(rows.filter("part = 'test'")).select("row_key", "source", "target", "prediction")
