@@ -9,27 +9,18 @@ from pyspark.sql import functions as F
 
 from equigauge.catalog.fairness import _CONFUSION
 from equigauge.catalog.frames import A, decisions, rounded, table
+from equigauge.catalog.registry import registry
 from equigauge.catalog.volumes import COHORT_SQL, cohort_rows
 from equigauge.operators.frames import combine
 from equigauge.plans import provenance, report
 from equigauge.plans.enforce import enforce, enforce_metrics
 from equigauge.sources.policies import Control, raw_texts, resolve
 
-QUERIES, ORACLES = {}, {}
+QUERIES, ORACLES, registered = registry()
 
 POLICIES = Path(__file__).parent / "policies"
 
 
-def registered(oracle: str | None = None):
-    def add(fn):
-        QUERIES[fn.__name__] = fn
-        if oracle is not None:
-            ORACLES[fn.__name__] = oracle
-        return fn
-
-    return add
-
-
 INLINE = (
     Control("accuracy", "accuracy_score", ">=", 0.45, description="Share of right decisions"),
     Control("parity", "demographic_parity_diff", "<", 0.10, dimension="lang", severity="high", article="10"),
@@ -41,7 +32,7 @@ INLINE = (
 )
 
 
-def _audit(spark: SparkSession, folder: str) -> DataFrame:
+def audit(spark: SparkSession, folder: str) -> DataFrame:
     return enforce(decisions(spark, folder), INLINE, target="target", prediction="prediction").results
 
 
@@ -68,7 +59,7 @@ _SHOWN = "CASE operator WHEN 'gt' THEN '>' WHEN 'lt' THEN '<' ELSE operator END"
   printf('%.4f ', v) || {_SHOWN} || printf(' %.4f', threshold) AS message, true AS evaluated FROM res""")
 def enforce_table(spark: SparkSession, folder: str) -> DataFrame:
     """Seven controls over two dimensions, one pass over the data."""
-    return rounded(_audit(spark, folder).select(
+    return rounded(audit(spark, folder).select(
         "control_id", "metric_key", "actual_value", "operator", "threshold", "passed", "severity", "message", "evaluated"
     ))
 
@@ -125,7 +116,7 @@ def enforce_metrics_table(spark: SparkSession, folder: str) -> DataFrame:
 @registered(f"""WITH {AUDIT} SELECT severity, count(*) AS total, count(*) FILTER (passed) AS passed, count(*) FILTER (NOT passed) AS failed,
   round(100.0 * count(*) FILTER (passed) / count(*), 6) AS percentage, bool_and(passed) AS overall_pass FROM res GROUP BY severity""")
 def audit_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(report.summary(_audit(spark, folder), "severity"))
+    return rounded(report.summary(audit(spark, folder), "severity"))
 
 
 @registered(f"""WITH {AUDIT} SELECT key, round(CAST(value AS DOUBLE), 6) AS value FROM (
@@ -135,18 +126,18 @@ UNION ALL SELECT 'post_training.governance.' || control_id || '.threshold', thre
 UNION ALL SELECT 'post_training.metrics.' || metric_key, v FROM res
 UNION ALL SELECT 'governance.overall_pass', CASE WHEN bool_and(passed) THEN 1.0 ELSE 0.0 END FROM res)""")
 def metric_log(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(report.metric_log(_audit(spark, folder), "post_training"))
+    return rounded(report.metric_log(audit(spark, folder), "post_training"))
 
 
 @registered(f"""WITH {AUDIT} SELECT control_id AS requirement_id, '| ' || control_id || ' | ' || CASE WHEN passed THEN '✅' ELSE '❌' END || ' | ' || printf('%.3f', v) || ' | ' || CAST(threshold AS VARCHAR) || ' |' AS line FROM res""")
 def report_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return report.report_rows(_audit(spark, folder))
+    return report.report_rows(audit(spark, folder))
 
 
 @registered(f"""WITH {AUDIT} SELECT control_id, CASE WHEN metric_key IN ('accuracy_score', 'class_imbalance', 'disparate_impact') THEN 'calculated' WHEN v <= 0.1 THEN 'low' WHEN v <= 0.2 THEN 'medium' ELSE 'high' END AS risk,
   v IN (0.0, 1.0) AS suspicious, v IS NULL AS missing_value FROM res""")
 def risk_bands(spark: SparkSession, folder: str) -> DataFrame:
-    return report.findings(_audit(spark, folder)).select("control_id", "risk", "suspicious", "missing_value")
+    return report.findings(audit(spark, folder)).select("control_id", "risk", "suspicious", "missing_value")
 
 
 def _fair(rows: DataFrame) -> DataFrame:

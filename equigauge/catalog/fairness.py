@@ -6,21 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from equigauge.catalog.frames import A, B, decisions, returns, rounded
+from equigauge.catalog.registry import registry
 from equigauge.operators.components import Lens, class_counts, class_recall, confusion_long, group_confusion, lens_components
 from equigauge.operators.metrics import measure
 from equigauge.operators.quality import balance, frequency, group_positive_rates
 
-QUERIES, ORACLES = {}, {}
-
-
-def registered(oracle: str | None = None):
-    def add(fn):
-        QUERIES[fn.__name__] = fn
-        if oracle is not None:
-            ORACLES[fn.__name__] = oracle
-        return fn
-
-    return add
+QUERIES, ORACLES, registered = registry()
 
 
 _CONFUSION = """

@@ -6,21 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from equigauge.catalog.frames import A, C, KEYS, customers, decisions, rounded, table
+from equigauge.catalog.registry import registry
 from equigauge.functions import bins, clean
 from equigauge.operators import privacy, quality
 from equigauge.operators.frames import bind_roles, drop_known, numeric_columns, reattach, side_by_side
 
-QUERIES, ORACLES = {}, {}
-
-
-def registered(oracle: str | None = None):
-    def add(fn):
-        QUERIES[fn.__name__] = fn
-        if oracle is not None:
-            ORACLES[fn.__name__] = oracle
-        return fn
-
-    return add
+QUERIES, ORACLES, registered = registry()
 
 
 @registered(f"""WITH {C} SELECT (SELECT count(*) FROM c) AS n_rows,

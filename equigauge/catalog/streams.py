@@ -6,20 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from equigauge.catalog.frames import D, rounded, table, with_decision
+from equigauge.catalog.registry import registry
 from equigauge.session import shared_folder
 from equigauge.streaming import monitor as live
 
-QUERIES, ORACLES = {}, {}
-
-
-def registered(oracle: str | None = None):
-    def add(fn):
-        QUERIES[fn.__name__] = fn
-        if oracle is not None:
-            ORACLES[fn.__name__] = oracle
-        return fn
-
-    return add
+QUERIES, ORACLES, registered = registry()
 
 
 def _events(spark: SparkSession, folder: str) -> DataFrame:
@@ -54,12 +45,12 @@ def stream_monitor(spark: SparkSession, folder: str) -> DataFrame:
 @registered(f"""WITH {_WINDOWS}, r AS (SELECT ws, (tp + fp) / n AS sel, coalesce(tp / nullif(tp + fn, 0), 0.0) AS tpr, coalesce(fp / nullif(fp + tn, 0), 0.0) AS fpr FROM f),
 g AS (SELECT ws, max(sel) - min(sel) AS demographic_parity_diff, greatest(max(tpr) - min(tpr), max(fpr) - min(fpr)) AS equalized_odds_ratio FROM r GROUP BY ws),
 u AS (SELECT ws, metric_key, value FROM g UNPIVOT (value FOR metric_key IN (demographic_parity_diff, equalized_odds_ratio)))
-SELECT epoch_us(ws) AS window_start, metric_key, round(value, 6) AS value, CASE metric_key WHEN 'equalized_odds_ratio' THEN 0.45 ELSE 0.30 END::DOUBLE AS threshold FROM u
-WHERE NOT (value < CASE metric_key WHEN 'equalized_odds_ratio' THEN 0.45 ELSE 0.30 END)""")
+SELECT epoch_us(ws) AS window_start, metric_key, round(value, 6) AS value, CASE metric_key WHEN 'equalized_odds_ratio' THEN 0.23 ELSE 0.12 END::DOUBLE AS threshold FROM u
+WHERE NOT (value < CASE metric_key WHEN 'equalized_odds_ratio' THEN 0.23 ELSE 0.12 END)""")
 def stream_alerts(spark: SparkSession, folder: str) -> DataFrame:
     """Windows in which a gap passes its limit."""
     rows = live.monitor(_events(spark, folder), shared_folder(spark, "alerts"), "ts", "grp", "target", "prediction")
-    limits = [("demographic_parity_diff", "<", 0.30), ("equalized_odds_ratio", "<", 0.45)]
+    limits = [("demographic_parity_diff", "<", 0.12), ("equalized_odds_ratio", "<", 0.23)]
     broken = live.alerts(live.window_gaps(rows), limits)
     return rounded(broken.select(F.unix_micros("window_start").alias("window_start"), "metric_key", "value", "threshold"))
 

@@ -6,22 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from equigauge.catalog.frames import A, customers, decisions, rounded, table
+from equigauge.catalog.registry import registry
 from equigauge.operators import reweigh, sampling
 from equigauge.operators.frames import one_hot
 from equigauge.operators.modelling import AuditedModel
 from equigauge.sources.policies import Control
 
-QUERIES, ORACLES = {}, {}
-
-
-def registered(oracle: str | None = None):
-    def add(fn):
-        QUERIES[fn.__name__] = fn
-        if oracle is not None:
-            ORACLES[fn.__name__] = oracle
-        return fn
-
-    return add
+QUERIES, ORACLES, registered = registry()
 
 
 @registered("SELECT o_orderkey, o_totalprice FROM orders ORDER BY md5(CAST(o_orderkey AS VARCHAR)), o_orderkey LIMIT 2000")
@@ -65,22 +56,11 @@ def reweighed_rates(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(reweigh.weighted_rates(rows, "lang", "target", "weight"))
 
 
-def _smoothing_sql() -> str:
-    """Smoothed class counts of the line number, spelled out from the kernel."""
-    matrix = reweigh.smoothing_matrix(9)
-    cases = " UNION ALL ".join(
-        f"SELECT {i} AS label, CAST((SELECT count(*) FROM lineitem WHERE l_linenumber = {i}) AS BIGINT) AS n, "
-        + " + ".join(f"{w!r} * (SELECT count(*) FROM lineitem WHERE l_linenumber = {j})" for j, w in enumerate(row) if w)
-        + " AS smoothed"
-        for i, row in enumerate(matrix)
-    )
-    return (
-        f"WITH x AS ({cases}) SELECT label, n, round(CAST(smoothed AS DOUBLE), 4) AS smoothed, "
-        "round((1 / (smoothed + 1e-6)) / (SELECT min(1 / (smoothed + 1e-6)) FROM x), 4) AS weight FROM x"
-    )
-
-
-@registered(_smoothing_sql())
+@registered("""WITH c AS (SELECT CAST(i AS INTEGER) AS label, (SELECT count(*) FROM lineitem WHERE l_linenumber = i) AS n FROM range(9) t(i)),
+k AS (SELECT d, exp(-0.5 * d * d) / (SELECT sum(exp(-0.5 * e * e)) FROM range(-4, 5) r(e)) AS w FROM range(-4, 5) q(d)),
+x AS (SELECT a.label, a.n, sum(k.w * b.n) AS smoothed FROM c a, k, c b
+  WHERE b.label = CASE WHEN a.label + d < 0 THEN -a.label - d - 1 WHEN a.label + d > 8 THEN 17 - a.label - d ELSE a.label + d END GROUP BY a.label, a.n)
+SELECT label, n, round(smoothed, 4) AS smoothed, round((1 / (smoothed + 1e-6)) / (SELECT min(1 / (smoothed + 1e-6)) FROM x), 4) AS weight FROM x""")
 def label_smoothing(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(reweigh.smoothed_weights(table(spark, folder, "lineitem"), "l_linenumber", range(9)), 4)
 

@@ -6,22 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from equigauge.catalog.frames import A, SCORES, V, decisions, rounded, table, voxels
+from equigauge.catalog.registry import registry
 from equigauge.functions import clean
 from equigauge.operators import cohort, quantiles, volumes
 from equigauge.operators.frames import left_metadata, pending, register_absent
 from equigauge.operators.volumes import LEVEL_INDEX
 
-QUERIES, ORACLES = {}, {}
-
-
-def registered(oracle: str | None = None):
-    def add(fn):
-        QUERIES[fn.__name__] = fn
-        if oracle is not None:
-            ORACLES[fn.__name__] = oracle
-        return fn
-
-    return add
+QUERIES, ORACLES, registered = registry()
 
 
 def _scores(spark: SparkSession, folder: str) -> DataFrame:
