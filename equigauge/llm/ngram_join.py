@@ -169,27 +169,30 @@ class SignatureTree:
     """Leaves in the given order of size; a level above holds the OR, size range and largest excess of `FANOUT` nodes.
 
     The excess of a set is how many of its hashes fell on bits taken already, so the overlap of two sets is at most the
-    number of bits they share plus the smaller excess.
+    number of bits they share plus the smaller excess. Bitmaps are repeated up to the widest of the tree; the bits that two
+    of them share then count as often as the wider of the two is repeated, which is divided out.
     """
 
     def __init__(self, sizes: np.ndarray, bits: list[np.ndarray]):
         self.order = np.argsort(sizes, kind="stable")
-        wide = max(map(len, bits))
-        leaf = np.stack([np.tile(bits[k], wide // len(bits[k])) for k in self.order])
+        self.wide = max(map(len, bits))
+        leaf = np.stack([np.tile(bits[k], self.wide // len(bits[k])) for k in self.order])
+        width = np.array([len(bits[k]) for k in self.order], np.int64)
         excess = np.array([sizes[k] - np.bitwise_count(bits[k]).sum() for k in self.order], np.int64)
         size = sizes[self.order].astype(np.int64)
-        self.levels = [(leaf, size, size, excess)]
+        self.levels = [(leaf, size, size, excess, width)]
         while len(leaf) > 1:
             at = np.arange(0, len(leaf), FANOUT)
             below = self.levels[-1]
             leaf = np.bitwise_or.reduceat(below[0], at)
-            self.levels.append((leaf, np.minimum.reduceat(below[1], at), np.maximum.reduceat(below[2], at), np.maximum.reduceat(below[3], at)))
+            self.levels.append((leaf, np.minimum.reduceat(below[1], at), *(np.maximum.reduceat(column, at) for column in below[2:])))
 
     def possible(self, level: int, x: np.ndarray, y: np.ndarray, like: Similarity) -> np.ndarray:
-        bits, low, high, excess = self.levels[level]
+        bits, low, high, excess, width = self.levels[level]
         out = like.near(high[x], low[y]) & like.near(high[y], low[x])
         k = np.flatnonzero(out)
         shared = np.bitwise_count(bits[x[k]] & bits[y[k]]).sum(axis=1, dtype=np.int64)
+        shared = -(-shared * np.maximum(width[x[k]], width[y[k]]) // self.wide)
         out[k] = shared + np.minimum(excess[x[k]], excess[y[k]]) >= like.least_overlap(low[x[k]] + low[y[k]])
         return out
 

@@ -154,6 +154,13 @@ def test_tree_loses_no_pair(monkeypatch):
     assert [got.find(k) for k in range(len(sets))] == [want.find(k) for k in range(len(sets))]
 
 
+def test_a_wide_set_does_not_loosen_the_bound_of_others():
+    rng = np.random.default_rng(8)
+    sets = [np.unique(rng.integers(0, 2**63, n, dtype=np.uint64)) for n in (400, 410, 420, 9000)]
+    tree = SignatureTree(np.array([len(s) for s in sets]), [bitmap(s) for s in sets])
+    assert tree.link(Similarity(Fraction(9, 10))) == []
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text(alphabet="aB \n\té", max_size=25), max_size=6), st.integers(1, 4))
 def test_shingle_sets_have_the_right_sizes(texts, width):
