@@ -30,7 +30,7 @@ from equigauge.session import settle
 #: Bytes of text hashed at once, features per batch, entries per bucket, documents of a block compared in one task.
 CHUNK = 1 << 20
 BATCH_ROWS = 8_192
-BUCKET_ROWS = 16_384
+BUCKET_ROWS = 4_096
 BLOCK_ROWS = 4_096
 #: Documents sampled to find shingles so common that they go last in the order, and how many of those are sent out.
 SAMPLE_ROWS, COMMON = 4_096, 65_536
