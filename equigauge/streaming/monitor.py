@@ -136,10 +136,9 @@ def monitor(
 def epoch_audit(
     stream: DataFrame, path: str, epoch: str, audit: Callable[[DataFrame], DataFrame], staging: str | None = None
 ) -> DataFrame:
-    """Collect batch outputs by epoch and audit each epoch that a later one has closed, and the last at the end.
+    """Collect batch outputs by epoch, and audit all epochs when the stream has ended.
 
-    Outputs are appended to a table partitioned by epoch, so nothing piles up on the driver and a closed epoch is read
-    back from its own partition.
+    Outputs are appended to a table partitioned by epoch, so nothing piles up on the driver.
     """
     spark = stream.sparkSession
     staging = staging or shared_folder(spark, "epochs")
