@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from equigauge.llm.batches import BUCKET_KEYS, NO_ID, looked_up, received, reduced, repeated_keys
+from equigauge.llm.caches import cache_of
 from equigauge.llm.components import connected_components
 from equigauge.llm.text import whole
 from equigauge.session import settle
@@ -231,6 +232,7 @@ class SignatureTree:
 
 def _features(width: int, like: Similarity, common):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache_of("ngram_join")  # sets need the room
         last = np.frombuffer(common.value, "<u8")
         for batch in batches:
             ids, at = batch["id"], 0
@@ -314,6 +316,7 @@ def _entries(buckets: int, key_buckets: int):
 def _possible_links(like: Similarity):
     """Of a bucket: a spanning forest, per key, of the pairs that their signatures allow."""
     def run(bucket: pd.DataFrame) -> pd.DataFrame:
+        cache_of("ngram_join")
         entries = np.frombuffer(b"".join(bucket["entries"]), ENTRY)
         words = np.frombuffer(b"".join(bucket["bits"]), "<u8")
         starts = np.cumsum(entries["words"], dtype=np.int64) - entries["words"]

@@ -17,6 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from equigauge.llm.caches import cache_of
 from equigauge.llm.text import whole
 from equigauge.session import settle
 
@@ -70,14 +71,12 @@ class ChunkIds(dict):
         return ids
 
 
-_caches: dict[str, ChunkIds] = {}
-
-
 def _chunks(path: str) -> ChunkIds:
-    if path not in _caches:
+    held = cache_of("packing")
+    if path not in held:
         from tokenizers import Tokenizer
-        _caches[path] = ChunkIds(Tokenizer.from_file(path))
-    return _caches[path]
+        held[path] = ChunkIds(Tokenizer.from_file(path))
+    return held[path]
 
 
 def token_bytes(text: str, path: str) -> bytes:

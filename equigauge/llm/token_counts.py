@@ -18,6 +18,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from equigauge.llm.caches import cache_of
 from equigauge.llm.text import whole
 
 #: The split of byte-level tokenizers, and the string they keep as one special token.
@@ -67,16 +68,14 @@ class Lengths:
         return out
 
 
-_workers: dict[tuple, Lengths] = {}
-
-
 def _counts(path: str, sent) -> object:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = (path, sent.id)
-        if key not in _workers:
-            _workers.clear()
-            _workers[key] = Lengths(path, sent.table())
-        worker = _workers[key]
+        held = cache_of("token_counts")
+        if key not in held:
+            held.clear()
+            held[key] = Lengths(path, sent.table())
+        worker = held[key]
         for batch in batches:
             texts = batch["text"].to_pylist()
             out: list[int] = []

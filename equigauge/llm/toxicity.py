@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import itertools
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -19,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from equigauge.llm.caches import cache_of
 from equigauge.llm.text import whole
 
 #: Labelled documents the classifier is fitted on at most; features it keeps at most, and how many of them must have one.
@@ -149,19 +151,17 @@ def scored(texts: list[str], words: WordScores, bias: float) -> tuple[np.ndarray
     return scores, places
 
 
-_workers: dict[str, WordScores] = {}
-
-
 def with_scores(docs: DataFrame, weights: dict[str, float]) -> DataFrame:
     """`docs` with toxicity_score (0 to 1) and toxicity_sentences, all other columns as they are."""
     sent = docs.sparkSession.sparkContext.broadcast(weights)
-    mark, column = f"{id(sent)}-{len(weights)}", docs.columns.index("text")
+    mark, column = uuid.uuid4().hex, docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if mark not in _workers:
-            _workers.clear()
-            _workers[mark] = WordScores(sent.value)
-        words, bias = _workers[mark], sent.value[""]
+        held = cache_of("toxicity")
+        if mark not in held:
+            held.clear()
+            held[mark] = WordScores(sent.value)
+        words, bias = held[mark], sent.value[""]
         for batch in batches:
             texts = [t or "" for t in batch.column(column).to_pylist()]
             scores, places, at = [], [], 0
