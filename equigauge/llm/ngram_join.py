@@ -33,7 +33,7 @@ CHUNK = 1 << 20
 BATCH_ROWS = 8_192
 BUCKET_ROWS = 4_096
 BLOCK_ROWS = 4_096
-#: Documents sampled to find shingles so common that they go last in the order, and how many of those are sent out.
+#: Documents sampled to find common words, whose shingles go last in the order, and how many of those are sent out.
 SAMPLE_ROWS, COMMON = 4_096, 65_536
 FANOUT, PAIRS = 8, 4_096
 #: Cells of the table in which pairs are compared exactly.
@@ -65,43 +65,68 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
-    """Sorted distinct hashes of the shingles of `width` words of each text.
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, and where the words of each text begin among them (one more than texts).
 
-    Words are runs of bytes other than blank and tab to carriage return, A-Z in lower case. A text with fewer words is one
-    shingle, one without words is empty.
+    Words are runs of bytes other than blank and tab to carriage return, A-Z in lower case.
     """
-    if not texts:
-        return []
     data = _FOLD[np.frombuffer(b" ".join([*texts, b""]), np.uint8)]
     ends_of_text = np.cumsum([len(t) + 1 for t in texts])
-    space = _SPACE[data]
-    edge = np.flatnonzero(np.diff(np.concatenate([[True], space])))
+    edge = np.flatnonzero(np.diff(np.concatenate([[True], _SPACE[data]])))
     starts, ends = edge[::2], edge[1::2]
     sums = np.concatenate([[np.uint64(0)], np.cumsum(_BYTE[data] * _power(_STEP, len(data)))])
     words = _mix((sums[ends] - sums[starts]) * _power(_BACK, len(data) + 1)[starts] + (ends - starts).astype(np.uint64))
-    first = np.searchsorted(starts, np.concatenate([[0], ends_of_text]))
+    return words, np.searchsorted(starts, np.concatenate([[0], ends_of_text]))
+
+
+class WordLevels:
+    """How common words are: 0 for those not in the table, else the number of bits of their count."""
+
+    def __init__(self, hashes: np.ndarray, levels: np.ndarray):
+        self.hashes, self.levels = hashes, levels
+
+    def of(self, words: np.ndarray) -> np.ndarray:
+        if not len(self.hashes):
+            return np.zeros(len(words), np.uint8)
+        at = np.minimum(np.searchsorted(self.hashes, words), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == words, self.levels[at], 0).astype(np.uint8)
+
+
+def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
+    """Sorted distinct hashes of the shingles of `width` words of each text.
+
+    A text with fewer words is one shingle, one without words is empty.
+    """
+    return ranked_sets(texts, width, WordLevels(np.zeros(0, np.uint64), np.zeros(0, np.uint8)))[0]
+
+
+def ranked_sets(texts: list[bytes], width: int, known: WordLevels) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """The shingle sets of the texts, and the level of every shingle: that of its least common word."""
+    if not texts:
+        return [], []
+    words, first = word_hashes(texts)
+    word_levels = known.of(words)
     count = np.diff(first)
     owner = np.repeat(np.arange(len(texts)), count)
-    if len(words) >= width:
-        total = np.zeros(len(words) - width + 1, np.uint64)
-        for k in range(width):
-            total = total * np.uint64(0x9E3779B97F4A7C15) + words[k:len(words) - width + 1 + k]
-        fits = owner[:len(total)] == owner[width - 1:]
-        hashes, owners = _mix(total)[fits], owner[:len(total)][fits]
-    else:
-        hashes, owners = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    n = max(0, len(words) - width + 1)
+    total, level = np.zeros(n, np.uint64), np.full(n, 255, np.uint8)
+    for k in range(width if n else 0):
+        total = total * np.uint64(0x9E3779B97F4A7C15) + words[k:n + k]
+        level = np.minimum(level, word_levels[k:n + k])
+    fits = owner[:n] == owner[width - 1:] if n else np.zeros(0, bool)
+    hashes, owners, level = _mix(total)[fits], owner[:n][fits], level[fits]
     order = np.lexsort((hashes, owners))
-    hashes, owners = hashes[order], owners[order]
+    hashes, owners, level = hashes[order], owners[order], level[order]
     new = np.concatenate([[True], (hashes[1:] != hashes[:-1]) | (owners[1:] != owners[:-1])]) if len(hashes) else np.zeros(0, bool)
-    hashes, owners = hashes[new], owners[new]
-    out = np.split(hashes, np.searchsorted(owners, np.arange(1, len(texts))))
+    hashes, owners, level = hashes[new], owners[new], level[new]
+    cuts = np.searchsorted(owners, np.arange(1, len(texts)))
+    out, levels = np.split(hashes, cuts), np.split(level, cuts)
     for k in np.flatnonzero((count > 0) & (count < width)):
         total = np.uint64(0)
         for w in words[first[k]:first[k + 1]]:
             total = np.uint64((int(total) * 0x9E3779B97F4A7C15 + int(w)) % 2**64)
-        out[k] = _mix(np.array([total + np.uint64(count[k])]))
-    return out
+        out[k], levels[k] = _mix(np.array([total + np.uint64(count[k])])), np.zeros(1, np.uint8)
+    return out, levels
 
 
 def chunks(texts: list[bytes]) -> Iterator[list[bytes]]:
@@ -233,49 +258,44 @@ class SignatureTree:
 def _features(width: int, like: Similarity, common):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache_of("ngram_join")  # sets need the room
-        last = np.frombuffer(common.value, "<u8")
+        known = WordLevels(*(np.frombuffer(x, kind) for x, kind in zip(common.value, ("<u8", "u1"))))
         for batch in batches:
             ids, at = batch["id"], 0
             for part in chunks(batch["bytes"].to_pylist()):
-                sets = shingle_sets(part, width)
-                prefixes, maps = [], []
-                for s in sets:
-                    n = like.prefix(len(s)) if len(s) else 0
-                    if len(last) and n:
-                        late = last[np.minimum(np.searchsorted(last, s), len(last) - 1)] == s
-                        s = np.concatenate([s[~late], s[late]]) if late.any() else s
-                    prefixes.append(s[:n].tobytes())
-                    maps.append(bitmap(s).tobytes())
+                sets, levels = ranked_sets(part, width, known)
+                prefixes = [s[np.argsort(level, kind="stable")[:like.prefix(len(s))]].tobytes() if len(s) else b"" for s, level in zip(sets, levels)]
                 yield pa.RecordBatch.from_arrays([
                     ids.slice(at, len(part)), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
-                    pa.array(prefixes, pa.binary()), pa.array(maps, pa.binary())], ["id", "n", "digest", "prefix", "bits"])
+                    pa.array(prefixes, pa.binary()), pa.array([bitmap(s).tobytes() for s in sets], pa.binary())],
+                    ["id", "n", "digest", "prefix", "bits"])
                 at += len(part)
     return run
 
 
-def _sampled(width: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[int] = Counter()
-        for batch in batches:
-            for part in chunks(batch["bytes"].to_pylist()):
-                for s in shingle_sets(part, width):
-                    seen.update(s.view(np.int64).tolist())
-        many = [(h, n) for h, n in seen.most_common(4 * COMMON) if n > 1]
-        yield pa.RecordBatch.from_arrays([pa.array([h for h, _ in many], pa.int64()), pa.array([n for _, n in many], pa.int64())], ["hash", "n"])
-    return run
+def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    seen: Counter[int] = Counter()
+    for batch in batches:
+        for part in chunks(batch["bytes"].to_pylist()):
+            seen.update(word_hashes(part)[0].view(np.int64).tolist())
+    many = seen.most_common(4 * COMMON)
+    yield pa.RecordBatch.from_arrays([pa.array([h for h, _ in many], pa.int64()), pa.array([n for _, n in many], pa.int64())], ["hash", "n"])
 
 
-def common_shingles(rows: DataFrame, width: int) -> np.ndarray:
-    """Sorted hashes of at most `COMMON` shingles frequent in about `SAMPLE_ROWS` documents drawn from all.
+def common_words(rows: DataFrame) -> tuple[bytes, bytes]:
+    """Sorted hashes and levels of at most `COMMON` words frequent in about `SAMPLE_ROWS` documents drawn from all.
 
-    They go last in the order, which keeps groups small. Any order gives the same links.
+    Shingles go in the order of their least common word, rare ones first, so that prefixes hold what few documents share.
+    Any order gives the same links.
     """
     n = rows.count()
     drawn = rows if n <= SAMPLE_ROWS else rows.sample(SAMPLE_ROWS / n, seed=5)
-    counted = drawn.mapInArrow(_sampled(width), "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n")).filter("n > 3")
-    found = counted.orderBy(F.desc("n"), "hash").limit(COMMON).select("hash").toArrow()["hash"].to_numpy()
-    return np.sort(found.astype(np.int64).view(np.uint64))
+    counted = drawn.mapInArrow(_sampled, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n")).filter("n > 1")
+    found = counted.orderBy(F.desc("n"), "hash").limit(COMMON).toArrow()
+    hashes = found["hash"].to_numpy().astype(np.int64).view(np.uint64)
+    levels = np.frexp(found["n"].to_numpy().astype(np.float64))[1].astype(np.uint8)
+    order = np.argsort(hashes)
+    return hashes[order].tobytes(), levels[order].tobytes()
 
 
 def _first_of_set(batch: pd.DataFrame) -> pd.DataFrame:
@@ -366,7 +386,7 @@ def jaccard_groups(docs: DataFrame, width: int = 3, share: Fraction = Fraction(9
     """
     spark, like = docs.sparkSession, Similarity(share)
     rows = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), whole().cast("binary").alias("bytes"))
-    common = spark.sparkContext.broadcast(common_shingles(rows, width).tobytes())
+    common = spark.sparkContext.broadcast(common_words(rows))
     features = settle(rows.mapInArrow(_features(width, like, common), "id long, n long, digest binary, prefix binary, bits binary"))
     n_rows, n_keys = features.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("prefix")), F.lit(0))).first()
     batch = F.pmod(F.xxhash64("id"), F.lit(n_rows // BATCH_ROWS + 1)).cast("int")
