@@ -39,6 +39,8 @@ FANOUT, PAIRS = 8, 4_096
 #: Cells of the table in which pairs are compared exactly.
 TABLE = 1 << 25
 WORD_BITS = 64
+#: Bits of the map that tells which documents may belong to a block: 1 MB at any size of the corpus.
+MEMBER_BITS = 1 << 23
 
 _random = np.random.Generator(np.random.PCG64(20_240_229))
 _BYTE = _random.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -376,6 +378,20 @@ def _true_links(width: int, like: Similarity):
     return run
 
 
+def _perhaps_in(rows: DataFrame, members: DataFrame) -> DataFrame:
+    """`rows` (id, ...) without most that are not among `members` (node), so their texts need not be moved.
+
+    The hashes of the members set bits in a map of `MEMBER_BITS`, whose words, at most a 64th of that, are sent to all.
+    """
+    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(MEMBER_BITS))
+    words = members.select(bit("node").alias("bit")).groupBy(F.expr("bit div 64").alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 AS int))")).alias("set_bits"))
+    marked = rows.withColumn("bit", bit("id")).withColumn("of_word", F.expr("bit div 64"))
+    kept = marked.join(F.broadcast(words), F.col("of_word") == F.col("word")).filter(
+        F.expr("shiftrightunsigned(set_bits, cast(bit % 64 AS int)) & 1 = 1"))
+    return kept.select(*rows.columns)
+
+
 def jaccard_groups(docs: DataFrame, width: int = 3, share: Fraction = Fraction(9, 10)) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of `docs` (doc_id, text).
 
@@ -403,7 +419,7 @@ def jaccard_groups(docs: DataFrame, width: int = 3, share: Fraction = Fraction(9
     placed = members.join(parts, F.col("block") == F.col("of")).withColumn("mine", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     pairs = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
         "node", "block", F.least("mine", "other").alias("part"), F.greatest("mine", "other").alias("with"))
-    links = rows.join(pairs, F.col("id") == F.col("node")).select("block", "part", "with", "id", "bytes").groupBy(
+    links = _perhaps_in(rows, members).join(pairs, F.col("id") == F.col("node")).select("block", "part", "with", "id", "bytes").groupBy(
         "block", "part", "with").applyInPandas(_true_links(width, like), "u long, v long")
     components = connected_components(links)
     stands = linkable.groupBy("digest", "n").agg(F.min("id").alias("first")).alias("s")
