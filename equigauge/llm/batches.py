@@ -45,19 +45,20 @@ def reduced(keys: np.ndarray, buckets: int) -> np.ndarray:
     return ((keys // n) & np.uint64(0xFFFFFFFF)) * n + keys % n
 
 
-def repeated_keys(batches: DataFrame, keys_of: Keys, buckets: int) -> DataFrame:
+def repeated_keys(batches: DataFrame, keys_of: Keys, buckets: int, count_type: str = "u1") -> DataFrame:
     """(batch, keys, totals): the reduced keys of each batch that occur more than once, and how often in all.
 
-    `keys_of` gives the distinct keys of a batch and how often each occurs there. A batch may get several rows.
+    `keys_of` gives the distinct keys of a batch and how often each occurs there, which counts as at most the largest
+    number of `count_type`. A batch may get several rows.
     """
-    n = np.uint64(buckets)
+    n, most = np.uint64(buckets), np.iinfo(count_type).max
 
     def send(batch: pd.DataFrame) -> pd.DataFrame:
         keys, counts = keys_of(batch)
         bucket = (keys % n).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         rest = ((keys // n) & np.uint64(0xFFFFFFFF)).astype("<u4")[order]
-        counts = np.minimum(counts, 255).astype("u1")[order]
+        counts = np.minimum(counts, most).astype(count_type)[order]
         names, starts = np.unique(bucket[order], return_index=True)
         ends = [*starts[1:], len(order)]
         return pd.DataFrame({
@@ -67,7 +68,7 @@ def repeated_keys(batches: DataFrame, keys_of: Keys, buckets: int) -> DataFrame:
     def answer(bucket: pd.DataFrame) -> pd.DataFrame:
         rests = [np.frombuffer(x, "<u4") for x in bucket["rest"]]
         distinct, at = np.unique(np.concatenate(rests), return_inverse=True)
-        counts = np.frombuffer(b"".join(bucket["counts"]), "u1")
+        counts = np.frombuffer(b"".join(bucket["counts"]), count_type)
         total = np.bincount(at, weights=counts, minlength=len(distinct)).astype(np.int64)[at]
         out, start = [], 0
         for batch, rest in zip(bucket["batch"], rests):

@@ -1,7 +1,8 @@
 """Similarity join on word shingles by signature trees.
 
 A document is the set of hashes of its word shingles. Sets that may reach the wanted Jaccard similarity share a shingle
-among the first few in one order of all shingles (their prefix), so only those of one such key ever meet. A key's
+among the first few in one order of all shingles (their prefix), so only those of one such key ever meet. The
+documents of a busy key are dealt over parts twice, at random; what is then not connected yet meets part by part. A key's
 documents form a signature tree: leaves hold a bitmap of the set's hashes and its size, nodes the OR of the bitmaps below
 and the range of sizes. Two nodes are compared by the largest overlap their bitmaps allow, and a pair that cannot reach
 the wanted overlap is left with all that is below it. What remains ties documents into blocks. In each block a second
@@ -32,6 +33,8 @@ from equigauge.session import settle
 CHUNK = 1 << 20
 BATCH_ROWS = 8_192
 BUCKET_ROWS = 4_096
+#: A key of more entries than this is busy: its entries are dealt over parts of about as many.
+BUSY_ROWS = 4_096
 BLOCK_ROWS = 4_096
 #: Documents sampled to find common words, whose shingles go last in the order, and how many of those are sent out.
 SAMPLE_ROWS, COMMON = 4_096, 65_536
@@ -224,10 +227,14 @@ class SignatureTree:
         out[k] = shared + np.minimum(excess[x[k]], excess[y[k]]) >= like.least_overlap(low[x[k]] + low[y[k]])
         return out
 
-    def link(self, like: Similarity, same: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None) -> list[tuple[int, int]]:
-        """A spanning forest, as pairs of places, of the possible pairs, or of those for which `same` holds too."""
+    def link(self, like: Similarity, same: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None,
+             known: np.ndarray | None = None) -> list[tuple[int, int]]:
+        """A spanning forest, as pairs of places, of the possible pairs, or of those for which `same` holds too.
+
+        Places that are equal in `known` are connected already.
+        """
         n = len(self.order)
-        label, forest = np.arange(n), []
+        label, forest = np.arange(n) if known is None else np.unique(known[self.order], return_inverse=True)[1], []
         top = len(self.levels) - 1
         stack = [(top, np.zeros(1, np.int64), np.zeros(1, np.int64))]
         while stack:
@@ -257,6 +264,29 @@ class SignatureTree:
         return forest
 
 
+def width_bands(sizes: np.ndarray, widths: np.ndarray, like: Similarity) -> Iterator[np.ndarray]:
+    """Places of sets, band by band: those of one width of bitmap, with the narrower ones that are near enough in size.
+
+    Every pair of near sizes is in a band, and no bitmap is repeated beyond the width of a set that it may be similar to.
+    """
+    for wide in np.unique(widths):
+        own = widths == wide
+        at = np.flatnonzero(own | ((widths < wide) & like.near(sizes, sizes[own].min())))
+        if len(at) > 1:
+            yield at
+
+
+def links_of(sizes: np.ndarray, bits: list[np.ndarray], like: Similarity,
+             same: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None, known: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Pairs of places that connect what `SignatureTree.link` connects, from one tree per band of width."""
+    out = []
+    for at in width_bands(sizes, np.array([len(b) for b in bits], np.int64), like):
+        tree = SignatureTree(sizes[at], [bits[k] for k in at])
+        within = None if same is None else lambda a, b, at=at: same(at[a], at[b])
+        out += [(int(at[a]), int(at[b])) for a, b in tree.link(like, within, None if known is None else known[at])]
+    return out
+
+
 def _features(width: int, like: Similarity, common):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache_of("ngram_join")  # sets need the room
@@ -311,32 +341,42 @@ def _keys_of(batch: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
 ENTRY = np.dtype([("key", "<u8"), ("id", "<i8"), ("n", "<i8"), ("digest", "S16"), ("words", "<i4")])
 
 
-def _entries(buckets: int, key_buckets: int):
+def _entries(buckets: int, key_buckets: int, busy_rows: int):
+    """Of a batch: its entries by bucket, or for a busy key by two dealings, each over parts by half of the digest.
+
+    Buckets have part -1. A busy key has parts of its own, and its bucket is the key.
+    """
     def run(batch: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        columns = ["bucket", "entries", "bits"]
+        columns = ["bucket", "part", "entries", "bits"]
         if not len(batch) or not len(answers):
             return pd.DataFrame(columns=columns)
         batch = _first_of_set(batch)
         keys = np.frombuffer(b"".join(batch["prefix"]), "<u8")
         of = np.repeat(np.arange(len(batch)), batch["prefix"].map(len).to_numpy() // 8)
-        many = looked_up(reduced(keys, key_buckets), *received(answers)) > 1
-        keys, of = keys[many], of[many]
-        bucket = (keys % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        keys, of, bucket = keys[order], of[order], bucket[order]
+        totals = looked_up(reduced(keys, key_buckets), *received(answers))
+        many = totals > 1
+        keys, of, totals = keys[many], of[many], totals[many]
+        plain, busy = np.flatnonzero(totals <= busy_rows), np.flatnonzero(totals > busy_rows)
+        parts = -(-totals[busy] // busy_rows)
+        halves = (np.frombuffer(b"".join(batch["digest"]), "<u8").reshape(-1, 2)[of[busy]] % parts[:, None].astype(np.uint64)).astype(np.int64)
+        bucket = np.concatenate([(keys[plain] % np.uint64(buckets)).astype(np.int64), keys[busy].view(np.int64), keys[busy].view(np.int64)])
+        part = np.concatenate([np.full(len(plain), -1), halves[:, 0], halves[:, 1] + parts])
+        take = np.concatenate([plain, busy, busy])
+        order = np.lexsort((part, bucket))
+        bucket, part, keys, of = bucket[order], part[order], keys[take[order]], of[take[order]]
         bits = batch["bits"].tolist()
         entries = np.zeros(len(of), ENTRY)
         entries["key"], entries["id"], entries["n"] = keys, batch["id"].to_numpy(np.int64)[of], batch["n"].to_numpy(np.int64)[of]
         entries["digest"] = np.array(batch["digest"].tolist(), "S16")[of]
         entries["words"] = np.array([len(x) // 8 for x in bits])[of]
-        names, starts = np.unique(bucket, return_index=True)
-        return pd.DataFrame([(name, entries[a:b].tobytes(), b"".join([bits[k] for k in of[a:b].tolist()]))
-                             for name, a, b in zip(names, starts, [*starts[1:], len(of)])], columns=columns)
+        starts = np.flatnonzero(np.append(True, (bucket[1:] != bucket[:-1]) | (part[1:] != part[:-1]))[:len(of)])
+        return pd.DataFrame([(bucket[a], part[a], entries[a:b].tobytes(), b"".join([bits[k] for k in of[a:b].tolist()]))
+                             for a, b in zip(starts, [*starts[1:], len(of)])], columns=columns)
     return run
 
 
 def _possible_links(like: Similarity):
-    """Of a bucket: a spanning forest, per key, of the pairs that their signatures allow."""
+    """Of a bucket or part: links, per key, that connect the pairs that their signatures allow; of a part the busy key too."""
     def run(bucket: pd.DataFrame) -> pd.DataFrame:
         cache_of("ngram_join")
         entries = np.frombuffer(b"".join(bucket["entries"]), ENTRY)
@@ -358,13 +398,74 @@ def _possible_links(like: Similarity):
             ids = entries["id"][a:b]
             if b - a > 1 and (group := ids.tobytes()) not in seen:
                 seen.add(group)
-                tree = SignatureTree(entries["n"][a:b], [words[s:s + n] for s, n in zip(starts[a:b].tolist(), entries["words"][a:b].tolist())])
-                edges.update((int(ids[x]), int(ids[y])) for x, y in tree.link(like))
+                bits = [words[s:s + n] for s, n in zip(starts[a:b].tolist(), entries["words"][a:b].tolist())]
+                edges.update((int(ids[x]), int(ids[y])) for x, y in links_of(entries["n"][a:b], bits, like))
             a = b
-        return pd.DataFrame(sorted(edges), columns=["u", "v"], dtype=np.int64)
+        out = pd.DataFrame(sorted(edges), columns=["u", "v"], dtype=np.int64).assign(busy=pd.array([None] * len(edges), "Int64"))
+        if bucket["part"].iloc[0] < 0:
+            return out
+        return pd.concat([out, pd.DataFrame({"u": [0], "v": [0], "busy": pd.array([bucket["bucket"].iloc[0]], "Int64")})])
+    return run
+
+
+def _of_busy(keys):
+    """(key, id, digest) of every busy key in a prefix."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.frombuffer(keys.value, "<i8")
+        for batch in batches:
+            prefixes = batch["prefix"].to_pylist()
+            held = np.frombuffer(b"".join(prefixes), "<i8")
+            of = np.repeat(np.arange(len(prefixes)), [len(p) // 8 for p in prefixes])
+            hit = np.isin(held, known)
+            take = pa.array(of[hit])
+            yield pa.RecordBatch.from_arrays([pa.array(held[hit]), batch["id"].take(take), batch["digest"].take(take)], ["key", "id", "digest"])
+    return run
+
+
+def _links_between(like: Similarity):
+    """Of two parts of a busy key: links of the possible pairs that are not connected yet."""
+    def run(met: pd.DataFrame) -> pd.DataFrame:
+        cache_of("ngram_join")
+        ids = met["id"].to_numpy(np.int64)
+        bits = [np.frombuffer(x, "<u8") for x in met["bits"]]
+        found = links_of(met["n"].to_numpy(np.int64), bits, like, known=met["label"].to_numpy(np.int64))
+        return pd.DataFrame([(ids[a], ids[b]) for a, b in found], columns=["u", "v"], dtype=np.int64)
     return run
 
 
+def links_left(linkable: DataFrame, keys: np.ndarray, blocks: DataFrame, like: Similarity, busy_rows: int) -> DataFrame:
+    """Links (u, v) under the busy `keys` between documents that are not of one component of `blocks` (node, component).
+
+    Components of at least `busy_rows` entries of a key have parts of their own there, which never meet each other; the
+    other entries of the key are pooled. All other pairs of parts meet, so no task holds more than two parts, and a key
+    whose entries are all connected costs no bitmaps.
+    """
+    sent = linkable.sparkSession.sparkContext.broadcast(np.sort(keys).tobytes())
+    held = linkable.select("id", "digest", "prefix").mapInArrow(_of_busy(sent), "key long, id long, digest binary")
+    least = held.groupBy("key", "digest").agg(F.min("id").alias("id"))
+    light = settle(least.join(blocks, F.col("id") == F.col("node"), "left").select(
+        "key", "id", "digest", F.coalesce("component", "id").alias("label")))
+    counts = light.groupBy("key", "label").agg(F.count(F.lit(1)).alias("many"))
+    several = counts.groupBy("key").agg(
+        F.count(F.lit(1)).alias("labels"), F.sum(F.when(F.col("many") < busy_rows, F.col("many"))).alias("pool")).filter("labels > 1")
+    large = F.col("many") >= busy_rows
+    told = settle(counts.join(several, "key").select(
+        "key", "label", F.when(large, F.col("label")).otherwise(F.lit(NO_ID)).alias("of"),
+        F.ceil(F.when(large, F.col("many")).otherwise(F.col("pool")) / busy_rows).cast("int").alias("parts")))
+    cells = told.select("key", "of", "parts").distinct().select("key", "of", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    first, second = cells.toDF("key", "of1", "part1"), cells.toDF("key", "of2", "part2")
+    ordered = F.struct("of1", "part1") <= F.struct("of2", "part2")
+    pairs = first.join(second, "key").filter(ordered & ((F.col("of1") != F.col("of2")) | (F.col("of1") == NO_ID)))
+    sides = F.array_distinct(F.array(F.struct(F.col("of1").alias("of"), F.col("part1").alias("part")), F.struct(F.col("of2").alias("of"), F.col("part2").alias("part"))))
+    meets = pairs.withColumn("side", F.explode(sides)).select("key", "of1", "part1", "of2", "part2", "side.of", "side.part")
+    placed = light.join(told, ["key", "label"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).drop("parts")
+    whole_of = linkable.join(placed.select("id", "digest").distinct(), ["id", "digest"], "left_semi").groupBy("id", "digest").agg(
+        F.first("n").alias("n"), F.first("bits").alias("bits"))
+    met = placed.join(meets, ["key", "of", "part"]).join(whole_of, ["id", "digest"])
+    return met.select("key", "of1", "part1", "of2", "part2", "id", "label", "n", "bits").groupBy(
+        "key", "of1", "part1", "of2", "part2").applyInPandas(_links_between(like), "u long, v long")
+
+
 def _true_links(width: int, like: Similarity):
     """Of one pair of parts of a block: a spanning forest of the pairs that are similar."""
     def run(block: pd.DataFrame) -> pd.DataFrame:
@@ -372,8 +473,8 @@ def _true_links(width: int, like: Similarity):
         for part in chunks(block["bytes"].tolist()):
             sets += shingle_sets(part, width)
         ids = block["id"].to_numpy(np.int64)
-        tree = SignatureTree(np.array([len(s) for s in sets], np.int64), [bitmap(s) for s in sets])
-        found = tree.link(like, lambda a, b: like.hold(sets, a, b))
+        sizes = np.array([len(s) for s in sets], np.int64)
+        found = links_of(sizes, [bitmap(s) for s in sets], like, lambda a, b: like.hold(sets, a, b))
         return pd.DataFrame([(ids[a], ids[b]) for a, b in found], columns=["u", "v"], dtype=np.int64)
     return run
 
@@ -409,11 +510,15 @@ def jaccard_groups(docs: DataFrame, width: int = 3, share: Fraction = Fraction(9
     linkable = features.filter((F.col("n") > 0) & (F.col("id") != NO_ID))
     batches = linkable.withColumn("batch", batch)
     key_buckets = n_keys // 8 // BUCKET_KEYS + 1
-    repeats = repeated_keys(batches.select("batch", "id", "digest", "prefix"), _keys_of, key_buckets)
+    repeats = repeated_keys(batches.select("batch", "id", "digest", "prefix"), _keys_of, key_buckets, "u2")
     entries = batches.groupBy("batch").cogroup(repeats.groupBy("batch")).applyInPandas(
-        _entries(n_rows // BUCKET_ROWS + 1, key_buckets), "bucket int, entries binary, bits binary")
-    possible = entries.groupBy("bucket").applyInPandas(_possible_links(like), "u long, v long").filter("u != v")
-    blocks = connected_components(possible)
+        _entries(n_rows // BUCKET_ROWS + 1, key_buckets, BUSY_ROWS), "bucket long, part int, entries binary, bits binary")
+    found = settle(entries.groupBy("bucket", "part").applyInPandas(_possible_links(like), "u long, v long, busy long"))
+    blocks = connected_components(found.select("u", "v"))
+    busy = found.filter("busy IS NOT NULL").select("busy").distinct().toArrow()["busy"].to_numpy()
+    if len(busy):
+        left = links_left(linkable, busy, blocks, like, BUSY_ROWS)
+        blocks = connected_components(blocks.toDF("u", "v").union(left))
     members = blocks.select("node", "component").union(blocks.select("component", "component").distinct()).toDF("node", "block")
     parts = members.groupBy(F.col("block").alias("of")).agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("parts"))
     placed = members.join(parts, F.col("block") == F.col("of")).withColumn("mine", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))

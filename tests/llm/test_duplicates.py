@@ -131,6 +131,56 @@ def test_near_copies_in_parts_of_a_block(spark, monkeypatch):
     assert rows_of(jaccard_groups(docs)) == sorted(want, key=repr)
 
 
+def test_busy_keys_are_dealt_over_parts(spark, monkeypatch):
+    import pandas as pd
+    rng = np.random.default_rng(6)
+    base = [f"w{k}" for k in range(150)]
+    rows = [(k, " ".join(base[:j] + [f"new{k}"] + base[j + 1:])) for k, j in enumerate(rng.integers(20, 150, 90).tolist())]
+    rows += [(100 + k, " ".join([f"x{k // 2}", *base[:3], *(f"y{k // 2}-{j}" for j in range(30 + k % 2))])) for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(jaccard(rows), key=repr)
+    assert rows_of(jaccard_groups(docs)) == want
+    monkeypatch.setattr(ngram_join, "BUSY_ROWS", 7)
+    assert rows_of(jaccard_groups(docs.repartition(3))) == want
+
+    # All sets of one key: no group of entries is much larger than a part, and each entry is dealt twice.
+    sets = [np.unique(rng.integers(0, 2**63, 20, dtype=np.uint64)) for _ in range(400)]
+    batch = pd.DataFrame({"batch": 0, "id": range(400), "n": 20, "digest": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets],
+                          "prefix": [np.array([77, 1000 + k], "<u8").tobytes() for k in range(400)], "bits": [bitmap(s).tobytes() for s in sets]})
+    answers = pd.DataFrame({"batch": [0], "keys": [np.array([77], "<u8").tobytes()], "totals": [np.array([400], "<u4").tobytes()]})
+    dealt = ngram_join._entries(3, 1, 40)(batch, answers)
+    counts = [len(e) // ngram_join.ENTRY.itemsize for e in dealt["entries"]]
+    assert max(counts) < 80 and sum(counts) == 800 and not dealt.duplicated(["bucket", "part"]).any()
+
+
+def test_links_left_join_what_dealing_kept_apart(spark):
+    like = Similarity(Fraction(9, 10))
+    whole = np.unique(np.random.default_rng(9).integers(0, 2**63, 100, dtype=np.uint64))
+    sets = {k: np.delete(whole, k) for k in range(30)}
+    rows = [(k, len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), np.array([77], "<u8").tobytes(), bitmap(s).tobytes()) for k, s in sets.items()]
+    linkable = spark.createDataFrame(rows, "id long, n long, digest binary, prefix binary, bits binary")
+    # One component of 20 entries and ten entries of their own, in parts of 4.
+    blocks = spark.createDataFrame([(k, 0) for k in range(1, 20)], "node long, component long")
+    union = Union(range(30))
+    for a, b in [*((k, 0) for k in range(20)), *rows_of(ngram_join.links_left(linkable, np.array([77]), blocks, like, 4))]:
+        union.join(a, b)
+    assert {union.find(k) for k in range(30)} == {0}
+    one = spark.createDataFrame([(k, 0) for k in range(1, 30)], "node long, component long")
+    assert ngram_join.links_left(linkable, np.array([77]), one, like, 4).count() == 0
+
+
+def test_bitmaps_are_not_widened_to_one_far_set():
+    rng = np.random.default_rng(10)
+    like = Similarity(Fraction(9, 10))
+    sizes = np.array([*rng.integers(20, 250, 300), 9000])
+    sets = [np.unique(rng.integers(0, 2**63, n, dtype=np.uint64)) for n in sizes]
+    widths = np.array([len(bitmap(s)) for s in sets])
+    bands = list(ngram_join.width_bands(sizes, widths, like))
+    assert max(widths[at].max() for at in bands) == 4 and not any(300 in at for at in bands)
+    together = {(int(a), int(b)) for at in bands for a in at for b in at}
+    assert all((a, b) in together for a in range(301) for b in range(a) if 10 * min(sizes[a], sizes[b]) >= 9 * max(sizes[a], sizes[b]))
+
+
 def test_tree_loses_no_pair(monkeypatch):
     rng = np.random.default_rng(7)
     like = Similarity(Fraction(4, 5))
