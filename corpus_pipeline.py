@@ -8,21 +8,29 @@ from __future__ import annotations
 
 from fractions import Fraction
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from equigauge.llm import exact_dedup, mixing, ngram_join, packing, toxicity
 from equigauge.llm.queries import tokenizer_path
+from equigauge.llm.text import whole
 from equigauge.session import settle, ship_package
 
 #: Near duplicates: shingles of this many words, and the share of the union that two documents have in common.
 NEAR_WORDS, NEAR_SHARE = 5, Fraction(4, 5)
 
 
-def _without(docs: DataFrame, verdicts: DataFrame, going: str) -> DataFrame:
-    """`docs` without the doc_ids whose verdict is `going`. Rows with a NULL doc_id stay."""
-    gone = verdicts.filter(going).select(F.col("doc_id").alias("stage_gone_id"))
-    return docs.join(gone, F.col("doc_id") == F.col("stage_gone_id"), "left_anti")
+def _digest() -> Column:
+    return F.sha2(whole(), 256)
+
+
+def _once(docs: DataFrame) -> DataFrame:
+    """`docs` with one row per doc_id, NULL included, and text: of rows that repeat both, the least in its other columns."""
+    seen = docs.select(F.col("doc_id").alias("stage_id"), _digest().alias("stage_of")).groupBy("stage_id", "stage_of").count()
+    repeated = settle(seen.filter("count > 1").drop("count"))
+    same = F.col("doc_id").eqNullSafe(F.col("stage_id")) & (_digest() == F.col("stage_of"))
+    least = docs.join(repeated, same).groupBy("stage_id", "stage_of").agg(F.min(F.struct(*docs.columns)).alias("stage_row"))
+    return docs.join(repeated, same, "left_anti").union(least.select("stage_row.*"))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,15 +41,28 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the row with the largest doc_id."""
+    """Of equal texts, one row with the largest doc_id; a row with a NULL doc_id only if there are no others."""
     ship_package(spark)
-    return _without(docs, exact_dedup.exact_dedup(docs), "NOT kept AND keep_id IS NOT NULL")
+    gone = exact_dedup.exact_dedup(docs).filter(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(
+        F.col("doc_id").alias("stage_id"), F.col("text_sha256").alias("stage_of")).distinct()
+    kept = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("stage_id")) & (_digest() == F.col("stage_of")), "left_anti")
+    return _once(settle(kept))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that links of `NEAR_SHARE` reach from each other, the one with the least doc_id."""
+    """Of documents that links of `NEAR_SHARE` reach from each other, the one with the least doc_id, NULL last.
+
+    Documents are told apart by doc_id and text, as a 64-bit hash of both.
+    """
     ship_package(spark)
-    return _without(docs, ngram_join.jaccard_groups(docs, NEAR_WORDS, NEAR_SHARE), "doc_id != component_id")
+    node = F.xxhash64(F.col("doc_id").isNull(), "doc_id", _digest())
+    groups = ngram_join.jaccard_groups(docs.select(node.alias("doc_id"), "text"), NEAR_WORDS, NEAR_SHARE)
+    told = settle(groups.select(F.col("doc_id").alias("stage_node"), "component_id").distinct())
+    named = docs.select(node.alias("stage_of"), "doc_id", _digest().alias("digest")).join(told, F.col("stage_of") == F.col("stage_node"))
+    stays = named.groupBy("component_id").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest", "stage_node")).alias("best"))
+    gone = told.select("stage_node").join(stays.select(F.col("best.stage_node").alias("kept")), F.col("stage_node") == F.col("kept"), "left_anti")
+    return _once(settle(docs.join(gone, node == F.col("stage_node"), "left_anti")))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

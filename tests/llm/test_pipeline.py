@@ -50,3 +50,16 @@ def test_stages_take_odd_and_empty_tables(spark, odd, empty):
 
 def test_mixing_of_extra_columns(spark, odd):
     assert mixing.mixed_documents(odd.withColumnRenamed("n_chars", "taken")).columns[-1] == "taken"
+
+
+def test_verdicts_are_per_row(spark, odd):
+    long = " ".join(f"w{k}" for k in range(60))
+    rows = [(1, "a", None, "s", 1), (5, "a", None, "s", 1), (1, "unique", None, "s", 1), (1, "unique", None, "t", 1), (None, "a", None, "s", 1),
+            (None, "alone", None, "s", 1), (None, "alone", None, "s", 1), (3, long, None, "s", 1), (4, long + " more", None, "s", 1),
+            (4, "clean", None, "s", 1), (None, long + " other", None, "s", 1), (3, "clean too", None, "s", 1)]
+    docs = settle(pipeline.drop_copies(spark, spark.createDataFrame(rows, odd.schema), SMALL))
+    told = lambda df: Counter((r["doc_id"], r["text"]) for r in df.collect())
+    alike = [(5, "a"), (1, "unique"), (None, "alone"), (3, long), (4, "clean"), (3, "clean too")]
+    assert told(docs) == Counter([*alike, (4, long + " more"), (None, long + " other")])
+    assert docs.filter("text = 'unique'").first()["source"] == "s"
+    assert told(pipeline.drop_near_copies(spark, docs, SMALL)) == Counter(alike)
