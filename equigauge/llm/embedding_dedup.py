@@ -21,8 +21,10 @@ from pyspark.sql import functions as F
 from equigauge.llm.components import connected_components
 from equigauge.session import settle
 
-#: Classes per cell aimed at, centroids drawn at most, cells of a vector, classes of a cell compared in one task.
+#: Classes per cell aimed at, centroids drawn at most, cells of a vector at least, classes of a cell compared in one task.
 CELL, CENTROIDS, NEAREST, PART = 128, 16_384, 6, 2_048
+#: A vector goes to one more cell at this many cells, and at every doubling of them.
+FEW_CELLS = 24
 #: Centroids more alike than this are one.
 APART = 0.5
 #: Width of the confidence bound in standard errors.
@@ -77,6 +79,13 @@ def draw_centroids(classes: DataFrame, n: int) -> dict[int, np.ndarray]:
     return out
 
 
+def cells_of(units: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    """The cells of each row. More of them as centroids get more, or close vectors would share one ever more seldom."""
+    near = min(NEAREST + (len(centroids) // FEW_CELLS).bit_length(), len(centroids))
+    return np.concatenate([np.argpartition(-(units[a:a + STRIPE] @ centroids.T), near - 1, axis=1)[:, :near]
+                           for a in range(0, len(units), STRIPE)]).astype(np.int32)
+
+
 _ROW = "dimension int, cell int, id long, copies long, cells array<int>, vector binary, code binary, factor double"
 
 
@@ -93,9 +102,7 @@ def _dealt(sent):
                 if centroids is None:
                     cells = np.zeros((len(at), 1), np.int32)
                 else:
-                    near = min(NEAREST, len(centroids))
-                    cells = np.concatenate([np.argpartition(-(units[a:a + STRIPE] @ centroids.T), near - 1, axis=1)[:, :near]
-                                            for a in range(0, len(at), STRIPE)]).astype(np.int32)
+                    cells = cells_of(units, centroids)
                 many = cells.shape[1]
                 copy = np.repeat(np.arange(len(at)), many)
                 take = pa.array(at[copy])

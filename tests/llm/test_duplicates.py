@@ -264,6 +264,17 @@ def test_recall_at_the_threshold(spark):
     assert 0.9 * true <= got <= true
 
 
+@pytest.mark.parametrize("many", [24, 600, 4096, 16_384])
+def test_recall_of_cells_does_not_fall_with_their_number(many):
+    rng = np.random.default_rng(11)
+    centroids = embedding_dedup.unit(rng.standard_normal((many, 64)))
+    base, other = embedding_dedup.unit(rng.standard_normal((1000, 64))), rng.standard_normal((1000, 64))
+    other = embedding_dedup.unit(other - (other * base).sum(axis=1, keepdims=True) * base)
+    near = 0.905 * base + np.sqrt(1 - 0.905**2) * other
+    cells = zip(embedding_dedup.cells_of(base, centroids), embedding_dedup.cells_of(near, centroids))
+    assert np.mean([len(np.intersect1d(a, b)) > 0 for a, b in cells]) >= 0.995
+
+
 def test_estimates_are_unbiased():
     rng = np.random.default_rng(5)
     a, b = embedding_dedup.unit(rng.standard_normal((300, 64))), embedding_dedup.unit(rng.standard_normal((300, 64)))
