@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from equigauge.llm.decontamination import contamination
 from equigauge.llm.embedding_dedup import near_duplicates
 from equigauge.llm.exact_dedup import exact_dedup
 from equigauge.llm.mixing import mix
@@ -35,6 +36,11 @@ def _toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return _over("documents", lambda docs: score_toxicity(docs, spark.read.parquet(f"{folder}/labels.parquet")))(spark, folder)
 
 
+def _decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    told = _over("documents", lambda docs: contamination(docs, spark.read.parquet(f"{folder}/benchmark.parquet")))(spark, folder)
+    return told.drop("spans", "items")
+
+
 QUERIES = {
     "op1_pii": _over("documents", pii_report),
     "op2_suffix_dedup": _over("documents", lambda docs: remove_repeats(docs, texts=False)),
@@ -46,6 +52,7 @@ QUERIES = {
     "op8_warc": _over("pages", archive_round_trip),
     "op9_packing": _over("documents", lambda docs: pack(docs, tokenizer_path("word_bpe_49k.json"))),
     "op10_ngram_join": _over("documents", jaccard_groups),
+    "op11_decontamination": _decontamination,
 }
 
 _IP_PART = "0*(25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
@@ -107,4 +114,21 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc
 FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 """
 
-ORACLES = {"op1_pii": _pii_sql(), "op5_mixing": _MIXING_SQL, "op6_exact_dedup": _EXACT_SQL}
+_DECONTAMINATION_SQL = r"""
+WITH texts AS MATERIALIZED (SELECT row_number() OVER () AS row, doc_id,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+items AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+windows AS MATERIALIZED (SELECT DISTINCT item, list_slice(w, k, k + least(10, len(w)) - 1) AS p, least(10, len(w)) AS n
+  FROM (SELECT item, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS k FROM items WHERE len(w) > 0)),
+lengths AS (SELECT DISTINCT n FROM windows),
+places AS (SELECT row, n, k, list_slice(w, k, k + n - 1) AS p FROM (SELECT row, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM texts, lengths WHERE len(w) >= n)),
+finds AS MATERIALIZED (SELECT DISTINCT row, k, places.n AS n, item FROM places JOIN windows ON places.p = windows.p AND places.n = windows.n),
+hits AS (SELECT row, count(DISTINCT word) AS n_hit FROM (SELECT row, unnest(range(k, k + n)) AS word FROM finds) GROUP BY row),
+found AS (SELECT row, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT row, item FROM finds) GROUP BY row)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM texts LEFT JOIN hits USING (row) LEFT JOIN found USING (row)
+"""
+
+ORACLES = {"op1_pii": _pii_sql(), "op5_mixing": _MIXING_SQL, "op6_exact_dedup": _EXACT_SQL, "op11_decontamination": _DECONTAMINATION_SQL}

@@ -65,3 +65,30 @@ def jaccard(rows, width=3, part=90, whole=100):
 def rows_of(df):
     """Rows as sorted tuples."""
     return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def bench_words(text):
+    low = (text or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+
+
+def contaminated(docs, items, window=10):
+    """(doc, words, hit words, items) with a dictionary of all windows."""
+    wanted = {}
+    for item, text in items:
+        words = bench_words(text)
+        n = min(window, len(words))
+        for k in range(len(words) - n + 1 if n else 0):
+            wanted.setdefault(tuple(words[k:k + n]), set()).add("" if item is None else str(item))
+    sizes, out = {len(w) for w in wanted}, []
+    for doc, text in docs:
+        words = bench_words(text)
+        hit, found = set(), set()
+        for n in sizes:
+            for k in range(len(words) - n + 1):
+                items_of = wanted.get(tuple(words[k:k + n]))
+                if items_of:
+                    hit.update(range(k, k + n))
+                    found |= items_of
+        out.append((doc, len(words), sorted(hit), sorted(found)))
+    return out
