@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from equigauge.llm.collocations import collocations
 from equigauge.llm.decontamination import contamination
 from equigauge.llm.embedding_dedup import near_duplicates
 from equigauge.llm.exact_dedup import exact_dedup
@@ -13,6 +14,7 @@ from equigauge.llm.mixing import mix
 from equigauge.llm.ngram_join import jaccard_groups
 from equigauge.llm.packing import pack
 from equigauge.llm.pii import pii_report
+from equigauge.llm.spelling import spelling_variants
 from equigauge.llm.suffix_dedup import remove_repeats
 from equigauge.llm.token_counts import count_tokens
 from equigauge.llm.toxicity import score_toxicity
@@ -53,6 +55,8 @@ QUERIES = {
     "op9_packing": _over("documents", lambda docs: pack(docs, tokenizer_path("word_bpe_49k.json"))),
     "op10_ngram_join": _over("documents", jaccard_groups),
     "op11_decontamination": _decontamination,
+    "op12_collocations": _over("documents", collocations),
+    "op13_spelling": _over("documents", spelling_variants),
 }
 
 _IP_PART = "0*(25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
@@ -131,4 +135,45 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM texts LEFT JOIN hits USING (row) LEFT JOIN found USING (row)
 """
 
-ORACLES = {"op1_pii": _pii_sql(), "op5_mixing": _MIXING_SQL, "op6_exact_dedup": _EXACT_SQL, "op11_decontamination": _DECONTAMINATION_SQL}
+_COLLOCATIONS_SQL = r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang,
+  unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+split AS MATERIALIZED (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (SELECT lang, size, array_to_string(list_slice(w, k, k + size - 1), ' ') AS phrase
+  FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS k FROM split, (SELECT unnest([1, 2, 3, 4]) AS size) WHERE len(w) >= size)),
+f AS MATERIALIZED (SELECT lang, size, phrase, count(*) AS n FROM grams GROUP BY ALL HAVING count(*) >= 30),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM split GROUP BY lang),
+cuts AS (SELECT lang, size, phrase, n AS a, string_split(phrase, ' ') AS w, unnest(range(1, size)) AS cut FROM f WHERE size > 1),
+scored AS (SELECT c.lang, c.phrase, c.a, c.cut, x.n AS l, y.n AS r, CAST((2000000::HUGEINT * c.a) // (x.n + y.n) AS BIGINT) AS score FROM cuts c
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(w[:cut], ' ') JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(w[cut + 1:], ' ')),
+lowest AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS place FROM scored),
+inside AS (SELECT lang, n, array_to_string(list_slice(w, k, k + m - 1), ' ') AS phrase FROM (SELECT lang, n, w, m, unnest(range(1, size - m + 2)) AS k
+  FROM (SELECT lang, n, size, string_split(phrase, ' ') AS w, unnest(range(2, size)) AS m FROM f WHERE size > 2))),
+longest AS (SELECT lang, phrase, max(n) AS most FROM inside GROUP BY ALL),
+kept AS (SELECT lowest.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM lowest LEFT JOIN longest USING (lang, phrase) WHERE place = 1 AND (most IS NULL OR 100 * most < 80 * a))
+SELECT lang, rank, phrase, a, l, r, n, score FROM kept JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+_SPELLING_SQL = r"""
+WITH RECURSIVE table_of AS MATERIALIZED (SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k:
+  CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, CAST(i AS BIGINT))) AS steps),
+runs AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+counted AS MATERIALIZED (SELECT id, run, count(*) AS times FROM runs WHERE length(run) >= 7 GROUP BY ALL),
+coded AS (SELECT run, times, flatten(list_transform(string_split(id || ':' || run, ''), lambda c: CASE WHEN ord(c) < 128 THEN [ord(c)] ELSE [192 + (ord(c) >> 6), 128 + ord(c) % 64] END)) AS b FROM counted),
+summed AS (SELECT run, times, xor(list_reduce(b, lambda c, x: xor(c >> 8, steps[1 + CAST(xor(c % 256, CAST(x AS BIGINT)) AS INT)]), CAST(4294967295 AS BIGINT)), CAST(4294967295 AS BIGINT)) AS h FROM coded, table_of),
+words AS MATERIALIZED (SELECT word, CAST(sum(times) AS BIGINT) AS n FROM (SELECT times, CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM summed)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(times) >= 2),
+cut AS MATERIALIZED (SELECT word, n, k, substr(word, 1, k - 1) || substr(word, k + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS k FROM words)),
+near AS MATERIALIZED (SELECT DISTINCT a.word, b.word AS near, b.n AS near_n FROM cut a JOIN cut b ON a.k = b.k AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT c.word, w.word, w.n FROM cut c JOIN words w ON c.rest = w.word UNION SELECT w.word, c.word, c.n FROM cut c JOIN words w ON c.rest = w.word),
+best AS (SELECT word, near, near_n, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) AS place FROM near),
+named AS MATERIALIZED (SELECT words.word, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 10 * words.n THEN near END AS form, CASE WHEN near_n >= 10 * words.n THEN near_n END AS form_n
+  FROM words LEFT JOIN best ON words.word = best.word AND place = 1),
+walk AS (SELECT word, word AS at, form AS next FROM named UNION ALL SELECT walk.word, walk.next, named.form FROM walk JOIN named ON walk.next = named.word)
+SELECT named.word, named.form, walk.at AS root, named.n, named.n_near, named.form_n FROM named JOIN walk ON named.word = walk.word AND walk.next IS NULL
+"""
+
+ORACLES = {"op1_pii": _pii_sql(), "op5_mixing": _MIXING_SQL, "op6_exact_dedup": _EXACT_SQL, "op11_decontamination": _DECONTAMINATION_SQL, "op12_collocations": _COLLOCATIONS_SQL,
+           "op13_spelling": _SPELLING_SQL}
