@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections import Counter
 
 
@@ -92,3 +93,59 @@ def contaminated(docs, items, window=10):
                     found |= items_of
         out.append((doc, len(words), sorted(hit), sorted(found)))
     return out
+
+
+def phrases(rows, longest=4):
+    """Counts of all phrases by lang, and of all words."""
+    times, words = {}, Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))):
+            found = re.findall(r"[^\x20\x09]+", piece)
+            words[lang] += len(found)
+            for k in range(1, longest + 1):
+                times.setdefault(lang, Counter()).update(zip(*(found[j:] for j in range(k))))
+    return times, words
+
+
+def collocations(rows, least, top):
+    times, words = phrases(rows)
+    out = []
+    for lang, f in times.items():
+        told = []
+        for p, a in f.items():
+            if len(p) < 2 or a < least:
+                continue
+            score, cut = min((2_000_000 * a // (f[p[:k]] + f[p[k:]]), k) for k in range(1, len(p)))
+            if not any(len(q) > len(p) and b >= least and 100 * b >= 80 * a and any(q[k:k + len(p)] == p for k in range(len(q))) for q, b in f.items() if b >= least):
+                told.append((-score, -a, " ".join(p).encode(), f[p[:cut]], f[p[cut:]]))
+        out += [(lang, k, p.decode(), -a, x, y, words[lang], -s) for k, (s, a, p, x, y) in enumerate(sorted(told)[:top], 1)]
+    return sorted(out)
+
+
+def variants(rows, shortest=7, every=31, ratio=10):
+    """(word, form, root, n, near words, n of the form) by trying all pairs."""
+    n = Counter()
+    for doc, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+            h = zlib.crc32(f"{'' if doc is None else doc}:{run}".encode())
+            n[run[:h % len(run)] + run[h % len(run) + 1:] if h % every == 0 else run] += 1
+    n = {w: k for w, k in n.items() if len(w) >= shortest and k >= 2}
+
+    def near(a, b):
+        if len(a) == len(b):
+            return sum(x != y for x, y in zip(a, b)) == 1
+        a, b = sorted((a, b), key=len)
+        return len(b) == len(a) + 1 and any(b[:k] + b[k + 1:] == a for k in range(len(b)))
+    out, form = [], {}
+    told = {w: [v for v in n if abs(len(v) - len(w)) < 2 and near(w, v)] for w in n}
+    for w, found in told.items():
+        best = min(found, key=lambda v: (-n[v], v), default=None)
+        form[w] = best if best is not None and n[best] >= ratio * n[w] else None
+    for w in n:
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out.append((w, form[w], root, n[w], len(told[w]), n.get(form[w])))
+    return sorted(out)
