@@ -1,67 +1,62 @@
 """Similarity join on word shingles by signature trees.
 
-A document is the set of hashes of its word shingles. Sets that may reach the wanted Jaccard similarity share a shingle
-among the first few in one order of all shingles (their prefix), so only those of one such key ever meet. The
-documents of a busy key are dealt over parts twice, at random; what is then not connected yet meets part by part. A key's
-documents form a signature tree: leaves hold a bitmap of the set's hashes and its size, nodes the OR of the bitmaps below
-and the range of sizes. Two nodes are compared by the largest overlap their bitmaps allow, and a pair that cannot reach
-the wanted overlap is left with all that is below it. What remains ties documents into blocks. In each block a second
-tree, over whole sets, is traversed in the same way, and its remaining pairs are compared exactly; pairs that are
-connected already are passed over, so groups of many near copies cost little more than a chain.
+A document is the set of hashes of its word shingles. The range of hashes is cut into as many parts as two sets of their
+size may differ in, and some more, so similar sets agree in all of at least one part: the hash of a set's share in a part
+is a key, and only sets that have a key in common ever meet. Unlike a single shingle, a key of several is hardly shared
+by chance. The sets of a key form a signature tree: leaves hold a bitmap of the set's hashes and its size, nodes the OR
+of the bitmaps below and the range of sizes. Two nodes are compared by the largest overlap their bitmaps allow, and a
+pair that cannot reach the wanted overlap is left with all that is below it. What remains ties documents into blocks. In
+each block a second tree, over whole sets, is traversed in the same way, and its remaining pairs are compared word by
+word; pairs that are connected already are passed over, so groups of many near copies cost little more than a chain.
+
+Both steps go in two rounds. A few keys of each set connect nearly everything; of the other keys, only those are sent
+out whose sets are not connected yet. A key or block of many sets is dealt over parts twice, at random, and what is then
+not connected yet meets part by part.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 from collections.abc import Callable, Iterator
 from fractions import Fraction
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from equigauge.llm.batches import BUCKET_KEYS, NO_ID, looked_up, received, reduced, repeated_keys
 from equigauge.llm.caches import cache_of
 from equigauge.llm.components import connected_components
+from equigauge.llm.fm_index import binary_array
 from equigauge.llm.text import whole
 from equigauge.session import settle
 
-#: Bytes of text hashed at once, features per batch, entries per bucket, documents of a block compared in one task.
+#: Bytes of text hashed at once, sets per batch, entries per bucket.
 CHUNK = 1 << 20
 BATCH_ROWS = 8_192
 BUCKET_ROWS = 4_096
-#: A key of more entries than this is busy: its entries are dealt over parts of about as many.
+#: What one task compares under a key, or in a block: a set counts as one and one more per `COST_SIZE` of its shingles.
 BUSY_ROWS = 4_096
 BLOCK_ROWS = 4_096
-#: Documents sampled to find common words, whose shingles go last in the order, and how many of those are sent out.
-SAMPLE_ROWS, COMMON = 4_096, 65_536
+COST_SIZE = 512
+#: Parts of the range of hashes whose keys are sent out in the first round.
+FEW = 3
 FANOUT, PAIRS = 8, 4_096
 #: Cells of the table in which pairs are compared exactly.
 TABLE = 1 << 25
 WORD_BITS = 64
-#: Bits of the map that tells which documents may belong to a block: 1 MB at any size of the corpus.
-MEMBER_BITS = 1 << 23
-
-_random = np.random.Generator(np.random.PCG64(20_240_229))
-_BYTE = _random.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_STEP = int(_random.integers(1, 2**62)) * 2 + 1
-_BACK = pow(_STEP, -1, 2**64)
+#: Bits per member of the map that tells which documents may belong to a block, and its powers of two: at most 8 MB.
+MEMBER_BITS, LEAST_BITS, MOST_BITS = 16, 15, 26
+#: Words whose hash a worker keeps.
+KNOWN_WORDS = 1_000_000
+_HASH_KEY = b"equigauge words"
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
-_powers: dict[int, np.ndarray] = {}
-
-
-def _power(base: int, n: int) -> np.ndarray:
-    if len(_powers.get(base, ())) < n:
-        out = np.full(max(n, 2 * CHUNK), base, np.uint64)
-        out[0] = 1
-        _powers[base] = np.cumprod(out)
-    return _powers[base][:n]
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -70,31 +65,41 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of all texts, and where the words of each text begin among them (one more than texts).
+def coded_words(texts: list[bytes]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct words of all texts, the number of each word in turn, and how many words each text has.
 
     Words are runs of bytes other than blank and tab to carriage return, A-Z in lower case.
     """
     data = _FOLD[np.frombuffer(b" ".join([*texts, b""]), np.uint8)]
-    ends_of_text = np.cumsum([len(t) + 1 for t in texts])
-    edge = np.flatnonzero(np.diff(np.concatenate([[True], _SPACE[data]])))
+    inside = ~_SPACE[data]
+    edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
     starts, ends = edge[::2], edge[1::2]
-    sums = np.concatenate([[np.uint64(0)], np.cumsum(_BYTE[data] * _power(_STEP, len(data)))])
-    words = _mix((sums[ends] - sums[starts]) * _power(_BACK, len(data) + 1)[starts] + (ends - starts).astype(np.uint64))
-    return words, np.searchsorted(starts, np.concatenate([[0], ends_of_text]))
-
-
-class WordLevels:
-    """How common words are: 0 for those not in the table, else the number of bits of their count."""
+    coded = binary_array(ends - starts, data[inside]).dictionary_encode()
+    sizes = np.diff(np.searchsorted(starts, np.cumsum([0, *(len(t) + 1 for t in texts)])))
+    return coded.dictionary, coded.indices.to_numpy().astype(np.int64), sizes
+
+
+def _word_hashes(words: pa.Array) -> np.ndarray:
+    known = cache_of("ngram_join")
+    if len(known) > KNOWN_WORDS:
+        known.clear()
+    out = np.empty(len(words), np.uint64)
+    for k, word in enumerate(words.to_pylist()):
+        h = known.get(word)
+        if h is None:
+            h = known[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8, key=_HASH_KEY).digest(), "little")
+        out[k] = h
+    return out
 
-    def __init__(self, hashes: np.ndarray, levels: np.ndarray):
-        self.hashes, self.levels = hashes, levels
 
-    def of(self, words: np.ndarray) -> np.ndarray:
-        if not len(self.hashes):
-            return np.zeros(len(words), np.uint8)
-        at = np.minimum(np.searchsorted(self.hashes, words), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == words, self.levels[at], 0).astype(np.uint8)
+def _distinct(values: np.ndarray, owners: np.ndarray, n: int) -> list[np.ndarray]:
+    """The sorted distinct values of each of n owners."""
+    order = np.lexsort((values, owners))
+    values, owners = values[order], owners[order]
+    if len(values):
+        new = np.concatenate([[True], (values[1:] != values[:-1]) | (owners[1:] != owners[:-1])])
+        values, owners = values[new], owners[new]
+    return np.split(values, np.searchsorted(owners, np.arange(1, n)))
 
 
 def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
@@ -102,36 +107,48 @@ def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
 
     A text with fewer words is one shingle, one without words is empty.
     """
-    return ranked_sets(texts, width, WordLevels(np.zeros(0, np.uint64), np.zeros(0, np.uint8)))[0]
+    if not texts:
+        return []
+    dictionary, ids, sizes = coded_words(texts)
+    words = _word_hashes(dictionary)[ids]
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    n = max(0, len(words) - width + 1)
+    total = np.zeros(n, np.uint64)
+    for k in range(width if n else 0):
+        total = total * _STEP + words[k:n + k]
+    fits = owner[:n] == owner[width - 1:] if n else np.zeros(0, bool)
+    out = _distinct(_mix(total)[fits], owner[:n][fits], len(texts))
+    first = np.cumsum(sizes) - sizes
+    for k in np.flatnonzero((sizes > 0) & (sizes < width)):
+        total = np.zeros(1, np.uint64)
+        for w in words[first[k]:first[k] + sizes[k]]:
+            total = total * _STEP + w
+        out[k] = _mix(total + np.uint64(sizes[k]))
+    return out
 
 
-def ranked_sets(texts: list[bytes], width: int, known: WordLevels) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """The shingle sets of the texts, and the level of every shingle: that of its least common word."""
+def exact_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
+    """The shingles of each text as numbers that are equal only for the same words."""
     if not texts:
-        return [], []
-    words, first = word_hashes(texts)
-    word_levels = known.of(words)
-    count = np.diff(first)
-    owner = np.repeat(np.arange(len(texts)), count)
-    n = max(0, len(words) - width + 1)
-    total, level = np.zeros(n, np.uint64), np.full(n, 255, np.uint8)
+        return []
+    dictionary, ids, sizes = coded_words(texts)
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    n = max(0, len(ids) - width + 1)
+    number, most = np.zeros(n, np.int64), 1
     for k in range(width if n else 0):
-        total = total * np.uint64(0x9E3779B97F4A7C15) + words[k:n + k]
-        level = np.minimum(level, word_levels[k:n + k])
+        if most * len(dictionary) >= 2**63:
+            number = np.unique(number, return_inverse=True)[1]
+            most = int(number.max()) + 1
+        number = number * len(dictionary) + ids[k:n + k]
+        most *= len(dictionary)
     fits = owner[:n] == owner[width - 1:] if n else np.zeros(0, bool)
-    hashes, owners, level = _mix(total)[fits], owner[:n][fits], level[fits]
-    order = np.lexsort((hashes, owners))
-    hashes, owners, level = hashes[order], owners[order], level[order]
-    new = np.concatenate([[True], (hashes[1:] != hashes[:-1]) | (owners[1:] != owners[:-1])]) if len(hashes) else np.zeros(0, bool)
-    hashes, owners, level = hashes[new], owners[new], level[new]
-    cuts = np.searchsorted(owners, np.arange(1, len(texts)))
-    out, levels = np.split(hashes, cuts), np.split(level, cuts)
-    for k in np.flatnonzero((count > 0) & (count < width)):
-        total = np.uint64(0)
-        for w in words[first[k]:first[k + 1]]:
-            total = np.uint64((int(total) * 0x9E3779B97F4A7C15 + int(w)) % 2**64)
-        out[k], levels[k] = _mix(np.array([total + np.uint64(count[k])])), np.zeros(1, np.uint8)
-    return out, levels
+    number = np.unique(number[fits], return_inverse=True)[1].astype(np.uint64)
+    out = _distinct(number, owner[:n][fits], len(texts))
+    first, short = np.cumsum(sizes) - sizes, {}
+    for k in np.flatnonzero((sizes > 0) & (sizes < width)):
+        words = ids[first[k]:first[k] + sizes[k]].tobytes()
+        out[k] = np.array([2**63 + short.setdefault(words, len(short))], np.uint64)
+    return out
 
 
 def chunks(texts: list[bytes]) -> Iterator[list[bytes]]:
@@ -287,205 +304,234 @@ def links_of(sizes: np.ndarray, bits: list[np.ndarray], like: Similarity,
     return out
 
 
-def _features(width: int, like: Similarity, common):
+class Keys:
+    """The keys of sets: two similar sets of different hashes have one in common.
+
+    Sizes fall into bands. A set belongs to its own band and to those of larger sets that it may be similar to; a pair
+    meets in the band of the larger. There, the range of hashes is cut into more parts than the two may differ in hashes,
+    so one part that is not empty is the same in both, unless both have too many empty parts: such sets get, besides, the
+    keys of their least hashes, of which similar sets share one.
+    """
+
+    WIDER = Fraction(7, 5)
+    #: One part more for every so many, for parts that are empty.
+    SPARE = 16
+
+    def __init__(self, like: Similarity):
+        self.like = like
+        self.highest = np.zeros(1, np.int64)
+        self._grow(1)
+
+    def _grow(self, size: int) -> None:
+        highest = self.highest.tolist()
+        while highest[-1] < size:
+            highest.append(int(highest[-1] * self.WIDER) + 1)
+        self.highest = np.array(highest, np.int64)
+        share = self.like.share
+        self.differ = np.array([2 * h * (share.denominator - share.numerator) // (share.denominator + share.numerator) for h in highest], np.int64)
+        self.parts = self.differ + 1 + 1 + self.differ // self.SPARE
+
+    def of(self, sets: list[np.ndarray]) -> tuple[list[bytes], list[bytes]]:
+        """The keys of the first `FEW` parts of every set, and its other keys."""
+        sizes = np.array([len(s) for s in sets], np.int64)
+        farthest = sizes * self.like.share.denominator // self.like.share.numerator
+        self._grow(int(farthest.max(initial=1)))
+        band, last = np.searchsorted(self.highest, sizes), np.searchsorted(self.highest, farthest)
+        hashes = np.concatenate([*sets, np.zeros(0, np.uint64)])
+        owners = np.repeat(np.arange(len(sets)), sizes)
+        found = []
+        for step in range(int((last - band).max(initial=-1)) + 1):
+            at = np.minimum(band + step, last)
+            # Sets that can only be similar to equal ones need no key.
+            mine = ((band + step <= last) & (self.differ[at] > 0))[owners]
+            found.append(self._in_band(hashes[mine], owners[mine], at, sizes))
+        keys, of, part = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        return tuple(self._per_set(keys[few], of[few], len(sets)) for few in (part < FEW, part >= FEW))
+
+    @staticmethod
+    def _per_set(keys: np.ndarray, of: np.ndarray, n: int) -> list[bytes]:
+        order = np.argsort(of, kind="stable")
+        keys, cuts = keys[order], np.searchsorted(of[order], np.arange(n + 1))
+        return [keys[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
+
+    def _in_band(self, hashes: np.ndarray, owners: np.ndarray, band: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if not len(hashes):
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        part = (((hashes >> np.uint64(32)) * self.parts[band[owners]].astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
+        starts = np.flatnonzero(np.concatenate([[True], (part[1:] != part[:-1]) | (owners[1:] != owners[:-1])]))
+        of, place = owners[starts], part[starts]
+        where = band[of].astype(np.uint64) << np.uint64(40)
+        keys = _mix(np.add.reduceat(_mix(hashes), starts) + _mix(where + place.astype(np.uint64)))
+        full = np.bincount(of, minlength=len(sizes))
+        few = np.flatnonzero((full > 0) & (full <= self.differ[band]))
+        if not len(few):
+            return keys, of, place
+        least = [hashes[a:a + self.like.prefix(n)] for a, n in zip(np.searchsorted(owners, few).tolist(), sizes[few].tolist())]
+        again = np.repeat(few, [len(x) for x in least])
+        extra = _mix(np.concatenate(least) + _mix((band[again].astype(np.uint64) << np.uint64(40)) + np.uint64(2**39)))
+        return np.concatenate([keys, extra]), np.concatenate([of, again]), np.concatenate([place, np.full(len(again), FEW)])
+
+
+def _features(width: int, like: Similarity):
+    """Size and digest of every set; keys and bitmap where a task sees the set for the first time, of a document with an id."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache_of("ngram_join")  # sets need the room
-        known = WordLevels(*(np.frombuffer(x, kind) for x, kind in zip(common.value, ("<u8", "u1"))))
+        keys, seen = Keys(like), set()
         for batch in batches:
-            ids, at = batch["id"], 0
+            at, all_ids = 0, batch["id"].to_pylist()
             for part in chunks(batch["bytes"].to_pylist()):
-                sets, levels = ranked_sets(part, width, known)
-                prefixes = [s[np.argsort(level, kind="stable")[:like.prefix(len(s))]].tobytes() if len(s) else b"" for s, level in zip(sets, levels)]
-                yield pa.RecordBatch.from_arrays([
-                    ids.slice(at, len(part)), pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
-                    pa.array(prefixes, pa.binary()), pa.array([bitmap(s).tobytes() for s in sets], pa.binary())],
-                    ["id", "n", "digest", "prefix", "bits"])
+                ids = all_ids[at:at + len(part)]
                 at += len(part)
+                sets = shingle_sets(part, width)
+                digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
+                early, late, bits = ([None] * len(part) for _ in range(3))
+                fresh = []
+                for k, (i, s, digest) in enumerate(zip(ids, sets, digests)):
+                    if i != NO_ID and len(s) and digest not in seen:
+                        seen.add(digest)
+                        fresh.append(k)
+                for k, few, others in zip(fresh, *keys.of([sets[k] for k in fresh])):
+                    early[k], late[k], bits[k] = few, others, bitmap(sets[k]).tobytes()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), *(pa.array(x, pa.binary()) for x in (digests, early, late, bits))],
+                    ["id", "n", "digest", "early", "late", "bits"])
     return run
 
 
-def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen: Counter[int] = Counter()
-    for batch in batches:
-        for part in chunks(batch["bytes"].to_pylist()):
-            seen.update(word_hashes(part)[0].view(np.int64).tolist())
-    many = seen.most_common(4 * COMMON)
-    yield pa.RecordBatch.from_arrays([pa.array([h for h, _ in many], pa.int64()), pa.array([n for _, n in many], pa.int64())], ["hash", "n"])
-
-
-def common_words(rows: DataFrame) -> tuple[bytes, bytes]:
-    """Sorted hashes and levels of at most `COMMON` words frequent in about `SAMPLE_ROWS` documents drawn from all.
-
-    Shingles go in the order of their least common word, rare ones first, so that prefixes hold what few documents share.
-    Any order gives the same links.
-    """
-    n = rows.count()
-    drawn = rows if n <= SAMPLE_ROWS else rows.sample(SAMPLE_ROWS / n, seed=5)
-    counted = drawn.mapInArrow(_sampled, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n")).filter("n > 1")
-    found = counted.orderBy(F.desc("n"), "hash").limit(COMMON).toArrow()
-    hashes = found["hash"].to_numpy().astype(np.int64).view(np.uint64)
-    levels = np.frexp(found["n"].to_numpy().astype(np.float64))[1].astype(np.uint8)
-    order = np.argsort(hashes)
-    return hashes[order].tobytes(), levels[order].tobytes()
-
-
 def _first_of_set(batch: pd.DataFrame) -> pd.DataFrame:
     return batch.sort_values("id", kind="stable").drop_duplicates("digest", ignore_index=True)
 
 
 def _keys_of(batch: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    return np.unique(np.frombuffer(b"".join(_first_of_set(batch)["prefix"]), "<u8"), return_counts=True)
-
+    first = _first_of_set(batch)
+    return np.unique(np.frombuffer(b"".join([*first["early"], *first["late"]]), "<u8"), return_counts=True)
 
-ENTRY = np.dtype([("key", "<u8"), ("id", "<i8"), ("n", "<i8"), ("digest", "S16"), ("words", "<i4")])
 
-
-def _entries(buckets: int, key_buckets: int, busy_rows: int):
-    """Of a batch: its entries by bucket, or for a busy key by two dealings, each over parts by half of the digest.
-
-    Buckets have part -1. A busy key has parts of its own, and its bucket is the key.
-    """
+def _meeting(key_buckets: int):
+    """Of a batch: the distinct sets with a key that others have too, and only such keys."""
     def run(batch: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        columns = ["bucket", "part", "entries", "bits"]
         if not len(batch) or not len(answers):
-            return pd.DataFrame(columns=columns)
+            return pd.DataFrame(columns=["id", "n", "early", "late", "bits"])
         batch = _first_of_set(batch)
-        keys = np.frombuffer(b"".join(batch["prefix"]), "<u8")
-        of = np.repeat(np.arange(len(batch)), batch["prefix"].map(len).to_numpy() // 8)
-        totals = looked_up(reduced(keys, key_buckets), *received(answers))
-        many = totals > 1
-        keys, of, totals = keys[many], of[many], totals[many]
-        plain, busy = np.flatnonzero(totals <= busy_rows), np.flatnonzero(totals > busy_rows)
-        parts = -(-totals[busy] // busy_rows)
-        halves = (np.frombuffer(b"".join(batch["digest"]), "<u8").reshape(-1, 2)[of[busy]] % parts[:, None].astype(np.uint64)).astype(np.int64)
-        bucket = np.concatenate([(keys[plain] % np.uint64(buckets)).astype(np.int64), keys[busy].view(np.int64), keys[busy].view(np.int64)])
-        part = np.concatenate([np.full(len(plain), -1), halves[:, 0], halves[:, 1] + parts])
-        take = np.concatenate([plain, busy, busy])
-        order = np.lexsort((part, bucket))
-        bucket, part, keys, of = bucket[order], part[order], keys[take[order]], of[take[order]]
-        bits = batch["bits"].tolist()
-        entries = np.zeros(len(of), ENTRY)
-        entries["key"], entries["id"], entries["n"] = keys, batch["id"].to_numpy(np.int64)[of], batch["n"].to_numpy(np.int64)[of]
-        entries["digest"] = np.array(batch["digest"].tolist(), "S16")[of]
-        entries["words"] = np.array([len(x) // 8 for x in bits])[of]
-        starts = np.flatnonzero(np.append(True, (bucket[1:] != bucket[:-1]) | (part[1:] != part[:-1]))[:len(of)])
-        return pd.DataFrame([(bucket[a], part[a], entries[a:b].tobytes(), b"".join([bits[k] for k in of[a:b].tolist()]))
-                             for a, b in zip(starts, [*starts[1:], len(of)])], columns=columns)
+        known = received(answers)
+        for column in ("early", "late"):
+            keys = np.frombuffer(b"".join(batch[column]), "<u8")
+            of = np.repeat(np.arange(len(batch)), batch[column].map(len).to_numpy() // 8)
+            many = looked_up(reduced(keys, key_buckets), *known) > 1
+            batch[column] = Keys._per_set(keys[many], of[many], len(batch))
+        some = (batch["early"].map(len) + batch["late"].map(len)) > 0
+        return batch.loc[some, ["id", "n", "early", "late", "bits"]]
     return run
 
 
+def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, id, label, cost) for every key."""
+    for batch in batches:
+        keys = batch["keys"].to_pylist()
+        take = pa.array(np.repeat(np.arange(len(keys)), [len(k) // 8 for k in keys]))
+        yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(keys), "<i8")), *(batch[c].take(take) for c in ("id", "label", "cost"))], ["key", "id", "label", "cost"])
+
+
+def keyed(sets: DataFrame, keys: Column) -> DataFrame:
+    """(key, id, label, cost) of `sets` (id, n, label) by keys in one binary column."""
+    cost = (F.lit(1) + F.col("n") / COST_SIZE).cast("long").alias("cost")
+    return sets.select(keys.alias("keys"), "id", "label", cost).mapInArrow(_exploded, "key long, id long, label long, cost long")
+
+
+def dealt(rows: DataFrame, most: int) -> DataFrame:
+    """(key, id) of `rows` (key, id, cost), with keys that cost more than `most` replaced by two dealings over parts."""
+    busy = rows.groupBy("key").agg(F.sum("cost").alias("all")).filter(F.col("all") > most).select(
+        F.col("key").alias("of"), F.ceil(F.col("all") / most).alias("parts"))
+    told = rows.join(busy, F.col("key") == F.col("of"), "left")
+    parts = [F.xxhash64("key", F.lit(k), F.pmod(F.xxhash64("id", F.lit(k)), F.col("parts"))) for k in (1, 2)]
+    return told.select(F.explode(F.when(F.col("parts").isNull(), F.array("key")).otherwise(F.array(*parts))).alias("key"), "id")
+
+
 def _possible_links(like: Similarity):
-    """Of a bucket or part: links, per key, that connect the pairs that their signatures allow; of a part the busy key too."""
+    """Of a bucket of keys: links, per key, that connect the pairs that their signatures allow."""
     def run(bucket: pd.DataFrame) -> pd.DataFrame:
-        cache_of("ngram_join")
-        entries = np.frombuffer(b"".join(bucket["entries"]), ENTRY)
-        words = np.frombuffer(b"".join(bucket["bits"]), "<u8")
-        starts = np.cumsum(entries["words"], dtype=np.int64) - entries["words"]
-        order = np.lexsort((entries["id"], entries["key"]))
-        entries, starts = entries[order], starts[order]
-        # Equal sets meet under all their keys; the least id stands for them.
-        _, digest = np.unique(entries["digest"], return_inverse=True)
-        by = np.lexsort((np.arange(len(entries)), digest, entries["key"]))
-        stands = np.ones(len(entries), bool)
-        stands[by[1:]] = (digest[by[1:]] != digest[by[:-1]]) | (entries["key"][by[1:]] != entries["key"][by[:-1]])
-        entries, starts = entries[stands], starts[stands]
-        ends = np.flatnonzero(np.append(entries["key"][1:] != entries["key"][:-1], True)) + 1
-        seen: set[bytes] = set()
         edges: set[tuple[int, int]] = set()
-        a = 0
-        for b in ends.tolist():
-            ids = entries["id"][a:b]
-            if b - a > 1 and (group := ids.tobytes()) not in seen:
-                seen.add(group)
-                bits = [words[s:s + n] for s, n in zip(starts[a:b].tolist(), entries["words"][a:b].tolist())]
-                edges.update((int(ids[x]), int(ids[y])) for x, y in links_of(entries["n"][a:b], bits, like))
-            a = b
-        out = pd.DataFrame(sorted(edges), columns=["u", "v"], dtype=np.int64).assign(busy=pd.array([None] * len(edges), "Int64"))
-        if bucket["part"].iloc[0] < 0:
-            return out
-        return pd.concat([out, pd.DataFrame({"u": [0], "v": [0], "busy": pd.array([bucket["bucket"].iloc[0]], "Int64")})])
+        for _, group in bucket.groupby("key", sort=False):
+            ids = group["id"].to_numpy(np.int64)
+            bits = [np.frombuffer(x, "<u8") for x in group["bits"]]
+            edges.update((int(ids[a]), int(ids[b])) for a, b in links_of(group["n"].to_numpy(np.int64), bits, like))
+        return pd.DataFrame(sorted(edges), columns=["u", "v"], dtype=np.int64)
     return run
 
 
-def _of_busy(keys):
-    """(key, id, digest) of every busy key in a prefix."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = np.frombuffer(keys.value, "<i8")
-        for batch in batches:
-            prefixes = batch["prefix"].to_pylist()
-            held = np.frombuffer(b"".join(prefixes), "<i8")
-            of = np.repeat(np.arange(len(prefixes)), [len(p) // 8 for p in prefixes])
-            hit = np.isin(held, known)
-            take = pa.array(of[hit])
-            yield pa.RecordBatch.from_arrays([pa.array(held[hit]), batch["id"].take(take), batch["digest"].take(take)], ["key", "id", "digest"])
-    return run
+def possible_links(rows: DataFrame, sets: DataFrame, like: Similarity, buckets: int) -> DataFrame:
+    """Links (u, v) between `sets` (id, n, bits) that share a key of `rows` (key, id). Keys of the same sets count once."""
+    groups = rows.groupBy("key").agg(F.sort_array(F.collect_set("id")).alias("ids")).filter(F.size("ids") > 1).select("ids").distinct()
+    named = groups.select(F.xxhash64("ids").alias("key"), F.explode("ids").alias("id"))
+    entries = named.join(sets.select("id", "n", "bits"), "id").withColumn("bucket", F.pmod("key", F.lit(buckets)).cast("int"))
+    return entries.groupBy("bucket").applyInPandas(_possible_links(like), "u long, v long")
 
 
-def _links_between(like: Similarity):
-    """Of two parts of a busy key: links of the possible pairs that are not connected yet."""
-    def run(met: pd.DataFrame) -> pd.DataFrame:
-        cache_of("ngram_join")
-        ids = met["id"].to_numpy(np.int64)
-        bits = [np.frombuffer(x, "<u8") for x in met["bits"]]
-        found = links_of(met["n"].to_numpy(np.int64), bits, like, known=met["label"].to_numpy(np.int64))
-        return pd.DataFrame([(ids[a], ids[b]) for a, b in found], columns=["u", "v"], dtype=np.int64)
-    return run
+def meets(rows: DataFrame, most: int) -> DataFrame:
+    """(key, of1, part1, of2, part2, id, label): which of `rows` (key, id, label, cost) must still meet, in pairs of parts.
 
-
-def links_left(linkable: DataFrame, keys: np.ndarray, blocks: DataFrame, like: Similarity, busy_rows: int) -> DataFrame:
-    """Links (u, v) under the busy `keys` between documents that are not of one component of `blocks` (node, component).
-
-    Components of at least `busy_rows` entries of a key have parts of their own there, which never meet each other; the
-    other entries of the key are pooled. All other pairs of parts meet, so no task holds more than two parts, and a key
-    whose entries are all connected costs no bitmaps.
+    Labels of one key that cost at least `most` have parts of their own there, which never meet each other; the other rows
+    of the key are pooled. All other pairs of parts meet, so no task holds more than two parts, and keys of one label none.
     """
-    sent = linkable.sparkSession.sparkContext.broadcast(np.sort(keys).tobytes())
-    held = linkable.select("id", "digest", "prefix").mapInArrow(_of_busy(sent), "key long, id long, digest binary")
-    least = held.groupBy("key", "digest").agg(F.min("id").alias("id"))
-    light = settle(least.join(blocks, F.col("id") == F.col("node"), "left").select(
-        "key", "id", "digest", F.coalesce("component", "id").alias("label")))
-    counts = light.groupBy("key", "label").agg(F.count(F.lit(1)).alias("many"))
+    counts = rows.groupBy("key", "label").agg(F.sum("cost").alias("many"))
     several = counts.groupBy("key").agg(
-        F.count(F.lit(1)).alias("labels"), F.sum(F.when(F.col("many") < busy_rows, F.col("many"))).alias("pool")).filter("labels > 1")
-    large = F.col("many") >= busy_rows
+        F.count(F.lit(1)).alias("labels"), F.sum(F.when(F.col("many") < most, F.col("many"))).alias("pool")).filter("labels > 1")
+    large = F.col("many") >= most
     told = settle(counts.join(several, "key").select(
         "key", "label", F.when(large, F.col("label")).otherwise(F.lit(NO_ID)).alias("of"),
-        F.ceil(F.when(large, F.col("many")).otherwise(F.col("pool")) / busy_rows).cast("int").alias("parts")))
+        F.ceil(F.when(large, F.col("many")).otherwise(F.col("pool")) / most).cast("int").alias("parts")))
     cells = told.select("key", "of", "parts").distinct().select("key", "of", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     first, second = cells.toDF("key", "of1", "part1"), cells.toDF("key", "of2", "part2")
     ordered = F.struct("of1", "part1") <= F.struct("of2", "part2")
     pairs = first.join(second, "key").filter(ordered & ((F.col("of1") != F.col("of2")) | (F.col("of1") == NO_ID)))
     sides = F.array_distinct(F.array(F.struct(F.col("of1").alias("of"), F.col("part1").alias("part")), F.struct(F.col("of2").alias("of"), F.col("part2").alias("part"))))
-    meets = pairs.withColumn("side", F.explode(sides)).select("key", "of1", "part1", "of2", "part2", "side.of", "side.part")
-    placed = light.join(told, ["key", "label"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).drop("parts")
-    whole_of = linkable.join(placed.select("id", "digest").distinct(), ["id", "digest"], "left_semi").groupBy("id", "digest").agg(
-        F.first("n").alias("n"), F.first("bits").alias("bits"))
-    met = placed.join(meets, ["key", "of", "part"]).join(whole_of, ["id", "digest"])
-    return met.select("key", "of1", "part1", "of2", "part2", "id", "label", "n", "bits").groupBy(
-        "key", "of1", "part1", "of2", "part2").applyInPandas(_links_between(like), "u long, v long")
+    met = pairs.withColumn("side", F.explode(sides)).select("key", "of1", "part1", "of2", "part2", "side.of", "side.part")
+    placed = rows.join(told, ["key", "label"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).drop("parts")
+    return placed.join(met, ["key", "of", "part"]).select(*CELL, "id", "label")
+
+
+CELL = ["key", "of1", "part1", "of2", "part2"]
+
+
+def _links_between(like: Similarity):
+    """Of two parts of a busy key: links of the possible pairs that are not connected yet."""
+    def run(met: pd.DataFrame) -> pd.DataFrame:
+        ids = met["id"].to_numpy(np.int64)
+        bits = [np.frombuffer(x, "<u8") for x in met["bits"]]
+        found = links_of(met["n"].to_numpy(np.int64), bits, like, known=met["label"].to_numpy(np.int64))
+        return pd.DataFrame([(ids[a], ids[b]) for a, b in found], columns=["u", "v"], dtype=np.int64)
+    return run
+
+
+def links_left(rows: DataFrame, sets: DataFrame, like: Similarity, busy_rows: int, buckets: int) -> DataFrame:
+    """Links (u, v) under keys of `rows` (key, id, label, cost) between sets of different labels."""
+    open_ = rows.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.sum("cost").alias("all")).filter(
+        "least < most").select(F.col("key").alias("of"), (F.col("all") > busy_rows).alias("busy"))
+    light = settle(rows.join(open_, F.col("key") == F.col("of")).select("key", "id", "label", "cost", "busy"))
+    small = possible_links(light.filter("NOT busy").select("key", "id"), sets, like, buckets)
+    met = meets(light.filter("busy").drop("busy"), busy_rows).join(sets.select("id", "n", "bits"), "id")
+    return small.union(met.groupBy(*CELL).applyInPandas(_links_between(like), "u long, v long"))
 
 
 def _true_links(width: int, like: Similarity):
-    """Of one pair of parts of a block: a spanning forest of the pairs that are similar."""
+    """Of a block, or of two of its parts: a spanning forest of the pairs that are similar and have different labels."""
     def run(block: pd.DataFrame) -> pd.DataFrame:
-        sets: list[np.ndarray] = []
-        for part in chunks(block["bytes"].tolist()):
-            sets += shingle_sets(part, width)
+        cache_of("ngram_join").clear()  # sets need the room
+        sets = exact_sets(block["bytes"].tolist(), width)
         ids = block["id"].to_numpy(np.int64)
         sizes = np.array([len(s) for s in sets], np.int64)
-        found = links_of(sizes, [bitmap(s) for s in sets], like, lambda a, b: like.hold(sets, a, b))
+        known = block["label"].to_numpy(np.int64) if "label" in block else None
+        found = links_of(sizes, [bitmap(_mix(s)) for s in sets], like, lambda a, b: like.hold(sets, a, b), known)
         return pd.DataFrame([(ids[a], ids[b]) for a, b in found], columns=["u", "v"], dtype=np.int64)
     return run
 
 
-def _perhaps_in(rows: DataFrame, members: DataFrame) -> DataFrame:
-    """`rows` (id, ...) without most that are not among `members` (node), so their texts need not be moved.
+def _perhaps_in(rows: DataFrame, members: DataFrame, bits: int) -> DataFrame:
+    """`rows` (id, ...) without most that are not among `members` (id), so their texts need not be moved.
 
-    The hashes of the members set bits in a map of `MEMBER_BITS`, whose words, at most a 64th of that, are sent to all.
+    The hashes of the members set bits in a map of `bits`, which is sent to all in words.
     """
-    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(MEMBER_BITS))
-    words = members.select(bit("node").alias("bit")).groupBy(F.expr("bit div 64").alias("word")).agg(
+    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
+    words = members.select(bit("id").alias("bit")).groupBy(F.expr("bit div 64").alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 AS int))")).alias("set_bits"))
     marked = rows.withColumn("bit", bit("id")).withColumn("of_word", F.expr("bit div 64"))
     kept = marked.join(F.broadcast(words), F.col("of_word") == F.col("word")).filter(
@@ -493,6 +539,30 @@ def _perhaps_in(rows: DataFrame, members: DataFrame) -> DataFrame:
     return kept.select(*rows.columns)
 
 
+def _with_labels(sets: DataFrame, components: DataFrame) -> DataFrame:
+    """`sets` (id, ...) with the component of each as label."""
+    return sets.join(components.toDF("of_node", "of_component"), F.col("id") == F.col("of_node"), "left").select(
+        *(c for c in sets.columns if c != "label"), F.coalesce("of_component", "id").alias("label"))
+
+
+def _verified(rows: DataFrame, sets: DataFrame, blocks: DataFrame, width: int, like: Similarity) -> DataFrame:
+    """True links (u, v) among the members of `blocks` (node, component), whose sizes are in `sets` and texts in `rows`."""
+    placed = _with_labels(sets.select("id", "n"), blocks)
+    cost = (F.lit(1) + F.col("n") / COST_SIZE).cast("long").alias("cost")
+    sizes = placed.groupBy("label").agg(F.count(F.lit(1)).alias("many"), F.sum(cost).alias("all")).filter("many > 1").select(F.col("label").alias("key"), "all")
+    members = settle(placed.withColumn("cost", cost).join(sizes, F.col("label") == F.col("key")).select("key", "id", "cost", F.col("label"), "all"))
+    bits = 1 << min(MOST_BITS, max(LEAST_BITS, (MEMBER_BITS * members.count()).bit_length()))
+    texts = settle(_perhaps_in(rows.filter(F.col("id") != NO_ID), members, bits))
+    first = dealt(members, BLOCK_ROWS).join(texts, "id").groupBy("key").applyInPandas(_true_links(width, like), "u long, v long")
+    links = settle(first)
+    large = members.filter(F.col("all") > BLOCK_ROWS).drop("all")
+    if large.isEmpty():
+        return links
+    again = _with_labels(large, connected_components(links))
+    left = meets(again, BLOCK_ROWS).join(texts, "id").groupBy(*CELL).applyInPandas(_true_links(width, like), "u long, v long")
+    return links.union(left)
+
+
 def jaccard_groups(docs: DataFrame, width: int = 3, share: Fraction = Fraction(9, 10)) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of `docs` (doc_id, text).
 
@@ -501,36 +571,25 @@ def jaccard_groups(docs: DataFrame, width: int = 3, share: Fraction = Fraction(9
     doc_id are one node of the graph and keep counts of their own. A NULL doc_id has no component. An empty table gives no
     rows; other columns are ignored.
     """
-    spark, like = docs.sparkSession, Similarity(share)
+    like = Similarity(share)
     rows = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), whole().cast("binary").alias("bytes"))
-    common = spark.sparkContext.broadcast(common_words(rows))
-    features = settle(rows.mapInArrow(_features(width, like, common), "id long, n long, digest binary, prefix binary, bits binary"))
-    n_rows, n_keys = features.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("prefix")), F.lit(0))).first()
-    batch = F.pmod(F.xxhash64("id"), F.lit(n_rows // BATCH_ROWS + 1)).cast("int")
-    linkable = features.filter((F.col("n") > 0) & (F.col("id") != NO_ID))
-    batches = linkable.withColumn("batch", batch)
-    key_buckets = n_keys // 8 // BUCKET_KEYS + 1
-    repeats = repeated_keys(batches.select("batch", "id", "digest", "prefix"), _keys_of, key_buckets, "u2")
-    entries = batches.groupBy("batch").cogroup(repeats.groupBy("batch")).applyInPandas(
-        _entries(n_rows // BUCKET_ROWS + 1, key_buckets, BUSY_ROWS), "bucket long, part int, entries binary, bits binary")
-    found = settle(entries.groupBy("bucket", "part").applyInPandas(_possible_links(like), "u long, v long, busy long"))
-    blocks = connected_components(found.select("u", "v"))
-    busy = found.filter("busy IS NOT NULL").select("busy").distinct().toArrow()["busy"].to_numpy()
-    if len(busy):
-        left = links_left(linkable, busy, blocks, like, BUSY_ROWS)
-        blocks = connected_components(blocks.toDF("u", "v").union(left))
-    members = blocks.select("node", "component").union(blocks.select("component", "component").distinct()).toDF("node", "block")
-    parts = members.groupBy(F.col("block").alias("of")).agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("parts"))
-    placed = members.join(parts, F.col("block") == F.col("of")).withColumn("mine", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    pairs = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
-        "node", "block", F.least("mine", "other").alias("part"), F.greatest("mine", "other").alias("with"))
-    links = _perhaps_in(rows, members).join(pairs, F.col("id") == F.col("node")).select("block", "part", "with", "id", "bytes").groupBy(
-        "block", "part", "with").applyInPandas(_true_links(width, like), "u long, v long")
-    components = connected_components(links)
-    stands = linkable.groupBy("digest", "n").agg(F.min("id").alias("first")).alias("s")
-    named = stands.join(components, F.col("first") == F.col("node"), "left").select(
-        F.col("digest").alias("set_digest"), F.col("n").alias("set_size"), F.coalesce("component", "first").alias("group"))
-    told = features.select("id", "n", "digest").join(
-        named, (F.col("digest") == F.col("set_digest")) & (F.col("n") == F.col("set_size")) & (F.col("id") != NO_ID), "left")
-    return told.select(F.nullif("id", F.lit(NO_ID)).alias("doc_id"), F.col("n").alias("n_shingles"),
-                       F.nullif(F.coalesce("group", "id"), F.lit(NO_ID)).alias("component_id"))
+    features = settle(rows.mapInArrow(_features(width, like), "id long, n long, digest binary, early binary, late binary, bits binary"))
+    n_rows, key_bytes = features.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("early") + F.octet_length("late")), F.lit(0))).first()
+    key_buckets, buckets = key_bytes // 8 // BUCKET_KEYS + 1, n_rows // BUCKET_ROWS + 1
+    batches = features.filter("early IS NOT NULL").withColumn("batch", F.pmod(F.xxhash64("digest"), F.lit(n_rows // BATCH_ROWS + 1)).cast("int"))
+    repeats = repeated_keys(batches.select("batch", "id", "digest", "early", "late"), _keys_of, key_buckets, "u2")
+    sets = settle(batches.groupBy("batch").cogroup(repeats.groupBy("batch")).applyInPandas(
+        _meeting(key_buckets), "id long, n long, early binary, late binary, bits binary")).withColumn("label", F.col("id"))
+    found = settle(possible_links(dealt(keyed(sets, F.col("early")), BUSY_ROWS), sets, like, buckets))
+    light = settle(_with_labels(sets.select("id", "n", "early", "late", "label"), connected_components(found)))
+    left = links_left(keyed(light, F.concat("early", "late")), sets, like, BUSY_ROWS, buckets)
+    blocks = connected_components(found.union(left))
+    components = connected_components(_verified(rows, sets, blocks, width, like))
+    stands = features.filter((F.col("n") > 0) & (F.col("id") != NO_ID)).groupBy("digest").agg(F.min("id").alias("least"), F.min(F.when(F.col("early").isNotNull(), F.col("id"))).alias("id"))
+    told = settle(_with_labels(stands, components))
+    least = told.groupBy("label").agg(F.min("least").alias("group"), F.count(F.lit(1)).alias("many")).filter("many > 1")
+    named = told.join(least.select(F.col("label").alias("of"), "group"), F.col("label") == F.col("of"), "left").select(
+        F.col("digest").alias("set_digest"), F.coalesce("group", "least").alias("group"))
+    out = features.select("id", "n", "digest").join(named, (F.col("digest") == F.col("set_digest")) & (F.col("id") != NO_ID) & (F.col("n") > 0), "left")
+    return out.select(F.nullif("id", F.lit(NO_ID)).alias("doc_id"), F.col("n").alias("n_shingles"),
+                      F.nullif(F.coalesce("group", "id"), F.lit(NO_ID)).alias("component_id"))

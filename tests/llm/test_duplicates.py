@@ -10,6 +10,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from equigauge.llm import embedding_dedup, ngram_join, suffix_dedup, warc
 from equigauge.llm.components import connected_components
 from equigauge.llm.embedding_dedup import near_duplicates
@@ -144,29 +146,54 @@ def test_busy_keys_are_dealt_over_parts(spark, monkeypatch):
     assert rows_of(jaccard_groups(docs.repartition(3))) == want
 
     # All sets of one key: no group of entries is much larger than a part, and each entry is dealt twice.
-    sets = [np.unique(rng.integers(0, 2**63, 20, dtype=np.uint64)) for _ in range(400)]
-    batch = pd.DataFrame({"batch": 0, "id": range(400), "n": 20, "digest": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets],
-                          "prefix": [np.array([77, 1000 + k], "<u8").tobytes() for k in range(400)], "bits": [bitmap(s).tobytes() for s in sets]})
-    answers = pd.DataFrame({"batch": [0], "keys": [np.array([77], "<u8").tobytes()], "totals": [np.array([400], "<u4").tobytes()]})
-    dealt = ngram_join._entries(3, 1, 40)(batch, answers)
-    counts = [len(e) // ngram_join.ENTRY.itemsize for e in dealt["entries"]]
-    assert max(counts) < 80 and sum(counts) == 800 and not dealt.duplicated(["bucket", "part"]).any()
+    entries = spark.range(400).select(F.lit(77).cast("long").alias("key"), "id", F.col("id").alias("label"), F.lit(1).cast("long").alias("cost"))
+    counts = [r["count"] for r in ngram_join.dealt(entries, 40).groupBy("key").count().collect()]
+    assert max(counts) < 80 and sum(counts) == 800 and len(counts) == 20
+    assert rows_of(ngram_join.dealt(entries, 400)) == rows_of(entries.select("key", "id"))
 
 
 def test_links_left_join_what_dealing_kept_apart(spark):
     like = Similarity(Fraction(9, 10))
     whole = np.unique(np.random.default_rng(9).integers(0, 2**63, 100, dtype=np.uint64))
-    sets = {k: np.delete(whole, k) for k in range(30)}
-    rows = [(k, len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), np.array([77], "<u8").tobytes(), bitmap(s).tobytes()) for k, s in sets.items()]
-    linkable = spark.createDataFrame(rows, "id long, n long, digest binary, prefix binary, bits binary")
-    # One component of 20 entries and ten entries of their own, in parts of 4.
-    blocks = spark.createDataFrame([(k, 0) for k in range(1, 20)], "node long, component long")
-    union = Union(range(30))
-    for a, b in [*((k, 0) for k in range(20)), *rows_of(ngram_join.links_left(linkable, np.array([77]), blocks, like, 4))]:
-        union.join(a, b)
-    assert {union.find(k) for k in range(30)} == {0}
-    one = spark.createDataFrame([(k, 0) for k in range(1, 30)], "node long, component long")
-    assert ngram_join.links_left(linkable, np.array([77]), one, like, 4).count() == 0
+    sets = spark.createDataFrame([(k, 99, bitmap(np.delete(whole, k)).tobytes()) for k in range(30)], "id long, n long, bits binary")
+    # One component of 20 entries and ten entries of their own, in parts of 4, or all in one task.
+    for most in (4, 400):
+        rows = spark.createDataFrame([(77, k, 0 if k < 20 else k, 1) for k in range(30)], "key long, id long, label long, cost long")
+        union = Union(range(30))
+        for a, b in [*((k, 0) for k in range(20)), *rows_of(ngram_join.links_left(rows, sets, like, most, 2))]:
+            union.join(a, b)
+        assert {union.find(k) for k in range(30)} == {0}
+        one = rows.withColumn("label", F.lit(0).cast("long"))
+        assert ngram_join.links_left(one, sets, like, most, 2).count() == 0
+
+
+@pytest.mark.parametrize("share", [Fraction(9, 10), Fraction(4, 5), Fraction(1, 2)])
+def test_similar_sets_have_a_key_in_common(share):
+    """Also sets whose hashes crowd in a corner, so that most parts are empty, and sets on both sides of a band."""
+    rng = np.random.default_rng(11)
+    keys, like = ngram_join.Keys(Similarity(share)), Similarity(share)
+    for k in range(300):
+        n = int(rng.integers(2, 60)) if k % 3 else int(rng.integers(60, 900))
+        top = 2**40 if k % 5 == 0 else 2**64 - 1
+        both = np.unique(rng.integers(0, top, n, dtype=np.uint64))
+        most = int(len(both) * (1 / share - 1))
+        a = np.unique(np.concatenate([both, rng.integers(0, top, int(rng.integers(0, most + 1)), dtype=np.uint64)]))
+        b = np.unique(np.concatenate([both, rng.integers(0, top, int(rng.integers(0, most + 1)), dtype=np.uint64)]))
+        overlap = len(np.intersect1d(a, b))
+        if a.tolist() == b.tolist() or overlap < share * (len(a) + len(b) - overlap):
+            continue
+        early, late = keys.of([a, b])
+        x, y = (set(np.frombuffer(early[j] + late[j], "<u8").tolist()) for j in (0, 1))
+        assert x & y, (len(a), len(b), overlap)
+
+
+def test_words_that_a_polynomial_takes_for_equal_are_told_apart(spark):
+    """A word of 1024 letters by the rule of Thue and Morse, and its complement: equal in any polynomial modulo 2^64."""
+    bits = [bin(k).count("1") % 2 for k in range(1024)]
+    one, other = ("".join("ab"[b ^ flip] for b in bits) for flip in (0, 1))
+    rows = [(1, one), (2, other), (3, f"x {one} y z"), (4, f"x {other} y z"), (5, f"x {one} y z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert rows_of(jaccard_groups(docs)) == sorted(jaccard(rows), key=repr)
 
 
 def test_bitmaps_are_not_widened_to_one_far_set():
@@ -212,9 +239,9 @@ def test_a_wide_set_does_not_loosen_the_bound_of_others():
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.lists(st.text(alphabet="aB \n\té", max_size=25), max_size=6), st.integers(1, 4))
-def test_shingle_sets_have_the_right_sizes(texts, width):
-    got = shingle_sets([t.encode() for t in texts], width)
+@given(st.lists(st.text(alphabet="aB \n\té", max_size=25), max_size=6), st.integers(1, 4), st.sampled_from([shingle_sets, ngram_join.exact_sets]))
+def test_shingle_sets_have_the_right_sizes(texts, width, sets_of):
+    got = sets_of([t.encode() for t in texts], width)
     assert [len(s) for s in got] == [len(shingles(t, width)) for t in texts]
     for a, s in zip(texts, got):
         for b, t in zip(texts, got):
