@@ -5,10 +5,12 @@ step. A longer phrase becomes active at the step after both its shorter parts, w
 word, have reached the threshold, is counted in that shard and the following ones, and is complete after one full cycle;
 so all lengths are counted interleaved and the scans end when nothing is active.
 
-Tasks learn what has reached the threshold from a table of cells, sent out before each step: a cell holds the first step
-at which a phrase that falls there reached it, and never changes once it is set. Two cells tell about a phrase, and the
-later one counts. A phrase may so be taken as active though it is not, or from an earlier step; as cells are fixed, every
-task agrees on its first step, so it is still counted in every shard exactly once. Counts are kept by the phrase itself.
+In these steps a phrase is a hash: tasks send each bucket of hashes four bytes and a count per phrase, so sums can only
+be too large. Tasks learn what has reached the threshold from a table of cells, sent out before each step: a cell holds
+the first step at which a phrase that falls there reached it, and never changes once it is set. Two cells tell about a
+phrase, and the later one counts. A phrase may so be taken as active though it is not, or from an earlier step; as cells
+are fixed, every task agrees on its first step, so it is still counted in every shard. A phrase that has reached the
+threshold is left out of the steps and counted, by its words, in a last cycle over all shards, which gives the numbers.
 """
 
 from __future__ import annotations
@@ -16,19 +18,21 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from equigauge.llm.batches import reduced
 from equigauge.llm.caches import cache_of
 from equigauge.llm.fm_index import binary_array
 from equigauge.llm.text import whole
 from equigauge.session import settle
 
-SHARDS, LONGEST = 4, 4
-#: Bytes of text counted at once.
-CHUNK = 4 << 20
+SHARDS, LONGEST = 3, 4
+#: Bytes of text counted at once, and of all text per bucket of hashes.
+CHUNK, BUCKET_BYTES = 8 << 20, 8 << 20
 #: Cells of the table of steps: one per so many bytes of text, between these powers of two, so at most 16 MB.
 BYTES_PER_CELL, LEAST_CELLS, MOST_CELLS = 16, 16, 24
 #: In a cell: not reached yet.
@@ -40,7 +44,7 @@ _BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-_COUNTED = pa.schema([("lang", pa.string()), ("size", pa.int8()), ("phrase", pa.string()), ("n", pa.int64()), ("start", pa.int16())])
+_COUNTED = pa.schema([("lang", pa.string()), ("size", pa.int8()), ("phrase", pa.string()), ("n", pa.int64())])
 
 
 def split_pieces(texts: list[bytes]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -118,10 +122,16 @@ class Phrases:
         return pc.binary_join_element_wise(*parts, " ") if size > 1 else parts[0]
 
 
-def cell_places(hashes: np.ndarray, cells: int) -> tuple[np.ndarray, np.ndarray]:
-    """The two cells of each phrase."""
-    mask = np.uint64(cells - 1)
-    return (hashes & mask).astype(np.int64), ((hashes >> np.uint64(32)) & mask).astype(np.int64)
+def cell_places(keys: np.ndarray, cells: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two cells of each reduced hash."""
+    mixed, mask = _mix(keys), np.uint64(cells - 1)
+    return (mixed & mask).astype(np.int64), ((mixed >> np.uint64(32)) & mask).astype(np.int64)
+
+
+def cell_steps(keys: np.ndarray, cells: np.ndarray) -> np.ndarray:
+    """When each reduced hash reached the threshold."""
+    one, other = cell_places(keys, len(cells))
+    return np.maximum(cells[one], cells[other])
 
 
 def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[list[bytes], list[str]]]:
@@ -134,50 +144,89 @@ def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[list[bytes], list[str]]]:
             a, size = b, 0
 
 
-def _counted(step: int, shards: int, sent):
+def reached_at(phrases: Phrases, cells: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """By size: where phrases begin, their reduced hashes, the steps at which they and at which both their parts reached the threshold.
+
+    Ends with the first size of which none has.
+    """
+    shorter = None
+    for size in range(1, LONGEST + 1):
+        at = phrases.places(size)
+        keys = reduced(phrases.hashes(size)[at], buckets)
+        own = cell_steps(keys, cells)
+        parts = np.maximum(shorter[at], shorter[at + 1]) if size > 1 else np.zeros(len(at), np.uint8)
+        yield size, at, keys, own, parts
+        if not (own != NEVER).any():
+            return
+        shorter = np.full(len(phrases.ids), NEVER, np.uint8)
+        shorter[at] = own
+
+
+def _packed(keys: np.ndarray, buckets: int, kind: str) -> Iterator[tuple[int, bytes, bytes]]:
+    """(bucket, rests, counts) of reduced keys, which may be repeated."""
+    n = np.uint64(buckets)
+    mixed = np.sort(((keys % n) << np.uint64(32)) | (keys // n))
+    first = np.flatnonzero(np.concatenate([[True], mixed[1:] != mixed[:-1]]))
+    counts = np.minimum(np.diff(np.append(first, len(mixed))), np.iinfo(kind).max).astype(kind)
+    mixed = mixed[first]
+    rests = mixed.astype("<u4")
+    bucket = (mixed >> np.uint64(32)).astype(np.int64)
+    names, starts = np.unique(bucket, return_index=True)
+    for name, a, b in zip(names.tolist(), starts, [*starts[1:], len(bucket)]):
+        yield name, rests[a:b].tobytes(), counts[a:b].tobytes()
+
+
+def _counted(step: int, shards: int, buckets: int, kind: str, sent):
     """Counts of the phrases that are active in this step, with the step at which each became so."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache_of("collocations")
         cells = np.frombuffer(sent.value, np.uint8)
         for batch in batches:
             for texts, langs in _chunks(batch):
-                phrases = Phrases(texts, langs)
-                shorter = None
-                for size in range(1, LONGEST + 1):
-                    at = phrases.places(size)
-                    start = np.zeros(len(at), np.int64)
-                    if size > 1:
-                        start = np.maximum(shorter[at], shorter[at + 1]).astype(np.int64) + 1
-                    if size < LONGEST:
-                        one, other = cell_places(phrases.hashes(size), len(cells))
-                        shorter = np.maximum(cells[one], cells[other])
-                    active = (start <= step) & (start > step - shards)
-                    first, n = phrases.counted(at[active], size)
-                    if len(first):
-                        begun = np.zeros(len(phrases.ids), np.int16)
-                        begun[at] = start
-                        yield pa.RecordBatch.from_arrays([
-                            phrases.langs.take(pa.array(phrases.lang[first])), pa.array(np.full(len(first), size, np.int8)),
-                            phrases.texts(first, size), pa.array(n.astype(np.int64)), pa.array(begun[first])], schema=_COUNTED)
+                found: dict[int, list[np.ndarray]] = {}
+                for size, at, keys, own, parts in reached_at(Phrases(texts, langs), cells, buckets):
+                    start = parts.astype(np.int64) + (size > 1)
+                    for k in range(max(0, step - shards + 1), step + 1):
+                        found.setdefault(k, []).append(keys[(own == NEVER) & (start == k)])
+                for start, several in found.items():
+                    keys = np.concatenate(several)
+                    if len(keys):
+                        names, rests, counts = zip(*_packed(keys, buckets, kind))
+                        yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array([start] * len(names), pa.int16()), pa.array(rests, pa.binary()), pa.array(counts, pa.binary())],
+                                                         ["bucket", "start", "rests", "counts"])
+    return run
+
+
+def _merged(step: int, shards: int, buckets: int, kind: str, least: int):
+    """Of one bucket: what has reached the threshold, and the counts of other phrases whose cycle goes on."""
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        bucket, out = int(part["bucket"].iloc[0]), []
+        for start, mine in part.groupby("start"):
+            rests = np.frombuffer(b"".join(mine["rests"]), "<u4")
+            order = np.argsort(rests)
+            rests = rests[order]
+            first = np.flatnonzero(np.concatenate([[True], rests[1:] != rests[:-1]]))
+            total = np.add.reduceat(np.frombuffer(b"".join(mine["counts"]), kind)[order].astype(np.int64), first)
+            rests, many = rests[first], total >= least
+            reached = rests[many].astype(np.uint64) * np.uint64(buckets) + np.uint64(bucket)
+            goes_on = ~many & (start > step - shards + 1)
+            out.append((bucket, start, rests[goes_on].tobytes(), np.minimum(total, np.iinfo(kind).max).astype(kind)[goes_on].tobytes(), reached.tobytes()))
+        return pd.DataFrame(out, columns=["bucket", "start", "rests", "counts", "reached"])
     return run
 
 
 def _cells_of(cells: int):
-    """The cells of phrases (lang, size, phrase)."""
+    """The cells of reduced hashes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = batch["size"].to_numpy()
-            phrases = Phrases(batch["phrase"].cast(pa.binary()).to_pylist(), batch["lang"].to_pylist())
-            first = np.cumsum(sizes, dtype=np.int64) - sizes
-            for size in range(1, LONGEST):
-                for found in cell_places(phrases.hashes(size)[first[sizes == size]], cells):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.unique(found))], ["cell"])
+            keys = np.frombuffer(b"".join(batch["reached"].to_pylist()), "<u8")
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(cell_places(keys, cells))))], ["cell"])
     return run
 
 
-def _mark(cells: np.ndarray, reached: DataFrame, step: int) -> None:
+def _mark(cells: np.ndarray, state: DataFrame, step: int) -> None:
     """Set the cells of what was reached in this step, unless they are set. What comes back is at most a bit per cell."""
-    bits = reached.select("lang", "size", "phrase").mapInArrow(_cells_of(len(cells)), "cell long").selectExpr("cell + 1 AS cell")
+    bits = state.select("reached").mapInArrow(_cells_of(len(cells)), "cell long").selectExpr("cell + 1 AS cell")
     for row in bits.groupBy(F.expr("bitmap_bucket_number(cell)").alias("bucket")).agg(
             F.expr("bitmap_construct_agg(bitmap_bit_position(cell))").alias("bits")).toLocalIterator():
         bit = np.flatnonzero(np.unpackbits(np.frombuffer(row["bits"], np.uint8), bitorder="little"))
@@ -185,38 +234,48 @@ def _mark(cells: np.ndarray, reached: DataFrame, step: int) -> None:
         cells[at[cells[at] == NEVER]] = step
 
 
+def _exact(buckets: int, sent):
+    """Counts of the phrases that have perhaps reached the threshold, by their words; as size 0, of all words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache_of("collocations")
+        cells = np.frombuffer(sent.value, np.uint8)
+        for batch in batches:
+            for texts, langs in _chunks(batch):
+                phrases = Phrases(texts, langs)
+                total = np.bincount(phrases.lang, minlength=len(phrases.langs)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([phrases.langs, pa.array(np.zeros(len(total), np.int8)), pa.array([""] * len(total)), pa.array(total)], schema=_COUNTED)
+                for size, at, _, own, _ in reached_at(phrases, cells, buckets):
+                    first, n = phrases.counted(at[own != NEVER], size)
+                    yield pa.RecordBatch.from_arrays([phrases.langs.take(pa.array(phrases.lang[first])), pa.array(np.full(len(first), size, np.int8)),
+                                                      phrases.texts(first, size), pa.array(n.astype(np.int64))], schema=_COUNTED)
+    return run
+
+
 def frequent_phrases(docs: DataFrame, least: int = 30, shards: int = SHARDS) -> tuple[DataFrame, DataFrame]:
     """(lang, size, phrase, n) of all phrases of up to `LONGEST` words that occur `least` times, and (lang, n) of all words."""
-    spark = docs.sparkSession
+    context = docs.sparkSession.sparkContext
     rows = docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), whole().cast("binary").alias("bytes"),
                        F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).alias("shard"))
     total = rows.agg(F.coalesce(F.sum(F.octet_length("bytes")), F.lit(0))).first()[0]
     cells = np.full(1 << min(MOST_CELLS, max(LEAST_CELLS, (total // BYTES_PER_CELL).bit_length())), NEVER, np.uint8)
-    names = ["lang", "size", "phrase", "n", "start"]
-    open_ = complete = words = None
-    step = 0
+    buckets, kind = total // BUCKET_BYTES + 1, "u1" if least < 256 else "<u4"
+    counted, state, step = "bucket int, start smallint, rests binary, counts binary", None, 0
     while True:
-        sent = spark.sparkContext.broadcast(cells.tobytes())
-        found = rows.filter(F.col("shard") == step % shards).select("lang", "bytes").mapInArrow(
-            _counted(step, shards, sent), "lang string, size tinyint, phrase string, n long, start smallint").withColumn("old", F.lit(0).cast("long"))
-        if open_ is not None:
-            found = found.union(open_.select(*names, F.col("n").alias("old")))
-        state = settle(found.groupBy("lang", "phrase").agg(
-            F.first("size").alias("size"), F.sum("n").alias("n"), F.min("start").alias("start"), F.sum("old").alias("old")))
+        sent = context.broadcast(cells.tobytes())
+        found = rows.filter(F.col("shard") == step % shards).select("lang", "bytes").mapInArrow(_counted(step, shards, buckets, kind, sent), counted)
+        if state is not None:
+            found = found.union(state.drop("reached").filter(F.octet_length("rests") > 0))
+        state = settle(found.groupBy("bucket").applyInPandas(_merged(step, shards, buckets, kind, least), f"{counted}, reached binary"))
         sent.destroy()
-        ended = F.col("start") <= step - shards + 1
-        done = state.filter(ended & (F.col("n") >= least)).select("lang", "size", "phrase", "n")
-        complete = done if complete is None else complete.union(done)
-        open_ = state.filter(~ended)
-        if step == shards - 1:
-            words = state.filter("size = 1").groupBy("lang").agg(F.sum("n").alias("n"))
-        reached = state.filter((F.col("n") >= least) & (F.col("old") < least) & (F.col("size") < LONGEST))
-        new, left = state.agg(F.count_if((F.col("n") >= least) & (F.col("old") < least) & (F.col("size") < LONGEST)), F.count_if(~ended)).first()
-        if step >= shards - 1 and not new and not left:
-            return settle(complete), words
+        new, left = state.agg(*(F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c in ("reached", "rests"))).first()
         if new:
-            _mark(cells, reached, step)
+            _mark(cells, state, step)
+        if step >= shards - 1 and not new and not left:
+            break
         step += 1
+    counts = settle(rows.select("lang", "bytes").mapInArrow(_exact(buckets, context.broadcast(cells.tobytes())), "lang string, size tinyint, phrase string, n long").groupBy(
+        "lang", "size", "phrase").agg(F.sum("n").alias("n")).filter((F.col("size") == 0) | (F.col("n") >= least)))
+    return counts.filter("size > 0"), counts.filter("size = 0").select("lang", "n")
 
 
 def _joined(first: str, size: str) -> Column:

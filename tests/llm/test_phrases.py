@@ -40,9 +40,10 @@ def test_full_cells_change_nothing(spark, monkeypatch):
     rows = sentences(2, 80)
     docs = spark.createDataFrame(rows, SCHEMA)
     want = {(lang, " ".join(p), n) for lang, f in brute.phrases([(r[2], r[1]) for r in rows])[0].items() for p, n in f.items() if n >= 10}
-    for cells in (16, 6):
+    for cells in (16, 6, 1):
         monkeypatch.setattr(mining, "LEAST_CELLS", cells)
         monkeypatch.setattr(mining, "MOST_CELLS", cells)
+        monkeypatch.setattr(mining, "BUCKET_BYTES", 1_000)
         known, _ = frequent_phrases(docs, 10, 3)
         assert {(r["lang"], r["phrase"], r["n"]) for r in known.collect()} == want
 
