@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("fairness", "quality", "volumes", "training", "enforcement", "streams", "storage")
+MODULES = ("fairness", "quality", "volumes", "training", "enforcement", "controls", "streams", "storage")
 
 
 def _merged(name: str) -> dict:

@@ -191,28 +191,6 @@ def run_record(spark: SparkSession, folder: str) -> DataFrame:
     return provenance.run_record(table(spark, folder, "orders"), "run-1", columns=keys).drop("timestamp")
 
 
-GAPS = """
-catalog:
-  control-implementations:
-    - implemented-requirements:
-        - {uuid: lost, control-id: G.1, links: [{href: "#nowhere"}]}
-        - {uuid: unknown, control-id: G.2, props: [{name: metric_key, value: no_such_metric}, {name: operator, value: "<"}, {name: threshold, value: "1"}]}
-        - {uuid: missing, control-id: G.3, props: [{name: metric_key, value: disparate_impact}, {name: "input:dimension", value: no_such_column}, {name: operator, value: gt}, {name: threshold, value: "0.8"}]}
-        - {uuid: kept, control-id: G.4, props: [{name: metric_key, value: accuracy_score}, {name: operator, value: ">="}, {name: threshold, value: "0.4"}]}
-"""
-
-
-@registered(f"""WITH {A}, v AS (SELECT avg(CASE WHEN target = prediction THEN 1.0 ELSE 0.0 END) AS v FROM a)
-SELECT requirement_id, requirement_id = 'kept' AS evaluated, requirement_id = 'kept' AND v >= 0.4 AS passed,
-  CASE WHEN requirement_id = 'kept' THEN round(v, 6) END AS actual_value
-FROM v, (VALUES ('lost'), ('unknown'), ('missing'), ('kept')) t(requirement_id)""")
-def policy_gaps(spark: SparkSession, folder: str) -> DataFrame:
-    """Controls with a link to nowhere, an unknown metric and a missing column stay in the audit, not evaluated."""
-    policy = resolve(raw_texts(spark, {"gaps": GAPS}))
-    run = enforce(decisions(spark, folder), policy, target="target", prediction="prediction")
-    return rounded(run.results.select("requirement_id", "evaluated", "passed", "actual_value"))
-
-
 @registered("""SELECT CAST(o_custkey AS VARCHAR) AS grp, count(*) AS n, round(avg(CASE WHEN o_orderpriority = '1-URGENT' THEN 1.0 ELSE 0.0 END), 6) AS positive_rate
 FROM orders WHERE o_custkey IS NOT NULL GROUP BY o_custkey""")
 def group_rates_all(spark: SparkSession, folder: str) -> DataFrame:

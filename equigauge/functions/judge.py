@@ -11,6 +11,7 @@ LESS = ("lt", "<")
 AT_LEAST = ("gte", ">=", "ge")
 AT_MOST = ("lte", "<=", "le")
 EQUAL = ("eq", "==", "=")
+OPERATORS = (*GREATER, *LESS, *AT_LEAST, *AT_MOST, *EQUAL)
 
 # Band limits by metric family, as (limit, band) in order of testing.
 GAP_BANDS = ((0.10, "low"), (0.20, "medium"))

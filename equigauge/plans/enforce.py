@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from equigauge import schemas
-from equigauge.functions.judge import compare, message
+from equigauge.functions.judge import OPERATORS, compare, message
 from equigauge.functions.ratios import ratio
 from equigauge.operators.components import Lens, class_counts, group_rates, lens_components
 from equigauge.operators.metrics import METRICS, Metric, find_metric, metric_value
@@ -234,6 +234,8 @@ def enforce(
         try:
             if not control.metric_key:
                 raise LookupError(without_metric(control))
+            if control.metric_key != "group_min_positive_rate":
+                without_limit(control)
             if control.metric_key in FRAME_METRICS:
                 one = FRAME_METRICS[control.metric_key](control, bound)
                 if control.metric_key == "group_min_positive_rate":
@@ -282,6 +284,14 @@ def without_metric(control: Control) -> str:
     return "; ".join(control.warnings) or "no metric is named"
 
 
+def without_limit(control: Control) -> None:
+    """Raise if a control cannot be compared with anything."""
+    if control.operator not in OPERATORS:
+        raise LookupError(f"unknown operator '{control.operator}'" if control.operator else "no operator is given")
+    if control.threshold is None:
+        raise LookupError("no threshold is given")
+
+
 def to_controls(spark: SparkSession, policy: object) -> list[Control]:
     if isinstance(policy, DataFrame):
         return as_controls(policy)

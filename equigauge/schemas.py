@@ -16,7 +16,7 @@ CONTROLS = _fields(
     ("target_role", _S), ("prediction_role", _S), ("dimension", _S),
     ("quasi_identifiers", _LIST), ("sensitive_attribute", _S), ("sensitive_columns", _LIST),
     ("aggregation", _S), ("average", _S), ("bucket_method", _S), ("buckets", T.IntegerType()),
-    ("props", T.MapType(_S, _S)), ("warnings", _LIST),
+    ("props", T.MapType(_S, _S)), ("warnings", _LIST), ("shape", _S),
 )
 
 METRICS = _fields(("metric_key", _S), ("dimension", _S), ("value", _D), ("n_rows", _L))

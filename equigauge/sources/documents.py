@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
 
-COLUMNS = ["policy_id", "kind", "requirement_id", "control_id", "title", "description", "props", "href", "warnings"]
+#: What a property of a control is about; catalogues also list controls that only have labels.
+MEASURED = ("metric_key", "operator", "threshold")
+NESTED = ("implemented-requirements", "include-controls", "controls")
+COLUMNS = ["policy_id", "kind", "requirement_id", "control_id", "title", "description", "props", "href", "warnings", "shape"]
 
 
 def _as_props(entries: Iterable[dict]) -> tuple[dict[str, str], list[str]]:
@@ -22,27 +26,34 @@ def _as_props(entries: Iterable[dict]) -> tuple[dict[str, str], list[str]]:
 
 
 def _walk(node: object, policy: str, path: str) -> Iterator[tuple]:
-    """Raw rows of a document: requirements, inline controls and inventory items, wherever they sit."""
+    """Raw rows of a document: requirements, inline controls and inventory items, wherever they sit.
+
+    The shape is the way of keys that leads there. Everything with a link or properties is a requirement, but for groups of others and catalogue entries that say nothing
+    about a measure.
+    """
     if isinstance(node, list):
         for i, item in enumerate(node):
             yield from _walk(item, policy, f"{path}/{i}")
         return
     if not isinstance(node, dict):
         return
-    name = path.rstrip("/0123456789").rsplit("/", 1)[-1]
+    shape = re.sub(r"/\d+(?=/|$)", "", path).strip("/")
+    name = shape.rsplit("/", 1)[-1]
     if name == "inventory-items":
         props, warnings = _as_props(node.get("props"))
-        yield (policy, "item", node.get("uuid"), None, None, node.get("description"), props, None, warnings)
+        yield (policy, "item", node.get("uuid"), None, None, node.get("description"), props, None, warnings, shape)
         return
-    if name in ("implemented-requirements", "include-controls", "controls"):
+    if name in NESTED:
         props, warnings = _as_props(node.get("props"))
         hrefs = [str(link["href"]) for link in node.get("links") or [] if link.get("href")]
         control = node.get("control-id") or node.get("control_id") or node.get("id")
-        if props or hrefs:
+        measured = any(key.replace("-", "_") in MEASURED for key in props)
+        group = name == "controls" or any(key in node for key in NESTED)
+        if hrefs or measured or (props and not group):
             base = node.get("uuid") or f"{control}@{path.strip('/')}"
             for k, href in enumerate(hrefs or [None]):
                 key = base if k == 0 else f"{base}#{k}"
-                yield (policy, "requirement", key, control, node.get("title"), node.get("description"), props, href, warnings)
+                yield (policy, "requirement", key, control, node.get("title"), node.get("description"), props, href, warnings, shape)
     for key, child in node.items():
         if isinstance(child, (dict, list)) and key not in ("props", "links", "metadata", "risks"):
             yield from _walk(child, policy, f"{path}/{key}")

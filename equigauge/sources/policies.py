@@ -19,7 +19,7 @@ cloudpickle.register_pickle_by_value(documents)
 
 _RAW = (
     "policy_id string, kind string, requirement_id string, control_id string, title string, description string, "
-    "props map<string,string>, href string, warnings array<string>"
+    "props map<string,string>, href string, warnings array<string>, shape string"
 )
 
 
@@ -57,7 +57,7 @@ def resolve(raw: DataFrame) -> DataFrame:
         F.concat(F.coalesce("warnings", none), F.coalesce("item_warnings", none), F.when(
             F.col("href").isNotNull() & F.col("item_props").isNull(),
             F.array(F.concat(F.lit("unresolved_link:"), "href")),
-        ).otherwise(none)).alias("warnings"),
+        ).otherwise(none)).alias("warnings"), "shape",
     )
     return controls_from_props(merged)
 
@@ -85,11 +85,13 @@ def controls_from_props(rows: DataFrame) -> DataFrame:
         given("average").alias("average"),
         prop("age_bucket_method", "bucket_method").alias("bucket_method"),
         prop("age_buckets", "buckets").try_cast("int").alias("buckets"),
-        "props", "warnings",
+        "props", "warnings", "shape",
     )
-    # A control whose link leads nowhere must not vanish: it stays, without a metric, and cannot be evaluated.
-    dangling = F.exists(F.coalesce("warnings", F.array().cast("array<string>")), lambda w: w.startswith("unresolved_link:"))
-    return typed.filter(F.col("metric_key").isNotNull() | dangling).to(schemas.CONTROLS)
+    # A control that names no metric must not vanish: it stays, with the reason, and cannot be evaluated.
+    known = F.coalesce("warnings", F.array().cast("array<string>"))
+    dangling = F.exists(known, lambda w: w.startswith("unresolved_link:"))
+    unnamed = F.when(F.col("metric_key").isNull() & ~dangling, F.array(F.lit("no_metric_key"))).otherwise(F.array().cast("array<string>"))
+    return typed.withColumn("warnings", F.concat(known, unnamed)).to(schemas.CONTROLS)
 
 
 def read_policies(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:

@@ -226,6 +226,30 @@ def test_a_control_never_vanishes(spark, tmp_path, table):
     assert enforce_metrics(metrics, str(tmp_path)).filter("NOT evaluated AND NOT passed").count() == 2
 
 
+@pytest.mark.parametrize(("entry", "reason"), [
+    ("{uuid: x, control-id: X, props: [{name: metric-key, value: accuracy_score}]}", "no_metric_key"),
+    ("{uuid: x, control-id: X, props: [{name: operator, value: '>'}, {name: threshold, value: '1'}]}", "no_metric_key"),
+    ("{uuid: x, control-id: X, props: [{name: severity, value: high}]}", "no_metric_key"),
+    ("{uuid: x, control-id: X, links: [{href: '#i'}]}", "no_metric_key"),
+    ("{uuid: x, control-id: X, props: [{name: metric_key, value: class_imbalance}, {name: operator, value: '>'}, {name: threshold, value: much}]}", "no threshold is given"),
+    ("{uuid: x, control-id: X, props: [{name: metric_key, value: class_imbalance}, {name: threshold, value: '1'}]}", "no operator is given"),
+    ("{uuid: x, control-id: X, props: [{name: metric_key, value: class_imbalance}, {name: operator, value: near}, {name: threshold, value: '1'}]}", "unknown operator 'near'"),
+])
+def test_a_control_that_says_too_little_is_kept_and_refused_by_strict_mode(spark, tmp_path, table, entry, reason):
+    (tmp_path / "p.oscal.yaml").write_text(
+        "catalog:\n  inventory-items: [{uuid: i, props: [{name: severity, value: low}]}]\n  control-implementations:\n"
+        "    - implemented-requirements:\n        - {uuid: group, control-id: G, props: [{name: severity, value: low}], implemented-requirements: [" + entry + "]}\n")
+    rows = enforce(table, str(tmp_path), target="y").results.collect()
+    assert [(r["requirement_id"], r["evaluated"], r["passed"], r["message"]) for r in rows] == [("x", False, False, reason)]
+    with pytest.raises(NotEvaluable, match=reason):
+        enforce(table, str(tmp_path), target="y", strict=True)
+
+
+def test_catalogue_entries_without_a_measure_are_no_controls(spark, tmp_path):
+    (tmp_path / "p.oscal.yaml").write_text("catalog: {controls: [{id: a, title: t, props: [{name: label, value: A}]}, {id: b, props: [{name: threshold, value: '1'}]}]}")
+    assert [r["control_id"] for r in read_policies(spark, str(tmp_path)).collect()] == ["b"]
+
+
 def test_policies_of_one_name_stay_apart(spark, tmp_path):
     for k, limit in enumerate(("0.1", "0.9")):
         place = tmp_path / f"p{k}" / "data_policy.oscal.yaml"
