@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from equigauge.session import settle, shared_folder
 
-#: Bytes of a chunk of the body and of a record's block at most; records in one file at most.
-CHUNK_BYTES, SEGMENT_BYTES, FILE_RECORDS = 8_192, 65_536, 4_096
+#: Bytes of a chunk of the body and of a record's block at most; records in one file at most, which is then 64 MB and headers.
+CHUNK_BYTES, SEGMENT_BYTES, FILE_RECORDS = 8_192, 65_536, 1_024
 DATE = "2024-01-01T00:00:00Z"
 RECORD_END = "\r\n\r\n"
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
@@ -62,8 +62,9 @@ def unchunked(data: bytes) -> bytes:
         at += size + 2
 
 
-def page_record_id(page_id: int | None, digest: str) -> str:
-    return f"<urn:page:{'none' if page_id is None else page_id}:{digest}>"
+def page_record_id(page_id: int | None, digest: str, copy: str | None = None) -> str:
+    """`copy`, the hash of the address and a number, tells rows apart that repeat a page_id and payload."""
+    return f"<urn:page:{'none' if page_id is None else page_id}:{digest}{'' if copy is None else f':{copy}'}>"
 
 
 def _record(kind: str, block: bytes, record_id: str, **more: object) -> str:
@@ -74,13 +75,14 @@ def _record(kind: str, block: bytes, record_id: str, **more: object) -> str:
     return "\r\n".join([*lines, f"Content-Length: {len(block)}", "", ""]) + block.decode()
 
 
-def page_records(page_id: int | None, url: str | None, payload: bytes, revisits: bool, winner: int | None) -> Iterator[str]:
+def page_records(page_id: int | None, url: str | None, payload: bytes, revisits: bool, winner: int | None,
+                 copy: str | None = None, winner_copy: str | None = None) -> Iterator[str]:
     digest = base32_sha1(payload)
-    record_id = page_record_id(page_id, digest)
+    record_id = page_record_id(page_id, digest, copy)
     url = None if url is None else re.sub(r"\s", "%20", url)
     about = {"target_uri": url, "payload_digest": f"sha1:{digest}"}
     if revisits:
-        yield _record("revisit", _HTTP, record_id, **about, refers_to=page_record_id(winner, digest),
+        yield _record("revisit", _HTTP, record_id, **about, refers_to=page_record_id(winner, digest, winner_copy),
                       profile="http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")
         return
     block = _HTTP + chunked(payload)
@@ -96,26 +98,38 @@ def page_records(page_id: int | None, url: str | None, payload: bytes, revisits:
 
 def _written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for page_id, url, payload, revisits, winner in zip(*(c.to_pylist() for c in batch.columns)):
-            yield pa.RecordBatch.from_arrays([pa.array(list(page_records(page_id, url, payload, revisits, winner)))], ["value"])
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            yield pa.RecordBatch.from_arrays([pa.array(list(page_records(*row)))], ["value"])
 
 
 def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0) -> None:
     """Write `pages` (page_id, url, html) as gzipped WARC files under `folder`, through Spark's text writer.
 
-    Of pages with equal payloads of at least `least_bytes`, the one with the largest page_id is the response, the others
-    revisit it. NULL html is an empty payload; NULL page_ids never win over others. The pages that revisit are found on
-    digests alone; only then do payloads meet them, by page and digest, so no payload's copies gather in a task.
+    Every row gives a record. Of records with equal payloads of at least `least_bytes`, one with the largest page_id is the
+    response, the others revisit it. NULL html is an empty payload; NULL page_ids never win over others. The pages that
+    revisit are found on digests alone; only then do payloads meet them, by page, digest and address. Rows that repeat all
+    three are counted before they are moved, and numbered.
     """
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).cast("binary").alias("payload")).withColumn("sha", F.sha1("payload"))
-    light = settle(rows.select("page_id", "sha", F.octet_length("payload").alias("size")).distinct())
+    light = settle(rows.select("page_id", "sha", "url", F.octet_length("payload").alias("size")).groupBy("page_id", "sha", "url", "size").agg(
+        F.count(F.lit(1)).alias("copies")))
+    best = F.struct("page_id", F.coalesce("url", F.lit("")).alias("named"), F.col("url").isNotNull().alias("has_url"))
     winners = light.filter(F.col("size") >= least_bytes).groupBy(F.col("sha").alias("of")).agg(
-        F.max("page_id").alias("winner"), F.count(F.lit(1)).alias("n")).filter("n > 1 AND winner IS NOT NULL")
-    again = light.join(winners, F.col("sha") == F.col("of")).filter(~F.col("page_id").eqNullSafe(F.col("winner"))).select(
-        F.col("page_id").alias("again_id"), F.col("sha").alias("again_sha"), "winner")
-    told = rows.join(again, F.col("page_id").eqNullSafe(F.col("again_id")) & (F.col("sha") == F.col("again_sha")), "left").select(
-        "page_id", "url", "payload", F.col("again_sha").isNotNull().alias("revisits"), "winner")
-    told.mapInArrow(_written, "value string").write.option("lineSep", RECORD_END).option("compression", "gzip").option(
+        F.max(best).alias("best"), F.sum("copies").alias("n")).filter("n > 1 AND best.page_id IS NOT NULL").select(
+        "of", F.col("best.page_id").alias("winner"), F.when(F.col("best.has_url"), F.col("best.named")).alias("winner_url"))
+    wins = F.col("page_id").eqNullSafe(F.col("winner")) & F.col("url").eqNullSafe(F.col("winner_url"))
+    about = light.join(winners, F.col("sha") == F.col("of"), "left").withColumn("wins", wins).filter("copies > 1 OR winner IS NOT NULL").select(
+        F.col("page_id").alias("at_page"), F.col("sha").alias("at_sha"), F.col("url").alias("at_url"), "copies", "winner", "winner_url", "wins")
+    met = rows.join(about, F.col("page_id").eqNullSafe(F.col("at_page")) & (F.col("sha") == F.col("at_sha")) & F.col("url").eqNullSafe(F.col("at_url")), "left")
+    told = met.select("page_id", "url", "payload", "sha", "winner", "winner_url", F.coalesce("copies", F.lit(1)).alias("copies"), F.coalesce("wins", F.lit(False)).alias("wins"))
+    once = told.filter("copies = 1").withColumn("k", F.lit(1).cast("long")).drop("sha", "copies")
+    again = told.filter("copies > 1").groupBy("page_id", "url", "sha", "winner", "winner_url", "wins").agg(
+        F.first("payload").alias("payload"), F.first("copies").alias("copies")).withColumn("k", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    copy = lambda url, k: F.concat_ws("-", F.coalesce(F.sha1(F.col(url).cast("binary")), F.lit("none")), k)
+    written = once.unionByName(again.select(*once.columns)).select(
+        "page_id", "url", "payload", (F.col("winner").isNotNull() & ~(F.col("wins") & (F.col("k") == 1))).alias("revisits"), "winner",
+        copy("url", F.col("k")).alias("copy"), F.when(F.col("winner").isNotNull(), copy("winner_url", F.lit(1))).alias("winner_copy"))
+    written.mapInArrow(_written, "value string").write.option("lineSep", RECORD_END).option("compression", "gzip").option(
         "maxRecordsPerFile", FILE_RECORDS).text(folder)
 
 
@@ -193,7 +207,7 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     Pieces of one segment number and origin count once. Wrong lengths, missing segments and payloads that do not have
     their digest raise an error. A revisit has the facts of the response it refers to.
     """
-    parsed = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).select("content").mapInArrow(_parsed, _PARSED)
+    parsed = settle(spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).select("content").mapInArrow(_parsed, _PARSED))
     pieces = parsed.filter("segment IS NOT NULL").groupBy("origin", "segment").agg(
         F.first("block").alias("block"), F.max("total").alias("total"), F.max("digest").alias("digest"))
     grouped = pieces.groupBy("origin").agg(
@@ -203,9 +217,9 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     responses = parsed.filter("kind = 'response' AND segment IS NULL").select(
         "record_id", "page_id", "digest", "payload_bytes", "payload_digest").union(grouped.mapInArrow(_reassembled, facts))
     checked = responses.withColumn("payload_digest", F.when(F.col("digest") == F.col("payload_digest"), F.col("digest")).otherwise(
-        F.raise_error(F.concat(F.lit("wrong digest in "), F.col("record_id"))).cast("string"))).distinct()
+        F.raise_error(F.concat(F.lit("wrong digest in "), F.col("record_id"))).cast("string")))
     revisits = parsed.filter("kind = 'revisit'").select(
-        F.col("page_id").alias("again_id"), "refers_to", F.col("digest").alias("same")).distinct().join(
+        F.col("page_id").alias("again_id"), "refers_to", F.col("digest").alias("same")).join(
         checked.select("record_id", F.col("page_id").alias("of"), F.col("payload_bytes").alias("bytes")), F.col("refers_to") == F.col("record_id"), "left")
     return checked.select("page_id", "payload_bytes", "payload_digest", F.lit("response").alias("record_type"), F.lit(None).cast("long").alias("refers_to")).union(
         revisits.select("again_id", "bytes", "same", F.lit("revisit"), "of"))
@@ -214,7 +228,7 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
 def archive_round_trip(pages: DataFrame) -> DataFrame:
     """The facts of `pages` (page_id, url, html) after writing them to archives and reading those.
 
-    Rows that repeat a page_id and payload are one page. NULL html is an empty payload, which counts like any other. An
+    Every row gives one, repeated rows too; of rows that repeat the largest page_id of a payload, one is the response. NULL html is an empty payload, which counts like any other. An
     empty table gives no rows; other columns are ignored.
     """
     folder = shared_folder(pages.sparkSession, "warc")

@@ -316,17 +316,19 @@ def facts(rows, least=0):
         p = (h or "").encode()
         if len(p) >= least and i is not None:
             best[p] = max(best.get(p, i), i)
-    out = set()
+    out, told = [], set()
     for i, _, h in rows:
         p = (h or "").encode()
-        same = best.get(p) in (i, None)
-        out.add((i, len(p), base64.b32encode(hashlib.sha1(p).digest()).decode(), "response" if same else "revisit", None if same else best[p]))
+        first = best.get(p) is None or (best[p] == i and p not in told)
+        told |= {p} if best.get(p) == i else set()
+        out.append((i, len(p), base64.b32encode(hashlib.sha1(p).digest()).decode(), "response" if first else "revisit", None if first else best[p]))
     return sorted(out, key=repr)
 
 
 def test_archives(spark):
     rows = [(1, "http://a.b/c d\r\ne", "<p>x</p>\r\n\r\nWARC/1.1\r\n"), (2, None, None), (3, "u", ""), (4, "u", "é日😀" * 40_000), (5, "v", "é日😀" * 40_000),
-            (6, "w", "same"), (7, "w", "same"), (7, "w", "same"), (None, "n", "same"), (None, None, "alone"), (8, "x", "a" * warc.SEGMENT_BYTES * 2)]
+            (6, "w", "same"), (7, "w", "same"), (7, "w", "same"), (None, "n", "same"), (None, None, "alone"), (None, None, "alone"), (None, "y", "alone"),
+            (9, "r", "twice"), (9, "r", "twice"), (9, None, "twice"), (9, "", "twice"), (9, "s", "b" * warc.SEGMENT_BYTES * 2), (9, "s", "b" * warc.SEGMENT_BYTES * 2), (10, None, None), (8, "x", "a" * warc.SEGMENT_BYTES * 2)]
     pages = spark.createDataFrame([(*r, "k") for r in rows], "page_id long, url string, html string, kind string")
     assert rows_of(warc.archive_round_trip(pages)) == facts(rows)
     assert warc.archive_round_trip(pages.limit(0)).count() == 0
