@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from equigauge.llm.joins import with_group
 from equigauge.llm.text import whole
 from equigauge.session import settle
 
@@ -136,8 +137,8 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
     least = -(2**63)
     marked = rows.select("digest", F.coalesce("doc_id", F.lit(least)).alias("id"),
                          F.coalesce(F.col("doc_id") <= middle, F.lit(True)).alias("old"))
-    groups = duplicate_groups(marked, n // SHARD_DIGESTS + 1).select(
-        F.col("digest").alias("of"), F.nullif("winner", F.lit(least)).alias("keep_id"), F.col("size").alias("group_size"))
-    return rows.join(groups, F.col("digest") == F.col("of")).select(
+    groups = settle(duplicate_groups(marked, n // SHARD_DIGESTS + 1).select(
+        "digest", F.nullif("winner", F.lit(least)).alias("keep_id"), F.col("size").alias("group_size")))
+    return with_group(rows, groups, "digest", "group_size", n).select(
         "doc_id", "keep_id", "group_size", F.coalesce(F.col("doc_id") == F.col("keep_id"), F.lit(False)).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"))

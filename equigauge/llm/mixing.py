@@ -79,11 +79,12 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     """The documents of the mix with all columns of `docs`, each as often as it is repeated.
 
     A repetition that is only begun counts as a whole one here, at most one document per source. Rows that share a
-    doc_id are told apart by their source and text. NULL doc_ids are matched like any other.
+    doc_id are told apart by their source and text. NULL doc_ids are matched like any other; documents without words are
+    never taken. Columns of any name and type come through.
     """
-    columns = docs.columns
-    keyed = docs.withColumn("mix_key", F.sha2(F.to_json(F.struct("doc_id", "text", "source")), 256))
-    named = keyed.select(F.col("mix_key").alias("doc_id"), "text", "source")
-    repeats = mix(named, **how).filter("repeats > 0").groupBy(F.col("doc_id").alias("mix_of")).agg(F.max("repeats").alias("mix_repeats"))
-    return keyed.join(repeats, F.col("mix_key") == F.col("mix_of")).withColumn(
-        "mix_turn", F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix_repeats")))).select(*columns)
+    key = F.sha2(F.to_json(F.struct("doc_id", "text", "source")), 256)
+    keyed = docs.select(key.alias("key"), F.struct(*docs.columns).alias("row"))
+    named = docs.select(key.alias("doc_id"), "text", "source")
+    repeats = mix(named, **how).filter("repeats > 0").groupBy(F.col("doc_id").alias("of")).agg(F.max("repeats").alias("repeats"))
+    turns = F.explode(F.sequence(F.lit(1).cast("long"), "repeats")).alias("turn")
+    return keyed.join(repeats, F.col("key") == F.col("of")).select("row", turns).select("row.*")

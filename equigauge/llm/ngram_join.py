@@ -30,6 +30,7 @@ from equigauge.llm.batches import BUCKET_KEYS, NO_ID, looked_up, received, reduc
 from equigauge.llm.caches import cache_of
 from equigauge.llm.components import connected_components
 from equigauge.llm.fm_index import binary_array
+from equigauge.llm.joins import with_group
 from equigauge.llm.text import whole
 from equigauge.session import settle
 
@@ -585,11 +586,14 @@ def jaccard_groups(docs: DataFrame, width: int = 3, share: Fraction = Fraction(9
     left = links_left(keyed(light, F.concat("early", "late")), sets, like, BUSY_ROWS, buckets)
     blocks = connected_components(found.union(left))
     components = connected_components(_verified(rows, sets, blocks, width, like))
-    stands = features.filter((F.col("n") > 0) & (F.col("id") != NO_ID)).groupBy("digest").agg(F.min("id").alias("least"), F.min(F.when(F.col("early").isNotNull(), F.col("id"))).alias("id"))
+    named_sets = features.filter((F.col("n") > 0) & (F.col("id") != NO_ID))
+    stands = named_sets.groupBy("digest").agg(
+        F.min("id").alias("least"), F.min(F.when(F.col("early").isNotNull(), F.col("id"))).alias("id"), F.count(F.lit(1)).alias("copies"))
     told = settle(_with_labels(stands, components))
     least = told.groupBy("label").agg(F.min("least").alias("group"), F.count(F.lit(1)).alias("many")).filter("many > 1")
-    named = told.join(least.select(F.col("label").alias("of"), "group"), F.col("label") == F.col("of"), "left").select(
-        F.col("digest").alias("set_digest"), F.coalesce("group", "least").alias("group"))
-    out = features.select("id", "n", "digest").join(named, (F.col("digest") == F.col("set_digest")) & (F.col("id") != NO_ID) & (F.col("n") > 0), "left")
+    named = settle(told.join(least.select(F.col("label").alias("of"), "group"), F.col("label") == F.col("of"), "left").select(
+        "digest", "copies", F.coalesce("group", "least").alias("component")))
+    alone = features.filter((F.col("n") == 0) | (F.col("id") == NO_ID)).select("id", "n", F.col("id").alias("component"))
+    out = with_group(named_sets.select("id", "n", "digest"), named, "digest", "copies", n_rows).select("id", "n", "component").union(alone)
     return out.select(F.nullif("id", F.lit(NO_ID)).alias("doc_id"), F.col("n").alias("n_shingles"),
-                      F.nullif(F.coalesce("group", "id"), F.lit(NO_ID)).alias("component_id"))
+                      F.nullif("component", F.lit(NO_ID)).alias("component_id"))

@@ -152,7 +152,12 @@ def scored(texts: list[str], words: WordScores, bias: float) -> tuple[np.ndarray
 
 
 def with_scores(docs: DataFrame, weights: dict[str, float]) -> DataFrame:
-    """`docs` with toxicity_score (0 to 1) and toxicity_sentences, all other columns as they are."""
+    """`docs` with toxicity_score (0 to 1) and toxicity_sentences, all other columns as they are.
+
+    Columns of these names in `docs` are an error.
+    """
+    if {"toxicity_score", "toxicity_sentences"} & set(docs.columns):
+        raise ValueError("the table has a toxicity_score or toxicity_sentences already")
     sent = docs.sparkSession.sparkContext.broadcast(weights)
     mark, column = uuid.uuid4().hex, docs.columns.index("text")
 

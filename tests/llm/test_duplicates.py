@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 
 from pyspark.sql import functions as F
 
-from equigauge.llm import embedding_dedup, ngram_join, suffix_dedup, warc
+from equigauge.llm import embedding_dedup, joins, ngram_join, suffix_dedup, warc
 from equigauge.llm.components import connected_components
 from equigauge.llm.embedding_dedup import near_duplicates
 from equigauge.llm.exact_dedup import DIGEST_BYTES, PerfectHash, exact_dedup
@@ -101,6 +101,17 @@ def test_exact_dedup(spark, odd, odd_rows, empty):
     assert exact_dedup(empty).count() == 0
 
 
+def test_large_groups_meet_their_rows_without_gathering(spark, monkeypatch):
+    monkeypatch.setattr(joins, "LEAST_ROWS", 10)
+    rows = spark.createDataFrame([(k, b"hot" if k % 2 else b"k%d" % (k % 40)) for k in range(200)] + [(999, None)], "id long, digest binary")
+    groups = rows.groupBy("digest").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("least"))
+    met = joins.with_group(rows, groups, "digest", "size", 200)
+    plan = met._jdf.queryExecution().toString()
+    assert plan.count("BroadcastHashJoin") >= 1
+    want = [(k, b"hot" if k % 2 else b"k%d" % (k % 40)) for k in range(200)]
+    assert sorted((r["id"], bytes(r["digest"]), r["size"], r["least"]) for r in met.collect()) == [(k, d, 100 if d == b"hot" else 5, 1 if d == b"hot" else k % 40) for k, d in want]
+
+
 @settings(max_examples=20, deadline=None)
 @given(st.integers(0, 400), st.integers(0, 5))
 def test_perfect_hash(n, seed):

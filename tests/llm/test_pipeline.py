@@ -2,6 +2,9 @@
 
 from collections import Counter
 
+import pytest
+from pyspark.sql import functions as F
+
 import corpus_pipeline as pipeline
 from equigauge.llm import mixing, toxicity
 from equigauge.session import settle
@@ -52,6 +55,30 @@ def test_mixing_of_extra_columns(spark, odd):
     assert mixing.mixed_documents(odd.withColumnRenamed("n_chars", "taken")).columns[-1] == "taken"
 
 
+#: Names that stages use inside, or used to.
+INNER = ("stage_id", "stage_of", "stage_node", "stage_row", "mix_key", "mix_of", "mix_turn", "mix_repeats", "toxicity_score", "toxicity_sentences",
+         "row", "id", "of", "node", "key", "repeats", "turn", "again_id", "again_of", "gone_id", "gone_of", "kept", "best", "keep_id", "digest", "bytes", "size")
+
+
+def test_stages_take_columns_of_any_name_and_type(spark, odd):
+    wide = odd.withColumns({c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in INNER}).withColumn("facts", F.create_map(F.lit("k"), "doc_id"))
+    twice = wide.union(wide.filter("doc_id = 6"))
+    docs = plain = None
+    for name, stage in pipeline.STAGES[:-1]:
+        docs = settle(stage(spark, twice if docs is None else docs, SMALL))
+        plain = settle(stage(spark, odd.union(odd.filter("doc_id = 6")) if plain is None else plain, SMALL))
+        assert docs.columns == wide.columns, name
+        assert sorted(r["doc_id"] for r in docs.collect()) == sorted(r["doc_id"] for r in plain.collect()), name
+        assert docs.filter(" OR ".join(f"{c} <> concat('{c}', doc_id)" for c in INNER)).count() == 0, name
+        assert docs.filter("facts['k'] <> doc_id").count() == 0
+    assert pipeline.pack_sequences(spark, docs, SMALL).count() > 0
+
+
+def test_scores_do_not_hide_a_column(spark, odd):
+    with pytest.raises(ValueError, match="already"):
+        toxicity.with_scores(odd.withColumnRenamed("lang", "toxicity_score"), {"": 0.0})
+
+
 def test_verdicts_are_per_row(spark, odd):
     long = " ".join(f"w{k}" for k in range(60))
     rows = [(1, "a", None, "s", 1), (5, "a", None, "s", 1), (1, "unique", None, "s", 1), (1, "unique", None, "t", 1), (None, "a", None, "s", 1),
