@@ -24,54 +24,70 @@ def _digest() -> Column:
     return F.sha2(whole(), 256)
 
 
+def _rows(docs: DataFrame, *named: Column) -> DataFrame:
+    """The columns of `docs` as one struct, so that no name of theirs meets one of ours, besides `named`."""
+    return docs.select(F.struct(*docs.columns).alias("row"), *named)
+
+
 def _once(docs: DataFrame) -> DataFrame:
-    """`docs` with one row per doc_id, NULL included, and text: of rows that repeat both, the least in its other columns."""
-    seen = docs.select(F.col("doc_id").alias("stage_id"), _digest().alias("stage_of")).groupBy("stage_id", "stage_of").count()
-    repeated = settle(seen.filter("count > 1").drop("count"))
-    same = F.col("doc_id").eqNullSafe(F.col("stage_id")) & (_digest() == F.col("stage_of"))
-    least = docs.join(repeated, same).groupBy("stage_id", "stage_of").agg(F.min(F.struct(*docs.columns)).alias("stage_row"))
-    return docs.join(repeated, same, "left_anti").union(least.select("stage_row.*"))
+    """`docs` with one row per doc_id, NULL included, and text: of rows that repeat both, the least in its JSON form."""
+    keyed = _rows(docs, F.col("doc_id").alias("id"), _digest().alias("of"))
+    repeated = settle(keyed.groupBy("id", "of").count().filter("count > 1").select(F.col("id").alias("again_id"), F.col("of").alias("again_of")))
+    same = F.col("id").eqNullSafe(F.col("again_id")) & (F.col("of") == F.col("again_of"))
+    least = keyed.join(repeated, same).groupBy("id", "of").agg(F.min_by("row", F.to_json("row")).alias("row"))
+    return keyed.join(repeated, same, "left_anti").select("row").union(least.select("row")).select("row.*")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier does not reject. It is fitted on the given documents that have labels."""
+    """Documents that the classifier does not reject. It is fitted on the given documents that have labels.
+
+    NULL and empty texts score 0 and stay; NULL ids and repeated rows are judged like others. Columns of any name come
+    through.
+    """
     ship_package(spark)
     weights = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.with_scores(docs, weights).filter(F.col("toxicity_score") < toxicity.THRESHOLD).select(*docs.columns)
+    others = [c for c in docs.columns if c != "text"]
+    scored = toxicity.with_scores(docs.select("text", F.struct(*others).alias("row")), weights)
+    return scored.filter(F.col("toxicity_score") < toxicity.THRESHOLD).select(*(F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, one row with the largest doc_id; a row with a NULL doc_id only if there are no others."""
+    """Of equal texts, one row with the largest doc_id; a row with a NULL doc_id only if there are no others.
+
+    NULL and empty texts are equal to each other.
+    """
     ship_package(spark)
     gone = exact_dedup.exact_dedup(docs).filter(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(
-        F.col("doc_id").alias("stage_id"), F.col("text_sha256").alias("stage_of")).distinct()
-    kept = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("stage_id")) & (_digest() == F.col("stage_of")), "left_anti")
-    return _once(settle(kept))
+        F.col("doc_id").alias("gone_id"), F.col("text_sha256").alias("gone_of")).distinct()
+    keyed = _rows(docs, F.col("doc_id").alias("id"), _digest().alias("of"))
+    kept = keyed.join(gone, F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("of") == F.col("gone_of")), "left_anti")
+    return _once(settle(kept.select("row.*")))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that links of `NEAR_SHARE` reach from each other, the one with the least doc_id, NULL last.
 
-    Documents are told apart by doc_id and text, as a 64-bit hash of both.
+    Documents are told apart by doc_id and text, as a 64-bit hash of both. NULL and empty texts link with nothing and stay.
     """
     ship_package(spark)
     node = F.xxhash64(F.col("doc_id").isNull(), "doc_id", _digest())
     groups = ngram_join.jaccard_groups(docs.select(node.alias("doc_id"), "text"), NEAR_WORDS, NEAR_SHARE)
-    told = settle(groups.select(F.col("doc_id").alias("stage_node"), "component_id").distinct())
-    named = docs.select(node.alias("stage_of"), "doc_id", _digest().alias("digest")).join(told, F.col("stage_of") == F.col("stage_node"))
+    told = settle(groups.select(F.col("doc_id").alias("node"), "component_id").distinct())
+    named = docs.select(node.alias("of"), F.col("doc_id").alias("id"), _digest().alias("digest")).join(told, F.col("of") == F.col("node"))
     stays = named.groupBy("component_id").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest", "stage_node")).alias("best"))
-    gone = told.select("stage_node").join(stays.select(F.col("best.stage_node").alias("kept")), F.col("stage_node") == F.col("kept"), "left_anti")
-    return _once(settle(docs.join(gone, node == F.col("stage_node"), "left_anti")))
+        F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "digest", "node")).alias("best"))
+    gone = told.select("node").join(stays.select(F.col("best.node").alias("kept")), F.col("node") == F.col("kept"), "left_anti")
+    left = _rows(docs, node.alias("of")).join(gone, F.col("of") == F.col("node"), "left_anti")
+    return _once(settle(left.select("row.*")))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as often as the mix takes them."""
+    """The documents as often as the mix takes them. NULL and empty texts have no words and are not taken."""
     return mixing.mixed_documents(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all sequences."""
+    """The pieces of all sequences. NULL and empty texts give the end id alone."""
     ship_package(spark)
     return packing.pack(docs, tokenizer_path("word_bpe_49k.json"))
 
