@@ -15,6 +15,7 @@ threshold is left out of the steps and counted, by its words, in a last cycle ov
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +31,7 @@ from equigauge.llm.fm_index import binary_array
 from equigauge.llm.text import whole
 from equigauge.session import settle
 
-SHARDS, LONGEST = 3, 4
+SHARDS, LONGEST = 2, 4
 #: Bytes of text counted at once, and of all text per bucket of hashes.
 CHUNK, BUCKET_BYTES = 8 << 20, 8 << 20
 #: Cells of the table of steps: one per so many bytes of text, between these powers of two, so at most 16 MB.
@@ -38,70 +39,65 @@ BYTES_PER_CELL, LEAST_CELLS, MOST_CELLS = 16, 16, 24
 #: In a cell: not reached yet.
 NEVER = 255
 UNKNOWN = "und"
-_BLANK, _BREAK = np.zeros(256, bool), np.zeros(256, bool)
-_BLANK[[0x20, 0x09]] = True
-_BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
+#: What a byte is: 0 a part of a word, else a blank, or the end of a piece.
+_ENDS = 2
+_KIND = np.zeros(256, np.uint8)
+_KIND[[0x20, 0x09]] = 1
+_KIND[[*b".,;:!?", *range(0x0A, 0x0E)]] = _ENDS
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
-_STEP = np.uint64(0x9E3779B97F4A7C15)
+_STEP = 0x9E3779B97F4A7C15
+_BACK = pow(_STEP, -1, 2**64)
+_BYTE = np.random.Generator(np.random.PCG64(12)).integers(1, 2**63, 256, dtype=np.uint64)
 _COUNTED = pa.schema([("lang", pa.string()), ("size", pa.int8()), ("phrase", pa.string()), ("n", pa.int64())])
 
 
-def split_pieces(texts: list[bytes]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """The words of all texts in lower case, the piece that each is in, and how many words each text has."""
-    data = _FOLD[np.frombuffer(b"\n".join([*texts, b""]), np.uint8)]
-    breaks = _BREAK[data]
-    inside = ~(breaks | _BLANK[data])
-    edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
-    starts, ends = edge[::2], edge[1::2]
-    piece = np.cumsum(breaks, dtype=np.int32)[starts]
-    sizes = np.diff(np.searchsorted(starts, np.cumsum([0, *(len(t) + 1 for t in texts)])))
-    return binary_array(ends - starts, data[inside]), piece, sizes
-
-
 def _mix(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return h ^ (h >> np.uint64(31))
 
 
-def _hashes(values: pa.Array) -> np.ndarray:
-    """A 64-bit hash of each binary value. They name cells only."""
-    lengths = pc.binary_length(values).to_numpy().astype(np.int64)
-    data = np.frombuffer(b"".join(values.to_pylist()), np.uint8).astype(np.uint64) + np.uint64(1)
-    ends = np.cumsum(lengths)
-    place = np.arange(len(data)) - np.repeat(ends - lengths, lengths)
-    power = np.cumprod(np.full(int(lengths.max(initial=0)) + 1, _STEP))
-    total = np.concatenate([[np.uint64(0)], np.cumsum(data * power[place])])
-    return _mix((total[ends] - total[ends - lengths]) + lengths.astype(np.uint64))
+def _powers(base: int, n: int) -> np.ndarray:
+    """Powers of `base`, kept by the worker."""
+    held = cache_of("collocations")
+    if len(held.get(base, ())) < n:
+        out = np.full(max(n, 2 * CHUNK), base, np.uint64)
+        out[0] = 1
+        held[base] = np.cumprod(out)
+    return held[base][:n]
+
+
+def _lang_hash(lang: str) -> int:
+    return int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest(), "little")
 
 
 class Phrases:
-    """All phrases of up to `LONGEST` words of some texts, by their first word."""
+    """The words of some texts in lower case, by lang and piece, and the hashes of the phrases they make."""
 
     def __init__(self, texts: list[bytes], langs: list[str]):
-        words, self.piece, sizes = split_pieces(texts)
-        coded = words.dictionary_encode()
+        self.data = _FOLD[np.frombuffer(b"\n".join([*texts, b""]), np.uint8)]
+        kind = _KIND[self.data]
+        self.inside = kind == 0
+        edge = np.flatnonzero(np.diff(self.inside, prepend=False, append=False))
+        self.starts, self.ends = edge[::2], edge[1::2]
+        self.piece = np.cumsum(kind == _ENDS, dtype=np.int32)[self.starts]
+        self.sizes = np.diff(np.searchsorted(self.starts, np.cumsum([0, *(len(t) + 1 for t in texts)])))
+        self.langs = sorted(set(langs))
+        number = {lang: k for k, lang in enumerate(self.langs)}
+        self.lang = np.repeat(np.array([number[x] for x in langs], np.int64), self.sizes)
+
+    def word_hashes(self) -> np.ndarray:
+        """A 64-bit hash of each word, from running sums over all bytes."""
+        n = len(self.data)
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(_BYTE[self.data] * _powers(_STEP, n))])
+        word = (sums[self.ends] - sums[self.starts]) * _powers(_BACK, n + 1)[self.starts]
+        return _mix(word + (self.ends - self.starts).astype(np.uint64))
+
+    def numbered(self) -> None:
+        """Give each distinct word a number, for exact counts."""
+        coded = binary_array(self.ends - self.starts, self.data[self.inside]).dictionary_encode()
         self.words, self.ids = coded.dictionary.cast(pa.string()), coded.indices.to_numpy().astype(np.int64)
-        names = pa.array(langs, pa.string()).dictionary_encode()
-        self.langs = names.dictionary
-        self.lang = np.repeat(names.indices.to_numpy().astype(np.int64), sizes)
-        self.word_hash = _hashes(coded.dictionary)[self.ids] if len(self.ids) else np.zeros(0, np.uint64)
-        # The hash of the phrase of `size` words from each place on, for the size that is asked for next.
-        self.size, self.hash = 1, _mix(_hashes(self.langs.cast(pa.binary()))[self.lang] + self.word_hash) if len(self.ids) else self.word_hash
-
-    def places(self, size: int) -> np.ndarray:
-        """Where phrases of this size begin."""
-        n = len(self.ids) - size + 1
-        return np.flatnonzero(self.piece[:n] == self.piece[size - 1:]) if n > 0 else np.zeros(0, np.int64)
-
-    def hashes(self, size: int) -> np.ndarray:
-        """Hashes of the phrases of this size from each place on. Sizes must be asked for in ascending order."""
-        while self.size < size:
-            n = max(0, len(self.ids) - self.size)
-            self.hash = _mix(self.hash[:n] * _STEP + self.word_hash[self.size:])
-            self.size += 1
-        return self.hash
 
     def counted(self, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
         """Of the phrases of this size at these places: the place of one of each, and how many there are."""
@@ -145,21 +141,30 @@ def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[list[bytes], list[str]]]:
 
 
 def reached_at(phrases: Phrases, cells: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """By size: where phrases begin, their reduced hashes, the steps at which they and at which both their parts reached the threshold.
-
-    Ends with the first size of which none has.
+    """By size: where phrases begin both of whose parts have reached the threshold, their reduced hashes, the steps at
+    which they and at which both their parts reached it.
     """
-    shorter = None
+    words = phrases.word_hashes()
+    lang_hash = np.array([_lang_hash(x) for x in phrases.langs], np.uint64)
+    at = np.arange(len(words))
+    hashes = _mix(lang_hash[phrases.lang] + words)
+    parts = np.zeros(len(at), np.uint8)
     for size in range(1, LONGEST + 1):
-        at = phrases.places(size)
-        keys = reduced(phrases.hashes(size)[at], buckets)
+        if size > 1:
+            # The step of each shorter phrase by its place, and its hash.
+            shorter, before = np.full(len(words) + 1, NEVER, np.uint8), np.zeros(len(words), np.uint64)
+            shorter[at], before[at] = own, hashes
+            steps = np.maximum(shorter[at], shorter[at + 1])
+            live = steps != NEVER
+            at, parts = at[live], steps[live]
+            one_piece = phrases.piece[at] == phrases.piece[at + size - 1]
+            at, parts = at[one_piece], parts[one_piece]
+            hashes = _mix(before[at] * np.uint64(_STEP) + words[at + size - 1])
+        keys = reduced(hashes, buckets)
         own = cell_steps(keys, cells)
-        parts = np.maximum(shorter[at], shorter[at + 1]) if size > 1 else np.zeros(len(at), np.uint8)
         yield size, at, keys, own, parts
-        if not (own != NEVER).any():
+        if not len(at):
             return
-        shorter = np.full(len(phrases.ids), NEVER, np.uint8)
-        shorter[at] = own
 
 
 def _packed(keys: np.ndarray, buckets: int, kind: str) -> Iterator[tuple[int, bytes, bytes]]:
@@ -242,11 +247,13 @@ def _exact(buckets: int, sent):
         for batch in batches:
             for texts, langs in _chunks(batch):
                 phrases = Phrases(texts, langs)
+                phrases.numbered()
+                names = pa.array(phrases.langs, pa.string())
                 total = np.bincount(phrases.lang, minlength=len(phrases.langs)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([phrases.langs, pa.array(np.zeros(len(total), np.int8)), pa.array([""] * len(total)), pa.array(total)], schema=_COUNTED)
+                yield pa.RecordBatch.from_arrays([names, pa.array(np.zeros(len(total), np.int8)), pa.array([""] * len(total)), pa.array(total)], schema=_COUNTED)
                 for size, at, _, own, _ in reached_at(phrases, cells, buckets):
                     first, n = phrases.counted(at[own != NEVER], size)
-                    yield pa.RecordBatch.from_arrays([phrases.langs.take(pa.array(phrases.lang[first])), pa.array(np.full(len(first), size, np.int8)),
+                    yield pa.RecordBatch.from_arrays([names.take(pa.array(phrases.lang[first])), pa.array(np.full(len(first), size, np.int8)),
                                                       phrases.texts(first, size), pa.array(n.astype(np.int64))], schema=_COUNTED)
     return run
 
@@ -270,7 +277,8 @@ def frequent_phrases(docs: DataFrame, least: int = 30, shards: int = SHARDS) ->
         new, left = state.agg(*(F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c in ("reached", "rests"))).first()
         if new:
             _mark(cells, state, step)
-        if step >= shards - 1 and not new and not left:
+        # Nothing of length k begins after k - 1 cycles.
+        if step >= shards - 1 and not new and not left or step == LONGEST * shards - 1:
             break
         step += 1
     counts = settle(rows.select("lang", "bytes").mapInArrow(_exact(buckets, context.broadcast(cells.tobytes())), "lang string, size tinyint, phrase string, n long").groupBy(
