@@ -134,29 +134,49 @@ def monitor(
 
 
 def epoch_audit(
-    stream: DataFrame, path: str, epoch: str, audit: Callable[[DataFrame], DataFrame], staging: str | None = None
+    stream: DataFrame, path: str, epoch: str, audit: Callable[[DataFrame], DataFrame], staging: str | None = None, behind: int = 1,
 ) -> DataFrame:
-    """Collect batch outputs by epoch, and audit all epochs when the stream has ended.
+    """Audit every epoch once, as soon as it closes: what `audit` gives for its rows, with `batch` and `open`.
 
-    Outputs are appended to a table partitioned by epoch, so nothing piles up on the driver.
+    Epochs are numbers that rise in the stream. One is closed when an epoch more than `behind` later has come; its rows are
+    audited in that batch and rows that come later are left out. Epochs still open when the stream has ended are audited
+    then, with `open` true and no batch. Rows are appended to a table partitioned by epoch, so nothing piles up on the
+    driver, which knows the newest epoch alone. A batch that is run again replaces itself.
     """
     spark = stream.sparkSession
     staging = staging or shared_folder(spark, "epochs")
     fields = T.StructType([f for f in stream.schema.fields if f.name != epoch] + [stream.schema[epoch]])
+    with_batch = T.StructType([*fields.fields, T.StructField("batch", T.LongType())])
+    number_of = F.col(epoch).cast("long")
+
+    def closed_until(number: int) -> int | None:
+        """The newest epoch that was closed up to this batch."""
+        return spark.read.parquet(f"{staging}-marks/batch={number}").first()["closed"] if number >= 0 else None
 
     def land(batch: DataFrame, number: int) -> None:
+        before = closed_until(number - 1)
+        in_time = batch.filter(number_of.isNotNull() & (F.lit(before is None) | (number_of > F.lit(before))))
         (
-            batch.withColumn("batch", F.lit(number)).write.mode("overwrite")
+            in_time.withColumn("batch", F.lit(number)).write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic").partitionBy(epoch, "batch").parquet(staging)
         )
+        newest = batch.agg(F.max(number_of)).first()[0]
+        closed = before if newest is None else max(x for x in (before, newest - behind - 1) if x is not None)
+        spark.createDataFrame([(closed,)], "closed long").write.mode("overwrite").parquet(f"{staging}-marks/batch={number}")
+        if closed is not None and closed != before:
+            stored = spark.read.schema(with_batch).parquet(staging).filter(F.col("batch") <= number)
+            due = stored.filter((number_of <= closed) & (F.lit(before is None) | (number_of > F.lit(before))))
+            if not due.isEmpty():
+                audit(due).withColumn("open", F.lit(False)).write.mode("overwrite").parquet(f"{path}/audit={number}")
 
     query = (
         stream.writeStream.foreachBatch(land).option("checkpointLocation", shared_folder(spark, "stream-state"))
         .trigger(availableNow=True).start()
     )
     query.awaitTermination()
-    with_batch = T.StructType([*fields.fields, T.StructField("batch", T.LongType())])
-    stored = spark.read.schema(with_batch).parquet(staging)
-    audit(stored).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
+    marks = spark.read.schema("closed long, batch long").parquet(f"{staging}-marks")
+    closed = marks.agg(F.max("closed")).first()[0]
+    rest = spark.read.schema(with_batch).parquet(staging).filter(F.lit(closed is None) | (number_of > F.lit(closed)))
+    audit(rest).withColumn("open", F.lit(True)).write.mode("overwrite").parquet(f"{path}/audit=-1")
+    told = spark.read.parquet(path)
+    return told.withColumn("batch", F.when(F.col("audit") >= 0, F.col("audit")).cast("long")).drop("audit")
