@@ -8,16 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from equigauge.functions.literals import doubles
 from equigauge.functions.ratios import ratio
-from equigauge.operators.running import last_at_most, running_total
-from equigauge.session import attach, settle, small_or_none
-
-#: A value domain of at most this many entries is looked up as a literal array.
-FEW_VALUES = 512
+from equigauge.operators.running import last_at_most, scan, unplaced
+from equigauge.session import attach, settle
 
 
 def cells(df: DataFrame, quasi_identifiers: Sequence[str], sensitive: str | None = None) -> DataFrame:
@@ -49,21 +45,24 @@ def l_diversity(df: DataFrame, quasi_identifiers: Sequence[str], sensitive: str)
 
 
 def group_distances(df: DataFrame, quasi_identifiers: Sequence[str], sensitive: str, ordered: bool = False) -> DataFrame:
-    """Earth mover's distance between each group's sensitive values and the whole table's."""
+    """Earth mover's distance between each group's sensitive values and the whole table's.
+
+    The table is read once, for the cells; sizes of groups and values are sums of those.
+    """
     keys = list(quasi_identifiers)
-    known = df.select(*keys, F.col(sensitive).alias("s")).na.drop(subset=[*keys, "s"])
-    # Both sums combine well before their shuffle; only the cells themselves can be many, and they are built once.
-    sizes = known.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_group"))
-    whole = known.groupBy("s").agg(F.count(F.lit(1)).alias("n_value"))
-    cell = attach(cells(known, keys, "s"), sizes, keys)
-    return _ordered(cell, whole, keys) if ordered else _unordered(cell, whole, keys)
+    known = df.select(*keys, F.col(sensitive).alias("s")).na.drop(subset=["s"])
+    cell = settle(cells(known, keys, "s"))
+    sizes = cell.groupBy(*keys).agg(F.sum("n").alias("n_group"))
+    whole = settle(cell.groupBy("s").agg(F.sum("n").alias("n_value")))
+    sized = attach(cell, sizes, keys)
+    return _ordered(sized, whole, keys) if ordered else _unordered(sized, whole, keys)
 
 
 def _unordered(cell: DataFrame, whole: DataFrame, keys: list[str]) -> DataFrame:
     """Half the absolute differences. Values a group lacks add up to one minus the table share of those it has."""
-    total = whole.agg(F.sum("n_value").alias("n")).first()["n"] or 0
-    share, base = ratio("n", "n_group"), ratio("n_value", F.lit(total))
-    return attach(cell, whole, ["s"]).groupBy(*keys).agg(
+    total = whole.agg(F.sum("n_value")).scalar()
+    share, base = ratio("n", "n_group"), ratio("n_value", total)
+    return cell.join(whole, "s").groupBy(*keys).agg(
         F.max("n_group").alias("n"), (0.5 * (1.0 + F.sum(F.abs(share - base) - base))).alias("distance")
     )
 
@@ -76,32 +75,20 @@ def _ordered(cell: DataFrame, whole: DataFrame, keys: list[str]) -> DataFrame:
     positions up to t, the last one with Q <= c, contribute c - Q and the rest Q - c. So each stored cell needs one
     lookup of t by c and no missing cell is ever materialised. The sensitive column must be numeric.
     """
-    own = Window.partitionBy(*keys).orderBy("i")
-    upto = own.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    few = small_or_none(whole, FEW_VALUES)
-    steps = settle(_value_steps(whole)) if few is None else _few_steps(few)
-    m, end = steps.agg(F.max("i"), F.max("through")).first()
+    steps = settle(_value_steps(whole))
+    m, end = steps.agg(F.max("i").alias("m")).scalar(), steps.agg(F.max("through").alias("end")).scalar()
     placed = attach(cell, steps.select("s", "i", "before"), ["s"])
-    runs = placed.select(
-        *keys, "n_group", "i", "before",
-        ratio(F.sum("n").over(upto), "n_group").alias("c"),
-        F.coalesce(F.lead("i").over(own) - 1, F.lit(m)).alias("last"),
-        F.coalesce(F.lead("before").over(own), F.lit(end)).alias("before_next"),
-        (F.row_number().over(own) == 1).alias("first"),
+    own = scan(placed, keys, ["i"], sums={"upto": "n"}, previous={"i_before": "i"}, following={"i_next": "i", "before_after": "before"})
+    runs = settle(unplaced(own).select(
+        *keys, "n_group", "i", "before", ratio("upto", "n_group").alias("c"), F.coalesce(F.col("i_next") - 1, m).alias("last"),
+        F.coalesce("before_after", end).alias("before_next"), F.col("i_before").isNull().alias("first"),
+    ))
+    # A level occurs in many groups; each distinct one is looked up once.
+    marks = steps.select(F.col("q").alias("c"), "i", F.col("through").alias("t_through"))
+    found = last_at_most(runs.select("c").distinct(), marks, "c", ["t_through"]).select(
+        "c", F.coalesce("i", F.lit(0)).alias("t"), F.coalesce("t_through", F.lit(0.0)).alias("t_through")
     )
-    if few is None:
-        # A level occurs in many groups; each distinct one is looked up once.
-        marks = steps.select(F.col("q").alias("c"), "i", F.col("through").alias("t_through"))
-        runs = settle(runs)
-        found = last_at_most(runs.select("c").distinct(), marks, "c", ["t_through"]).select(
-            "c", F.coalesce("i", F.lit(0)).alias("t"), F.coalesce("t_through", F.lit(0.0)).alias("t_through")
-        )
-        run = attach(runs, found, ["c"])
-    else:
-        table = steps.orderBy("i").collect()
-        shares, sums = doubles(r["q"] for r in table), doubles([0.0, *[r["through"] for r in table]])
-        run = runs.withColumn("t", F.size(F.filter(shares, lambda q: q <= F.col("c"))))
-        run = run.withColumn("t_through", F.element_at(sums, F.col("t") + 1))
+    run = attach(runs, found, ["c"])
     t = F.least(F.greatest(F.col("t"), F.col("i") - 1), F.col("last"))
     through_t = F.when(F.col("t") < F.col("i"), F.col("before")).when(
         F.col("t") >= F.col("last"), F.col("before_next")
@@ -109,30 +96,17 @@ def _ordered(cell: DataFrame, whole: DataFrame, keys: list[str]) -> DataFrame:
     below = F.col("c") * (t - F.col("i") + 1) - (through_t - F.col("before"))
     above = (F.col("before_next") - through_t) - F.col("c") * (F.col("last") - t)
     head = F.when(F.col("first"), F.col("before")).otherwise(0.0)
-    distance = F.try_divide(F.sum(below + above + head), F.lit(float((m or 1) - 1)))
+    distance = F.try_divide(F.sum(below + above + head), (F.coalesce(m, F.lit(1)) - 1).cast("double"))
     return run.groupBy(*keys).agg(F.max("n_group").alias("n"), F.coalesce(distance, F.lit(0.0)).alias("distance"))
 
 
 def _value_steps(whole: DataFrame) -> DataFrame:
     """Per distinct sensitive value in order: position i, table share Q(i), sums of Q before and through i."""
-    whole = settle(whole)
     total = whole.agg(F.sum("n_value")).scalar()
-    placed = running_total(whole.withColumn("one", F.lit(1)), "s", {"upto": "n_value", "i": "one"})
-    q = settle(placed.select("s", F.col("i").cast("int").alias("i"), ratio("upto", total).alias("q")))
-    return running_total(q, "s", {"through": "q"}).withColumn("before", F.col("through") - F.col("q"))
-
-
-def _few_steps(few: DataFrame) -> DataFrame:
-    """The same table for a domain proven to be short."""
-    rows, upto, through = [], 0, 0.0
-    table = sorted(few.collect(), key=lambda r: r["s"])
-    total = sum(r["n_value"] for r in table)
-    for i, r in enumerate(table, 1):
-        upto += r["n_value"]
-        rows.append((r["s"], i, upto / total, through + upto / total, through))
-        through += upto / total
-    kind = few.schema["s"].dataType.simpleString()
-    return few.sparkSession.createDataFrame(rows, f"s {kind}, i int, q double, through double, before double")
+    placed = scan(whole.withColumn("one", F.lit(1)), [], ["s"], sums={"upto": "n_value", "i": "one"})
+    q = placed.select("*", ratio("upto", total).alias("q")).withColumn("i", F.col("i").cast("int"))
+    through = unplaced(scan(q, [], ["s"], sums={"through": "q"}))
+    return through.select("s", "i", "q", "through", (F.col("through") - F.col("q")).alias("before"))
 
 
 def t_closeness(df: DataFrame, quasi_identifiers: Sequence[str], sensitive: str, ordered: bool = False) -> DataFrame:

@@ -9,19 +9,20 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from equigauge.functions.clean import finite
-from equigauge.operators.running import running_total
+from equigauge.operators.running import scan
 from equigauge.session import attach, settle
 
 ACCURACY = 20_000
+#: Share of the rows on each side of a wanted rank that a bracket holds at least; the sketch is an eighth of it exact. A
+#: bracket of few rows is one of `LEVELS` wider ones, each `WIDER` times as wide, or the whole range.
 MARGIN = 8.0 / ACCURACY
-#: Up to this many values a margin can be less than a rank, and the bracket is the whole range.
-FEW = 10_000
-#: Beyond this many values the kept ones are ranked in pieces.
-MANY = 100_000_000
+WIDER, LEVELS = 4, 6
+#: Rows on each side that a bracket holds at least.
+LEAST = 2
 
 
 def exact_quantiles(
@@ -29,79 +30,74 @@ def exact_quantiles(
 ) -> DataFrame:
     """Quantiles with linear interpolation as (keys..., n, q_0, q_1, ...); NULL and NaN are skipped.
 
-    The sketch guarantees ranks to 1/ACCURACY; brackets are wider by a margin, and a bracket that still misses its
-    order statistic fails the query rather than giving a wrong number.
+    All groups are selected together: a sketch gives each a bracket around every wanted rank, values outside are counted
+    only, and those inside are ranked by a scan over ranges, so a group of nearly all rows spreads over tasks. A group
+    whose bracket should miss its rank is ranked whole.
     """
     keys = list(keys)
     values = df.select(*keys, finite(F.col(value).cast("double")).alias("v")).filter(F.col("v").isNotNull())
     for key in keys:
         values = values.filter(F.col(key).isNotNull())
-
-    k = len(probs)
-    around = [max(p - MARGIN, 0.0) for p in probs] + [min(p + MARGIN, 1.0) for p in probs]
-    brackets = values.groupBy(*keys).agg(
-        F.percentile_approx("v", F.array(*[F.lit(p) for p in around]), ACCURACY).alias("ends"),
+    found = settle(_selected(values, probs, keys, _brackets(values, probs, keys)))
+    missed = found.filter("missed")
+    if not missed.isEmpty():
+        again = values.join(missed.select(*keys), keys, "left_semi") if keys else values
+        whole = again.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo0"), F.max("v").alias("hi0"))
+        ends = [F.col(f"{end}0").alias(f"{end}{i}") for i in range(len(probs)) for end in ("lo", "hi")]
+        found = found.filter("NOT missed").union(settle(_selected(again, probs, keys, whole.select(*keys, "n", *ends))))
+    return found.select(*keys, "n", *(F.col(f"q{i}").alias(f"{name}_{i}") for i in range(len(probs))))
+
+
+def _brackets(values: DataFrame, probs: Sequence[float], keys: list[str]) -> DataFrame:
+    """Per group its rows and the bracket (lo, hi) around each rank."""
+    widths = [MARGIN * WIDER**level for level in range(LEVELS)]
+    around = sorted({min(max(p + side * w, 0.0), 1.0) for p in probs for w in widths for side in (-1, 1)})
+    place = {q: k for k, q in enumerate(around)}
+    sketched = values.groupBy(*keys).agg(
+        F.percentile_approx("v", F.array(*map(F.lit, around)), ACCURACY).alias("ends"),
         F.count(F.lit(1)).alias("n"), F.min("v").alias("least"), F.max("v").alias("most"),
-    ).filter(F.col("n") > 0)
-    few = F.col("n") <= FEW
-    limits = []
-    for i, p in enumerate(probs):
-        lo = F.col("least") if p - MARGIN <= 0 else F.when(few, F.col("least")).otherwise(F.col("ends")[i])
-        hi = F.col("most") if p + MARGIN >= 1 else F.when(few, F.col("most")).otherwise(F.col("ends")[k + i])
-        limits += [lo.alias(f"lo{i}"), hi.alias(f"hi{i}")]
-    brackets = brackets.select(*keys, "n", *limits)
-    fields = ["n", *[f"{end}{i}" for i in range(k) for end in ("lo", "hi")]]
+    ).filter("n > 0")
+
+    def end(p: float, side: int) -> Column:
+        chosen = F.when(F.lit(False), F.lit(None).cast("double"))
+        for w in widths:
+            q = min(max(p + side * w, 0.0), 1.0)
+            at = F.col("least") if q <= 0 else F.col("most") if q >= 1 else F.col("ends")[place[q]]
+            chosen = chosen.when(F.col("n") * w >= LEAST, at)
+        return chosen.otherwise(F.col("least") if side < 0 else F.col("most"))
+    return sketched.select(*keys, "n", *(end(p, side).alias(f"{'lo' if side < 0 else 'hi'}{i}") for i, p in enumerate(probs) for side in (-1, 1)))
+
 
-    rows = 0
+def _selected(values: DataFrame, probs: Sequence[float], keys: list[str], brackets: DataFrame) -> DataFrame:
+    """Per group n, the quantiles q0, q1, ... and whether a bracket missed its rank."""
+    k = len(probs)
+    fields = ["n", *(f"{end}{i}" for i in range(k) for end in ("lo", "hi"))]
     if keys:
         placed = attach(values, brackets, keys)
     else:
-        one = brackets.select(*fields).first()
-        rows = one["n"] if one else 0
-        types = dict(brackets.dtypes)
+        one, types = brackets.select(*fields).first(), dict(brackets.dtypes)
         placed = values.select("v", *[F.lit(one[c] if one else None).cast(types[c]).alias(c) for c in fields])
 
     # A value inside a bracket stays; all others fold into the end of the last bracket below them, marked as a gap.
-    inside = F.lit(False)
-    below = F.lit(-math.inf)
+    inside, below = F.lit(False), F.lit(-math.inf)
     for i in range(k):
         inside = inside | F.col("v").between(F.col(f"lo{i}"), F.col(f"hi{i}"))
         below = F.greatest(below, F.when(F.col(f"hi{i}") < F.col("v"), F.col(f"hi{i}")))
     kept = placed.select(*keys, "n", F.when(inside, F.col("v")).otherwise(below).alias("at"), (~inside).alias("gap"))
     counted = kept.groupBy(*keys, "n", "at", "gap").agg(F.count(F.lit(1)).alias("c"))
-    if rows > MANY:
-        ranked = _ranked_in_pieces(counted)
-    else:
-        upto = F.sum("c").over(
-            Window.partitionBy(*keys).orderBy("at", "gap").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        )
-        ranked = counted.withColumn("upto", upto)
+    ranked = scan(counted, keys, ["at", "gap"], sums={"upto": "c"})
     found = []
     for i, p in enumerate(probs):
         pos = F.lit(float(p)) * (F.col("n") - 1)
         for side, rank in (("a", F.floor(pos)), ("b", F.ceil(pos))):
             found.append(F.min(F.when(F.col("upto") > rank, F.struct("upto", "at", "gap"))).alias(f"{side}{i}"))
     one = ranked.groupBy(*keys, "n").agg(*found)
-
-    def at(i: int, p: float) -> Column:
-        a, b = F.col(f"a{i}"), F.col(f"b{i}")
-        pos = F.lit(float(p)) * (F.col("n") - 1)
-        missed = F.coalesce(a["gap"] | b["gap"], F.lit(True))
-        stop = F.raise_error(F.lit("a quantile bracket missed its order statistic")).cast("double")
-        return F.when(missed, stop).otherwise(a["at"] + (b["at"] - a["at"]) * (pos - F.floor(pos)))
-
-    return one.select(*keys, "n", *[at(i, p).alias(f"{name}_{i}") for i, p in enumerate(probs)])
-
-
-def _ranked_in_pieces(counted: DataFrame) -> DataFrame:
-    """Running counts over many kept values, split over tasks. At one position the gap comes after the value."""
-    at_value = F.sum(F.when(~F.col("gap"), F.col("c")).otherwise(0)).alias("own")
-    pairs = settle(counted.groupBy("n", "at").agg(F.sum("c").alias("c"), at_value))
-    total = running_total(pairs, "at", {"through": "c"})
-    after_gap = F.struct(F.col("through").alias("upto"), F.lit(True).alias("gap"))
-    after_own = F.struct((F.col("through") - F.col("c") + F.col("own")).alias("upto"), F.lit(False).alias("gap"))
-    steps = F.array_compact(F.array(F.when(F.col("own") > 0, after_own), F.when(F.col("own") < F.col("c"), after_gap)))
-    return total.select("n", "at", F.inline(steps))
+    missed, out = F.lit(False), []
+    for i, p in enumerate(probs):
+        a, b, pos = F.col(f"a{i}"), F.col(f"b{i}"), F.lit(float(p)) * (F.col("n") - 1)
+        missed = missed | F.coalesce(a["gap"] | b["gap"], F.lit(True))
+        out.append((a["at"] + (b["at"] - a["at"]) * (pos - F.floor(pos))).alias(f"q{i}"))
+    return one.select(*keys, "n", *out, missed.alias("missed"))
 
 
 def five_numbers(df: DataFrame, group: str, value: str) -> DataFrame:

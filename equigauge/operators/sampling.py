@@ -12,7 +12,7 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from equigauge.session import attach, settle, small_or_none
+from equigauge.session import attach, settle
 
 #: Hash digits by which a split is narrowed at a time, and the rows of a slot that one task may rank.
 DIGITS = 3
@@ -112,9 +112,7 @@ def _pick(sizes: DataFrame, by: list[str]) -> DataFrame:
     before = F.coalesce(F.sum("_n").over(earlier), F.lit(0))
     placed = sizes.withColumn("_before", before)
     held = (F.col("_before") <= F.col("_want")) & (F.col("_want") < F.col("_before") + F.col("_n"))
-    chosen = placed.filter(held).select(*by, "_cut", (F.col("_want") - F.col("_before")).alias("_take"), "_n")
-    small = small_or_none(chosen)
-    return settle(chosen) if small is None else small
+    return settle(placed.filter(held).select(*by, "_cut", (F.col("_want") - F.col("_before")).alias("_take"), "_n"))
 
 
 def _with_cut(rows: DataFrame, by: list[str], cut: DataFrame) -> DataFrame:

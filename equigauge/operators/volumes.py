@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from equigauge.functions.literals import doubles
 from equigauge.functions.ratios import ratio
+from equigauge.operators.running import scan
 from equigauge.session import attach
 
 # Class index of each spine level.
@@ -70,52 +70,15 @@ def spine_mask(predicted_class: Column | str, classes: Sequence[int] | Column |
     return c.isin(*classes).cast("int") if classes else c.isin(*SPINE_CLASSES).cast("int")
 
 
-#: Rows one piece of a scale should hold, the most pieces, and how many bounds are compared at a time.
-PIECE_ROWS = 1_000_000
-MOST_PIECES = 1024
-STEP = 32
-
-
-def _pieces(rows: DataFrame, at: str, pieces: int | None) -> DataFrame:
-    """Cut the scale of `at` into pieces of about equal row counts, so one long series does not sit in one task.
-
-    Without a given number there are as many pieces as the row count asks for.
-    """
-    v = F.col(at).cast("double")
-    probs = [k / MOST_PIECES for k in range(1, MOST_PIECES)]
-    seen = rows.agg(
-        F.percentile_approx(v, doubles(probs), 10_000).alias("b"), F.count(F.lit(1)).alias("n")
-    ).first()
-    wanted = pieces or min(max(-(-seen["n"] // PIECE_ROWS), 1), MOST_PIECES)
-    every = seen["b"] or []
-    bounds = sorted({every[k * MOST_PIECES // wanted - 1] for k in range(1, wanted)}) if every else []
-    if len(bounds) <= STEP:
-        return rows.withColumn("_piece", sum(((v > b).cast("int") for b in bounds), F.lit(0)))
-    # Two rounds of comparisons: first with every STEP-th bound, then with the bounds in between.
-    coarse = bounds[STEP - 1::STEP]
-    fine = [bounds[k * STEP:(k + 1) * STEP - 1] for k in range(len(coarse) + 1)]
-    cell = F.col("_cell")
-    columns = [doubles(f[j] if j < len(f) else None for f in fine) for j in range(STEP - 1)]
-    inner = sum((F.coalesce((v > F.element_at(c, cell + 1)).cast("int"), F.lit(0)) for c in columns), F.lit(0))
-    placed = rows.withColumn("_cell", sum(((v > b).cast("int") for b in coarse), F.lit(0)))
-    return placed.withColumn("_piece", cell * STEP + inner).drop("_cell")
-
-
 def gaps(rows: DataFrame, series: str, at: str, pieces: int | None = None) -> DataFrame:
     """Distinct positions of each series with their multiplicity and the gap to the previous position.
 
-    Equal positions are counted before the shuffle. The gap at the start of a piece comes from the largest position
-    of the series in the pieces before it.
+    Equal positions are counted before the shuffle, so neither a hot position nor a long series gathers in a task.
     """
     known = rows.filter(F.col(series).isNotNull() & F.col(at).isNotNull())
-    placed = _pieces(known, at, pieces).groupBy(series, "_piece", at).agg(F.count(F.lit(1)).alias("multiplicity"))
-    ends = placed.groupBy(series, "_piece").agg(F.max(at).alias("_end"))
-    before = Window.partitionBy(series).orderBy("_piece")
-    starts = ends.select(series, "_piece", F.lag("_end").over(before).alias("_from"))
-    within = Window.partitionBy(series, "_piece").orderBy(at)
-    joined = placed.join(starts, [series, "_piece"])
-    previous = F.coalesce(F.lag(at).over(within), F.col("_from"))
-    return joined.select(series, at, "multiplicity", (F.col(at) - previous).alias("gap"))
+    counted = known.groupBy(series, at).agg(F.count(F.lit(1)).alias("multiplicity"))
+    placed = scan(counted, [series], [at], previous={"_before": at}, pieces=pieces)
+    return placed.select(series, at, "multiplicity", (F.col(at) - F.col("_before")).alias("gap"))
 
 
 def spacing_stats(rows: DataFrame, series: str, at: str, pieces: int | None = None) -> DataFrame:
@@ -157,16 +120,12 @@ def mean_step(rows: DataFrame, series: str, at: str, thickness: str | None = Non
 def slice_index(rows: DataFrame, series: str, at: str, tie: str, pieces: int | None = None) -> DataFrame:
     """Zero-based rank of each row in its series by position (unreadable counts as 0), ties by `tie`.
 
-    Ranked within pieces of the scale and shifted by the rows of the series in earlier pieces.
+    Ranges of the order are numbered by themselves and shifted by the rows of the series in earlier ones; `tie` splits a
+    position that very many rows share.
     """
-    placed = _pieces(rows.withColumn("_at", F.coalesce(F.col(at).cast("double"), F.lit(0.0))), "_at", pieces)
-    sizes = placed.groupBy(series, "_piece").agg(F.count(F.lit(1)).alias("_size"))
-    earlier = Window.partitionBy(series).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    shift = sizes.select(series, "_piece", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_shift"))
-    within = Window.partitionBy(series, "_piece").orderBy("_at", tie)
-    return placed.join(shift, [series, "_piece"]).select(
-        *rows.columns, (F.row_number().over(within) - 1 + F.col("_shift")).cast("bigint").alias("slice")
-    )
+    named = rows.withColumns({"_at": F.coalesce(F.col(at).cast("double"), F.lit(0.0)), "_one": F.lit(1).cast("long")})
+    ranked = scan(named, [series], ["_at", tie], sums={"_rank": "_one"}, pieces=pieces)
+    return ranked.select(*rows.columns, (F.col("_rank") - 1).cast("bigint").alias("slice"))
 
 
 def mask_to_slices(mask: DataFrame, slices: DataFrame, uid: str, series: str) -> DataFrame:

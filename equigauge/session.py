@@ -1,4 +1,4 @@
-"""Session settings and the two places where data leaves a plan: small lookups and shared folders."""
+"""Session settings and the place where data leaves a plan: shared folders."""
 
 from __future__ import annotations
 
@@ -10,10 +10,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-#: A lookup of at most this many rows may be collected and broadcast.
-LOOKUP_ROWS = 50_000
 
 
 def build_session(app: str = "equigauge", master: str | None = None, **conf: str) -> SparkSession:
@@ -42,9 +38,14 @@ _folders: list[tuple[SparkSession, str]] = []
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path under the folder the cluster names in `spark.checkpoint.dir`, else under the warehouse.
 
-    Both are storage that every executor reaches. `release` removes what the process has made; it runs at exit too.
+    On a cluster a warehouse on the local disk, which is Spark's default, is refused, as executors would not find each
+    other's files there. `release` removes what the process has made; it runs at exit too.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/work"
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/work"
+        if base.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("on a cluster, spark.checkpoint.dir must name a folder that all executors share")
     path = f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
     _folders.append((spark, path))
     return path
@@ -86,24 +87,10 @@ def settle(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_or_none(lookup: DataFrame, limit: int = LOOKUP_ROWS) -> DataFrame | None:
-    """`lookup` as local rows if it has at most `limit` of them, else None.
-
-    At most `limit + 1` rows ever reach the driver.
-    """
-    rows = lookup.limit(limit + 1).toArrow()
-    if rows.num_rows > limit:
-        return None
-    return lookup.sparkSession.createDataFrame(rows, lookup.schema)
-
-
-def attach(df: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner", limit: int = LOOKUP_ROWS) -> DataFrame:
+def attach(df: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
     """Join a lookup that is usually tiny to a large table.
 
-    The lookup is computed once. If its row count proves small it is broadcast and the large side is not
-    shuffled; otherwise the join is left to Spark, which splits skewed keys at run time.
+    The lookup is computed once and stored, so Spark knows its size when it plans the join: below its threshold in bytes it
+    is broadcast and the large side is not shuffled; beyond it both sides are, and skewed keys are split at run time.
     """
-    small = small_or_none(lookup, limit)
-    if small is None:
-        return df.join(lookup, on, how)
-    return df.join(F.broadcast(small), on, how)
+    return df.join(settle(lookup), on, how)

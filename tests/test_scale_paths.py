@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from equigauge import session
 from equigauge.functions import bins
 from equigauge.operators import privacy, quantiles, reweigh, sampling, volumes
-from equigauge.operators.running import last_at_most, running_total
+from equigauge.operators.running import last_at_most, running_total, scan
 
 
 @pytest.mark.parametrize("n", [1, 2, 6, 101, 30_000])
@@ -23,26 +23,36 @@ def test_quantiles_match_linear_interpolation(spark, n):
     np.testing.assert_allclose([row[f"q_{i}"] for i in range(len(probs))], np.quantile(xs, probs), rtol=1e-12, atol=1e-12)
 
 
-def test_quantiles_ranked_in_pieces(spark, monkeypatch):
-    monkeypatch.setattr(quantiles, "MANY", 10)
+def test_a_missed_bracket_is_ranked_whole(spark, monkeypatch):
+    """Brackets of no width around wrong ranks miss; the result is the same."""
     rng = np.random.default_rng(4)
-    xs = np.where(rng.random(30_000) < 0.3, 5.0, rng.normal(0, 9, 30_000))
-    df = spark.createDataFrame([(float(x),) for x in xs], "v double")
-    probs = [0.0, 0.2, 0.5, 0.77, 1.0]
-    row = quantiles.exact_quantiles(df, "v", probs).first()
-    np.testing.assert_allclose([row[f"q_{i}"] for i in range(5)], np.quantile(xs, probs), rtol=1e-12, atol=1e-12)
+    rows = [("ab"[i % 2], float(x)) for i, x in enumerate(rng.normal(0, 9, 4_000))]
+    df = spark.createDataFrame(rows, "g string, v double")
+    brackets = quantiles._brackets
+    monkeypatch.setattr(quantiles, "_brackets", lambda *a: brackets(*a).withColumn("hi0", F.col("lo0")).withColumn("lo1", F.col("hi1")))
+    for keys in ([], ["g"]):
+        for r in quantiles.exact_quantiles(df, "v", [0.3, 0.8], keys).collect():
+            xs = [v for g, v in rows if not keys or g == r["g"]]
+            np.testing.assert_allclose([r["q_0"], r["q_1"]], np.quantile(xs, [0.3, 0.8]), rtol=1e-12)
+
 
+@pytest.fixture(params=["10485760", "-1"])
+def broadcasts(request, spark):
+    """With lookups that Spark may broadcast, and without any."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
-def test_quantiles_per_group_with_a_hot_group(spark, monkeypatch):
+
+def test_quantiles_per_group_with_a_hot_group(spark, broadcasts):
     rng = np.random.default_rng(3)
-    rows = [("hot" if i % 3 else f"g{i % 40}", float(round(x, 3))) for i, x in enumerate(rng.exponential(9, 24_000))]
+    rows = [(f"g{i % 40}" if i % 50 == 0 else "hot", float(round(x, 3))) for i, x in enumerate(rng.exponential(9, 24_000))]
     df = spark.createDataFrame(rows, "g string, v double")
-    for limit in (session.LOOKUP_ROWS, 3):
-        monkeypatch.setattr(session.attach, "__defaults__", ("inner", limit))
-        got = {r["g"]: r for r in quantiles.exact_quantiles(df, "v", [0.25, 0.9], ["g"]).collect()}
-        for g in {r[0] for r in rows}:
-            xs = [v for k, v in rows if k == g]
-            np.testing.assert_allclose([got[g]["q_0"], got[g]["q_1"]], np.quantile(xs, [0.25, 0.9]), rtol=1e-12)
+    got = {r["g"]: r for r in quantiles.exact_quantiles(df, "v", [0.25, 0.9], ["g"]).collect()}
+    for g in {r[0] for r in rows}:
+        xs = [v for k, v in rows if k == g]
+        np.testing.assert_allclose([got[g]["q_0"], got[g]["q_1"]], np.quantile(xs, [0.25, 0.9]), rtol=1e-12)
 
 
 def test_empty_column_has_no_quantiles(spark):
@@ -64,9 +74,7 @@ def brute_distance(rows, ordered):
 
 
 @pytest.mark.parametrize("ordered", [False, True])
-@pytest.mark.parametrize("few", [512, 0])
-def test_group_distances(spark, monkeypatch, ordered, few):
-    monkeypatch.setattr(privacy, "FEW_VALUES", few)
+def test_group_distances(spark, broadcasts, ordered):
     random.seed(5)
     rows = [("hot", random.choice([1, 1, 1, 2, 9])) for _ in range(300)]
     rows += [(random.choice("abcde"), random.randrange(1, 60)) for _ in range(200)] + [("one", 60), ("low", 1)]
@@ -84,6 +92,26 @@ def test_one_sensitive_value_has_no_distance(spark):
     assert privacy.t_closeness(df, ["q"], "s").first()["t"] == pytest.approx(0.0)
 
 
+@pytest.mark.parametrize("pieces", [None, 1, 7, 40])
+def test_scans_of_a_hot_key(spark, pieces):
+    """Sums, neighbours and last known values of one key with nearly all rows, some of one position, and short keys."""
+    random.seed(3)
+    rows = [("hot" if k % 10 else f"k{k % 70}", random.choice([5, 5, random.randrange(90)]), k, random.randrange(9), random.choice([None, k])) for k in range(900)]
+    df = spark.createDataFrame([*rows, (None, 1, 1, 1, 1)], "g string, at int, tie int, v int, w int").repartition(5)
+    got = {r["tie"]: r for r in scan(df, ["g"], ["at", "tie"], sums={"total": "v"}, previous={"before": "tie"}, following={"after": "tie"}, latest={"known": "w"}, pieces=pieces).collect()}
+    assert len(got) == len(rows)
+    if pieces:
+        assert len({r["_range"] for r in got.values() if r["g"] == "hot" and r["at"] == 5}) >= min(pieces, 7) // 3
+    for g in {r[0] for r in rows}:
+        mine = sorted((r[1], r[2], r[3], r[4]) for r in rows if r[0] == g)
+        total, known = 0, None
+        for k, (_, tie, v, w) in enumerate(mine):
+            total, known = total + v, known if w is None else w
+            r = got[tie]
+            assert (r["total"], r["known"]) == (total, known)
+            assert (r["before"], r["after"]) == (mine[k - 1][1] if k else None, mine[k + 1][1] if k + 1 < len(mine) else None)
+
+
 def test_running_total_over_pieces(spark):
     rows = [(i, (i * 7) % 13) for i in range(500)]
     df = spark.createDataFrame(rows, "k int, v int").repartition(5)
@@ -113,11 +141,21 @@ def test_exact_split_sizes(spark, train):
             assert parts.count("train") == -(-len(parts) * int(train * 10) // 10)
 
 
-def test_split_without_lookup_broadcast(spark, monkeypatch):
+def test_split_with_and_without_broadcast(spark, broadcasts):
     df = spark.range(500).select("id", (F.col("id") % 50).alias("g"))
-    want = {tuple(r) for r in sampling.exact_split(df, "id", 0.8, ["g"]).collect()}
-    monkeypatch.setattr(session.attach, "__defaults__", ("inner", 2))
-    assert {tuple(r) for r in sampling.exact_split(df, "id", 0.8, ["g"]).collect()} == want
+    hashed = {r["id"]: (r["h"], r["id"]) for r in df.select("id", F.md5(F.col("id").cast("string")).alias("h")).collect()}
+    got = {r["id"]: r["part"] for r in sampling.exact_split(df, "id", 0.8, ["g"]).collect()}
+    for g in range(50):
+        mine = sorted((k for k in hashed if k % 50 == g), key=hashed.get)
+        assert [got[k] for k in mine] == ["train"] * 8 + ["test"] * 2
+
+
+def test_storage_that_executors_do_not_share_is_refused(spark):
+    class OnACluster:
+        conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: {"spark.sql.warehouse.dir": "file:/tmp/warehouse"}.get(key, default))})
+        sparkContext = type("Context", (), {"master": "yarn"})
+    with pytest.raises(ValueError, match="all executors share"):
+        session.shared_folder(OnACluster, "x")
 
 
 def test_split_narrows_until_a_slot_is_small(spark, monkeypatch):
