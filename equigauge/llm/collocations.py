@@ -32,8 +32,8 @@ from equigauge.llm.text import whole
 from equigauge.session import settle
 
 SHARDS, LONGEST = 2, 4
-#: Bytes of text counted at once, and of all text per bucket of hashes.
-CHUNK, BUCKET_BYTES = 8 << 20, 8 << 20
+#: Bytes of text counted at once, bytes whose words are hashed at once, and bytes of all text per bucket of hashes.
+CHUNK, BLOCK, BUCKET_BYTES = 4 << 20, 1 << 18, 8 << 20
 #: Cells of the table of steps: one per so many bytes of text, between these powers of two, so at most 16 MB.
 BYTES_PER_CELL, LEAST_CELLS, MOST_CELLS = 16, 16, 24
 #: In a cell: not reached yet.
@@ -62,7 +62,7 @@ def _powers(base: int, n: int) -> np.ndarray:
     """Powers of `base`, kept by the worker."""
     held = cache_of("collocations")
     if len(held.get(base, ())) < n:
-        out = np.full(max(n, 2 * CHUNK), base, np.uint64)
+        out = np.full(max(n, 2 * BLOCK), base, np.uint64)
         out[0] = 1
         held[base] = np.cumprod(out)
     return held[base][:n]
@@ -88,11 +88,18 @@ class Phrases:
         self.lang = np.repeat(np.array([number[x] for x in langs], np.int64), self.sizes)
 
     def word_hashes(self) -> np.ndarray:
-        """A 64-bit hash of each word, from running sums over all bytes."""
-        n = len(self.data)
-        sums = np.concatenate([[np.uint64(0)], np.cumsum(_BYTE[self.data] * _powers(_STEP, n))])
-        word = (sums[self.ends] - sums[self.starts]) * _powers(_BACK, n + 1)[self.starts]
-        return _mix(word + (self.ends - self.starts).astype(np.uint64))
+        """A 64-bit hash of each word, from running sums over blocks of bytes."""
+        out, a = np.empty(len(self.starts), np.uint64), 0
+        while a < len(out):
+            first = self.starts[a]
+            b = max(a + 1, int(np.searchsorted(self.ends, first + BLOCK, "right")))
+            starts, ends = self.starts[a:b] - first, self.ends[a:b] - first
+            n = int(ends[-1])
+            sums = np.zeros(n + 1, np.uint64)
+            np.cumsum(_BYTE[self.data[first:first + n]] * _powers(_STEP, n), out=sums[1:])
+            out[a:b] = _mix((sums[ends] - sums[starts]) * _powers(_BACK, n)[starts] + (ends - starts).astype(np.uint64))
+            a = b
+        return out
 
     def numbered(self) -> None:
         """Give each distinct word a number, for exact counts."""

@@ -48,6 +48,16 @@ def test_full_cells_change_nothing(spark, monkeypatch):
         assert {(r["lang"], r["phrase"], r["n"]) for r in known.collect()} == want
 
 
+def test_word_hashes_do_not_depend_on_blocks(monkeypatch):
+    texts = [r[1].encode() for r in sentences(5, 30)] + [b"x" * 900, b""]
+    whole = mining.Phrases(texts, ["en"] * len(texts)).word_hashes()
+    monkeypatch.setattr(mining, "BLOCK", 40)
+    phrases = mining.Phrases(texts, ["en"] * len(texts))
+    assert np.array_equal(phrases.word_hashes(), whole)
+    words = b" ".join(texts).lower().replace(b".", b" ").split()
+    assert len(set(zip(words, whole.tolist()))) == len(set(words)) == len(set(whole.tolist()))
+
+
 def test_collocations_of_nothing(spark, odd, odd_rows, empty):
     assert collocations(empty).count() == 0
     got = sorted(tuple(r[c] for c in ("lang", "rank", "phrase", "a", "l", "r", "n", "score")) for r in collocations(odd).collect())
