@@ -207,11 +207,9 @@ rk AS (SELECT *, row_number() OVER (PARTITION BY patient ORDER BY score DESC, fl
 @registered(f"""WITH {V}, {_FLIPS} SELECT p.patient, coalesce(rk.flip_no, 0) AS flip_no, coalesce(rk.flip, 'original') AS flip, round(coalesce(rk.score, 0.0), 6) AS score,
   coalesce(rk.score, 0.0) < 0.3 AS low_overlap FROM (SELECT DISTINCT patient FROM v) p LEFT JOIN rk ON rk.patient = p.patient AND rk.rn = 1""")
 def orient_best(spark: SparkSession, folder: str) -> DataFrame:
-    v = voxels(spark, folder)
-    dense = v.select("patient", "x", "y", "z", (F.col("prob") * 1000).alias("value"))
-    mask = v.select("patient", "x", "y", "z", F.col("truth").alias("mask"))
-    extent = v.groupBy("patient").agg((F.max("x") + 1).alias("width"), (F.max("y") + 1).alias("height"))
-    return rounded(volumes.best_flip(dense, mask, "patient", extent))
+    """Dense tissue and mask packed in one read of the voxels."""
+    masks = {"bone": F.col("prob") * 1000 > 200, "seg": F.col("truth") > 0}
+    return rounded(volumes.flips_of(volumes.packed(voxels(spark, folder), "patient", masks), "patient"))
 
 
 @registered(f"""WITH {V} SELECT round(avg((a.prob - b.prob) * (a.prob - b.prob)), 6) AS mse, count(*) AS n

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from equigauge.functions.bins import cut
 from equigauge.functions.ratios import pearson, relative_drop
 from equigauge.operators.quantiles import quantile_of
+from equigauge.session import settle
 
 # Age bands of the cohort checks.
 AGE_EDGES = (0, 50, 70, 100)
@@ -92,46 +93,58 @@ class CohortColumns:
     lesions: tuple[str, ...] = ("Lytic", "Blastic")
 
 
+def cohort_groups(df: DataFrame, names: CohortColumns = CohortColumns()) -> DataFrame:
+    """Rows, mean and largest score, and correlation with the confidence per (dimension, group), in one aggregate.
+
+    Every row is laid under the whole cohort, its sex, scanner, diagnosis, set lesion flags and the oldest age band; groups
+    combine before the shuffle. Unknown groups do not count.
+    """
+    def under(dimension: str, group: Column, holds: Column) -> Column:
+        return F.when(holds, F.struct(F.lit(dimension).alias("dimension"), group.cast("string").alias("grp")))
+
+    none = F.lit("")
+    entries = [under("all", none, F.lit(True))]
+    for dimension, column in (("sex", names.sex), ("scanner", names.scanner), ("diagnosis", names.diagnosis)):
+        if column:
+            entries.append(under(dimension, F.col(column), F.col(column).isNotNull()))
+    entries += [under("lesion", F.lit(flag), F.col(flag).isNotNull()) for flag in names.lesions]
+    if names.age:
+        entries.append(under("old", none, cut(names.age, AGE_EDGES, AGE_NAMES) == AGE_NAMES[-1]))
+    confidence = F.col(names.confidence).cast("double") if names.confidence else F.lit(None).cast("double")
+    laid = df.select(F.col(names.score).alias("score"), confidence.alias("confidence"), F.inline(F.array_compact(F.array(*entries))))
+    return laid.groupBy("dimension", "grp").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("score").alias("mean"), F.max("score").cast("double").alias("most"), pearson("confidence", "score").alias("r"))
+
+
 def cohort_metrics(df: DataFrame, names: CohortColumns = CohortColumns()) -> DataFrame:
     """The cohort dictionary as one row.
 
-    Everything that needs no grouping comes from a single aggregate over the cohort; the grouped floors join it as
-    one-row scalar subqueries.
+    The cohort is stored as it is given, once; all groups come from one aggregate over it, and the low tail from its own.
     """
-    score = F.col(names.score)
-    sex = F.col(names.sex) if names.sex else F.lit(None).cast("string")
-    old = (
-        F.avg(F.when(cut(names.age, AGE_EDGES, AGE_NAMES) == AGE_NAMES[-1], score))
-        if names.age else F.lit(None).cast("double")
-    )
-    one = df.agg(
-        F.avg(score).alias("global_dice"), F.max(score).cast("double").alias("max_single_dice"),
-        F.avg(F.when(sex == names.male, score)).alias("_male"),
-        F.avg(F.when(sex == names.female, score)).alias("_female"),
-        old.alias("_old"),
-        (pearson(names.confidence, names.score) if names.confidence else F.lit(None).cast("double")).alias("_r"),
-        *[F.count(f).alias(f"_has_{i}") for i, f in enumerate(names.lesions)],
-    )
+    used = [names.score, names.confidence, names.volume, names.sex, names.scanner, names.age, names.diagnosis, *names.lesions]
+    rows = settle(df.select(*dict.fromkeys(c for c in used if c)))
+    groups = settle(cohort_groups(rows, names))
+    of = lambda dimension: F.col("dimension") == dimension
+    named = lambda dimension, grp: of(dimension) & (F.col("grp") == grp)
     neutral = F.lit(1.0)
 
-    def scalar(frame: DataFrame) -> Column:
-        return frame.scalar()
+    def floor(dimension: str, more_than: int) -> Column:
+        return F.least(neutral, F.coalesce(F.min(F.when(of(dimension) & (F.col("n") > more_than), F.col("mean"))), neutral))
 
-    minority = F.lit(0.0)
-    if names.sex:
-        sexes = df.filter(sex.isNotNull()).groupBy(sex.alias("s")).agg(F.count(F.lit(1)).alias("n"))
-        minority = F.coalesce(scalar(sexes.agg(F.try_divide(F.min("n").cast("double"), F.sum("n").cast("double")))), F.lit(0.0))
+    common = groups.filter(of("diagnosis")).orderBy(F.desc("n"), F.asc("grp")).limit(3).agg(F.least(neutral, F.coalesce(F.min("mean"), neutral)))
+    one = groups.agg(
+        F.coalesce(F.try_divide(F.min(F.when(of("sex"), F.col("n"))).cast("double"), F.sum(F.when(of("sex"), F.col("n"))).cast("double")), F.lit(0.0)).alias("minority_sex_prop"),
+        F.max(F.when(of("all"), F.col("mean"))).alias("global_dice"), F.max(F.when(of("all"), F.col("most"))).alias("max_single_dice"),
+        F.max(F.when(named("sex", names.male), F.col("mean"))).alias("_male"), F.max(F.when(named("sex", names.female), F.col("mean"))).alias("_female"),
+        floor("scanner", 5).alias("min_scanner_dice"), floor("lesion", 3).alias("min_lesion_type_dice"),
+        F.max(F.when(of("old"), F.col("mean"))).alias("_old"), F.max(F.when(of("all"), F.col("r"))).alias("_r"),
+    )
     return one.select(
-        minority.alias("minority_sex_prop"),
-        "global_dice", "max_single_dice",
-        F.coalesce(F.abs(F.col("_male") - F.col("_female")), F.lit(0.0)).alias("gender_gap"),
-        (scalar(group_floor(df, names.scanner, names.score).select("floor")) if names.scanner else neutral)
-        .alias("min_scanner_dice"),
-        (scalar(low_tail_mean(df, names.volume, names.score)) if names.volume else neutral).alias("small_vol_dice"),
-        (scalar(flag_floor(df, names.lesions, names.score)) if names.lesions else neutral).alias("min_lesion_type_dice"),
-        relative_drop(F.col("global_dice"), F.col("_old")).alias("age_bias"),
-        (scalar(top_floor(df, names.diagnosis, names.score)) if names.diagnosis else neutral).alias("min_cancer_dice"),
-        F.col("_r").alias("confidence_correlation"),
+        "minority_sex_prop", "global_dice", "max_single_dice",
+        F.coalesce(F.abs(F.col("_male") - F.col("_female")), F.lit(0.0)).alias("gender_gap"), "min_scanner_dice",
+        (low_tail_mean(rows, names.volume, names.score).scalar() if names.volume else neutral).alias("small_vol_dice"),
+        "min_lesion_type_dice", relative_drop(F.col("global_dice"), F.col("_old")).alias("age_bias"),
+        (common.scalar() if names.diagnosis else neutral).alias("min_cancer_dice"), F.col("_r").alias("confidence_correlation"),
     )
 
 

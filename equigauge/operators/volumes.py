@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from equigauge.functions.ratios import ratio
 from equigauge.operators.running import scan
-from equigauge.session import attach
+from equigauge.session import attach, settle
 
 # Class index of each spine level.
 LEVEL_INDEX = {
@@ -138,31 +138,76 @@ def first_file(files: DataFrame, patient: str, path: str) -> DataFrame:
     return files.groupBy(patient).agg(F.min(path).alias("first_path"), F.count(F.lit(1)).alias("n_files"))
 
 
+#: Voxels of a line in one word of a packed mask.
+WORD = 64
+
+
+def packed(voxels: DataFrame, patient: str, masks: Mapping[str, Column]) -> DataFrame:
+    """Masks as bits: a row per (patient, z, y, word) with one 64-bit number per mask, and the last x and y seen there.
+
+    One aggregate for all masks; bits of a line combine before the shuffle. Any other operation on them is a bitwise
+    expression on a sixty-fourth of the rows.
+    """
+    x = F.col("x").cast("int")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(x, F.lit(WORD)))
+    line = [F.col(patient), F.col("z"), F.col("y").cast("int").alias("y"), F.floor(x / WORD).cast("int").alias("word")]
+    return voxels.groupBy(*line).agg(
+        F.max(x).alias("last_x"), *(F.coalesce(F.bit_or(F.when(test, bit)), F.lit(0).cast("long")).alias(name) for name, test in masks.items())
+    )
+
+
+def _mirrored(lines: DataFrame, name: str) -> DataFrame:
+    """Packed lines read from the other end: bit x of a line becomes bit width - 1 - x. A word falls on two words at most."""
+    turned = F.conv(F.reverse(F.lpad(F.bin(name), WORD, "0")), 2, -10).cast("long")
+    base = F.col("width") - (F.col("word") + 1) * WORD
+    shift = F.pmod(base, F.lit(WORD)).cast("int")
+    low = F.call_function("shiftleft", F.col("_turned"), shift)
+    high = F.when(shift > 0, F.call_function("shiftrightunsigned", F.col("_turned"), F.lit(WORD) - shift)).otherwise(F.lit(0).cast("long"))
+    first = F.floor(base / WORD).cast("int")
+    halves = F.explode(F.array(F.struct(first.alias("word"), low.alias(name)), F.struct((first + 1).alias("word"), high.alias(name)))).alias("half")
+    keys = [c for c in lines.columns if c not in ("word", name)]
+    return lines.withColumn("_turned", turned).select(*keys, halves).select(*keys, "half.*").filter(F.col(name) != 0).groupBy(
+        *keys, "word").agg(F.bit_or(name).alias(name))
+
+
 # The orientations in the order they are tried, as (number, name, flip x, flip y).
 FLIPS = ((0, "original", False, False), (1, "flip_y", False, True), (2, "flip_x", True, False), (3, "flip_xy", True, True))
 
 
 def best_flip(dense: DataFrame, mask: DataFrame, patient: str, extent: DataFrame, above: float = 200.0) -> DataFrame:
-    """For each patient the flip of the mask that lies most on dense tissue; the first one wins ties.
+    """For each patient the flip of the mask (0 or 1) that lies most on dense tissue; the first one wins ties.
 
-    Only set mask voxels are flipped: each becomes one row per flip and is looked up in the dense voxels by position.
     `extent` has the image size per patient as `width` and `height`. A patient with an empty mask scores 0.
     """
-    sized = attach(mask.filter(F.col("mask") > 0).select(patient, "x", "y", "z", "mask"), extent, [patient])
-    x2, y2 = F.col("width") - 1 - F.col("x"), F.col("height") - 1 - F.col("y")
-    variants = F.array(*[
-        F.struct(
-            F.lit(number).alias("flip_no"), F.lit(name).alias("flip"),
-            (x2 if fx else F.col("x")).cast("int").alias("x"), (y2 if fy else F.col("y")).cast("int").alias("y"),
-        )
+    none = F.lit(None)
+    both = dense.select(patient, "x", "y", "z", F.col("value").cast("double").alias("value"), none.cast("double").alias("mask")).union(
+        mask.select(patient, "x", "y", "z", none.cast("double"), F.col("mask").cast("double")))
+    return flips_of(packed(both, patient, {"bone": F.col("value") > above, "seg": F.col("mask") > 0}), patient, extent)
+
+
+def flips_of(lines: DataFrame, patient: str, extent: DataFrame | None = None) -> DataFrame:
+    """The same of packed `bone` and `seg`. Without an extent the image ends at the last voxels that were packed.
+
+    The four flips are moves of lines and mirrored bits; a flip's hits are the bits of `bone AND seg`.
+    """
+    lines = settle(lines)
+    if extent is None:
+        extent = lines.groupBy(patient).agg((F.max("last_x") + 1).alias("width"), (F.max("y") + 1).alias("height"))
+    sized = attach(lines.filter("seg <> 0").select(patient, "z", "y", "word", "seg"), extent, [patient])
+    straight = sized.select(patient, "z", "y", "height", "word", "seg")
+    turned = _mirrored(sized.select(patient, "z", "y", "height", "width", "word", "seg"), "seg").select(patient, "z", "y", "height", "word", "seg")
+    moved = straight.withColumn("fx", F.lit(False)).union(turned.withColumn("fx", F.lit(True)))
+    variants = F.filter(F.array(*[
+        F.struct(F.lit(number).alias("flip_no"), F.lit(name).alias("flip"), F.lit(fx).alias("of"),
+                 (F.col("height") - 1 - F.col("y") if fy else F.col("y")).cast("int").alias("y"))
         for number, name, fx, fy in FLIPS
-    ])
-    moved = sized.select(patient, "z", "mask", F.inline(variants))
-    bone = dense.filter(F.col("value") > above).select(
-        patient, F.col("x").cast("int").alias("x"), F.col("y").cast("int").alias("y"), "z", F.lit(1).alias("hit")
-    )
-    scores = moved.join(bone, [patient, "x", "y", "z"], "left").groupBy(patient, "flip_no", "flip").agg(
-        ratio(F.sum(F.when(F.col("hit") == 1, F.col("mask")).otherwise(0)), F.sum("mask"), 0.0).alias("score")
+    ]), lambda v: v["of"] == F.col("fx"))
+    tried = moved.select(patient, "z", "word", "seg", F.explode(variants).alias("v")).select(
+        patient, "z", "word", "seg", F.col("v.flip_no").alias("flip_no"), F.col("v.flip").alias("flip"), F.col("v.y").alias("y"))
+    bone = lines.filter("bone <> 0").select(patient, "z", "y", "word", "bone")
+    hits = F.bit_count(F.col("seg").bitwiseAND(F.coalesce("bone", F.lit(0).cast("long"))))
+    scores = tried.join(bone, [patient, "z", "y", "word"], "left").groupBy(patient, "flip_no", "flip").agg(
+        ratio(F.sum(hits), F.sum(F.bit_count("seg")), 0.0).alias("score")
     )
     best = scores.groupBy(patient).agg(
         F.max_by(F.struct("flip_no", "flip", "score"), F.struct("score", -F.col("flip_no"))).alias("b")

@@ -2,8 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from equigauge import session
+from equigauge.catalog import volumes as catalog_volumes
 from equigauge.catalog.frames import customers, decisions, table
-from equigauge.operators import components, privacy, reweigh, sampling
+from equigauge.operators import cohort, components, privacy, quantiles, reweigh, running, sampling, volumes
 from equigauge.operators.components import Lens, class_counts
 from equigauge.plans.enforce import enforce
 from equigauge.sources.policies import Control
@@ -76,3 +78,23 @@ def test_exact_split_only_compares(spark, small):
         assert "Window" not in text and "Exchange hashpartitioning" not in text
         # The rows are read once; what else is read is the stored border of each stratum.
         assert text.count("orders.parquet") == 1 and text.count("FileScan") == 1 + len(strata)
+
+
+def test_cohort_and_masks_read_their_voxels_once(spark, small, monkeypatch):
+    """What is stored on the way comes from the table in one read each; the rest works on what is stored."""
+    read = []
+
+    def counted(df, settle=session.settle):
+        read.append(plan(df).count("embeddings.parquet"))
+        return settle(df)
+
+    for module in (cohort, quantiles, running, volumes):
+        if hasattr(module, "settle"):
+            monkeypatch.setattr(module, "settle", counted)
+    # The cohort joins the scores with metadata of the same table, so two scans are one read of the voxels.
+    rows = catalog_volumes._cohort(spark, small)
+    assert plan(cohort.cohort_metrics(rows, catalog_volumes._NAMES)).count("embeddings.parquet") == 0
+    assert sum(read) == 2
+    read.clear()
+    assert plan(catalog_volumes.orient_best(spark, small)).count("embeddings.parquet") == 0
+    assert sum(read) == 1

@@ -221,6 +221,19 @@ def test_flips(spark):
     assert (got["empty"]["flip"], got["empty"]["score"], got["empty"]["low_overlap"]) == ("original", 0.0, True)
 
 
+@pytest.mark.parametrize("size", [(5, 4), (64, 3), (65, 2), (130, 3), (200, 5)])
+def test_flips_of_wide_images(spark, size):
+    rng = np.random.default_rng(size[0])
+    image, mask = rng.random(size) * 400, rng.random(size) < 0.2
+    rows = [("p", x, y, 1, float(image[x, y]), int(mask[x, y])) for x in range(size[0]) for y in range(size[1])]
+    voxels = spark.createDataFrame(rows, "patient string, x int, y int, z int, value double, mask int")
+    lines = volumes.packed(voxels, "patient", {"bone": F.col("value") > 200, "seg": F.col("mask") > 0})
+    assert lines.count() == size[1] * -(-size[0] // 64)
+    got = volumes.flips_of(lines, "patient").first()
+    scores = [float((m * (image > 200)).sum() / m.sum()) for m in (mask, mask[:, ::-1], mask[::-1, :], mask[::-1, ::-1])]
+    assert got["flip_no"] == int(np.argmax(scores)) and got["score"] == pytest.approx(max(scores))
+
+
 def test_weights_even_out_groups(spark):
     random.seed(8)
     rows = [(random.choice("aab"), int(random.random() < 0.3)) for _ in range(400)] + [(None, 1), ("a", None)]
