@@ -174,23 +174,47 @@ def audits_combined(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(combine(pre, post, phases=["pre", "post"]).select("phase", "control_id", "actual_value"))
 
 
-def _hashed(*columns: str) -> str:
-    cells = " || ".join(
+def _cells_sql(columns: tuple[str, ...]) -> str:
+    return " || ".join(
         f"coalesce('{c}=' || length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '{c}!')" for c in columns)
-    return f"sha256(CAST(sum(CAST('0x' || substr(md5({cells}), 1, 15) AS BIGINT)) AS VARCHAR))"
 
 
-@registered(f"""SELECT count(*) AS n_rows, {_hashed('doc_id', 'lang', 'source')} AS data_hash FROM documents""")
+def leaves_sql(rel: str, columns: tuple[str, ...], keys: tuple[str, ...], name: str = "leaves") -> str:
+    """The leaves of a fingerprint: sums of sixteen 64-bit numbers per part, hashed."""
+    lanes = [f"CAST('0x' || substr(sha256('{k}|' || row), {1 + 16 * j}, 16) AS UBIGINT)" for k in range(4) for j in range(4)]
+    sums = " || ',' || ".join(f"CAST(CAST(sum({x}) AS HUGEINT) AS VARCHAR)" for x in lanes)
+    return f"""{name}_rows AS (SELECT {_cells_sql(columns)} AS row, CAST('0x' || substr(sha256({_cells_sql(keys)}), 1, 2) AS INTEGER) AS part FROM {rel}),
+{name} AS (SELECT part, count(*) AS n_rows, sha256(CAST(count(*) AS VARCHAR) || ',' || {sums}) AS part_hash FROM {name}_rows GROUP BY part)"""
+
+
+def _root_sql(columns: tuple[str, ...], rel: str, name: str = "leaves") -> str:
+    return f"""{leaves_sql(rel, columns, columns, name)},
+{name}_up AS (SELECT part // 16 AS node, sum(n_rows) AS n_rows, sha256(string_agg(part || ':' || part_hash, ',' ORDER BY part)) AS hash FROM {name} GROUP BY 1),
+{name}_top AS (SELECT CAST(sum(n_rows) AS BIGINT) AS n_rows, sha256(string_agg(node || ':' || hash, ',' ORDER BY node)) AS data_hash FROM {name}_up)"""
+
+
+@registered(f"""WITH {_root_sql(('doc_id', 'lang', 'source'), 'documents')} SELECT n_rows, data_hash FROM leaves_top""")
 def fingerprint(spark: SparkSession, folder: str) -> DataFrame:
     return provenance.fingerprint(table(spark, folder, "documents"), ["doc_id", "lang", "source"])
 
 
-@registered(f"""SELECT 'run-1' AS run_id, count(*) AS n_rows, {_hashed('o_orderkey', 'o_orderstatus', 'o_orderpriority')} AS data_hash, 'None' AS mitigation FROM orders""")
+@registered(f"""WITH {_root_sql(('o_orderkey', 'o_orderstatus', 'o_orderpriority'), 'orders')} SELECT 'run-1' AS run_id, n_rows, data_hash, 'None' AS mitigation FROM leaves_top""")
 def run_record(spark: SparkSession, folder: str) -> DataFrame:
     keys = ["o_orderkey", "o_orderstatus", "o_orderpriority"]
     return provenance.run_record(table(spark, folder, "orders"), "run-1", columns=keys).drop("timestamp")
 
 
+@registered("""WITH d AS (SELECT doc_id, lang, CAST('0x' || substr(sha256('doc_id=' || length(CAST(doc_id AS VARCHAR)) || ':' || doc_id), 1, 2) AS INTEGER) AS part FROM documents)
+SELECT part, count(*) AS rows_before, count(*) FILTER (doc_id % 97 <> 5) AS rows_after FROM d
+GROUP BY part HAVING count(*) FILTER (doc_id % 97 = 5 OR (doc_id % 89 = 3 AND lang <> 'xx')) > 0""")
+def fingerprint_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """Which parts of a table differ from an earlier version of it: some rows are gone and some have another language."""
+    before = table(spark, folder, "documents").select("doc_id", "lang", "source")
+    after = before.filter("doc_id % 97 <> 5").withColumn("lang", F.when(F.col("doc_id") % 89 == 3, "xx").otherwise(F.col("lang")))
+    leaves = [provenance.fingerprint_parts(version, keys=["doc_id"]) for version in (before, after)]
+    return provenance.changed_parts(*leaves)
+
+
 @registered("""SELECT CAST(o_custkey AS VARCHAR) AS grp, count(*) AS n, round(avg(CASE WHEN o_orderpriority = '1-URGENT' THEN 1.0 ELSE 0.0 END), 6) AS positive_rate
 FROM orders WHERE o_custkey IS NOT NULL GROUP BY o_custkey""")
 def group_rates_all(spark: SparkSession, folder: str) -> DataFrame:

@@ -61,6 +61,9 @@ def class_counts(df: DataFrame, lenses: Sequence[Lens], weight: str | None = Non
         entries.append(_entry(lens, grp, y, F.col("_n"), zero, F.when(y == p, F.col("_n")).otherwise(zero), known))
         entries.append(_entry(lens, grp, p, zero, F.col("_n"), zero, known))
 
+    if len(lenses) == 1:
+        # Equal rows under the one lens are counted before each is laid under its labels.
+        weighed = weighed.groupBy(*needed).agg(F.sum("_n").alias("_n"))
     laid = weighed.select(F.inline(F.array(*entries)))
     counts = (
         laid.filter(F.col("grp").isNotNull() & F.col("label").isNotNull())

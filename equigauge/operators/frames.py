@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from equigauge.operators.running import scan, unplaced
+from equigauge.session import settle
+
 
 def rename_by_position(df: DataFrame, names: Sequence[str], prefix: str = "Attribute") -> DataFrame:
     """Give the generic columns their real names, only when their number matches."""
@@ -84,13 +87,17 @@ def combine(*results: DataFrame, phases: Sequence[str] | None = None) -> DataFra
     return out
 
 
+#: Levels of all columns that may become columns of a plan.
+MOST_LEVELS = 1_000
+
+
 def one_hot(
     df: DataFrame, columns: Sequence[str], drop_first: bool = False, levels: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
     """A 0/1 column `name_level` per level in place of each text column; missing and unseen values have none set.
 
-    `levels` names the levels per column; without it those of all columns come from one pass. As every level becomes a
-    column of the plan, wide categories belong in the sparse encoder of the model pipeline.
+    `levels` names the levels per column; without it those of all columns come from one pass. More than `MOST_LEVELS` of
+    them are refused: such categories belong in `one_hot_sparse`.
     """
     named = {c: list(levels[c]) for c in columns} if levels is not None else _levels(df, columns)
     coded = [
@@ -100,11 +107,39 @@ def one_hot(
     return df.select(*[c for c in df.columns if c not in columns], *coded)
 
 
+def _long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    entries = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("level")) for c in columns])
+    return df.select(F.inline(entries)).filter(F.col("level").isNotNull()).distinct()
+
+
 def _levels(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    long = df.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("level")) for c in columns
-    ]))).filter(F.col("level").isNotNull()).distinct()
+    found = _long(df, columns).limit(MOST_LEVELS + 1).collect()
+    if len(found) > MOST_LEVELS:
+        raise ValueError(f"more than {MOST_LEVELS} levels in {', '.join(columns)}; use one_hot_sparse")
     levels: dict[str, list[str]] = {c: [] for c in columns}
-    for name, level in sorted(tuple(r) for r in long.collect()):
+    for name, level in sorted(tuple(r) for r in found):
         levels[name].append(level)
     return levels
+
+
+def level_positions(df: DataFrame, columns: Sequence[str], drop_first: bool = False) -> DataFrame:
+    """(name, level, position) of every level, by name and level in order; a dropped first level has no position."""
+    entries = _long(df, columns).withColumn("one", F.lit(1).cast("long"))
+    within = scan(entries, ["name"], ["level"], sums={"turn": "one"})
+    kept = unplaced(within).withColumn("counts", (F.col("turn") > (1 if drop_first else 0)).cast("long"))
+    numbered = unplaced(scan(kept, [], ["name", "level"], sums={"upto": "counts"}))
+    return numbered.select("name", "level", F.when(F.col("counts") == 1, F.col("upto") - 1).alias("position"))
+
+
+def one_hot_sparse(df: DataFrame, columns: Sequence[str], drop_first: bool = False, out: str = "set_positions") -> DataFrame:
+    """`df` without the text columns, and the sorted positions of the levels that each row has, for any number of levels.
+
+    The table of positions is stored and joined per column; no level becomes a column, and none is collected.
+    """
+    positions = settle(level_positions(df, columns, drop_first))
+    joined = df
+    for i, c in enumerate(columns):
+        mine = positions.filter(F.col("name") == c).select(F.col("level").alias(f"_level{i}"), F.col("position").alias(f"_at{i}"))
+        joined = joined.join(mine, F.col(c).cast("string") == F.col(f"_level{i}"), "left")
+    at = F.array_sort(F.array_compact(F.array(*[F.col(f"_at{i}") for i in range(len(columns))])))
+    return joined.select(*[c for c in df.columns if c not in columns], at.alias(out))

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from equigauge.plans.enforce import AuditRun, enforce
+from equigauge.plans.publish import publish, stage
 from equigauge.session import settle, shared_folder
 
 
@@ -78,24 +79,36 @@ class AuditedModel:
         self.model = PipelineModel.load(path)
         return self
 
-    def predict(self, rows: DataFrame) -> DataFrame:
-        """Scored rows; `last_audit` holds the results over the same plan.
-
-        The global rates are observed on the way, so any action on the scored rows fills `observed` at no extra pass.
-        """
+    def _scored(self, rows: DataFrame) -> DataFrame:
         if self.model is None:
             raise RuntimeError("fit the model before predicting")
         helpers = [c for c in self.model.transform(rows.limit(0)).columns if "__" in c and c not in rows.columns]
         scored = self.model.transform(rows).drop(*helpers, "features", "rawPrediction", "probability")
-        scored = scored.withColumn("prediction", F.col("prediction").cast("int"))
+        return scored.withColumn("prediction", F.col("prediction").cast("int"))
+
+    def _audited(self, stored: DataFrame) -> None:
         self.last_audit = enforce(
-            scored, self.controls, target=self.target, prediction="prediction", positive=self.positive, phase="post",
+            stored, self.controls, target=self.target, prediction="prediction", positive=self.positive, phase="post",
             **{r: c for r, c in self.roles.items() if r != "prediction"},
         )
+
+    def predict(self, rows: DataFrame) -> DataFrame:
+        """Scored rows, stored, so they are scored once; `last_audit` holds the results over them.
+
+        The global rates are observed on the way, at no extra pass.
+        """
+        scored = self._scored(rows)
         self.observed = Observation()
-        return scored.observe(
+        stored = settle(scored.observe(
             self.observed,
             F.count(F.lit(1)).alias("n_rows"),
             F.avg((F.col("prediction") == F.col(self.target)).cast("double")).alias("accuracy"),
             F.avg((F.col("prediction") == F.lit(self.positive)).cast("double")).alias("selection_rate"),
-        )
+        ))
+        self._audited(stored)
+        return stored
+
+    def publish(self, rows: DataFrame, path: str, run_id: str) -> int:
+        """Score `rows` into a stage, audit that and make it visible if all controls pass, else raise; the version."""
+        self._audited(stage(self._scored(rows), path, run_id))
+        return publish(path, run_id, self.last_audit.results)

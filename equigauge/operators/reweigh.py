@@ -91,7 +91,10 @@ def standardized(df: DataFrame, columns: Sequence[str], suffix: str = "_z") -> D
 
 
 def median_filled(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Missing numbers become the column's exact median."""
-    from equigauge.operators.quantiles import quantile_of
+    """Missing numbers become the column's exact median. The medians of all columns are selected together."""
+    from equigauge.operators.quantiles import exact_quantiles
 
-    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), quantile_of(df, c, 0.5)) for c in columns})
+    long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in columns])))
+    medians = exact_quantiles(long, "value", [0.5], ["name"])
+    of = {c: medians.agg(F.max(F.when(F.col("name") == c, F.col("q_0")))).scalar() for c in columns}
+    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), of[c]) for c in columns})
