@@ -51,7 +51,7 @@ WORD_BITS = 64
 #: Bits per member of the map that tells which documents may belong to a block, and its powers of two: at most 8 MB.
 MEMBER_BITS, LEAST_BITS, MOST_BITS = 16, 15, 26
 #: Words whose hash a worker keeps.
-KNOWN_WORDS = 1_000_000
+KNOWN_WORDS = 100_000
 _HASH_KEY = b"equigauge words"
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -82,13 +82,13 @@ def coded_words(texts: list[bytes]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
 
 def _word_hashes(words: pa.Array) -> np.ndarray:
     known = cache_of("ngram_join")
-    if len(known) > KNOWN_WORDS:
-        known.clear()
     out = np.empty(len(words), np.uint64)
     for k, word in enumerate(words.to_pylist()):
         h = known.get(word)
         if h is None:
-            h = known[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8, key=_HASH_KEY).digest(), "little")
+            h = int.from_bytes(hashlib.blake2b(word, digest_size=8, key=_HASH_KEY).digest(), "little")
+            if len(known) < KNOWN_WORDS:
+                known[word] = h
         out[k] = h
     return out
 
@@ -577,8 +577,10 @@ def jaccard_groups(docs: DataFrame, width: int = 3, share: Fraction = Fraction(9
     features = settle(rows.mapInArrow(_features(width, like), "id long, n long, digest binary, early binary, late binary, bits binary"))
     n_rows, key_bytes = features.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("early") + F.octet_length("late")), F.lit(0))).first()
     key_buckets, buckets = key_bytes // 8 // BUCKET_KEYS + 1, n_rows // BUCKET_ROWS + 1
-    batches = features.filter("early IS NOT NULL").withColumn("batch", F.pmod(F.xxhash64("digest"), F.lit(n_rows // BATCH_ROWS + 1)).cast("int"))
-    repeats = repeated_keys(batches.select("batch", "id", "digest", "early", "late"), _keys_of, key_buckets, "u2")
+    batches = features.filter("early IS NOT NULL").select(
+        F.pmod(F.xxhash64("digest"), F.lit(n_rows // BATCH_ROWS + 1)).cast("int").alias("batch"), "id", "n", "digest", "early", "late", "bits")
+    # Both uses of the batches read one exchange.
+    repeats = repeated_keys(batches, _keys_of, key_buckets)
     sets = settle(batches.groupBy("batch").cogroup(repeats.groupBy("batch")).applyInPandas(
         _meeting(key_buckets), "id long, n long, early binary, late binary, bits binary")).withColumn("label", F.col("id"))
     found = settle(possible_links(dealt(keyed(sets, F.col("early")), BUSY_ROWS), sets, like, buckets))

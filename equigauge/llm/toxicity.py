@@ -110,6 +110,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> dict[st
     bags = docs.select("doc_id", whole().alias("text")).join(F.broadcast(drawn), F.col("doc_id") == F.col("of")).select("of", "text", "toxic")
 
     def fitted(bags: pd.DataFrame) -> pd.DataFrame:
+        cache_of("toxicity").clear()  # the fit needs the room
         bags = bags.sort_values(["of", "text"]).head(rows)
         return pd.DataFrame(fit(bags["text"].tolist(), bags["toxic"].to_numpy()).items(), columns=["feature", "weight"])
 
