@@ -1,8 +1,9 @@
 """Toxicity from document labels by multiple-instance learning.
 
 A document is a bag of sentences. A sentence's probability is logistic in the weights of its words and of their first
-letters; weights are evidence for toxicity only, never below zero, and shrink unless the labels hold them up; a document is toxic if any sentence is, so its score is the noisy-or of them. Document labels alone train it: the
-gradient reaches the sentences that carry the label, and the same probabilities later point to the offending ones.
+letters; weights are evidence for toxicity only, never below zero, and shrink unless the labels hold them up; a document
+is toxic if any sentence is, so its score is the noisy-or of them. Document labels alone train it: the gradient reaches
+the sentences that carry the label, and the same probabilities later point to the offending ones.
 """
 
 from __future__ import annotations
@@ -16,15 +17,16 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from equigauge.llm.caches import cache_of
 from equigauge.llm.text import whole
 
-#: Labelled documents the classifier is fitted on at most; features it keeps at most, and how many of them must have one.
-TRAIN_ROWS, FEATURES, LEAST_DOCUMENTS = 8_192, 65_536, 5
+#: Labelled documents, and bytes of text, the classifier is fitted on at most; features it keeps at most, and how many
+#: documents must have one.
+TRAIN_ROWS, TRAIN_BYTES, FEATURES, LEAST_DOCUMENTS = 8_192, 64 << 20, 65_536, 5
 #: Lengths of the word starts that are features beside the word.
 STARTS = (4, 5)
 ROUNDS, RATE, SHRINK, FIRST_BIAS = 60, 0.3, 0.01, -11.0
@@ -99,22 +101,28 @@ def fit(texts: list[str], toxic: np.ndarray) -> dict[str, float]:
     return {"": float(bias), **{f: float(w) for f, w in zip(features, weight) if abs(w) > 1e-4}}
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> dict[str, float]:
+def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, most_bytes: int = TRAIN_BYTES) -> dict[str, float]:
     """The weights fitted on at most `rows` labelled documents, drawn by a hash of their id from all but the held-out ones.
 
-    The bound keeps the one task that fits them, and the weights that reach the driver, of a fixed size. A doc_id with
-    several labels counts as toxic if any says so; NULL labels and ids count as none.
+    Of these, one text per id, the shortest, is taken in the order of that hash while all have at most `most_bytes`
+    together. Both bounds hold before anything is gathered, so the one task that fits the weights, and the weights that
+    reach the driver, are of a fixed size. A doc_id with several labels counts as toxic if any says so; NULL labels and ids
+    count as none.
     """
     known = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("of")).agg(F.max("toxic").alias("toxic"))
     drawn = known.filter(~held_out("of")).orderBy(F.xxhash64("of"), "of").limit(rows)
-    bags = docs.select("doc_id", whole().alias("text")).join(F.broadcast(drawn), F.col("doc_id") == F.col("of")).select("of", "text", "toxic")
+    bags = docs.select("doc_id", whole().alias("text")).join(F.broadcast(drawn), F.col("doc_id") == F.col("of")).groupBy("of").agg(
+        F.max("toxic").alias("toxic"), F.min(F.struct(F.octet_length("text").alias("size"), "text")).alias("least"))
+    # At most `rows` rows.
+    upto = F.sum("least.size").over(Window.orderBy(F.xxhash64("of"), "of"))
+    taken = bags.withColumn("upto", upto).filter(F.col("upto") <= most_bytes)
 
     def fitted(bags: pd.DataFrame) -> pd.DataFrame:
         cache_of("toxicity").clear()  # the fit needs the room
-        bags = bags.sort_values(["of", "text"]).head(rows)
+        bags = bags.sort_values(["of", "text"])
         return pd.DataFrame(fit(bags["text"].tolist(), bags["toxic"].to_numpy()).items(), columns=["feature", "weight"])
 
-    together = bags.withColumn("all", F.lit(True)).groupBy("all")
+    together = taken.select("of", "toxic", "least.text", F.lit(True).alias("all")).groupBy("all")
     return {r["feature"]: r["weight"] for r in together.applyInPandas(fitted, "feature string, weight double").collect()} or {"": -20.0}
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter
@@ -149,3 +150,16 @@ def variants(rows, shortest=7, every=31, ratio=10):
             root = form[root]
         out.append((w, form[w], root, n[w], len(told[w]), n.get(form[w])))
     return sorted(out)
+
+
+def noisy_or(text, weights):
+    """(score, offending sentences) of a text by the definition, from the weights of its words and their first letters."""
+    clean, offending = 1.0, []
+    for m in re.finditer(r"[^.!?\n]+", text or ""):
+        words = re.findall(r"[^\W\d_]+", m[0].lower())
+        if words:
+            z = weights[""] + sum(weights.get(f, 0.0) for w in words for f in [w, *(w[:n] + "^" for n in (4, 5) if len(w) >= n)])
+            p = 1 / (1 + math.exp(-z)) if z > -700 else 0.0
+            clean *= 1 - p
+            offending += [f"{m.start()}:{m.end()}"] * (p >= 0.3)
+    return 1 - clean, ",".join(offending) if 1 - clean >= 0.3 else ""

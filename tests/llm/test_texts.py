@@ -14,9 +14,9 @@ from equigauge.llm.packing import pack
 from equigauge.llm.pii import find_spans, pii_report, redact
 from equigauge.llm.queries import tokenizer_path
 from equigauge.llm.token_counts import count_tokens
-from equigauge.llm.toxicity import score_toxicity
+from equigauge.llm.toxicity import score_toxicity, train, with_scores
 
-from .brute import rows_of
+from .brute import noisy_or, rows_of
 
 BYTE, WORDS = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("word_bpe_49k.json")
 TEXT_SCHEMA = "doc_id long, text string, pii_found string, size string, score string, taken string"
@@ -151,6 +151,34 @@ def test_toxicity_finds_labels_it_has_not_seen(spark):
     assert all(0 <= r["score"] <= 1 for r in told)
 
 
+def test_scores_agree_with_the_plain_noisy_or(spark, odd, odd_rows):
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    weights = train(docs, labels)
+    assert len(weights) > 10 and weights[""] < 0
+    for table, rows in ((docs, [(r["doc_id"], r["text"]) for r in docs.collect()]), (odd, odd_rows)):
+        got = {r["doc_id"]: r for r in with_scores(table, weights).collect()}
+        for doc, text, *_ in rows:
+            score, offending = noisy_or(text, weights)
+            assert got[doc]["toxicity_score"] == pytest.approx(score, abs=1e-9), doc
+            assert (got[doc]["toxicity_sentences"] or "") == offending, doc
+    told = {r["doc_id"]: r for r in score_toxicity(docs, labels).collect()}
+    assert any(r["predicted"] for r in told.values())
+    for r in docs.collect():
+        score, offending = noisy_or(r["text"], weights)
+        assert (told[r["doc_id"]]["score"], told[r["doc_id"]]["predicted"], told[r["doc_id"]]["offending"]) == (pytest.approx(score, abs=1e-9), int(score >= 0.3), offending)
+
+
+def test_training_rows_and_bytes_are_bounded_before_they_are_gathered(spark):
+    rows = [(k, ("bad stuff" if k % 2 else "fine words") + " more" * (k % 5)) for k in range(200)]
+    labels = spark.createDataFrame([(k, k % 2) for k, _ in rows], "doc_id long, toxic int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    long = spark.createDataFrame([(k, t + " longer" * 500) for k, t in rows] * 3, "doc_id long, text string")
+    assert train(docs, labels) == train(docs.union(long), labels)  # one text per id, the shortest
+    assert train(docs, labels, most_bytes=0) == {"": -20.0}
+    assert train(docs, labels, most_bytes=400) != train(docs, labels)
+
+
 def test_toxicity_of_odd_rows(spark, odd, empty):
     labels = spark.createDataFrame([(k, 1 if k == 18 else 0, None) for k in range(1, 20)] + [(None, 1, 1), (3, None, 1)], "doc_id long, toxic int, quality int")
     got = {r["doc_id"]: r for r in score_toxicity(odd, labels).collect()}
