@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from equigauge.functions.ratios import ratio
 from equigauge.operators.running import last_at_most, scan, unplaced
-from equigauge.session import attach, settle
+from equigauge.session import settle
 
 
 def cells(df: DataFrame, quasi_identifiers: Sequence[str], sensitive: str | None = None) -> DataFrame:
@@ -52,9 +52,9 @@ def group_distances(df: DataFrame, quasi_identifiers: Sequence[str], sensitive:
     keys = list(quasi_identifiers)
     known = df.select(*keys, F.col(sensitive).alias("s")).na.drop(subset=["s"])
     cell = settle(cells(known, keys, "s"))
-    sizes = cell.groupBy(*keys).agg(F.sum("n").alias("n_group"))
-    whole = settle(cell.groupBy("s").agg(F.sum("n").alias("n_value")))
-    sized = attach(cell, sizes, keys)
+    whole = cell.groupBy("s").agg(F.sum("n").alias("n_value"))
+    # Cells of a hot group are spread by value, so its size meets them in a join that Spark may split.
+    sized = cell.join(cell.groupBy(*keys).agg(F.sum("n").alias("n_group")), keys)
     return _ordered(sized, whole, keys) if ordered else _unordered(sized, whole, keys)
 
 
@@ -77,7 +77,7 @@ def _ordered(cell: DataFrame, whole: DataFrame, keys: list[str]) -> DataFrame:
     """
     steps = settle(_value_steps(whole))
     m, end = steps.agg(F.max("i").alias("m")).scalar(), steps.agg(F.max("through").alias("end")).scalar()
-    placed = attach(cell, steps.select("s", "i", "before"), ["s"])
+    placed = cell.join(steps.select("s", "i", "before"), "s")
     own = scan(placed, keys, ["i"], sums={"upto": "n"}, previous={"i_before": "i"}, following={"i_next": "i", "before_after": "before"})
     runs = settle(unplaced(own).select(
         *keys, "n_group", "i", "before", ratio("upto", "n_group").alias("c"), F.coalesce(F.col("i_next") - 1, m).alias("last"),
@@ -88,7 +88,7 @@ def _ordered(cell: DataFrame, whole: DataFrame, keys: list[str]) -> DataFrame:
     found = last_at_most(runs.select("c").distinct(), marks, "c", ["t_through"]).select(
         "c", F.coalesce("i", F.lit(0)).alias("t"), F.coalesce("t_through", F.lit(0.0)).alias("t_through")
     )
-    run = attach(runs, found, ["c"])
+    run = runs.join(found, "c")
     t = F.least(F.greatest(F.col("t"), F.col("i") - 1), F.col("last"))
     through_t = F.when(F.col("t") < F.col("i"), F.col("before")).when(
         F.col("t") >= F.col("last"), F.col("before_next")

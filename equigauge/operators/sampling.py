@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from equigauge.session import attach, settle
 
-#: Hash digits by which a split is narrowed at a time, and the rows of a slot that one task may rank.
+#: Hash digits that name a slot at least, and the rows of a slot that one task ranks, on average at most.
 DIGITS = 3
 SLOT_ROWS = 1_000_000
 #: Digits of the whole hash; a slot of that length holds one key.
@@ -58,12 +58,7 @@ def exact_split(df: DataFrame, key: str, train: float = 0.8, strata: Sequence[st
     share = Fraction(train).limit_denominator(10_000)
     by = [f"_s{i}" for i in range(len(strata))]
     hashed = df.withColumns({"_h": key_hash(key), **{name: F.col(c) for name, c in zip(by, strata)}})
-    cut = _first_cut(hashed.na.drop(subset=["_h", *by]), by, share)
-    while True:
-        most = cut.agg(F.max("_n"), F.max(F.length("_cut"))).first()
-        if (most[0] or 0) <= SLOT_ROWS or most[1] >= HASH_DIGITS:
-            break
-        cut = _finer_cut(hashed.na.drop(subset=["_h", *by]), by, cut)
+    cut = _cut_slots(hashed.na.drop(subset=["_h", *by]), by, share)
 
     # The last training key of each stratum; the table itself is then only compared with it. Keys are counted first, so
     # the repeats of a key cost one row per task.
@@ -90,33 +85,24 @@ def exact_split(df: DataFrame, key: str, train: float = 0.8, strata: Sequence[st
     return placed.select(*df.columns, part.alias("part"))
 
 
-def _first_cut(hashed: DataFrame, by: list[str], share: Fraction) -> DataFrame:
-    """Per stratum the slot in which the split falls, its rows, and how many of them belong to training."""
-    # At most 16^DIGITS rows per stratum.
-    sizes = hashed.groupBy(*by, F.substring("_h", 1, DIGITS).alias("_cut")).agg(F.count(F.lit(1)).alias("_n"))
+def _cut_slots(hashed: DataFrame, by: list[str], share: Fraction) -> DataFrame:
+    """Per stratum the slot in which the split falls, and how many of its rows belong to training.
+
+    The number of digits that name a slot follows from the number of rows, so that a slot holds at most about `SLOT_ROWS`.
+    """
+    slots, digits = hashed.count() // SLOT_ROWS + 1, DIGITS
+    while 16**digits < slots and digits < HASH_DIGITS:
+        digits += 1
+    sizes = hashed.groupBy(*by, F.substring("_h", 1, digits).alias("_cut")).agg(F.count(F.lit(1)).alias("_n"))
     total = F.sum("_n").over(Window.partitionBy(*by))
     wanted = F.floor((total * share.numerator + (share.denominator - 1)) / share.denominator)
-    return _pick(sizes.withColumn("_want", wanted), by)
-
-
-def _finer_cut(hashed: DataFrame, by: list[str], cut: DataFrame) -> DataFrame:
-    """The same inside the slots found so far, by the next digits of the hash."""
-    inside = _with_cut(hashed.select(*by, "_h"), by, cut).filter(F.col("_h").startswith(F.col("_cut")))
-    finer = F.substring("_h", F.lit(1), F.length("_cut") + DIGITS)
-    sizes = inside.groupBy(*by, finer.alias("_finer")).agg(F.count(F.lit(1)).alias("_n"), F.max("_take").alias("_want"))
-    return _pick(sizes.withColumnRenamed("_finer", "_cut"), by)
-
-
-def _pick(sizes: DataFrame, by: list[str]) -> DataFrame:
     earlier = Window.partitionBy(*by).orderBy("_cut").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("_n").over(earlier), F.lit(0))
-    placed = sizes.withColumn("_before", before)
+    placed = sizes.withColumns({"_want": wanted, "_before": F.coalesce(F.sum("_n").over(earlier), F.lit(0))})
     held = (F.col("_before") <= F.col("_want")) & (F.col("_want") < F.col("_before") + F.col("_n"))
-    return settle(placed.filter(held).select(*by, "_cut", (F.col("_want") - F.col("_before")).alias("_take"), "_n"))
+    return settle(placed.filter(held).select(*by, "_cut", (F.col("_want") - F.col("_before")).alias("_take")))
 
 
 def _with_cut(rows: DataFrame, by: list[str], cut: DataFrame) -> DataFrame:
-    cut = cut.drop("_n")
     if by:
         return attach(rows, cut, by, "left")
     one = cut.first()

@@ -8,6 +8,7 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,9 +52,9 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return path
 
 
-def release() -> None:
-    """Remove the folders made so far. Frames that still read from them are then of no use."""
-    while _folders:
+def release(down_to: int = 0) -> None:
+    """Remove the folders made so far, but for the first `down_to`. Frames that still read from them are then of no use."""
+    while len(_folders) > down_to:
         spark, path = _folders.pop()
         with contextlib.suppress(Exception):  # the session may have ended before
             place = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -63,6 +64,16 @@ def release() -> None:
 atexit.register(release)
 
 
+@contextlib.contextmanager
+def scratch() -> Iterator[None]:
+    """Within a long session: what is stored inside the block is removed at its end, when its results have been written."""
+    before = len(_folders)
+    try:
+        yield
+    finally:
+        release(before)
+
+
 _shipped: set[str] = set()
 
 

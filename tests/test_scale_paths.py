@@ -158,13 +158,14 @@ def test_storage_that_executors_do_not_share_is_refused(spark):
         session.shared_folder(OnACluster, "x")
 
 
-def test_split_narrows_until_a_slot_is_small(spark, monkeypatch):
+def test_split_does_not_depend_on_its_slots(spark, monkeypatch):
     df = spark.range(3000).select("id", (F.col("id") % 2).alias("g"))
     for strata in ([], ["g"]):
         want = {tuple(r) for r in sampling.exact_split(df, "id", 0.7, strata).collect()}
         monkeypatch.setattr(sampling, "DIGITS", 1)
-        monkeypatch.setattr(sampling, "SLOT_ROWS", 3)
-        assert {tuple(r) for r in sampling.exact_split(df, "id", 0.7, strata).collect()} == want
+        for rows in (3, 1_000_000):
+            monkeypatch.setattr(sampling, "SLOT_ROWS", rows)
+            assert {tuple(r) for r in sampling.exact_split(df, "id", 0.7, strata).collect()} == want
         monkeypatch.undo()
 
 
@@ -273,3 +274,13 @@ def test_equal_width_keeps_both_ends(spark):
     assert [r["bin"] for r in bins.equal_width(df, "v", 5).collect()] == [1, 1, 2, 5, 5, None]
     flat = spark.createDataFrame([(3.0,), (3.0,)], "v double")
     assert {r["bin"] for r in bins.equal_width(flat, "v", 4).collect()} == {1}
+
+
+def test_scratch_removes_what_was_stored_inside(spark, tmp_path):
+    kept = session.settle(spark.range(3))
+    with session.scratch():
+        inner = session.settle(spark.range(5))
+        inner.write.parquet(str(tmp_path / "out"))
+    assert kept.count() == 3 and spark.read.parquet(str(tmp_path / "out")).count() == 5
+    with pytest.raises(Exception, match="(?i)does not exist|FILE_NOT_EXIST|PATH_NOT_FOUND"):
+        inner.collect()
