@@ -11,6 +11,7 @@ target to within rounding, and reruns agree.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -19,8 +20,8 @@ from pyspark.sql import functions as F
 from equigauge.llm.text import whole, word_count
 from equigauge.session import settle
 
-#: Hexadecimal digits of the seeded hash that name a slot; a source is split into 16 ** SLOT_DIGITS slots.
-SLOT_DIGITS = 3
+#: Hexadecimal digits of the seeded hash that name a slot at least, and the rows of a slot on average at most.
+SLOT_DIGITS, SLOT_ROWS = 3, 100_000
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, cap: float) -> DataFrame:
@@ -52,11 +53,12 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.
     NULL text has size 0 and takes nothing; NULL is a source of its own, the last; a NULL doc_id is hashed as an empty
     one. A source without words has target 0. Rows that are alike in all of this share their places in any order.
     An empty table gives no rows; other columns are ignored. A source of any size is spread over the slots of its hash,
-    so no task sees more than a slot of it.
+    whose number grows with the table, so no task sees more than a slot of it.
     """
     mark = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    sized = settle(docs.select("doc_id", "source", word_count(whole()).alias("size"))).withColumn("mark", mark).withColumn(
-        "slot", F.substring("mark", 1, SLOT_DIGITS))
+    sizes = settle(docs.select("doc_id", "source", word_count(whole()).alias("size")))
+    digits = max(SLOT_DIGITS, math.ceil(math.log(max(1, sizes.count() / SLOT_ROWS), 16)))
+    sized = sizes.withColumn("mark", mark).withColumn("slot", F.substring("mark", 1, digits))
     slots = sized.groupBy("source", "slot").agg(F.sum("size").alias("slot_size"))
     targets = source_targets(slots.groupBy("source").agg(F.sum("slot_size").alias("source_size")), weights, share, cap)
     times = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
