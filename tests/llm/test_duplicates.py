@@ -313,6 +313,32 @@ def test_recall_of_cells_does_not_fall_with_their_number(many):
     assert np.mean([len(np.intersect1d(a, b)) > 0 for a, b in cells]) >= 0.995
 
 
+@pytest.mark.parametrize("dimension", [8, 16, 64])
+@pytest.mark.parametrize("many", [24, 400, 3000])
+def test_pairs_are_found_from_one_home_at_least(dimension, many):
+    """Pairs at cosine 0.905, and centroids as they are drawn: no two closer than `APART`."""
+    rng = np.random.default_rng(dimension)
+    kept = np.zeros((0, dimension))
+    for v in embedding_dedup.unit(rng.standard_normal((many, dimension))):
+        if not len(kept) or (kept @ v).max() < embedding_dedup.APART:
+            kept = np.concatenate([kept, v[None]])
+    base, other = embedding_dedup.unit(rng.standard_normal((800, dimension))), rng.standard_normal((800, dimension))
+    other = embedding_dedup.unit(other - (other * base).sum(axis=1, keepdims=True) * base)
+    a, b = (embedding_dedup.cells_of(x, kept) for x in (base, 0.905 * base + np.sqrt(1 - 0.905**2) * other))
+    assert np.mean((a[:, :1] == b).any(axis=1) | (b[:, :1] == a).any(axis=1)) >= 0.97
+
+
+@pytest.mark.parametrize("dimension", [8, 16, 64])
+def test_recall_in_few_and_many_dimensions(spark, dimension):
+    rng = np.random.default_rng(dimension)
+    base = embedding_dedup.unit(rng.standard_normal((1000, dimension)))
+    pairs = np.concatenate([base, embedding_dedup.unit(base + rng.standard_normal((1000, dimension)) * 0.42 / np.sqrt(dimension))])
+    table = spark.createDataFrame([(k, v) for k, v in enumerate(pairs.tolist())], "vec_id long, embedding array<double>")
+    got = near_duplicates(table).agg({"n_links": "sum"}).first()[0]
+    true = int((pairs @ pairs.T >= 0.9).sum()) - 2000
+    assert true > 500 and 0.97 * true <= got <= true
+
+
 def test_estimates_are_unbiased():
     rng = np.random.default_rng(5)
     a, b = embedding_dedup.unit(rng.standard_normal((300, 64))), embedding_dedup.unit(rng.standard_normal((300, 64)))
