@@ -273,7 +273,7 @@ def frequent_phrases(docs: DataFrame, least: int = 30, shards: int = SHARDS) ->
     total = rows.agg(F.coalesce(F.sum(F.octet_length("bytes")), F.lit(0))).first()[0]
     cells = np.full(1 << min(MOST_CELLS, max(LEAST_CELLS, (total // BYTES_PER_CELL).bit_length())), NEVER, np.uint8)
     buckets, kind = total // BUCKET_BYTES + 1, "u1" if least < 256 else "<u4"
-    counted, state, step = "bucket int, start smallint, rests binary, counts binary", None, 0
+    counted, state, step, last_new = "bucket int, start smallint, rests binary, counts binary", None, 0, -1
     while True:
         sent = context.broadcast(cells.tobytes())
         found = rows.filter(F.col("shard") == step % shards).select("lang", "bytes").mapInArrow(_counted(step, shards, buckets, kind, sent), counted)
@@ -281,11 +281,11 @@ def frequent_phrases(docs: DataFrame, least: int = 30, shards: int = SHARDS) ->
             found = found.union(state.drop("reached").filter(F.octet_length("rests") > 0))
         state = settle(found.groupBy("bucket").applyInPandas(_merged(step, shards, buckets, kind, least), f"{counted}, reached binary"))
         sent.destroy()
-        new, left = state.agg(*(F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c in ("reached", "rests"))).first()
-        if new:
+        if state.filter(F.octet_length("reached") > 0).limit(1).count():
             _mark(cells, state, step)
-        # Nothing of length k begins after k - 1 cycles.
-        if step >= shards - 1 and not new and not left or step == LONGEST * shards - 1:
+            last_new = step
+        # What became active by the newest finds has had its cycle then, also in shards where it does not occur.
+        if step >= last_new + shards:
             break
         step += 1
     counts = settle(rows.select("lang", "bytes").mapInArrow(_exact(buckets, context.broadcast(cells.tobytes())), "lang string, size tinyint, phrase string, n long").groupBy(

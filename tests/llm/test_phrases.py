@@ -35,6 +35,15 @@ def test_collocations_agree_with_plain_counts(spark, shards, top):
     assert got == brute.collocations([(r[2], r[1]) for r in rows], 30, top)
 
 
+@pytest.mark.parametrize("shards", [1, 2, 3, 5])
+def test_phrases_of_a_single_document_are_found(spark, shards):
+    """What occurs in one shard alone has its whole cycle, though steps between find nothing."""
+    rows = [(k, f"only{k} of{k} here{k} now{k}. " * 30, "en", "s", 1) for k in range(12)] + [(99, "x " * 40, "en", "s", 1)]
+    known, _ = frequent_phrases(spark.createDataFrame(rows, SCHEMA), 30, shards)
+    want = {(lang, " ".join(p), n) for lang, f in brute.phrases([(r[2], r[1]) for r in rows])[0].items() for p, n in f.items() if n >= 30}
+    assert {(r["lang"], r["phrase"], r["n"]) for r in known.collect()} == want and len(want) > 120
+
+
 def test_full_cells_change_nothing(spark, monkeypatch):
     """With few cells nearly all phrases seem active; every one is still counted in each shard exactly once."""
     rows = sentences(2, 80)
