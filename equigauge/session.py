@@ -55,10 +55,13 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
 def release(down_to: int = 0) -> None:
     """Remove the folders made so far, but for the first `down_to`. Frames that still read from them are then of no use."""
     while len(_folders) > down_to:
-        spark, path = _folders.pop()
-        with contextlib.suppress(Exception):  # the session may have ended before
-            place = spark._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        _remove(*_folders.pop())
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):  # the session may have ended before
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 atexit.register(release)
@@ -98,6 +101,18 @@ def settle(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def settled(df: DataFrame) -> Iterator[DataFrame]:
+    """The same for the length of a block: what is stored is removed at its end, when nothing reads it any more."""
+    stored = settle(df)
+    place = _folders[-1]
+    try:
+        yield stored
+    finally:
+        _remove(*place)
+        _folders.remove(place)
+
+
 def attach(df: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
     """Join a lookup that is usually tiny to a large table.
 
