@@ -32,7 +32,7 @@ from equigauge.llm.components import connected_components
 from equigauge.llm.fm_index import binary_array
 from equigauge.llm.joins import with_group
 from equigauge.llm.text import whole
-from equigauge.session import settle
+from equigauge.session import settle, settled
 
 #: Bytes of text hashed at once, sets per batch, entries per bucket.
 CHUNK = 1 << 20
@@ -574,28 +574,30 @@ def jaccard_groups(docs: DataFrame, width: int = 3, share: Fraction = Fraction(9
     """
     like = Similarity(share)
     rows = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), whole().cast("binary").alias("bytes"))
-    features = settle(rows.mapInArrow(_features(width, like), "id long, n long, digest binary, early binary, late binary, bits binary"))
-    n_rows, key_bytes = features.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("early") + F.octet_length("late")), F.lit(0))).first()
-    key_buckets, buckets = key_bytes // 8 // BUCKET_KEYS + 1, n_rows // BUCKET_ROWS + 1
-    batches = features.filter("early IS NOT NULL").select(
-        F.pmod(F.xxhash64("digest"), F.lit(n_rows // BATCH_ROWS + 1)).cast("int").alias("batch"), "id", "n", "digest", "early", "late", "bits")
-    # Both uses of the batches read one exchange.
-    repeats = repeated_keys(batches, _keys_of, key_buckets)
-    sets = settle(batches.groupBy("batch").cogroup(repeats.groupBy("batch")).applyInPandas(
-        _meeting(key_buckets), "id long, n long, early binary, late binary, bits binary")).withColumn("label", F.col("id"))
+    # Keys and bitmaps of sets that meet no other are not needed again.
+    with settled(rows.mapInArrow(_features(width, like), "id long, n long, digest binary, early binary, late binary, bits binary")) as features:
+        n_rows, key_bytes = features.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("early") + F.octet_length("late")), F.lit(0))).first()
+        facts = settle(features.select("id", "n", "digest", F.col("early").isNotNull().alias("carries")))
+        key_buckets, buckets = key_bytes // 8 // BUCKET_KEYS + 1, n_rows // BUCKET_ROWS + 1
+        batches = features.filter("early IS NOT NULL").select(
+            F.pmod(F.xxhash64("digest"), F.lit(n_rows // BATCH_ROWS + 1)).cast("int").alias("batch"), "id", "n", "digest", "early", "late", "bits")
+        # Both uses of the batches read one exchange.
+        repeats = repeated_keys(batches, _keys_of, key_buckets)
+        sets = settle(batches.groupBy("batch").cogroup(repeats.groupBy("batch")).applyInPandas(
+            _meeting(key_buckets), "id long, n long, early binary, late binary, bits binary")).withColumn("label", F.col("id"))
     found = settle(possible_links(dealt(keyed(sets, F.col("early")), BUSY_ROWS), sets, like, buckets))
     light = settle(_with_labels(sets.select("id", "n", "early", "late", "label"), connected_components(found)))
     left = links_left(keyed(light, F.concat("early", "late")), sets, like, BUSY_ROWS, buckets)
     blocks = connected_components(found.union(left))
     components = connected_components(_verified(rows, sets, blocks, width, like))
-    named_sets = features.filter((F.col("n") > 0) & (F.col("id") != NO_ID))
+    named_sets = facts.filter((F.col("n") > 0) & (F.col("id") != NO_ID))
     stands = named_sets.groupBy("digest").agg(
-        F.min("id").alias("least"), F.min(F.when(F.col("early").isNotNull(), F.col("id"))).alias("id"), F.count(F.lit(1)).alias("copies"))
+        F.min("id").alias("least"), F.min(F.when(F.col("carries"), F.col("id"))).alias("id"), F.count(F.lit(1)).alias("copies"))
     told = settle(_with_labels(stands, components))
     least = told.groupBy("label").agg(F.min("least").alias("group"), F.count(F.lit(1)).alias("many")).filter("many > 1")
     named = settle(told.join(least.select(F.col("label").alias("of"), "group"), F.col("label") == F.col("of"), "left").select(
         "digest", "copies", F.coalesce("group", "least").alias("component")))
-    alone = features.filter((F.col("n") == 0) | (F.col("id") == NO_ID)).select("id", "n", F.col("id").alias("component"))
+    alone = facts.filter((F.col("n") == 0) | (F.col("id") == NO_ID)).select("id", "n", F.col("id").alias("component"))
     out = with_group(named_sets.select("id", "n", "digest"), named, "digest", "copies", n_rows).select("id", "n", "component").union(alone)
     return out.select(F.nullif("id", F.lit(NO_ID)).alias("doc_id"), F.col("n").alias("n_shingles"),
                       F.nullif("component", F.lit(NO_ID)).alias("component_id"))
