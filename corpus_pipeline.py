@@ -7,6 +7,7 @@ shared folder and reads it again for the next stage.
 from __future__ import annotations
 
 from fractions import Fraction
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,13 +30,23 @@ def _rows(docs: DataFrame, *named: Column) -> DataFrame:
     return docs.select(F.struct(*docs.columns).alias("row"), *named)
 
 
-def _once(docs: DataFrame) -> DataFrame:
-    """`docs` with one row per doc_id, NULL included, and text: of rows that repeat both, the least in its JSON form."""
-    keyed = _rows(docs, F.col("doc_id").alias("id"), _digest().alias("of"))
-    repeated = settle(keyed.groupBy("id", "of").count().filter("count > 1").select(F.col("id").alias("again_id"), F.col("of").alias("again_of")))
-    same = F.col("id").eqNullSafe(F.col("again_id")) & (F.col("of") == F.col("again_of"))
-    least = keyed.join(repeated, same).groupBy("id", "of").agg(F.min_by("row", F.to_json("row")).alias("row"))
-    return keyed.join(repeated, same, "left_anti").select("row").union(least.select("row")).select("row.*")
+def _kept(keyed: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of `keyed` (row, keys) without those whose keys are in `gone` (distinct), and of rows that repeat their keys
+    the least in its JSON form.
+
+    Which keys repeat is counted without the rows, so the rows themselves are moved once.
+    """
+    def same(other: DataFrame, names: list[str]) -> Column:
+        return reduce(Column.__and__, (keyed[k].eqNullSafe(other[n]) for k, n in zip(keys, names)))
+
+    absent, again = [f"gone_{k}" for k in keys], [f"again_{k}" for k in keys]
+    gone = settle(gone.toDF(*absent))
+    light = keyed.select(*keys)
+    left = light.join(gone, reduce(Column.__and__, (light[k].eqNullSafe(gone[n]) for k, n in zip(keys, absent))), "left_anti")
+    repeated = settle(left.groupBy(*keys).count().filter("count > 1").drop("count").toDF(*again))
+    dropped = gone.union(repeated).toDF(*absent)
+    least = keyed.join(repeated, same(repeated, again)).groupBy(*keys).agg(F.min_by("row", F.to_json("row")).alias("row"))
+    return keyed.join(dropped, same(dropped, absent), "left_anti").select("row").union(least.select("row")).select("row.*")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,11 +68,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     NULL and empty texts are equal to each other.
     """
     ship_package(spark)
-    gone = exact_dedup.exact_dedup(docs).filter(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(
-        F.col("doc_id").alias("gone_id"), F.col("text_sha256").alias("gone_of")).distinct()
-    keyed = _rows(docs, F.col("doc_id").alias("id"), _digest().alias("of"))
-    kept = keyed.join(gone, F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("of") == F.col("gone_of")), "left_anti")
-    return _once(settle(kept.select("row.*")))
+    gone = exact_dedup.exact_dedup(docs).filter(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("doc_id", "text_sha256").distinct()
+    return _kept(_rows(docs, F.col("doc_id").alias("id"), _digest().alias("of")), gone, ["id", "of"])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -77,8 +85,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     stays = named.groupBy("component_id").agg(
         F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "digest", "node")).alias("best"))
     gone = told.select("node").join(stays.select(F.col("best.node").alias("kept")), F.col("node") == F.col("kept"), "left_anti")
-    left = _rows(docs, node.alias("of")).join(gone, F.col("of") == F.col("node"), "left_anti")
-    return _once(settle(left.select("row.*")))
+    return _kept(_rows(docs, node.alias("of")), gone, ["of"])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
