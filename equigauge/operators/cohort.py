@@ -123,7 +123,7 @@ def cohort_metrics(df: DataFrame, names: CohortColumns = CohortColumns()) -> Dat
     """
     used = [names.score, names.confidence, names.volume, names.sex, names.scanner, names.age, names.diagnosis, *names.lesions]
     rows = settle(df.select(*dict.fromkeys(c for c in used if c)))
-    groups = settle(cohort_groups(rows, names))
+    groups = cohort_groups(rows, names)
     of = lambda dimension: F.col("dimension") == dimension
     named = lambda dimension, grp: of(dimension) & (F.col("grp") == grp)
     neutral = F.lit(1.0)

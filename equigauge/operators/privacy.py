@@ -79,10 +79,10 @@ def _ordered(cell: DataFrame, whole: DataFrame, keys: list[str]) -> DataFrame:
     m, end = steps.agg(F.max("i").alias("m")).scalar(), steps.agg(F.max("through").alias("end")).scalar()
     placed = cell.join(steps.select("s", "i", "before"), "s")
     own = scan(placed, keys, ["i"], sums={"upto": "n"}, previous={"i_before": "i"}, following={"i_next": "i", "before_after": "before"})
-    runs = settle(unplaced(own).select(
+    runs = unplaced(own).select(
         *keys, "n_group", "i", "before", ratio("upto", "n_group").alias("c"), F.coalesce(F.col("i_next") - 1, m).alias("last"),
         F.coalesce("before_after", end).alias("before_next"), F.col("i_before").isNull().alias("first"),
-    ))
+    )
     # A level occurs in many groups; each distinct one is looked up once.
     marks = steps.select(F.col("q").alias("c"), "i", F.col("through").alias("t_through"))
     found = last_at_most(runs.select("c").distinct(), marks, "c", ["t_through"]).select(

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from equigauge.functions.clean import finite
 from equigauge.operators.running import scan
-from equigauge.session import attach, settle
+from equigauge.session import attach
 
 ACCURACY = 20_000
 #: Share of the rows on each side of a wanted rank that a bracket holds at least; the sketch is an eighth of it exact. A
@@ -38,13 +38,14 @@ def exact_quantiles(
     values = df.select(*keys, finite(F.col(value).cast("double")).alias("v")).filter(F.col("v").isNotNull())
     for key in keys:
         values = values.filter(F.col(key).isNotNull())
-    found = settle(_selected(values, probs, keys, _brackets(values, probs, keys)))
+    # What is ranked is stored, so looking for misses first costs little.
+    found = _selected(values, probs, keys, _brackets(values, probs, keys))
     missed = found.filter("missed")
     if not missed.isEmpty():
         again = values.join(missed.select(*keys), keys, "left_semi") if keys else values
         whole = again.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo0"), F.max("v").alias("hi0"))
         ends = [F.col(f"{end}0").alias(f"{end}{i}") for i in range(len(probs)) for end in ("lo", "hi")]
-        found = found.filter("NOT missed").union(settle(_selected(again, probs, keys, whole.select(*keys, "n", *ends))))
+        found = found.filter("NOT missed").union(_selected(again, probs, keys, whole.select(*keys, "n", *ends)))
     return found.select(*keys, "n", *(F.col(f"q{i}").alias(f"{name}_{i}") for i in range(len(probs))))
 
 

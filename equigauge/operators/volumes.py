@@ -193,7 +193,7 @@ def flips_of(lines: DataFrame, patient: str, extent: DataFrame | None = None) ->
     lines = settle(lines)
     if extent is None:
         extent = lines.groupBy(patient).agg((F.max("last_x") + 1).alias("width"), (F.max("y") + 1).alias("height"))
-    sized = attach(lines.filter("seg <> 0").select(patient, "z", "y", "word", "seg"), extent, [patient])
+    sized = lines.filter("seg <> 0").select(patient, "z", "y", "word", "seg").join(extent, patient)
     straight = sized.select(patient, "z", "y", "height", "word", "seg")
     turned = _mirrored(sized.select(patient, "z", "y", "height", "width", "word", "seg"), "seg").select(patient, "z", "y", "height", "word", "seg")
     moved = straight.withColumn("fx", F.lit(False)).union(turned.withColumn("fx", F.lit(True)))

@@ -44,14 +44,19 @@ def fingerprint_parts(df: DataFrame, columns: Sequence[str] | None = None, keys:
 
 
 def _root(leaves: DataFrame) -> DataFrame:
-    """Rows in all and the hash at the top of the tree. There are at most `PARTS` leaves."""
-    nodes = leaves.select(F.col("part").alias("at"), "n_rows", F.col("part_hash").alias("hash"))
-    width = PARTS
+    """Rows in all and the hash at the top of the tree. There are at most `PARTS` leaves, which meet in one row."""
+    def above(nodes: Column) -> Column:
+        """The nodes one level up: each hashes its `FAN` children by number."""
+        up = F.array_distinct(F.transform(nodes, lambda x: F.floor(x["at"] / FAN).cast("int")))
+        named = lambda x: F.concat(x["at"], F.lit(":"), x["hash"])
+        return F.transform(up, lambda k: F.struct(k.alias("at"), F.sha2(F.array_join(F.transform(
+            F.filter(nodes, lambda x: F.floor(x["at"] / FAN).cast("int") == k), named), ","), 256).alias("hash")))
+
+    nodes, width = F.array_sort(F.collect_list(F.struct(F.col("part").alias("at"), F.col("part_hash").alias("hash")))), PARTS
     while width > 1:
-        children = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "hash"))), lambda x: F.concat(x["at"], F.lit(":"), x["hash"])), ",")
-        nodes = nodes.groupBy(F.floor(F.col("at") / FAN).cast("int").alias("up")).agg(F.sum("n_rows").alias("n_rows"), F.sha2(children, 256).alias("hash"))
-        nodes, width = nodes.withColumnRenamed("up", "at"), width // FAN
-    return nodes.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"), F.coalesce(F.max("hash"), F.sha2(F.lit(""), 256)).alias("data_hash"))
+        nodes, width = above(nodes), width // FAN
+    top = F.coalesce(F.try_element_at(nodes, F.lit(1))["hash"], F.sha2(F.lit(""), 256))
+    return leaves.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"), top.alias("data_hash"))
 
 
 def fingerprint(df: DataFrame, columns: Sequence[str] | None = None, keys: Sequence[str] | None = None) -> DataFrame:
