@@ -7,7 +7,6 @@ shared folder and reads it again for the next stage.
 from __future__ import annotations
 
 from fractions import Fraction
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,28 +24,27 @@ def _digest() -> Column:
     return F.sha2(whole(), 256)
 
 
+def _node(digest: Column) -> Column:
+    """A row by doc_id and text, as a 64-bit hash of both; the chance that two rows share one is theirs over 2^64."""
+    return F.xxhash64(F.col("doc_id").isNull(), "doc_id", digest)
+
+
 def _rows(docs: DataFrame, *named: Column) -> DataFrame:
     """The columns of `docs` as one struct, so that no name of theirs meets one of ours, besides `named`."""
     return docs.select(F.struct(*docs.columns).alias("row"), *named)
 
 
-def _kept(keyed: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
-    """The rows of `keyed` (row, keys) without those whose keys are in `gone` (distinct), and of rows that repeat their keys
-    the least in its JSON form.
+def _kept(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of `docs` whose node is not in `gone` (node, distinct); of rows that repeat a node, the least in its JSON form.
 
-    Which keys repeat is counted without the rows, so the rows themselves are moved once.
+    Which nodes repeat is counted without the rows, so the rows themselves are moved once, or not at all where few go.
     """
-    def same(other: DataFrame, names: list[str]) -> Column:
-        return reduce(Column.__and__, (keyed[k].eqNullSafe(other[n]) for k, n in zip(keys, names)))
-
-    absent, again = [f"gone_{k}" for k in keys], [f"again_{k}" for k in keys]
-    gone = settle(gone.toDF(*absent))
-    light = keyed.select(*keys)
-    left = light.join(gone, reduce(Column.__and__, (light[k].eqNullSafe(gone[n]) for k, n in zip(keys, absent))), "left_anti")
-    repeated = settle(left.groupBy(*keys).count().filter("count > 1").drop("count").toDF(*again))
-    dropped = gone.union(repeated).toDF(*absent)
-    least = keyed.join(repeated, same(repeated, again)).groupBy(*keys).agg(F.min_by("row", F.to_json("row")).alias("row"))
-    return keyed.join(dropped, same(dropped, absent), "left_anti").select("row").union(least.select("row")).select("row.*")
+    gone, keyed = settle(gone.toDF("gone")), _rows(docs, _node(_digest()).alias("of"))
+    left = keyed.select("of").join(gone, F.col("of") == F.col("gone"), "left_anti")
+    repeated = settle(left.groupBy("of").count().filter("count > 1").select(F.col("of").alias("gone")))
+    least = keyed.join(repeated, F.col("of") == F.col("gone"), "left_semi").groupBy("of").agg(F.min_by("row", F.to_json("row")).alias("row"))
+    kept = keyed.join(gone.union(repeated), F.col("of") == F.col("gone"), "left_anti")
+    return kept.select("row").union(least.select("row")).select("row.*")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,24 +66,24 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     NULL and empty texts are equal to each other.
     """
     ship_package(spark)
-    gone = exact_dedup.exact_dedup(docs).filter(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("doc_id", "text_sha256").distinct()
-    return _kept(_rows(docs, F.col("doc_id").alias("id"), _digest().alias("of")), gone, ["id", "of"])
+    gone = exact_dedup.exact_dedup(docs).filter(~F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    return _kept(docs, gone.select(_node(F.col("text_sha256"))).distinct())
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that links of `NEAR_SHARE` reach from each other, the one with the least doc_id, NULL last.
 
-    Documents are told apart by doc_id and text, as a 64-bit hash of both. NULL and empty texts link with nothing and stay.
+    NULL and empty texts link with nothing and stay.
     """
     ship_package(spark)
-    node = F.xxhash64(F.col("doc_id").isNull(), "doc_id", _digest())
+    node = _node(_digest())
     groups = ngram_join.jaccard_groups(docs.select(node.alias("doc_id"), "text"), NEAR_WORDS, NEAR_SHARE)
     told = settle(groups.select(F.col("doc_id").alias("node"), "component_id").distinct())
     named = docs.select(node.alias("of"), F.col("doc_id").alias("id"), _digest().alias("digest")).join(told, F.col("of") == F.col("node"))
     stays = named.groupBy("component_id").agg(
         F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "digest", "node")).alias("best"))
     gone = told.select("node").join(stays.select(F.col("best.node").alias("kept")), F.col("node") == F.col("kept"), "left_anti")
-    return _kept(_rows(docs, node.alias("of")), gone, ["of"])
+    return _kept(docs, gone)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
