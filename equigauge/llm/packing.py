@@ -103,6 +103,7 @@ def _tokenized(path: str):
 
 def _cut(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache_of("packing_cut")  # the ids are stored; their caches are not needed again
         for batch in batches:
             rows: list[tuple] = []
             for doc, first, raw in zip(batch["doc_id"].to_pylist(), batch["first"].to_pylist(), batch["ids"].to_pylist()):
