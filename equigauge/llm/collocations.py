@@ -168,7 +168,8 @@ def reached_at(phrases: Phrases, cells: np.ndarray, buckets: int) -> Iterator[tu
             at, parts = at[one_piece], parts[one_piece]
             hashes = _mix(before[at] * np.uint64(_STEP) + words[at + size - 1])
         keys = reduced(hashes, buckets)
-        own = cell_steps(keys, cells)
+        # Cells that others have set may name a step before its parts were known, when it could not be seen yet.
+        own = np.maximum(cell_steps(keys, cells), parts)
         yield size, at, keys, own, parts
         if not len(at):
             return
